@@ -21,6 +21,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -30,6 +31,13 @@ def get_session(master: str | None = None, app_name: str = "parcel", **conf: str
     On a cluster ``master`` stays ``None`` and the submit-time settings win;
     only keys that are unset are filled in.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        for key, value in {**_DEFAULTS, **conf}.items():
+            if key.startswith("spark.sql.") and active.conf.get(key, None) is None:
+                active.conf.set(key, value)
+        active.conf.set("spark.sql.session.timeZone", "UTC")
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
