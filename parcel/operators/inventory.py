@@ -14,27 +14,19 @@ from parcel.functions import paths
 def with_layout(inv: DataFrame) -> DataFrame:
     """I6 (source side): keys ``export/date/.../file`` gain ``export_name`` and
     ``folder_date``; keys with fewer than three parts are dropped."""
-    lay = paths.layout("key")
-    return (
-        inv.withColumn("_lay", lay)
-        .where(F.col("_lay").isNotNull())
-        .withColumn("export_name", F.col("_lay.export_name"))
-        .withColumn("folder_date", F.col("_lay.folder_date"))
-        .drop("_lay")
-    )
+    keep = [c for c in inv.columns if c not in ("export_name", "folder_date")]
+    lay = inv.select(*keep, paths.layout("key").alias("_lay")).where(F.col("_lay").isNotNull())
+    return lay.select(*keep, F.col("_lay.export_name").alias("export_name"),
+                      F.col("_lay.folder_date").alias("folder_date"))
 
 
 def with_shard_fields(inv: DataFrame) -> DataFrame:
     """I7 (target side): file names ``name_YYYYMMDD-N.ext`` gain
     ``export_name`` and ``folder_date``; other names are dropped."""
-    sf = paths.shard_fields("filename")
-    return (
-        inv.withColumn("_sf", sf)
-        .where(F.col("_sf").isNotNull())
-        .withColumn("export_name", F.col("_sf.export_name"))
-        .withColumn("folder_date", F.col("_sf.folder_date"))
-        .drop("_sf")
-    )
+    keep = [c for c in inv.columns if c not in ("export_name", "folder_date")]
+    sf = inv.select(*keep, paths.shard_fields("filename").alias("_sf")).where(F.col("_sf").isNotNull())
+    return sf.select(*keep, F.col("_sf.export_name").alias("export_name"),
+                     F.col("_sf.folder_date").alias("folder_date"))
 
 
 def for_export(inv: DataFrame, export_name: str | None) -> DataFrame:

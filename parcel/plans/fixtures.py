@@ -21,7 +21,6 @@ target ``file:/landing`` (flat): one file per source name, except
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SRC_BUCKET = "gs://parcel-src"
 TGT_BUCKET = "file:/landing"
@@ -29,71 +28,70 @@ TGT_BUCKET = "file:/landing"
 _EXPORT = "replace(substr(o_orderpriority, 3), ' ', '_')"
 _BASE = "(o_custkey * 7919 + o_orderkey * 104729) % 5000000 + 1024"
 
-
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return o.select(
-        F.expr(_EXPORT).alias("export_name"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("folder_date"),
-        "o_orderkey", "o_orderdate",
-        F.expr(_BASE).cast("bigint").alias("base"),
-    ).withColumn(
-        "fname",
-        F.concat_ws("", "export_name", F.lit("_"), "folder_date", F.lit("-"),
-                    F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.lit(".csv.gz")),
-    )
+# Spark SQL text of both inventories (one parse on the JVM instead of many
+# column-building calls from Python). ``{sf}`` is the table folder.
+_SPARK_FIXTURES = f"""
+o AS (
+  SELECT {_EXPORT} AS export_name, date_format(o_orderdate, 'yyyyMMdd') AS folder_date,
+         o_orderkey, o_orderdate, CAST({_BASE} AS BIGINT) AS base
+  FROM parquet.`{{sf}}/orders.parquet`),
+f AS (
+  SELECT *, concat(export_name, '_', folder_date, '-', lpad(CAST(o_orderkey AS STRING), 12, '0'), '.csv.gz') AS fname
+  FROM o),
+src_raw AS (
+  SELECT '{SRC_BUCKET}' AS bucket, concat(export_name, '/', folder_date, '/', fname) AS key, fname AS filename,
+         CAST(CASE WHEN o_orderkey % 71 = 0 THEN NULL ELSE base END AS BIGINT) AS size,
+         CAST(o_orderdate + INTERVAL 6 HOURS AS TIMESTAMP_NTZ) AS mtime
+  FROM f
+  UNION ALL
+  SELECT '{SRC_BUCKET}', concat(export_name, '/latest/', fname), fname, base + 13,
+         CAST(o_orderdate + INTERVAL 30 DAYS AS TIMESTAMP_NTZ)
+  FROM f WHERE o_orderkey % 41 = 0
+  UNION ALL
+  SELECT DISTINCT '{SRC_BUCKET}', concat(export_name, '/', folder_date, '/'), '', CAST(0 AS BIGINT),
+         CAST(o_orderdate AS TIMESTAMP_NTZ)
+  FROM f WHERE o_orderkey % 53 = 0
+  UNION ALL
+  SELECT '{SRC_BUCKET}', concat(export_name, '/manifest-', CAST(o_orderkey AS STRING), '.json'),
+         concat('manifest-', CAST(o_orderkey AS STRING), '.json'), CAST(100 + o_orderkey % 7 AS BIGINT),
+         CAST(o_orderdate AS TIMESTAMP_NTZ)
+  FROM f WHERE o_orderkey % 59 = 0),
+tgt AS (
+  SELECT '{TGT_BUCKET}' AS bucket, fname AS key, fname AS filename,
+         CAST(CASE WHEN o_orderkey % 89 = 0 THEN
+                     (CASE WHEN o_orderkey % 41 = 0 THEN base + 13 WHEN o_orderkey % 71 = 0 THEN NULL ELSE base END) + 1
+                   WHEN o_orderkey % 83 = 0 THEN NULL
+                   WHEN o_orderkey % 71 = 0 THEN 500
+                   WHEN o_orderkey % 41 = 0 THEN base + 13
+                   ELSE base END AS BIGINT) AS size,
+         CAST(o_orderdate + INTERVAL 1 DAYS AS TIMESTAMP_NTZ) AS mtime
+  FROM f WHERE o_orderkey % 97 <> 0
+  UNION ALL
+  SELECT '{TGT_BUCKET}', concat('EXTRA_20000101-', lpad(CAST(c_custkey AS STRING), 12, '0'), '.csv.gz'),
+         concat('EXTRA_20000101-', lpad(CAST(c_custkey AS STRING), 12, '0'), '.csv.gz'), CAST(7 AS BIGINT),
+         TIMESTAMP_NTZ '2000-01-01 00:00:00'
+  FROM parquet.`{{sf}}/customer.parquet` WHERE c_custkey % 61 = 0
+  UNION ALL
+  SELECT '{TGT_BUCKET}', concat('notes_', lower(n_name), '.txt'), concat('notes_', lower(n_name), '.txt'),
+         CAST(42 AS BIGINT), TIMESTAMP_NTZ '2000-01-01 00:00:00'
+  FROM parquet.`{{sf}}/nation.parquet`)
+"""
 
 
-def _inv(bucket: str, key, filename, size, mtime):
-    return [F.lit(bucket).alias("bucket"), key.alias("key"), filename.alias("filename"),
-            size.cast("bigint").alias("size"), mtime.cast("timestamp_ntz").alias("mtime")]
+def _fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if "`" in sf_dir:
+        raise ValueError("table folder must not contain a backtick")
+    return spark.sql(f"WITH {_SPARK_FIXTURES.format(sf=sf_dir)} SELECT * FROM {name}")
 
 
 def source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw source listing (markers and shallow objects included)."""
-    o = _orders(spark, sf_dir)
-    k = F.col("o_orderkey")
-    sep = F.lit("/")
-    dated = o.select(*_inv(
-        SRC_BUCKET, F.concat("export_name", sep, "folder_date", sep, "fname"), F.col("fname"),
-        F.when(k % 71 == 0, F.lit(None)).otherwise(F.col("base")),
-        F.col("o_orderdate") + F.expr("INTERVAL 6 HOURS"),
-    ))
-    latest = o.where(k % 41 == 0).select(*_inv(
-        SRC_BUCKET, F.concat("export_name", F.lit("/latest/"), "fname"), F.col("fname"),
-        F.col("base") + 13, F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"),
-    ))
-    markers = o.where(k % 53 == 0).select(*_inv(
-        SRC_BUCKET, F.concat("export_name", sep, "folder_date", sep), F.lit(""),
-        F.lit(0), F.col("o_orderdate"),
-    )).distinct()
-    shallow = o.where(k % 59 == 0).select(*_inv(
-        SRC_BUCKET, F.concat("export_name", F.lit("/manifest-"), k.cast("string"), F.lit(".json")),
-        F.concat(F.lit("manifest-"), k.cast("string"), F.lit(".json")),
-        F.lit(100) + k % 7, F.col("o_orderdate"),
-    ))
-    return dated.unionByName(latest).unionByName(markers).unionByName(shallow)
+    return _fixture(spark, sf_dir, "src_raw")
 
 
 def target_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat landing-folder listing."""
-    o = _orders(spark, sf_dir)
-    k = F.col("o_orderkey")
-    dsize = F.when(k % 41 == 0, F.col("base") + 13).when(k % 71 == 0, F.lit(None)).otherwise(F.col("base"))
-    size = (F.when(k % 89 == 0, dsize + 1).when(k % 83 == 0, F.lit(None))
-            .when(k % 71 == 0, F.lit(500)).otherwise(dsize))
-    copies = o.where(k % 97 != 0).select(*_inv(
-        TGT_BUCKET, F.col("fname"), F.col("fname"), size, F.col("o_orderdate") + F.expr("INTERVAL 1 DAYS"),
-    ))
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").where(F.col("c_custkey") % 61 == 0)
-    extra_name = F.concat(F.lit("EXTRA_20000101-"), F.lpad(F.col("c_custkey").cast("string"), 12, "0"),
-                          F.lit(".csv.gz"))
-    extras = c.select(*_inv(TGT_BUCKET, extra_name, extra_name, F.lit(7),
-                            F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
-    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    note = F.concat(F.lit("notes_"), F.lower("n_name"), F.lit(".txt"))
-    notes = n.select(*_inv(TGT_BUCKET, note, note, F.lit(42), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
-    return copies.unionByName(extras).unionByName(notes)
+    return _fixture(spark, sf_dir, "tgt")
 
 
 # ---------------------------------------------------------------------------
