@@ -21,6 +21,7 @@ queried afterwards.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 import pandas as pd
@@ -89,14 +90,32 @@ def work_list_from_uris(uris: DataFrame, column: str = "uri") -> DataFrame:
     )
 
 
-def _copy_file(src_uri: str, target_dir: str, filename: str, tag: str) -> tuple[int, int]:
-    """Copy one file via a temporary name; returns (source bytes, target bytes)."""
+def _temp_name(dpath: str, job: str, partition: int, attempt: int, filename: str) -> str:
+    return f"{dpath.rstrip('/')}/.parcel-{job}-p{partition}-a{attempt}-{filename}.part"
+
+
+def _copy_file(src_uri: str, target_dir: str, filename: str, job: str, partition: int,
+               attempt: int) -> tuple[int, int]:
+    """Copy one file via a temporary name; returns (source bytes, target bytes).
+
+    The temporary name is fixed by (job, partition, task attempt). A retried
+    task (attempt > 0, e.g. after its executor was lost) first removes what
+    the earlier attempts of the same partition may have left for this file,
+    so no listing is needed to clean up.
+    """
     sfs, spath = files.resolve(src_uri)
     dfs, dpath = files.resolve(target_dir)
+    for earlier in range(attempt):
+        stale = _temp_name(dpath, job, partition, earlier, filename)
+        try:
+            if dfs.get_file_info(stale).type.name == "File":
+                dfs.delete_file(stale)
+        except OSError:
+            pass
     info = sfs.get_file_info(spath)
     if info.type.name != "File":
         raise FileNotFoundError(f"File not found: {src_uri}")
-    tmp = f"{dpath.rstrip('/')}/.parcel-{tag}-{filename}.part"
+    tmp = _temp_name(dpath, job, partition, attempt, filename)
     final = f"{dpath.rstrip('/')}/{filename}"
     try:
         # compression=None: copy bytes as they are (no codec guessed from the name)
@@ -117,14 +136,14 @@ def _copy_file(src_uri: str, target_dir: str, filename: str, tag: str) -> tuple[
     return int(info.size or 0), int(dfs.get_file_info(final).size or 0)
 
 
-def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool):
+def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool, job: str):
     """Build the per-partition function for ``mapInPandas``."""
 
     def run(batches):
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
-        tag = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.taskAttemptId()}" if ctx else "driver"
+        partition, task_attempt = (ctx.partitionId(), ctx.attemptNumber()) if ctx else (0, 0)
         stopped = False
         for pdf in batches:
             rows = []
@@ -137,7 +156,7 @@ def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool):
                 while True:
                     attempt += 1
                     try:
-                        src_size, dst_size = _copy_file(uri, target_dir, name, tag)
+                        src_size, dst_size = _copy_file(uri, target_dir, name, job, partition, task_attempt)
                         error = None
                         break
                     except FileNotFoundError as exc:  # a missing source is not retried
@@ -197,9 +216,10 @@ def deliver(
     else:
         raise ValueError("mode must be 'parallel' or 'ordered'")
     log_path = scratch_dir(spark, "delivery-log")
+    job = uuid.uuid4().hex[:12]
     (
         shaped.select("source_uri", "filename")
-        .mapInPandas(_copier(target_dir, policy, stop), DELIVERY_LOG_SCHEMA)
+        .mapInPandas(_copier(target_dir, policy, stop, job), DELIVERY_LOG_SCHEMA)
         .write.mode("errorifexists")
         .parquet(log_path)
     )

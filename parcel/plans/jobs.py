@@ -23,7 +23,8 @@ from parcel.operators.reconcile import missing_on_target, verdict
 from parcel.operators.summary import compare_sides, storage_summary
 from parcel.sinks.export import ExportResult, write_export, write_partitioned_export
 from parcel.sinks.lists import write_uri_list
-from parcel.sources.inventory import list_flat, list_objects, read_uri_list
+from parcel.operators.inventory import with_layout
+from parcel.sources.inventory import list_flat, list_folders, list_objects, read_uri_list
 from parcel.sources.query import run_query, run_spec
 
 PIPELINE_SCHEMA = (
@@ -125,31 +126,60 @@ def run_pipeline(
     policy: RetryPolicy = RetryPolicy(),
     threads: int = 3,
 ) -> DataFrame:
-    """Per export, query -> sharded files -> copies in ``target_dir`` ->
-    reconciliation. A failing stage stops that export only; its row carries
-    ``outcome = 'error'`` and the first 200 characters of the message."""
+    """Query -> sharded files -> copies in ``target_dir`` -> verdict,
+    for every active export of one run.
+
+    The exports are written concurrently (Q7); then all of today's folders
+    are listed as one relation, copied by one delivery job, and reconciled by
+    one grouped verdict, so the cluster works on all exports at once. A
+    failure stays with its export: an export whose query or write fails, or
+    any of whose files cannot be delivered, gets ``outcome = 'error'`` and the
+    first 200 characters of the message; the others are unaffected.
+    """
     folder_date = interval.folder_date
+    active = active_specs(specs, overrides)
+    rows = {s.name: _Row(s.name, folder_date) for s in active}
 
-    def one(spec: ExportSpec) -> _Row:
-        row = _Row(spec.name, folder_date)
+    def export_one(spec: ExportSpec):
         try:
-            res = write_export(run_spec(spark, spec, interval), source_root, spec.name, folder_date,
-                               spec.format, spec.compression, shards)
-            row.source_path, row.rows_exported, row.files, row.bytes = res.path, res.rows, len(res.files), res.bytes
-            src = list_objects(spark, source_root, f"{spec.name}/{folder_date}/")
-            if src.isEmpty():
-                row.outcome, row.in_sync = "no_files", False
-                return row
-            log = deliver(work_list(src), target_dir, mode=deliver_mode, workers=workers, policy=policy)
-            row.files_delivered = log.where(F.col("status") == "ok").count()
-            v = verdict(src, list_flat(spark, target_dir), label=spec.name).first()
-            row.in_sync, row.outcome = bool(v["in_sync"]), v["outcome"]
+            df = run_spec(spark, spec, interval)
+            return spec.name, write_export(df, source_root, spec.name, folder_date, spec.format,
+                                           spec.compression, shards), None
         except Exception as exc:  # noqa: BLE001 - one export's failure is its own row
-            row.outcome, row.error = "error", f"{type(exc).__name__}: {exc}"
-        return row
+            return spec.name, None, exc
 
-    rows = _in_pool(spark, one, active_specs(specs, overrides), threads)
-    df = spark.createDataFrame([tuple(vars(r).values()) for r in rows], PIPELINE_SCHEMA)
+    exported = []
+    for name, res, exc in _in_pool(spark, export_one, active, threads):
+        row = rows[name]
+        if exc is not None:
+            row.outcome, row.error = "error", f"{type(exc).__name__}: {exc}"
+            continue
+        row.source_path, row.rows_exported, row.files, row.bytes = res.path, res.rows, len(res.files), res.bytes
+        exported.append(name)
+
+    if exported:
+        src = with_layout(list_folders(spark, source_root, [f"{n}/{folder_date}/" for n in exported]))
+        log = deliver(work_list(src), target_dir, mode=deliver_mode, workers=workers, policy=policy,
+                      raise_on_failure=False)
+        uris = src.select(F.concat("bucket", F.lit("/"), "key").alias("source_uri"), "export_name")
+        per_export = log.join(uris, "source_uri").groupBy("export_name").agg(
+            F.count(F.lit(1)).alias("files_tried"),
+            F.count_if(F.col("status") == "ok").alias("files_ok"),
+            F.min("error").alias("first_error"),
+        )
+        checked = verdict(src, list_flat(spark, target_dir), exports=exported).select(
+            "export_name", "in_sync", "outcome").join(per_export, "export_name", "left")
+        for r in checked.collect():  # one row per export
+            row = rows[r["export_name"]]
+            row.files_delivered = r["files_ok"] or 0
+            row.in_sync, row.outcome = bool(r["in_sync"]), r["outcome"]
+            failed = (r["files_tried"] or 0) - (r["files_ok"] or 0)
+            if failed:
+                row.outcome = "error"
+                row.error = (f"DeliveryError: Transfer failed: {failed}/{r['files_tried']} files failed "
+                             f"to upload: {r['first_error']}")
+
+    df = spark.createDataFrame([tuple(vars(rows[s.name]).values()) for s in active], PIPELINE_SCHEMA)
     return df.withColumn("error", truncate("error", MESSAGE_CHARS))
 
 

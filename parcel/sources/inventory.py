@@ -70,8 +70,12 @@ def list_objects(
     scanned = _scan(spark, files.join(root_q, folder) if folder else root_q)
     if scanned is None:
         return empty_inventory(spark)
+    return filter_objects(_as_inventory(scanned, root_q), list_prefix, glob)
+
+
+def _as_inventory(scanned: DataFrame, root_q: str) -> DataFrame:
     key = F.substring(F.col("path"), len(root_q) + 2, 1 << 30)
-    inv = scanned.select(
+    return scanned.select(
         F.lit(root_q).alias("bucket"),
         key.alias("key"),
         paths.basename(key).alias("filename"),
@@ -79,7 +83,22 @@ def list_objects(
         # session-zone wall clock -> UTC wall clock, whatever the session zone
         F.convert_timezone(None, F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz")).alias("mtime"),
     )
-    return filter_objects(inv, list_prefix, glob)
+
+
+def list_folders(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    """S2 over several folders of one root as a single relation (one Spark
+    listing over many paths, e.g. today's folder of every export). Folders
+    that do not exist are skipped; none existing gives an empty inventory."""
+    root_q = files.qualify(root)
+    locations = [files.join(root_q, f) for f in folders]
+    present = [loc for loc in locations if files.exists(loc)]
+    if not present:
+        return empty_inventory(spark)
+    scanned = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .load(present).select("path", "length", "modificationTime")
+    )
+    return filter_objects(_as_inventory(scanned, root_q))
 
 
 def filter_objects(inv: DataFrame, prefix: str = "", glob: str | None = None) -> DataFrame:

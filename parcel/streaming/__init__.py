@@ -1,0 +1,2 @@
+"""No streaming operators: the reference runs bounded daily batches and
+covers late rows by re-exporting a look-back window (see SURVEY 2.12)."""
