@@ -196,7 +196,8 @@ def deliver(
     (materialised) delivery log.
 
     ``mode="parallel"`` (D4): files are spread round-robin over ``workers``
-    tasks (default: the cluster's parallelism); every file is tried, then the
+    tasks (default: the cluster's parallelism, at most one task per file);
+    every file is tried, then the
     driver raises if any failed (unless ``raise_on_failure=False``).
 
     ``mode="ordered"`` (D3): files are range-partitioned by name over
@@ -207,7 +208,9 @@ def deliver(
     spark = work.sparkSession
     files.makedirs(target_dir)  # D6/D7: one mkdirs; fails early if not writable
     if mode == "parallel":
-        n = workers or spark.sparkContext.defaultParallelism
+        # one copy task per file at most: a few files on a large cluster do
+        # not launch thousands of empty tasks
+        n = workers or max(1, min(spark.sparkContext.defaultParallelism, work.count()))
         shaped = work.repartition(n)
         stop = False
     elif mode == "ordered":

@@ -268,3 +268,36 @@ def missing_then_retry(spark, sf) -> DataFrame:
                     F.coalesce("retried_ok", zero).alias("retried_ok"),
                     F.coalesce("rows_delivered", zero).alias("rows_delivered"),
                     "in_sync"))
+
+
+def export_area_summary(spark, sf) -> DataFrame:
+    """S2 (distributed listing) + I6 + A1 over real files: five exports with
+    two shards each, summarised from a listing run inside executors."""
+    _prep(spark, sf, ("orders",))
+    from parcel.operators.summary import storage_summary
+
+    root = scratch_dir(spark, "area")
+    jobs.run_exports(spark, PRIORITY_SPECS, RUN, root, shards=2)
+    inv = inv_ops.with_layout(list_objects(spark, root, distributed=True))
+    return storage_summary(inv).select("export_name", "oldest_date", "newest_date", "num_dates", "total_files")
+
+
+def deliver_uri_glob(spark, sf) -> DataFrame:
+    """D1 + S2b + D10: a wildcard URI selects one export's shards, which are
+    delivered; returns the transfer figures and the rows read back."""
+    from parcel.operators.deliver import deliver_uri
+    from parcel.sources.inventory import list_with_mb
+
+    t = _prep(spark, sf, ("orders",))
+    base = scratch_dir(spark, "deliver-uri")
+    source, target = files.join(base, "source"), files.join(base, "landing")
+    write_export(t["orders"], source, "ORDERS", RUN.folder_date, shards=3)
+    res = deliver_uri(spark, source, f"ORDERS/{RUN.folder_date}/ORDERS_*.csv.gz", target, "ORDERS")
+    listed = list_with_mb(spark, source, f"ORDERS/{RUN.folder_date}/*").where(F.col("size_mb") >= 0).count()
+    rows = _delivered_rows(spark, target, t["orders"].schema)
+    return rows.select(
+        F.lit(res.files_transferred).cast("bigint").alias("files_transferred"),
+        F.lit(res.destination.endswith("/")).alias("destination_is_dir"),
+        F.lit(listed).cast("bigint").alias("listed_files"),
+        F.col("rows_delivered"),
+    )

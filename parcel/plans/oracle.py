@@ -214,4 +214,12 @@ ORACLE_SQL: dict[str, str] = {
              CAST(CASE WHEN export_name IN ('URGENT', 'HIGH') THEN 1 ELSE 0 END AS BIGINT) AS retried_ok,
              n AS rows_delivered, true AS in_sync
       FROM ({_PRIORITY_COUNTS}) c""",
+    "export_area_summary": f"""
+      SELECT export_name, '19980608' AS oldest_date, '19980608' AS newest_date, CAST(1 AS BIGINT) AS num_dates,
+             CAST(2 AS BIGINT) AS total_files
+      FROM ({_PRIORITY_COUNTS}) c""",
+    "deliver_uri_glob": """
+      SELECT CAST(3 AS BIGINT) AS files_transferred, true AS destination_is_dir, CAST(3 AS BIGINT) AS listed_files,
+             count(*) AS rows_delivered
+      FROM orders""",
 }

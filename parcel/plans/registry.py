@@ -242,4 +242,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deliver_ordered": live.deliver_ordered,
     "deliver_partial_failure": live.deliver_partial_failure,
     "missing_then_retry": live.missing_then_retry,
+    "export_area_summary": live.export_area_summary,
+    "deliver_uri_glob": live.deliver_uri_glob,
 }

@@ -55,6 +55,8 @@ def list_objects(
     root: str,
     prefix: str = "",
     pattern: str | None = None,
+    distributed: bool = False,
+    fanout_depth: int = 2,
 ) -> DataFrame:
     """Every file under ``root`` whose key starts with ``prefix``.
 
@@ -63,16 +65,94 @@ def list_objects(
     the optional basename glob. Listing starts at the deepest literal folder
     of the prefix, the rest is a filter. A missing location gives an empty
     inventory.
+
+    ``distributed=True`` is for trees with millions of objects: Spark's file
+    index would hold every file status on the driver, so instead the driver
+    lists only ``fanout_depth`` folder levels and executors list each folder
+    found there (see ``_list_distributed``). Both modes skip names starting
+    with ``_`` or ``.``, as Spark does.
     """
     list_prefix, glob = paths.split_listing(prefix, pattern)
     root_q = files.qualify(root)
     folder = list_prefix.rsplit("/", 1)[0] if "/" in list_prefix else ""
-    scanned = _scan(spark, files.join(root_q, folder) if folder else root_q)
+    start = files.join(root_q, folder) if folder else root_q
+    if distributed:
+        return filter_objects(_list_distributed(spark, root_q, start, fanout_depth), list_prefix, glob)
+    scanned = _scan(spark, start)
     if scanned is None:
         return empty_inventory(spark)
     return filter_objects(_as_inventory(scanned, root_q), list_prefix, glob)
 
 
+def _hidden(name: str) -> bool:
+    return name.startswith("_") or name.startswith(".")
+
+
+def _entry_row(root_path: str, root_q: str, info) -> tuple:
+    key = info.path[len(root_path):].lstrip("/")
+    mtime = None
+    if info.mtime is not None:  # pyarrow gives UTC; keep Hadoop's millisecond precision
+        mtime = info.mtime.replace(tzinfo=None)
+        mtime = mtime.replace(microsecond=mtime.microsecond // 1000 * 1000)
+    return root_q, key, key.rsplit("/", 1)[-1], int(info.size) if info.size is not None else None, mtime
+
+
+def _folder_lister(root_q: str):
+    """mapInPandas body: list every folder of the batch recursively."""
+
+    def run(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        _, root_path = files.resolve(root_q)
+        root_path = root_path.rstrip("/")
+        for pdf in batches:
+            out = []
+            for folder in pdf["folder"]:
+                fs, fpath = files.resolve(folder)
+                base = fpath.rstrip("/")
+                for info in fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True)):
+                    if info.type != pafs.FileType.File:
+                        continue
+                    rel = info.path[len(base):].strip("/").split("/")
+                    if any(_hidden(part) for part in rel):
+                        continue
+                    out.append(_entry_row(root_path, root_q, info))
+            yield pd.DataFrame(out, columns=INVENTORY_SCHEMA.fieldNames())
+
+    return run
+
+
+def _list_distributed(spark: SparkSession, root_q: str, start: str, fanout_depth: int) -> DataFrame:
+    """Driver lists ``fanout_depth`` levels below ``start`` (folders only
+    travel to the executors); files met on the way are kept as rows."""
+    _, root_path = files.resolve(root_q)
+    root_path = root_path.rstrip("/")
+    frontier, shallow = [start], []
+    if not files.exists(start):
+        return empty_inventory(spark)
+    for _ in range(max(fanout_depth, 0)):
+        nxt = []
+        for d in frontier:
+            for info in files.list_dir(d):
+                if _hidden(info.base_name):
+                    continue
+                if info.type.name == "Directory":
+                    nxt.append(files.join(d, info.base_name))
+                elif info.type.name == "File":
+                    shallow.append(_entry_row(root_path, root_q, info))
+        frontier = nxt
+    folders = spark.range(1).select(
+        F.explode(F.array(*[F.lit(f) for f in frontier]) if frontier else F.array().cast("array<string>"))
+        .alias("folder"))
+    n = max(1, min(len(frontier), spark.sparkContext.defaultParallelism * 4))
+    deep = folders.repartition(n).mapInPandas(_folder_lister(root_q), INVENTORY_SCHEMA)
+    if shallow:
+        top = spark.createDataFrame([tuple(r) for r in shallow], INVENTORY_SCHEMA)
+        deep = deep.unionByName(top)
+    return deep
+
+
 def _as_inventory(scanned: DataFrame, root_q: str) -> DataFrame:
     key = F.substring(F.col("path"), len(root_q) + 2, 1 << 30)
     return scanned.select(

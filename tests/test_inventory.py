@@ -114,3 +114,21 @@ def test_mtime_is_utc_wall_clock(spark, tmp_root):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == dt.datetime(1970, 1, 2, 1, 0)
+
+
+def test_distributed_listing_equals_spark_listing(spark, tmp_root):
+    for i in range(3):
+        for d in ("20250101", "20250102"):
+            _touch(f"{tmp_root}/exp{i}/{d}/exp{i}_{d}-{i:012d}.csv.gz", b"x" * (i + 1))
+            _touch(f"{tmp_root}/exp{i}/{d}/deeper/more/f{i}.csv", b"yy")
+    _touch(f"{tmp_root}/top.txt", b"t")
+    _touch(f"{tmp_root}/exp0/shallow.txt", b"s")
+    _touch(f"{tmp_root}/exp0/_stage-1/part-0", b"hidden")
+    _touch(f"{tmp_root}/exp1/20250101/.hidden.part", b"hidden")
+    cols = ["bucket", "key", "filename", "size", "mtime"]
+    for prefix in ("", "exp1", "exp0/20250102/"):
+        a = list_objects(spark, tmp_root, prefix).select(cols)
+        b = list_objects(spark, tmp_root, prefix, distributed=True).select(cols)
+        assert sorted(a.collect()) == sorted(b.collect()), prefix
+        assert b.count() > 0
+    assert list_objects(spark, f"{tmp_root}/nope", distributed=True).count() == 0
