@@ -157,10 +157,13 @@ def write_export(
     writer = observed.write.mode("overwrite").format(writer_format(fmt)).options(**write_options(fmt, compression))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    writer.save(stage)
-
-    names, total = _name_shards(stage, export_name, folder_date, ext)
-    files.replace_dir(stage, target)
+    try:
+        writer.save(stage)
+        names, total = _name_shards(stage, export_name, folder_date, ext)
+        files.replace_dir(stage, target)
+    except Exception:
+        files.delete_dir(stage)  # the published folder is untouched
+        raise
     return ExportResult(export_name, folder_date, target, names, int(obs.get["rows"]), total, fmt, compression)
 
 

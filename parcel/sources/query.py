@@ -3,7 +3,9 @@ catalog tables; interval values bind as typed named parameters."""
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,18 @@ def register_tables(spark: SparkSession, root: str, names=TABLES) -> dict[str, D
     return out
 
 
+def _session_zone(spark: SparkSession) -> dt.tzinfo:
+    name = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        return ZoneInfo(name)
+    except (KeyError, ValueError):
+        # offsets such as "+08:00" or "GMT+8"
+        text = name.upper().removeprefix("GMT").removeprefix("UTC") or "+00:00"
+        sign = -1 if text.startswith("-") else 1
+        hours, _, minutes = text.lstrip("+-").partition(":")
+        return dt.timezone(sign * dt.timedelta(hours=int(hours), minutes=int(minutes or 0)))
+
+
 def run_query(spark: SparkSession, query: str, interval: Interval | None = None) -> DataFrame:
     """Run ``query`` for ``interval``.
 
@@ -37,7 +51,16 @@ def run_query(spark: SparkSession, query: str, interval: Interval | None = None)
     if interval is None:
         return spark.sql(query)
     text = resolve_placeholders(query, interval)
-    args = {k: v for k, v in interval.sql_args().items() if f":{k}" in text}
+    zone = _session_zone(spark)
+    args = {}
+    for k, v in interval.sql_args().items():
+        if f":{k}" not in text:
+            continue
+        if isinstance(v, dt.datetime) and v.tzinfo is None:
+            # bind the wall-clock value in the session zone, whatever the
+            # driver machine's local zone is
+            v = v.replace(tzinfo=zone)
+        args[k] = v
     return spark.sql(text, args=args) if args else spark.sql(text)
 
 

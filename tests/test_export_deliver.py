@@ -187,3 +187,27 @@ def test_run_pipeline_isolates_failures(spark, tmp_root):
     assert set(rows) == {"good", "bad"}
     assert rows["good"]["outcome"] == "ok" and rows["good"]["in_sync"] and rows["good"]["files_delivered"] == 2
     assert rows["bad"]["outcome"] == "error" and len(rows["bad"]["error"]) <= 200
+
+
+def test_failed_write_leaves_previous_export_and_no_stage(spark, tmp_root):
+    df = spark.range(10).withColumnRenamed("id", "x")
+    first = write_export(df, tmp_root, "E", "20250101", shards=2)
+    bad = spark.range(10).selectExpr("raise_error('boom') AS x")
+    with pytest.raises(Exception, match="boom"):
+        write_export(bad, tmp_root, "E", "20250101", shards=2)
+    assert _visible(files.local_path(first.path)) == first.files
+    assert not [n for n in os.listdir(f"{tmp_root}/E") if n.startswith("_stage")]
+
+
+def test_retried_attempt_removes_earlier_temp(tmp_root):
+    from parcel.operators.deliver import _copy_file, _temp_name
+
+    os.makedirs(f"{tmp_root}/land")
+    with open(f"{tmp_root}/src.csv", "wb") as f:
+        f.write(b"payload")
+    stale = _temp_name(f"{tmp_root}/land", "job1", 3, 0, "src.csv")
+    with open(stale, "wb") as f:  # what a lost attempt 0 left behind
+        f.write(b"pay")
+    sizes = _copy_file(f"{tmp_root}/src.csv", f"{tmp_root}/land", "src.csv", "job1", 3, 1)
+    assert sizes == (7, 7)
+    assert os.listdir(f"{tmp_root}/land") == ["src.csv"]

@@ -194,3 +194,16 @@ def test_size_mb_half_even(spark):
 
 def test_truncate(spark):
     assert _one(spark, lambda c: sizes.truncate(c, 3), "abcdef") == "abc"
+
+
+def test_interval_timestamps_bind_as_session_wall_clock(spark):
+    from parcel.sources.query import run_query
+
+    iv = Interval(dt.datetime(2024, 1, 2, 6, 30), dt.datetime(2024, 1, 3, 6, 30))
+    q = "SELECT CAST(:data_interval_start AS TIMESTAMP_NTZ) AS s, :ds AS d"
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        r = run_query(spark, q, iv).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r["s"] == dt.datetime(2024, 1, 2, 6, 30) and r["d"] == dt.date(2024, 1, 2)
