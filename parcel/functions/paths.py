@@ -61,10 +61,12 @@ def is_dir_marker(key) -> Column:
 def layout(key) -> Column:
     """``export/date/.../file`` -> ``struct(export_name, folder_date)``;
     null when the key has fewer than three parts. The date part is text."""
-    parts = F.split(_c(key), "/")
+    k = _c(key)
+    upto_second = F.substring_index(k, "/", 2)  # the whole key when it has < 2 slashes
     return F.when(
-        F.size(parts) >= 3,
-        F.struct(parts.getItem(0).alias("export_name"), parts.getItem(1).alias("folder_date")),
+        upto_second != k,
+        F.struct(F.substring_index(k, "/", 1).alias("export_name"),
+                 F.substring_index(upto_second, "/", -1).alias("folder_date")),
     )
 
 

@@ -34,7 +34,8 @@ _SPARK_FIXTURES = f"""
 o AS (
   SELECT {_EXPORT} AS export_name, date_format(o_orderdate, 'yyyyMMdd') AS folder_date,
          o_orderkey, o_orderdate, CAST({_BASE} AS BIGINT) AS base
-  FROM parquet.`{{sf}}/orders.parquet`),
+  FROM (SELECT /*+ REPARTITION({{parts}}, o_orderkey) */ o_orderkey, o_custkey, o_orderdate, o_orderpriority
+        FROM parquet.`{{sf}}/orders.parquet`) scanned),
 f AS (
   SELECT *, concat(export_name, '_', folder_date, '-', lpad(CAST(o_orderkey AS STRING), 12, '0'), '.csv.gz') AS fname
   FROM o),
@@ -78,10 +79,18 @@ tgt AS (
 """
 
 
+def _parts(spark: SparkSession) -> int:
+    # The test tables are single-row-group files, so their scans are one task;
+    # hash-spreading the few raw columns lets the string building that derives
+    # the inventory run on every core (a hash repartition needs no pre-sort).
+    return spark.sparkContext.defaultParallelism * 2
+
+
 def _fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if "`" in sf_dir:
         raise ValueError("table folder must not contain a backtick")
-    return spark.sql(f"WITH {_SPARK_FIXTURES.format(sf=sf_dir)} SELECT * FROM {name}")
+    text = _SPARK_FIXTURES.format(sf=sf_dir, parts=_parts(spark))
+    return spark.sql(f"WITH {text} SELECT * FROM {name}")
 
 
 def source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,3 +164,34 @@ cls AS (
               WHEN s.size IS NOT DISTINCT FROM t.size THEN 'ok' ELSE 'mismatch' END AS state
   FROM src_d s LEFT JOIN tgt t ON s.filename = t.filename)
 """
+
+
+# One object per lineitem row, for timing reconciliation on large inventories
+# (bench.py). A third of all objects belong to one export ("HOT") so the
+# per-export aggregation and sampling run against a hot key.
+_LARGE = f"""
+l AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE concat(l_returnflag, l_linestatus) END AS export_name,
+         date_format(l_shipdate, 'yyyyMMdd') AS folder_date,
+         l_orderkey * 8 + l_linenumber AS obj, l_shipdate,
+         CAST(l_orderkey % 100000 AS BIGINT) * 16 + l_linenumber AS base
+  FROM (SELECT /*+ REPARTITION({{parts}}, l_orderkey) */ l_orderkey, l_linenumber, l_returnflag, l_linestatus,
+               l_shipdate
+        FROM parquet.`{{sf}}/lineitem.parquet`) scanned),
+f AS (
+  SELECT *, concat(export_name, '_', folder_date, '-', lpad(CAST(obj AS STRING), 12, '0'), '.csv.gz') AS fname FROM l),
+src AS (
+  SELECT '{SRC_BUCKET}' AS bucket, concat(export_name, '/', folder_date, '/', fname) AS key, fname AS filename,
+         base AS size, CAST(l_shipdate AS TIMESTAMP_NTZ) AS mtime
+  FROM f),
+tgt AS (
+  SELECT '{TGT_BUCKET}' AS bucket, fname AS key, fname AS filename,
+         CASE WHEN obj % 103 = 0 THEN base + 1 ELSE base END AS size, CAST(l_shipdate AS TIMESTAMP_NTZ) AS mtime
+  FROM f WHERE obj % 101 <> 0)
+"""
+
+
+def large_inventories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(source, target) inventories with one object per lineitem row."""
+    text = _LARGE.format(sf=sf_dir, parts=_parts(spark))
+    return (spark.sql(f"WITH {text} SELECT * FROM src"), spark.sql(f"WITH {text} SELECT * FROM tgt"))

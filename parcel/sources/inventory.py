@@ -200,6 +200,19 @@ def list_flat(spark: SparkSession, directory: str) -> DataFrame:
     return inv.where(~F.col("key").contains("/"))
 
 
+def list_names(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
+    """Basenames of every object under ``root`` / ``prefix``."""
+    return list_objects(spark, root, prefix or "").select("filename")
+
+
+def list_target_exports(spark: SparkSession, directory: str) -> DataFrame:
+    """Flat target files whose names follow the shard pattern, with the
+    export and date parsed from the name (I7); other names are left out."""
+    from parcel.operators.inventory import with_shard_fields
+
+    return with_shard_fields(list_flat(spark, directory))
+
+
 def list_with_mb(spark: SparkSession, uri_root: str, prefix: str = "") -> DataFrame:
     """Listing with ``size_mb`` (2 dp, half-even) and the update time.
     A ``*`` cuts the prefix right before it."""

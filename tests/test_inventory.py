@@ -132,3 +132,17 @@ def test_distributed_listing_equals_spark_listing(spark, tmp_root):
         assert sorted(a.collect()) == sorted(b.collect()), prefix
         assert b.count() > 0
     assert list_objects(spark, f"{tmp_root}/nope", distributed=True).count() == 0
+
+
+def test_names_target_exports_and_mb_listing(spark, tmp_root):
+    from parcel.sources.inventory import list_names, list_target_exports, list_with_mb
+
+    _touch(f"{tmp_root}/src/e/20250101/e_20250101-000000000000.csv.gz", b"x" * 1310720)  # 1.25 MiB
+    _touch(f"{tmp_root}/land/e_20250101-000000000000.csv.gz", b"x")
+    _touch(f"{tmp_root}/land/readme.txt", b"x")
+    assert [r["filename"] for r in list_names(spark, f"{tmp_root}/src", "e/").collect()] == \
+        ["e_20250101-000000000000.csv.gz"]
+    got = [(r["export_name"], r["folder_date"]) for r in list_target_exports(spark, f"{tmp_root}/land").collect()]
+    assert got == [("e", "20250101")]
+    mb = list_with_mb(spark, f"{tmp_root}/src", "e/2025*").collect()
+    assert [(r["name"], r["size_mb"]) for r in mb] == [("e/20250101/e_20250101-000000000000.csv.gz", 1.25)]
