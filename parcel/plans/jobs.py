@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from parcel.functions.params import ExportSpec, Interval
 from parcel.functions.sizes import truncate
 from parcel.operators.deliver import RetryPolicy, deliver, delivery_counts, work_list
-from parcel.operators.extract import _day
+from parcel.operators.extract import _day, lookback_runs
 from parcel.operators.reconcile import missing_on_target, verdict
 from parcel.operators.summary import compare_sides, storage_summary
 from parcel.sinks.export import ExportResult, write_export, write_partitioned_export
@@ -86,17 +86,38 @@ def backfill(
     interval and tagged with its folder date; the union is written once with
     ``partitionBy(folder_date)`` and published as plain date folders."""
     first, last = _day(first_end), _day(last_end)
-    parts = []
+    parts, dates = [], []
     day = first
     while day <= last:
         iv = Interval.ending(day, days=1)
         parts.append(run_spec(spark, spec, iv).withColumn("folder_date", F.lit(iv.folder_date)))
+        dates.append(iv.folder_date)
         day += dt.timedelta(days=1)
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
     return write_partitioned_export(union, root, spec.name, spec.format, spec.compression,
-                                    shards_per_date=shards_per_date)
+                                    shards_per_date=shards_per_date, expected_dates=dates)
+
+
+def lookback_backfill(
+    df: DataFrame,
+    date_column: str,
+    first_end,
+    last_end,
+    root: str,
+    export_name: str,
+    days: int = 7,
+    fmt: str = "CSV",
+    compression: str = "GZIP",
+) -> list[ExportResult]:
+    """Q8 for look-back exports in a single scan: each row is tagged with
+    every run (ending ``first_end .. last_end``) whose window holds it, and
+    all run folders are written by one partitioned job."""
+    tagged = lookback_runs(df, date_column, first_end, last_end, days)
+    first, last = _day(first_end), _day(last_end)
+    dates = [(first + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((last - first).days + 1)]
+    return write_partitioned_export(tagged, root, export_name, fmt, compression, expected_dates=dates)
 
 
 @dataclass

@@ -15,11 +15,10 @@ from parcel.functions import paths
 from parcel.functions.params import ExportSpec, Interval, shard_name
 from parcel.operators import inventory as inv_ops
 from parcel.operators.deliver import RetryPolicy, deliver, work_list
-from parcel.operators.extract import lookback_runs
 from parcel.operators.reconcile import verdict
 from parcel.plans import jobs
 from parcel.session import scratch_dir
-from parcel.sinks.export import read_export, read_options, write_export, write_partitioned_export
+from parcel.sinks.export import read_export, read_options, write_export
 from parcel.sources.inventory import list_flat, list_objects
 from parcel.sources.query import register_tables, run_query, run_spec
 
@@ -146,8 +145,8 @@ def multi_export(spark, sf) -> DataFrame:
 def backfill_range(spark, sf) -> DataFrame:
     """Q8: five daily look-back runs written by one partitioned job."""
     t = _prep(spark, sf, ("orders",))
-    tagged = lookback_runs(t["orders"], "o_orderdate", "1998-06-01", "1998-06-05", days=7)
-    res = write_partitioned_export(tagged, scratch_dir(spark, "backfill"), "ORDERS")
+    res = jobs.lookback_backfill(t["orders"], "o_orderdate", "1998-06-01", "1998-06-05",
+                                 scratch_dir(spark, "backfill"), "ORDERS", days=7)
     schema = t["orders"].schema
     frames = [read_export(spark, r.path, schema).select(F.lit(r.folder_date).alias("folder_date")) for r in res]
     out = frames[0]

@@ -175,6 +175,7 @@ def write_partitioned_export(
     compression: str = "GZIP",
     date_column: str = "folder_date",
     shards_per_date=None,
+    expected_dates: list[str] | None = None,
 ) -> list[ExportResult]:
     """Q8: one job writes many date folders (``df`` carries ``date_column``).
 
@@ -182,6 +183,11 @@ def write_partitioned_export(
     most rows into several shards instead of one huge task). Each
     ``date_column=D`` folder Spark writes is then published as plain ``D/``
     with final shard names, the layout a single-date run produces.
+
+    A partitioned write makes no folder for a date without rows, while a
+    single-date run writes one header-only file; every date of
+    ``expected_dates`` that got no rows is therefore written as an empty
+    export, so each run date verifies the same way.
     """
     ExportSpec(export_name, "x", fmt, compression)
     ext = file_extension(fmt, compression)
@@ -211,6 +217,10 @@ def write_partitioned_export(
         files.replace_dir(sub, target)
         results.append(ExportResult(export_name, day, target, names, None, total, fmt, compression))
     files.delete_dir(stage)
+    written = {r.folder_date for r in results}
+    empty = df.drop(date_column).limit(0)
+    for day in sorted(set(expected_dates or ()) - written):
+        results.append(write_export(empty, root, export_name, day, fmt, compression, shards=1))
     return sorted(results, key=lambda r: r.folder_date)
 
 

@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 
 import pytest
@@ -92,7 +93,20 @@ def test_backfill_generic(spark, tmp_root):
     spark.read.parquet(f"{SF_SMALL}/orders.parquet").createOrReplaceTempView("orders")
     spec = ExportSpec("D", "SELECT * FROM orders WHERE DATE(o_orderdate) = :ds")
     res = jobs.backfill(spark, spec, "1998-06-02", "1998-06-04", tmp_root)
-    assert {r.folder_date for r in res} <= {"19980602", "19980603", "19980604"}
+    assert [r.folder_date for r in res] == ["19980602", "19980603", "19980604"]
+    o = spark.table("orders")
+    for r in res:
+        day = (dt.datetime.strptime(r.folder_date, "%Y%m%d") - dt.timedelta(days=1)).date()
+        expected = o.where(F.to_date("o_orderdate") == F.lit(day)).count()
+        assert read_export(spark, r.path, o.schema).count() == expected
+
+
+def test_backfill_writes_empty_days(spark, tmp_root):
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").createOrReplaceTempView("orders")
+    spec = ExportSpec("D", "SELECT * FROM orders WHERE DATE(o_orderdate) = :ds AND o_orderkey < 0")
+    res = jobs.backfill(spark, spec, "1998-06-02", "1998-06-03", tmp_root)
+    assert [(r.folder_date, len(r.files)) for r in res] == [("19980602", 1), ("19980603", 1)]
+    assert _visible(f"{tmp_root}/D") == ["19980602", "19980603"]
 
 
 # ------------------------------------------------------------------ delivery --
