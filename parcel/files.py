@@ -106,16 +106,3 @@ def move_many(pairs: list[tuple[str, str]], threads: int = 16) -> None:
 
     with ThreadPoolExecutor(max_workers=min(threads, len(pairs))) as pool:
         list(pool.map(_one, pairs))
-
-
-def replace_dir(src: str, dst: str) -> None:
-    """Publish ``src`` as ``dst``: the old ``dst`` (if any) is removed first,
-    so a re-run with fewer shards leaves no stale shard behind."""
-    fs, sp = resolve(src)
-    _, dp = resolve(dst)
-    if fs.get_file_info(dp).type == pafs.FileType.Directory:
-        fs.delete_dir(dp)
-    parent = dp.rstrip("/").rsplit("/", 1)[0]
-    if parent:
-        fs.create_dir(parent, recursive=True)
-    fs.move(sp, dp)

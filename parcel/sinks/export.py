@@ -3,11 +3,12 @@
 Layout: ``<root>/<export>/<yyyymmdd>/<export>_<yyyymmdd>-<shard:012d>.<ext>``.
 
 Spark's writer runs the whole job (scan, filter, encode, compress) in
-parallel tasks into a hidden staging folder beside the target. The driver then
-only does metadata work: it gives each ``part-*`` file its final shard name
-(shard = position in name order, i.e. the writing task's partition order) and
-swaps the staging folder in for the date folder, so a re-run with fewer
-shards never leaves stale ones behind.
+parallel tasks into a hidden staging folder beside the target. Publishing is
+metadata work: the old date folder is removed (a re-run with fewer shards
+never leaves stale ones behind) and each ``part-*`` file is moved straight to
+its final shard name (shard = position in name order, i.e. the writing task's
+partition order) -- on driver threads for a few shards, as a Spark job over
+the executors for many.
 """
 
 from __future__ import annotations
@@ -119,15 +120,53 @@ def _staged_parts(stage: str) -> list[tuple[str, int]]:
     return sorted(parts)
 
 
-def _name_shards(folder: str, export_name: str, folder_date: str, ext: str) -> tuple[list[str], int]:
-    parts = _staged_parts(folder)
+# Above this many shards the moves run as a Spark job on the executors (on
+# object stores a move is a server-side copy per object).
+DISTRIBUTED_MOVE_THRESHOLD = 256
+
+
+def _move_partition(batches):
+    import pandas as pd
+
+    for pdf in batches:
+        done = []
+        for src, dst in zip(pdf["src"], pdf["dst"]):
+            sfs, sp = files.resolve(src)
+            _, dp = files.resolve(dst)
+            if sfs.get_file_info(sp).type.name == "File":
+                sfs.move(sp, dp)
+            elif sfs.get_file_info(dp).type.name != "File":  # a retried task finds it already moved
+                raise FileNotFoundError(f"staged shard vanished: {src}")
+            done.append(dst)
+        yield pd.DataFrame({"dst": done})
+
+
+def _move(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
+    if len(pairs) <= DISTRIBUTED_MOVE_THRESHOLD:
+        files.move_many(pairs)
+        return
+    n = min(len(pairs), spark.sparkContext.defaultParallelism * 2)
+    moves = spark.createDataFrame(pairs, "src string, dst string").repartition(n)
+    moves.mapInPandas(_move_partition, "dst string").write.format("noop").mode("overwrite").save()
+
+
+def _publish(spark: SparkSession, stage: str, target: str, export_name: str, folder_date: str,
+             ext: str) -> tuple[list[str], int]:
+    """Move each staged ``part-*`` file straight to its final shard name in
+    ``target`` (the old folder is removed first, so no stale shard survives a
+    smaller re-run). One move per shard, no folder rename: on object stores
+    that is one server-side copy per shard."""
+    parts = _staged_parts(stage)
     pairs, names, total = [], [], 0
     for i, (base, size) in enumerate(parts):
         final = shard_name(export_name, folder_date, i, ext)
-        pairs.append((files.join(folder, base), files.join(folder, final)))
+        pairs.append((files.join(stage, base), files.join(target, final)))
         names.append(final)
         total += size
-    files.move_many(pairs)
+    files.delete_dir(target)
+    files.makedirs(target)
+    _move(spark, pairs)
+    files.delete_dir(stage)
     return names, total
 
 
@@ -159,8 +198,7 @@ def write_export(
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     try:
         writer.save(stage)
-        names, total = _name_shards(stage, export_name, folder_date, ext)
-        files.replace_dir(stage, target)
+        names, total = _publish(df.sparkSession, stage, target, export_name, folder_date, ext)
     except Exception:
         files.delete_dir(stage)  # the published folder is untouched
         raise
@@ -212,9 +250,8 @@ def write_partitioned_export(
             continue
         day = info.base_name[len(prefix):]
         sub = files.join(stage, info.base_name)
-        names, total = _name_shards(sub, export_name, day, ext)
         target = files.join(root, export_name, day)
-        files.replace_dir(sub, target)
+        names, total = _publish(df.sparkSession, sub, target, export_name, day, ext)
         results.append(ExportResult(export_name, day, target, names, None, total, fmt, compression))
     files.delete_dir(stage)
     written = {r.folder_date for r in results}

@@ -225,3 +225,14 @@ def test_retried_attempt_removes_earlier_temp(tmp_root):
     sizes = _copy_file(f"{tmp_root}/src.csv", f"{tmp_root}/land", "src.csv", "job1", 3, 1)
     assert sizes == (7, 7)
     assert os.listdir(f"{tmp_root}/land") == ["src.csv"]
+
+
+def test_many_shards_are_moved_by_a_spark_job(spark, tmp_root, monkeypatch):
+    import parcel.sinks.export as X
+
+    monkeypatch.setattr(X, "DISTRIBUTED_MOVE_THRESHOLD", 3)
+    df = spark.range(200).withColumnRenamed("id", "x")
+    r = write_export(df, tmp_root, "M", "20250101", shards=7)
+    assert _visible(files.local_path(r.path)) == [f"M_20250101-{i:012d}.csv.gz" for i in range(7)]
+    assert read_export(spark, r.path, df.schema).count() == 200
+    assert _visible(f"{tmp_root}/M") == ["20250101"]
