@@ -50,9 +50,9 @@ def dedupe_source(src: DataFrame) -> DataFrame:
 
 
 def dedupe_target(tgt: DataFrame) -> DataFrame:
-    """Target names are unique in a flat folder; dedupe anyway (last key)."""
-    if "key" in tgt.columns:
-        return tgt.groupBy("filename").agg(F.max_by("size", "key").alias("size"))
+    """One row per target name. Names in a flat folder are unique already;
+    should an inventory repeat one, the largest size is kept. ``max`` of a
+    number is a hash aggregate (no sort), unlike ordering by the key text."""
     return tgt.groupBy("filename").agg(F.max("size").alias("size"))
 
 
