@@ -52,6 +52,10 @@ ERROR_CHARS = 2000
 CHUNK = 8 << 20
 
 
+class SourceMissing(FileNotFoundError):
+    """The source object does not exist; copying it again cannot help."""
+
+
 class DeliveryError(RuntimeError):
     def __init__(self, message: str, log: DataFrame | None = None):
         super().__init__(message)
@@ -114,7 +118,7 @@ def _copy_file(src_uri: str, target_dir: str, filename: str, job: str, partition
             pass
     info = sfs.get_file_info(spath)
     if info.type.name != "File":
-        raise FileNotFoundError(f"File not found: {src_uri}")
+        raise SourceMissing(f"File not found: {src_uri}")
     tmp = _temp_name(dpath, job, partition, attempt, filename)
     final = f"{dpath.rstrip('/')}/{filename}"
     try:
@@ -159,7 +163,7 @@ def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool, job: st
                         src_size, dst_size = _copy_file(uri, target_dir, name, job, partition, task_attempt)
                         error = None
                         break
-                    except FileNotFoundError as exc:  # a missing source is not retried
+                    except SourceMissing as exc:  # a missing source is not retried
                         error = f"{type(exc).__name__}: {exc}"
                         break
                     except OSError as exc:

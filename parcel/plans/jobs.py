@@ -22,8 +22,8 @@ from parcel.operators.extract import _day, lookback_runs
 from parcel.operators.reconcile import missing_on_target, verdict
 from parcel.operators.summary import compare_sides, storage_summary
 from parcel.sinks.export import ExportResult, write_export, write_partitioned_export
-from parcel.sinks.lists import write_uri_list
 from parcel.operators.inventory import with_layout
+from parcel.sinks.lists import write_uri_list
 from parcel.sources.inventory import list_flat, list_folders, list_objects, read_uri_list
 from parcel.sources.query import run_query, run_spec
 
@@ -39,14 +39,19 @@ def _in_pool(spark: SparkSession, fn, items, threads: int):
     """Q7: submit independent Spark jobs from a small driver thread pool; with
     ``spark.scheduler.mode=FAIR`` each export gets its own pool share."""
 
-    def call(item):
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", "parcel")
-        return fn(item)
+    def call(indexed):
+        i, item = indexed
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"parcel-{i}")
+        try:
+            return fn(item)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
+    indexed = list(enumerate(items))
     if threads <= 1 or len(items) <= 1:
-        return [call(i) for i in items]
+        return [call(i) for i in indexed]
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        return list(pool.map(call, items))
+        return list(pool.map(call, indexed))
 
 
 def active_specs(specs: list[ExportSpec], overrides: dict[str, str | None] | None = None) -> list[ExportSpec]:
@@ -86,6 +91,8 @@ def backfill(
     interval and tagged with its folder date; the union is written once with
     ``partitionBy(folder_date)`` and published as plain date folders."""
     first, last = _day(first_end), _day(last_end)
+    if first > last:
+        raise ValueError("backfill range is empty")
     parts, dates = [], []
     day = first
     while day <= last:
