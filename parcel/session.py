@@ -66,14 +66,3 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder name under the shared checkpoint root (not created)."""
     return f"{checkpoint_root(spark)}/parcel/{label}-{uuid.uuid4().hex[:12]}"
 
-
-def spread(df):
-    """Round-robin ``df`` over the cluster's cores when it has fewer
-    partitions than that (e.g. a scan of one small, unsplittable file), so the
-    per-row work after it runs on every core. Inputs that already have at
-    least that many partitions -- every large table -- pass through
-    unchanged, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

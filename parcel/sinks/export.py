@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcel import files
-from parcel.session import spread
 from parcel.functions.params import (
     ExportSpec,
     file_extension,
@@ -86,16 +85,15 @@ class ExportResult:
 def _shape(df: DataFrame, shards) -> DataFrame:
     """Decide how many files the writer makes.
 
-    ``None``   keep the input partitioning (no extra shuffle), except that an
-               input with fewer partitions than the cluster has cores (a
-               small single-file source) is spread over the cores first;
+    ``None``   keep the input partitioning: one shard per non-empty input
+               partition, no shuffle and no extra job;
     ``int n``  exactly ``n`` shards via a round-robin repartition;
     ``"auto"`` a rebalance: AQE sizes shards to
                ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and splits
                skewed ones, whatever the input layout.
     """
     if shards is None:
-        return spread(df)
+        return df
     if shards == "auto":
         return df.hint("rebalance")
     n = int(shards)
