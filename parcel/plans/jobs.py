@@ -248,7 +248,9 @@ def report(source_inv: DataFrame | None, target_inv: DataFrame | None):
     (see ``with_layout`` and ``with_shard_fields``)."""
     s = storage_summary(source_inv) if source_inv is not None else None
     t = storage_summary(target_inv) if target_inv is not None else None
-    both = s is not None and t is not None and not s.isEmpty() and not t.isEmpty()
+    # emptiness is tested on the inventories (a limit-1 scan), not on the
+    # summaries, whose aggregation would otherwise run an extra time
+    both = s is not None and t is not None and not source_inv.isEmpty() and not target_inv.isEmpty()
     return s, t, (compare_sides(s, t) if both else None)
 
 

@@ -118,3 +118,13 @@ def test_transfer_totals_destination(spark):
     many = _tgt(spark, [("x.csv", 1), ("y.csv", None)])
     r = summary.transfer_totals(many, "/land/").first()
     assert (r["files_transferred"], r["total_bytes"], r["destination"]) == (2, 1, "/land/")
+
+
+def test_report_compares_only_when_both_sides_have_files(spark):
+    from parcel.plans.jobs import report
+
+    src = _src(spark, [("a/20250101/f1", 10)])
+    s, t, cmp = report(src, _src(spark, []))
+    assert s.count() == 1 and t.count() == 0 and cmp is None
+    s, t, cmp = report(src, src)
+    assert [r["status"] for r in cmp.collect()] == ["OK"]
