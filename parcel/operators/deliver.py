@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from parcel import files
 from parcel.functions import paths
 from parcel.functions.sizes import size_mb
-from parcel.session import scratch_dir
+from parcel.session import scratch_dir, ship_package
 
 DELIVERY_LOG_SCHEMA = T.StructType([
     T.StructField("filename", T.StringType()),
@@ -210,6 +210,7 @@ def deliver(
     files are logged as ``skipped``.
     """
     spark = work.sparkSession
+    ship_package(spark)
     files.makedirs(target_dir)  # D6/D7: one mkdirs; fails early if not writable
     if mode == "parallel":
         # one copy task per file at most: a few files on a large cluster do

@@ -66,3 +66,42 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder name under the shared checkpoint root (not created)."""
     return f"{checkpoint_root(spark)}/parcel/{label}-{uuid.uuid4().hex[:12]}"
 
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``parcel`` importable in executor Python workers.
+
+    The few steps that run Python inside tasks (copies, distributed listing,
+    distributed shard moves) pickle functions of this package; executors need
+    the package itself. It is zipped once per application into the shared
+    checkpoint folder and registered with ``addPyFile``.
+    """
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, dirs, names in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    from parcel import files
+
+    uri = f"{checkpoint_root(spark)}/parcel/pyfiles-{uuid.uuid4().hex[:8]}/parcel.zip"
+    fs, path = files.resolve(uri)
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(path, compression=None) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(uri)
+    _SHIPPED.add(app)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcel import files
+from parcel.session import ship_package
 from parcel.functions.params import (
     ExportSpec,
     file_extension,
@@ -143,6 +144,7 @@ def _move(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
     if len(pairs) <= DISTRIBUTED_MOVE_THRESHOLD:
         files.move_many(pairs)
         return
+    ship_package(spark)
     n = min(len(pairs), spark.sparkContext.defaultParallelism * 2)
     moves = spark.createDataFrame(pairs, "src string, dst string").repartition(n)
     moves.mapInPandas(_move_partition, "dst string").write.format("noop").mode("overwrite").save()

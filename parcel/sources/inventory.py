@@ -142,6 +142,9 @@ def _list_distributed(spark: SparkSession, root_q: str, start: str, fanout_depth
                 elif info.type.name == "File":
                     shallow.append(_entry_row(root_path, root_q, info))
         frontier = nxt
+    from parcel.session import ship_package
+
+    ship_package(spark)
     folders = spark.range(1).select(
         F.explode(F.array(*[F.lit(f) for f in frontier]) if frontier else F.array().cast("array<string>"))
         .alias("folder"))
