@@ -200,7 +200,7 @@ def deliver(
     (materialised) delivery log.
 
     ``mode="parallel"`` (D4): files are spread round-robin over ``workers``
-    tasks (default: the cluster's parallelism, at most one task per file);
+    tasks (default: up to four per core, at most one per file);
     every file is tried, then the
     driver raises if any failed (unless ``raise_on_failure=False``).
 
@@ -213,9 +213,11 @@ def deliver(
     ship_package(spark)
     files.makedirs(target_dir)  # D6/D7: one mkdirs; fails early if not writable
     if mode == "parallel":
-        # one copy task per file at most: a few files on a large cluster do
-        # not launch thousands of empty tasks
-        n = workers or max(1, min(spark.sparkContext.defaultParallelism, work.count()))
+        # Up to four tasks per core, so a core that drew a very large file
+        # does not hold back the rest (idle cores pull the remaining tasks);
+        # never more tasks than files, so a few files on a large cluster do
+        # not launch thousands of empty tasks.
+        n = workers or max(1, min(4 * spark.sparkContext.defaultParallelism, work.count()))
         shaped = work.repartition(n)
         stop = False
     elif mode == "ordered":

@@ -195,3 +195,31 @@ def large_inventories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     """(source, target) inventories with one object per lineitem row."""
     text = _LARGE.format(sf=sf_dir, parts=_parts(spark))
     return (spark.sql(f"WITH {text} SELECT * FROM src"), spark.sql(f"WITH {text} SELECT * FROM tgt"))
+
+
+DUCK_LARGE = f"""
+l AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE l_returnflag || l_linestatus END AS export_name,
+         strftime(l_shipdate, '%Y%m%d') AS folder_date,
+         l_orderkey * 8 + l_linenumber AS obj, l_shipdate,
+         CAST(l_orderkey % 100000 AS BIGINT) * 16 + l_linenumber AS base
+  FROM lineitem),
+lf AS (
+  SELECT *, export_name || '_' || folder_date || '-' || lpad(CAST(obj AS VARCHAR), 12, '0') || '.csv.gz' AS fname
+  FROM l),
+lsrc AS (
+  SELECT '{SRC_BUCKET}' AS bucket, export_name || '/' || folder_date || '/' || fname AS key, fname AS filename,
+         base AS size, export_name
+  FROM lf),
+ltgt AS (
+  SELECT fname AS filename, max(CASE WHEN obj % 103 = 0 THEN base + 1 ELSE base END) AS size
+  FROM lf WHERE obj % 101 <> 0 GROUP BY fname),
+ld AS (
+  SELECT filename, arg_max_null(size, key) AS size, arg_max_null(export_name, key) AS export_name
+  FROM lsrc GROUP BY filename),
+lc AS (
+  SELECT s.filename, s.export_name, t.filename IS NOT NULL AS on_target,
+         CASE WHEN t.filename IS NULL THEN 'missing'
+              WHEN s.size IS NOT DISTINCT FROM t.size THEN 'ok' ELSE 'mismatch' END AS state
+  FROM ld s LEFT JOIN ltgt t ON s.filename = t.filename)
+"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from parcel.functions.paths import SHARD_NAME_PATTERN
-from parcel.plans.fixtures import DUCK_FIXTURES
+from parcel.plans.fixtures import DUCK_FIXTURES, DUCK_LARGE
 
 _EXPORT = "replace(substr(o_orderpriority, 3), ' ', '_')"
 _URI = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)(/(.*))?$"
@@ -165,6 +165,20 @@ ORACLE_SQL: dict[str, str] = {
                 row_number() OVER (PARTITION BY export_name, on_target ORDER BY filename) AS rn_tgt,
                 row_number() OVER (PARTITION BY export_name, state ORDER BY filename) AS rn_state
       FROM cls)"""),
+    "sync_verdict_large": f"""
+      WITH {DUCK_LARGE}
+      SELECT export_name, (missing_count = 0 AND mismatch_count = 0) AS in_sync, source_file_count,
+             target_file_count, missing_count, mismatch_count, false AS no_files_found,
+             CASE WHEN missing_count = 0 AND mismatch_count = 0 THEN 'ok' ELSE 'out_of_sync' END AS outcome,
+             missing_sample
+      FROM (SELECT export_name, count(*) AS source_file_count,
+                   count(*) FILTER (WHERE on_target) AS target_file_count,
+                   count(*) FILTER (WHERE state = 'missing') AS missing_count,
+                   count(*) FILTER (WHERE state = 'mismatch') AS mismatch_count,
+                   coalesce(string_agg(filename, '|' ORDER BY filename) FILTER (WHERE state = 'missing' AND rn <= 10), '')
+                     AS missing_sample
+            FROM (SELECT *, row_number() OVER (PARTITION BY export_name, state ORDER BY filename) AS rn FROM lc) r
+            GROUP BY export_name) g""",
     # ----------------------------------------------------------- summary --
     "storage_summary": _with(_summary("src")),
     "storage_summary_total": _with(f"""

@@ -150,6 +150,15 @@ def sync_verdict_global(spark, sf) -> DataFrame:
     return reconcile.verdict(src, _tgt(spark, sf), label="ALL").select(*VERDICT_COLUMNS)
 
 
+def sync_verdict_large(spark, sf) -> DataFrame:
+    """A5 over one object per lineitem row, a third of them in one export:
+    counts and the first missing names per export under a hot key."""
+    _prep(spark)
+    src, tgt = fixtures.large_inventories(spark, sf)
+    v = reconcile.verdict(inv_ops.with_layout(src), tgt)
+    return v.select(*VERDICT_COLUMNS, F.array_join("missing_on_target", "|").alias("missing_sample"))
+
+
 def sync_samples(spark, sf) -> DataFrame:
     v = reconcile.verdict(_src(spark, sf), _tgt(spark, sf))
     mism = F.transform("size_mismatches", lambda x: F.concat_ws(
@@ -230,6 +239,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sync_verdict_empty": sync_verdict_empty,
     "sync_verdict_global": sync_verdict_global,
     "sync_samples": sync_samples,
+    "sync_verdict_large": sync_verdict_large,
     # summaries
     "storage_summary": storage_summary,
     "storage_summary_total": storage_summary_total,
