@@ -17,8 +17,14 @@ TABLES = (
 )
 
 
-def register_tables(spark: SparkSession, root: str, names=TABLES) -> dict[str, DataFrame]:
-    """Expose ``<root>/<name>.parquet`` as temp views named ``<name>``."""
+def register_tables(spark: SparkSession, root: str, names=None) -> dict[str, DataFrame]:
+    """Expose ``<root>/<name>.parquet`` as temp views named ``<name>``; without
+    ``names``, every ``*.parquet`` entry of ``root`` is registered."""
+    if names is None:
+        from parcel import files
+
+        names = sorted(i.base_name[: -len(".parquet")] for i in files.list_dir(root)
+                       if i.base_name.endswith(".parquet") and not i.base_name.startswith(("_", ".")))
     out = {}
     for name in names:
         path = os.path.join(root, f"{name}.parquet") if "://" not in root else f"{root}/{name}.parquet"
