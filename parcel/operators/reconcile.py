@@ -123,6 +123,7 @@ def verdict(
     exports=None,
     label: str | None = None,
     samples: dict[str, int] | None = None,
+    include_extra: bool = False,
 ) -> DataFrame:
     """A5: one row per export (or one row overall).
 
@@ -134,10 +135,15 @@ def verdict(
     ``in_sync = has_files and no missing and no size mismatch``; extra target
     files do not break sync. ``outcome`` is ``ok``, ``no_files`` or
     ``out_of_sync``.
+
+    ``include_extra`` adds ``extra_count``: target names absent from the
+    source (J2), attributed to an export by their shard name (I7), or all of
+    them for a ``label`` verdict.
     """
     spark = src.sparkSession
     sizes = {**SAMPLES, **(samples or {})}
-    if label is not None or "export_name" not in src.columns:
+    single = label is not None or "export_name" not in src.columns
+    if single:
         name = label if label is not None else ""
         src = src.withColumn("export_name", F.lit(name))
         exports = [name] if exports is None else exports
@@ -178,6 +184,16 @@ def verdict(
 
     base = _export_frame(spark, exports) if exports is not None else counts.select("export_name")
     out = base.join(counts, "export_name", "left").join(sample, "export_name", "left")
+    extra_cols = []
+    if include_extra:
+        from parcel.functions.paths import shard_fields
+
+        extra = extra_on_target(src, tgt)
+        owner = F.lit(label if label is not None else "") if single else shard_fields("filename")["export_name"]
+        extras = extra.select(owner.alias("export_name")).groupBy("export_name").agg(
+            F.count(F.lit(1)).alias("extra_count"))
+        out = out.join(extras, "export_name", "left")
+        extra_cols = [F.coalesce("extra_count", F.lit(0).cast("bigint")).alias("extra_count")]
     zero = F.lit(0).cast("bigint")
     src_n = F.coalesce("source_file_count", zero)
     miss_n = F.coalesce("missing_count", zero)
@@ -197,4 +213,5 @@ def verdict(
         F.coalesce("size_mismatches", F.array().cast(MISMATCH_TYPE)).alias("size_mismatches"),
         (src_n == 0).alias("no_files_found"),
         F.when(src_n == 0, "no_files").when(in_sync, "ok").otherwise("out_of_sync").alias("outcome"),
+        *extra_cols,
     )

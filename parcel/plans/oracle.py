@@ -148,7 +148,10 @@ ORACLE_SQL: dict[str, str] = {
       GROUP BY set_op"""),
     "sync_verdict": _with(_verdict(["URGENT", "HIGH", "MEDIUM", "NOT_SPECIFIED", "LOW", "ARCHIVE"])),
     "sync_verdict_empty": _with(_verdict(["ARCHIVE"], "(SELECT * FROM cls WHERE export_name = 'ARCHIVE')")),
-    "sync_verdict_global": _with(_verdict(["ALL"], "(SELECT * EXCLUDE (export_name), 'ALL' AS export_name FROM cls)")),
+    "sync_verdict_global": _with(f"""
+      SELECT v.*, (SELECT count(*) FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.filename = t.filename))
+                    AS extra_count
+      FROM ({_verdict(["ALL"], "(SELECT * EXCLUDE (export_name), 'ALL' AS export_name FROM cls)")}) v"""),
     "sync_samples": _with("""
       SELECT export_name,
         coalesce(string_agg(filename, '|' ORDER BY filename) FILTER (WHERE rn_src <= 3), '') AS source_sample,

@@ -147,7 +147,8 @@ def sync_verdict_empty(spark, sf) -> DataFrame:
 
 def sync_verdict_global(spark, sf) -> DataFrame:
     src = _src(spark, sf).drop("export_name")
-    return reconcile.verdict(src, _tgt(spark, sf), label="ALL").select(*VERDICT_COLUMNS)
+    v = reconcile.verdict(src, _tgt(spark, sf), label="ALL", include_extra=True)
+    return v.select(*VERDICT_COLUMNS, "extra_count")
 
 
 def sync_verdict_large(spark, sf) -> DataFrame:

@@ -128,3 +128,14 @@ def test_report_compares_only_when_both_sides_have_files(spark):
     assert s.count() == 1 and t.count() == 0 and cmp is None
     s, t, cmp = report(src, src)
     assert [r["status"] for r in cmp.collect()] == ["OK"]
+
+
+def test_verdict_extra_count(spark):
+    src = _src(spark, [("a/d/a_20250101-1.csv", 1), ("b/d/b_20250101-1.csv", 2)])
+    tgt = _tgt(spark, [("a_20250101-1.csv", 1), ("a_20250101-2.csv", 1), ("b_20250101-9.csv", 5),
+                       ("readme.txt", 1)])
+    rows = {r["export_name"]: r["extra_count"]
+            for r in reconcile.verdict(src, tgt, exports=["a", "b"], include_extra=True).collect()}
+    assert rows == {"a": 1, "b": 1}
+    one = reconcile.verdict(src.drop("export_name"), tgt, label="all", include_extra=True).first()
+    assert one["extra_count"] == 3 and one["in_sync"] is False
