@@ -24,7 +24,7 @@ from parcel.operators.summary import compare_sides, storage_summary
 from parcel.sinks.export import ExportResult, write_export, write_partitioned_export
 from parcel.operators.inventory import with_layout
 from parcel.sinks.lists import write_uri_list
-from parcel.sources.inventory import list_flat, list_folders, list_objects, read_uri_list
+from parcel.sources.inventory import list_flat, list_folders, read_uri_list
 from parcel.sources.query import run_query, run_spec
 
 PIPELINE_SCHEMA = (
