@@ -207,3 +207,24 @@ def test_interval_timestamps_bind_as_session_wall_clock(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert r["s"] == dt.datetime(2024, 1, 2, 6, 30) and r["d"] == dt.date(2024, 1, 2)
+
+
+_GLOB_ALPHABET = st.sampled_from(list("ab.*?[]!-_$+^()|\\{}"))
+_NAME_ALPHABET = st.sampled_from(list("ab._-$+^()|\\{}[]!*?\n"))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(_GLOB_ALPHABET, min_size=1, max_size=6), min_size=1, max_size=3),
+       st.lists(st.text(_NAME_ALPHABET, max_size=6), min_size=5, max_size=30))
+def test_glob_translation_matches_fnmatchcase(spark, globs, names):
+    import fnmatch
+    import re
+
+    df = spark.createDataFrame([(n,) for n in names], "filename string")
+    for glob in globs:
+        try:
+            re.compile(fnmatch.translate(glob))
+        except re.error:
+            continue
+        got = sorted(r["filename"] for r in df.where(paths.glob_match("filename", glob)).collect())
+        assert got == sorted(n for n in names if fnmatch.fnmatchcase(n, glob)), glob
