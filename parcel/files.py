@@ -46,14 +46,34 @@ def qualify(uri: str) -> str:
     return uri.rstrip("/")
 
 
+# One client per (scheme, bucket or host) and process: copying many files
+# must not open a new object-store connection (credentials, region lookup)
+# for every file.
+_CLIENTS: dict[tuple[str, str], pafs.FileSystem] = {}
+_BUCKET_SCHEMES = {"s3", "gs"}
+_HOST_SCHEMES = {"hdfs", "viewfs"}
+_LOCAL = pafs.LocalFileSystem()
+
+
 def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
     """(filesystem, path) for any URI pyarrow can reach."""
     lp = local_path(uri)
     if lp is not None:
-        return pafs.LocalFileSystem(), lp
+        return _LOCAL, lp
     scheme, rest = uri.split("://", 1)
     scheme = _SCHEME_ALIASES.get(scheme, scheme)
-    return pafs.FileSystem.from_uri(f"{scheme}://{rest}")
+    netloc, _, key = rest.partition("/")
+    if scheme in _BUCKET_SCHEMES:
+        path = f"{netloc}/{key}".rstrip("/") if key else netloc
+    elif scheme in _HOST_SCHEMES:
+        path = "/" + key
+    else:
+        return pafs.FileSystem.from_uri(f"{scheme}://{rest}")
+    client = _CLIENTS.get((scheme, netloc))
+    if client is None:
+        client, _ = pafs.FileSystem.from_uri(f"{scheme}://{rest}")
+        _CLIENTS[(scheme, netloc)] = client
+    return client, path
 
 
 def join(base: str, *parts: str) -> str:
