@@ -1,6 +1,8 @@
 """Command line entry points (``python -m parcel.cli <command>``).
 
     run      export -> deliver -> verify for every export of a JSON config (P1)
+    transfer deliver the files of one source URI into a landing folder (D1)
+    verify   reconcile one source URI with a landing folder (A5, D11)
     summary  per-export storage summary of a source and/or target area, their
              comparison, as a table or JSON lines (P3, A1, A3, J5, K6)
     missing  files of a source area missing in a target folder, written as a
@@ -62,6 +64,39 @@ def cmd_run(spark, args) -> int:
     return 0 if all(r["outcome"] == "ok" for r in rows) else 1
 
 
+def _split_root(uri: str) -> tuple[str, str]:
+    """``scheme://bucket/prefix`` -> (``scheme://bucket``, ``prefix``); a
+    local path -> (``/``, path without the leading slash)."""
+    if "://" in uri:
+        scheme, rest = uri.split("://", 1)
+        bucket, _, prefix = rest.partition("/")
+        return f"{scheme}://{bucket}", prefix
+    from parcel.files import local_path
+
+    return "/", local_path(uri).lstrip("/") + ("/" if uri.endswith("/") else "")
+
+
+def cmd_transfer(spark, args) -> int:
+    from parcel.operators.deliver import deliver_uri
+
+    root, prefix = _split_root(args.uri)
+    r = deliver_uri(spark, root, prefix, args.target, args.export_name, workers=args.workers,
+                    mode=args.mode)
+    print(json.dumps({"status": "success", "export_name": r.export_name, "files_transferred": r.files_transferred,
+                      "total_mb": r.total_mb, "destination": r.destination,
+                      "total_time_seconds": r.seconds, "source": args.uri}))
+    return 0
+
+
+def cmd_verify(spark, args) -> int:
+    from parcel.plans.jobs import verify_uri
+
+    root, prefix = _split_root(args.uri)
+    v = verify_uri(spark, root, prefix, args.target, args.export_name, include_extra=True).first()
+    print(json.dumps(v.asDict(recursive=True)))
+    return 0 if v["in_sync"] else 1
+
+
 def cmd_summary(spark, args) -> int:
     src = for_export(with_layout(list_objects(spark, args.source, distributed=args.distributed)), args.export) \
         if args.source else None
@@ -123,6 +158,20 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--workers", type=int)
     r.set_defaults(fn=cmd_run)
 
+    tr = sub.add_parser("transfer", help="deliver the files of one source URI")
+    tr.add_argument("--uri", required=True, help="scheme://bucket/prefix[/glob] or a local folder")
+    tr.add_argument("--target", required=True)
+    tr.add_argument("--export-name", required=True)
+    tr.add_argument("--mode", default="parallel", choices=["parallel", "ordered"])
+    tr.add_argument("--workers", type=int)
+    tr.set_defaults(fn=cmd_transfer)
+
+    ve = sub.add_parser("verify", help="reconcile one source URI with a landing folder")
+    ve.add_argument("--uri", required=True)
+    ve.add_argument("--target", required=True)
+    ve.add_argument("--export-name", required=True)
+    ve.set_defaults(fn=cmd_verify)
+
     s = sub.add_parser("summary", help="storage summary of a source and/or target area")
     s.add_argument("--source", help="export root (layout export/date/file)")
     s.add_argument("--target", help="flat landing folder (shard-named files)")

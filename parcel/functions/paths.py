@@ -111,6 +111,12 @@ def glob_match(filename, pattern: str) -> Column:
     return _c(filename).rlike(glob_to_regex(pattern))
 
 
+def location(bucket, key) -> Column:
+    """Full location of an inventory object: ``bucket`` (a listing root URI)
+    joined to ``key`` with exactly one separator."""
+    return F.concat(F.regexp_replace(_c(bucket), "/+$", ""), F.lit("/"), _c(key))
+
+
 def object_uri(scheme: str, bucket, key) -> Column:
     """``scheme://bucket/key`` from inventory columns."""
     return F.concat(F.lit(f"{scheme}://"), _c(bucket), F.lit("/"), _c(key))

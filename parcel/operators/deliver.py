@@ -79,7 +79,7 @@ def work_list(inv: DataFrame) -> DataFrame:
     """Inventory -> work list: full source URI, target name (the basename)
     and the listed size."""
     return inv.select(
-        F.concat(F.col("bucket"), F.lit("/"), F.col("key")).alias("source_uri"),
+        paths.location("bucket", "key").alias("source_uri"),
         paths.basename("key").alias("filename"),
         F.col("size").cast("bigint").alias("size"),
     )

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcel.functions import paths
 from parcel.functions.params import ExportSpec, Interval
 from parcel.functions.sizes import truncate
 from parcel.operators.deliver import RetryPolicy, deliver, delivery_counts, work_list
@@ -24,7 +25,7 @@ from parcel.operators.summary import compare_sides, storage_summary
 from parcel.sinks.export import ExportResult, write_export, write_partitioned_export
 from parcel.operators.inventory import with_layout
 from parcel.sinks.lists import write_uri_list
-from parcel.sources.inventory import list_flat, list_folders, read_uri_list
+from parcel.sources.inventory import list_flat, list_folders, list_objects, read_uri_list
 from parcel.sources.query import run_query, run_spec
 
 PIPELINE_SCHEMA = (
@@ -189,7 +190,7 @@ def run_pipeline(
         src = with_layout(list_folders(spark, source_root, [f"{n}/{folder_date}/" for n in exported]))
         log = deliver(work_list(src), target_dir, mode=deliver_mode, workers=workers, policy=policy,
                       raise_on_failure=False)
-        uris = src.select(F.concat("bucket", F.lit("/"), "key").alias("source_uri"), "export_name")
+        uris = src.select(paths.location("bucket", "key").alias("source_uri"), "export_name")
         per_export = log.join(uris, "source_uri").groupBy("export_name").agg(
             F.count(F.lit(1)).alias("files_tried"),
             F.count_if(F.col("status") == "ok").alias("files_ok"),
@@ -211,10 +212,27 @@ def run_pipeline(
     return df.withColumn("error", truncate("error", MESSAGE_CHARS))
 
 
+def verify_uri(
+    spark: SparkSession,
+    root: str,
+    prefix: str,
+    target_dir: str,
+    export_name: str,
+    pattern: str | None = None,
+    include_extra: bool = False,
+) -> DataFrame:
+    """A5 for one source location: the files under ``root``/``prefix`` (the
+    prefix and glob rules of S2) against the flat ``target_dir``. One row:
+    counts, sorted name samples, ``in_sync``, ``no_files_found`` and the
+    ``outcome`` (``ok`` / ``no_files`` / ``out_of_sync``)."""
+    src = list_objects(spark, root, prefix, pattern)
+    return verdict(src, list_flat(spark, target_dir), label=export_name, include_extra=include_extra)
+
+
 def find_missing(src: DataFrame, target_inv: DataFrame) -> DataFrame:
     """P2 step 1 (J1 + F3): missing files with their real source URI (the
     object's own key, not prefix + basename)."""
-    as_uri = src.select("filename", "size", F.concat(F.col("bucket"), F.lit("/"), F.col("key")).alias("key"))
+    as_uri = src.select("filename", "size", paths.location("bucket", "key").alias("key"))
     return missing_on_target(as_uri, target_inv).select(F.col("key").alias("uri"), "filename", "size")
 
 
@@ -260,6 +278,6 @@ def run_sql(spark: SparkSession, query: str, interval: Interval | None = None) -
 
 
 __all__ = [
-    "active_specs", "run_exports", "backfill", "run_pipeline", "find_missing",
-    "missing_then_retry", "report", "run_sql",
+    "active_specs", "run_exports", "backfill", "lookback_backfill", "run_pipeline", "verify_uri",
+    "find_missing", "missing_then_retry", "report", "run_sql",
 ]

@@ -157,7 +157,8 @@ def _list_distributed(spark: SparkSession, root_q: str, start: str, fanout_depth
 
 
 def _as_inventory(scanned: DataFrame, root_q: str) -> DataFrame:
-    key = F.substring(F.col("path"), len(root_q) + 2, 1 << 30)
+    # keys start after the root and its separator ("file:/" already ends in one)
+    key = F.substring(F.col("path"), len(root_q) + (1 if root_q.endswith("/") else 2), 1 << 30)
     return scanned.select(
         F.lit(root_q).alias("bucket"),
         key.alias("key"),

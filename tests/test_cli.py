@@ -38,3 +38,21 @@ def test_run_summary_missing_retry(spark, tmp_root, capsys):
     c = json.loads(capsys.readouterr().out)
     assert code == 0 and (c["attempted"], c["succeeded"]) == (1, 1)
     assert os.path.exists(f"{land}/{gone}")
+
+
+def test_transfer_and_verify_commands(spark, tmp_root, capsys):
+    from parcel.sinks.export import write_export
+
+    df = spark.range(50).withColumnRenamed("id", "x")
+    r = write_export(df, f"{tmp_root}/src", "E", "20250101", shards=3)
+    land = f"{tmp_root}/land"
+    uri = f"{tmp_root}/src/E/20250101/"
+    assert cli.main(["verify", "--uri", uri, "--target", land, "--export-name", "E"]) == 1
+    v = json.loads(capsys.readouterr().out)
+    assert v["outcome"] == "out_of_sync" and v["missing_count"] == 3
+    assert cli.main(["transfer", "--uri", uri + "*.csv.gz", "--target", land, "--export-name", "E"]) == 0
+    t = json.loads(capsys.readouterr().out)
+    assert t["files_transferred"] == 3 and t["destination"] == land + "/"
+    assert cli.main(["verify", "--uri", uri, "--target", land, "--export-name", "E"]) == 0
+    v = json.loads(capsys.readouterr().out)
+    assert v["in_sync"] and v["source_files"] == r.files[:3] and v["extra_count"] == 0
