@@ -139,3 +139,12 @@ def test_verdict_extra_count(spark):
     assert rows == {"a": 1, "b": 1}
     one = reconcile.verdict(src.drop("export_name"), tgt, label="all", include_extra=True).first()
     assert one["extra_count"] == 3 and one["in_sync"] is False
+
+
+def test_duplicate_basename_last_key_wins_even_if_size_unknown(spark):
+    src = _src(spark, [("a/d1/f.csv", 5), ("a/d2/f.csv", None)])
+    d = reconcile.dedupe_source(src).collect()
+    assert [(r["filename"], r["size"]) for r in d] == [("f.csv", None)]
+    # NULL vs a target size of 5 is a mismatch, as in the reference's comparison
+    tgt = _tgt(spark, [("f.csv", 5)])
+    assert [r["filename"] for r in reconcile.size_mismatches(src, tgt).collect()] == ["f.csv"]
