@@ -10,6 +10,7 @@ the case in unit tests.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -69,6 +70,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -79,14 +81,19 @@ def ship_package(spark: SparkSession) -> None:
     the package itself. It is zipped once per application into the shared
     checkpoint folder and registered with ``addPyFile``.
     """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    with _SHIP_LOCK:
+        if app not in _SHIPPED:
+            _ship(sc, spark)
+            _SHIPPED.add(app)
+
+
+def _ship(sc, spark: SparkSession) -> None:
     import io
     import os
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -103,5 +110,9 @@ def ship_package(spark: SparkSession) -> None:
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(path, compression=None) as out:
         out.write(buf.getvalue())
-    sc.addPyFile(uri)
-    _SHIPPED.add(app)
+    try:
+        sc.addPyFile(uri)
+    except Exception as exc:  # noqa: BLE001
+        # already shipped with the application (e.g. --py-files parcel.zip)
+        if "already registered" not in str(exc):
+            raise
