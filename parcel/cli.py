@@ -8,6 +8,8 @@
     missing  files of a source area missing in a target folder, written as a
              sorted URI list (J1, J2, K5)
     retry    re-deliver the URIs of a list into a target folder (D8, A6)
+    retention  objects older than N days (default 30) as a URI list; nothing
+             is deleted (P4)
 
 Only argument handling lives here; every step is a Spark job from the
 library.
@@ -142,6 +144,24 @@ def cmd_retry(spark, args) -> int:
     return 0 if c["failed"] == 0 else 1
 
 
+def cmd_retention(spark, args) -> int:
+    import datetime as dt
+
+    from parcel.functions.paths import location
+    from parcel.operators.inventory import retention_candidates
+
+    as_of = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
+    old = retention_candidates(list_objects(spark, args.source, args.prefix or "", distributed=args.distributed),
+                               as_of, days=args.days)
+    listed = old.select(location("bucket", "key").alias("uri"), "size", "age_days")
+    if args.out:
+        write_uri_list(listed, args.out)
+    c = listed.agg(F.count(F.lit(1)).alias("objects"), F.sum(F.coalesce("size", F.lit(0))).alias("bytes")).first()
+    print(json.dumps({"objects": c["objects"], "bytes": c["bytes"] or 0, "days": args.days, "as_of": as_of,
+                      "list": args.out}))
+    return 0
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="parcel")
     sub = p.add_subparsers(dest="command", required=True)
@@ -196,6 +216,14 @@ def build_parser() -> argparse.ArgumentParser:
     t.add_argument("--export-name")
     t.add_argument("--workers", type=int)
     t.set_defaults(fn=cmd_retry)
+    rt = sub.add_parser("retention", help="objects older than N days (listed, never deleted)")
+    rt.add_argument("--source", required=True)
+    rt.add_argument("--prefix")
+    rt.add_argument("--days", type=int, default=30)
+    rt.add_argument("--as-of", help="reference time (default: now, UTC)")
+    rt.add_argument("--out", help="folder for the sorted URI list")
+    rt.add_argument("--distributed", action="store_true")
+    rt.set_defaults(fn=cmd_retention)
     return p
 
 

@@ -56,3 +56,20 @@ def test_transfer_and_verify_commands(spark, tmp_root, capsys):
     assert cli.main(["verify", "--uri", uri, "--target", land, "--export-name", "E"]) == 0
     v = json.loads(capsys.readouterr().out)
     assert v["in_sync"] and v["source_files"] == r.files[:3] and v["extra_count"] == 0
+
+
+def test_retention_command(spark, tmp_root, capsys):
+    for name, age_days in (("old.csv", 40), ("new.csv", 5)):
+        path = f"{tmp_root}/src/E/d/{name}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write("x")
+        t = 1_700_000_000 - age_days * 86400
+        os.utime(path, (t, t))
+    as_of = "2023-11-14T22:13:20"  # 1_700_000_000 in UTC
+    assert cli.main(["retention", "--source", f"{tmp_root}/src", "--as-of", as_of, "--out", f"{tmp_root}/ret"]) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert out["objects"] == 1 and out["bytes"] == 1
+    lines = [line for f in sorted(os.listdir(f"{tmp_root}/ret")) if f.startswith("part-")
+             for line in open(f"{tmp_root}/ret/{f}").read().splitlines()]
+    assert lines == [f"file:{tmp_root}/src/E/d/old.csv"]
