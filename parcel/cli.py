@@ -33,7 +33,7 @@ from parcel.plans.jobs import find_missing, report, run_pipeline
 from parcel.session import get_session
 from parcel.sinks.lists import summary_json, write_uri_list
 from parcel.sources.inventory import list_flat, list_objects
-from parcel.sources.query import register_tables
+from parcel.sources.query import register_tables, register_view
 
 
 def _specs(path: str) -> list[ExportSpec]:
@@ -57,6 +57,9 @@ def _overrides(pairs: list[str]) -> dict[str, str | None]:
 def cmd_run(spark, args) -> int:
     if args.tables:
         register_tables(spark, args.tables)
+    for pair in args.view or []:
+        name, _, path = pair.partition("=")
+        register_view(spark.read.parquet(path), name)
     interval = Interval.of(args.start, args.end) if args.start else Interval.ending(args.end)
     result = run_pipeline(spark, _specs(args.config), interval, args.source, args.target,
                           overrides=_overrides(args.override), deliver_mode=args.mode, workers=args.workers)
@@ -173,6 +176,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--source", required=True, help="export root (shared storage)")
     r.add_argument("--target", required=True, help="landing folder")
     r.add_argument("--tables", help="folder of <table>.parquet files to expose as views")
+    r.add_argument("--view", action="append", help="NAME=PARQUET_PATH; dotted names such as proj.ds.table work")
     r.add_argument("--override", action="append", help="NAME=QUERY; an empty QUERY skips the export")
     r.add_argument("--mode", default="parallel", choices=["parallel", "ordered"])
     r.add_argument("--workers", type=int)

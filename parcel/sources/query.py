@@ -34,6 +34,15 @@ def register_tables(spark: SparkSession, root: str, names=None) -> dict[str, Dat
     return out
 
 
+def register_view(df: DataFrame, name: str) -> None:
+    """Expose ``df`` under ``name`` for export queries. A dotted name such as
+    ``project.dataset.table`` is registered as one quoted identifier, so a
+    query reading ``FROM `project.dataset.table``` runs unchanged."""
+    if "." in name and not name.startswith("`"):
+        name = "`" + name.replace("`", "``") + "`"
+    df.createOrReplaceTempView(name)
+
+
 def _session_zone(spark: SparkSession) -> dt.tzinfo:
     name = spark.conf.get("spark.sql.session.timeZone")
     try:

@@ -228,3 +228,12 @@ def test_glob_translation_matches_fnmatchcase(spark, globs, names):
             continue
         got = sorted(r["filename"] for r in df.where(paths.glob_match("filename", glob)).collect())
         assert got == sorted(n for n in names if fnmatch.fnmatchcase(n, glob)), glob
+
+
+def test_three_part_names_run_unchanged(spark):
+    from parcel.sources.query import register_view, run_query
+
+    register_view(spark.read.parquet("/root/testdata/sf0.001/orders.parquet"), "proj.sales.orders")
+    q = ("SELECT count(*) AS n FROM `proj.sales.orders` WHERE CAST(o_orderdate AS DATE) "
+         "BETWEEN date_sub(DATE('{data_interval_end}'), 7) AND DATE('{data_interval_end}')")
+    assert run_query(spark, q, Interval.ending("1998-06-08")).first()["n"] == 8
