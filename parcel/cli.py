@@ -61,6 +61,17 @@ def cmd_run(spark, args) -> int:
         name, _, path = pair.partition("=")
         register_view(spark.read.parquet(path), name)
     interval = Interval.of(args.start, args.end) if args.start else Interval.ending(args.end)
+    if args.dry_run:
+        # resolved text and Spark's plan for each active export; nothing is written
+        from parcel.functions.params import resolve_placeholders
+        from parcel.plans.jobs import active_specs
+        from parcel.sources.query import run_spec
+
+        for spec in active_specs(_specs(args.config), _overrides(args.override)):
+            print(f"-- {spec.name} -> {args.source}/{spec.name}/{interval.folder_date}/ ({spec.extension})")
+            print(resolve_placeholders(spec.query, interval))
+            run_spec(spark, spec, interval).explain("formatted")
+        return 0
     result = run_pipeline(spark, _specs(args.config), interval, args.source, args.target,
                           overrides=_overrides(args.override), deliver_mode=args.mode, workers=args.workers)
     rows = result.collect()  # one row per export
@@ -180,6 +191,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--override", action="append", help="NAME=QUERY; an empty QUERY skips the export")
     r.add_argument("--mode", default="parallel", choices=["parallel", "ordered"])
     r.add_argument("--workers", type=int)
+    r.add_argument("--dry-run", action="store_true", help="print resolved queries and plans only")
     r.set_defaults(fn=cmd_run)
 
     tr = sub.add_parser("transfer", help="deliver the files of one source URI")

@@ -73,3 +73,14 @@ def test_retention_command(spark, tmp_root, capsys):
     lines = [line for f in sorted(os.listdir(f"{tmp_root}/ret")) if f.startswith("part-")
              for line in open(f"{tmp_root}/ret/{f}").read().splitlines()]
     assert lines == [f"file:{tmp_root}/src/E/d/old.csv"]
+
+
+def test_run_dry_run_writes_nothing(spark, tmp_root, capsys):
+    cfg = f"{tmp_root}/exports.json"
+    with open(cfg, "w") as f:
+        json.dump({"exports": {"URGENT": {"query": "SELECT * FROM orders WHERE DATE(o_orderdate) = '{date_dash}'"}}}, f)
+    code = cli.main(["run", "--config", cfg, "--end", "1998-06-08", "--source", f"{tmp_root}/src",
+                     "--target", f"{tmp_root}/land", "--tables", SF_SMALL, "--dry-run"])
+    out = capsys.readouterr().out
+    assert code == 0 and "DATE(o_orderdate) = '1998-06-07'" in out
+    assert not os.path.exists(f"{tmp_root}/src") and not os.path.exists(f"{tmp_root}/land")
