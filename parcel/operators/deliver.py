@@ -199,8 +199,9 @@ def deliver(
     """Copy every work-list file into ``target_dir`` and return the
     (materialised) delivery log.
 
-    ``mode="parallel"`` (D4): files are spread round-robin over ``workers``
-    tasks (default: up to four per core, at most one per file);
+    ``mode="parallel"`` (D4): files are hash-spread by name over ``workers``
+    tasks (default: up to four per core, at most one per file); files with
+    the same name are copied by one task in source order (last key wins);
     every file is tried, then the
     driver raises if any failed (unless ``raise_on_failure=False``).
 
@@ -218,7 +219,11 @@ def deliver(
         # never more tasks than files, so a few files on a large cluster do
         # not launch thousands of empty tasks.
         n = workers or max(1, min(4 * spark.sparkContext.defaultParallelism, work.count()))
-        shaped = work.repartition(n)
+        # Same-named files (from different source folders) share a task and
+        # are copied in source order, so the last key wins deterministically,
+        # the rule reconciliation applies; names are near-unique, so hashing
+        # on them spreads the work evenly.
+        shaped = work.repartition(n, "filename").sortWithinPartitions("filename", "source_uri")
         stop = False
     elif mode == "ordered":
         shaped = work.repartitionByRange(workers or 1, "filename").sortWithinPartitions("filename")

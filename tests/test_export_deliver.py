@@ -236,3 +236,19 @@ def test_many_shards_are_moved_by_a_spark_job(spark, tmp_root, monkeypatch):
     assert _visible(files.local_path(r.path)) == [f"M_20250101-{i:012d}.csv.gz" for i in range(7)]
     assert read_export(spark, r.path, df.schema).count() == 200
     assert _visible(f"{tmp_root}/M") == ["20250101"]
+
+
+def test_same_basename_last_key_wins_on_delivery(spark, tmp_root):
+    for folder, payload in (("d1", b"first"), ("d2", b"second-and-longer")):
+        os.makedirs(f"{tmp_root}/src/E/{folder}", exist_ok=True)
+        with open(f"{tmp_root}/src/E/{folder}/f.csv", "wb") as f:
+            f.write(payload)
+    src = list_objects(spark, f"{tmp_root}/src")
+    log = deliver(work_list(src), f"{tmp_root}/land", workers=4)
+    assert log.where("status = 'ok'").count() == 2
+    with open(f"{tmp_root}/land/f.csv", "rb") as f:
+        assert f.read() == b"second-and-longer"
+    from parcel.operators.reconcile import verdict
+
+    v = verdict(src, list_flat(spark, f"{tmp_root}/land"), label="E").first()
+    assert v["in_sync"]
