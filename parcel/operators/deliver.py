@@ -226,7 +226,7 @@ def deliver(
         shaped = work.repartition(n, "filename").sortWithinPartitions("filename", "source_uri")
         stop = False
     elif mode == "ordered":
-        shaped = work.repartitionByRange(workers or 1, "filename").sortWithinPartitions("filename")
+        shaped = work.repartitionByRange(workers or 1, "filename").sortWithinPartitions("filename", "source_uri")
         stop = True
     else:
         raise ValueError("mode must be 'parallel' or 'ordered'")
