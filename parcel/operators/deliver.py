@@ -99,17 +99,19 @@ def _temp_name(dpath: str, job: str, partition: int, attempt: int, filename: str
 
 
 def _copy_file(src_uri: str, target_dir: str, filename: str, job: str, partition: int,
-               attempt: int) -> tuple[int, int]:
+               attempt: int, clean_earlier: bool = True) -> tuple[int, int]:
     """Copy one file via a temporary name; returns (source bytes, target bytes).
 
     The temporary name is fixed by (job, partition, task attempt). A retried
     task (attempt > 0, e.g. after its executor was lost) first removes what
     the earlier attempts of the same partition may have left for this file,
-    so no listing is needed to clean up.
+    so no listing is needed to clean up. With speculative execution earlier
+    attempts may still be running, so ``clean_earlier`` is then off (the
+    leftovers are hidden ``.parcel-*.part`` names that listings skip).
     """
     sfs, spath = files.resolve(src_uri)
     dfs, dpath = files.resolve(target_dir)
-    for earlier in range(attempt):
+    for earlier in range(attempt if clean_earlier else 0):
         stale = _temp_name(dpath, job, partition, earlier, filename)
         try:
             if dfs.get_file_info(stale).type.name == "File":
@@ -140,7 +142,7 @@ def _copy_file(src_uri: str, target_dir: str, filename: str, job: str, partition
     return int(info.size or 0), int(dfs.get_file_info(final).size or 0)
 
 
-def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool, job: str):
+def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool, job: str, clean_earlier: bool):
     """Build the per-partition function for ``mapInPandas``."""
 
     def run(batches):
@@ -160,7 +162,8 @@ def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool, job: st
                 while True:
                     attempt += 1
                     try:
-                        src_size, dst_size = _copy_file(uri, target_dir, name, job, partition, task_attempt)
+                        src_size, dst_size = _copy_file(uri, target_dir, name, job, partition, task_attempt,
+                                                        clean_earlier)
                         error = None
                         break
                     except SourceMissing as exc:  # a missing source is not retried
@@ -232,9 +235,10 @@ def deliver(
         raise ValueError("mode must be 'parallel' or 'ordered'")
     log_path = scratch_dir(spark, "delivery-log")
     job = uuid.uuid4().hex[:12]
+    speculative = spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true"
     (
         shaped.select("source_uri", "filename")
-        .mapInPandas(_copier(target_dir, policy, stop, job), DELIVERY_LOG_SCHEMA)
+        .mapInPandas(_copier(target_dir, policy, stop, job, not speculative), DELIVERY_LOG_SCHEMA)
         .write.mode("errorifexists")
         .parquet(log_path)
     )

@@ -252,3 +252,16 @@ def test_same_basename_last_key_wins_on_delivery(spark, tmp_root):
 
     v = verdict(src, list_flat(spark, f"{tmp_root}/land"), label="E").first()
     assert v["in_sync"]
+
+
+def test_earlier_temps_kept_when_attempts_may_overlap(tmp_root):
+    from parcel.operators.deliver import _copy_file, _temp_name
+
+    os.makedirs(f"{tmp_root}/land")
+    with open(f"{tmp_root}/src.csv", "wb") as f:
+        f.write(b"payload")
+    live = _temp_name(f"{tmp_root}/land", "job2", 0, 0, "src.csv")
+    with open(live, "wb") as f:  # a speculative twin still writing
+        f.write(b"pay")
+    _copy_file(f"{tmp_root}/src.csv", f"{tmp_root}/land", "src.csv", "job2", 0, 1, clean_earlier=False)
+    assert sorted(os.listdir(f"{tmp_root}/land")) == sorted([os.path.basename(live), "src.csv"])
