@@ -142,6 +142,31 @@ class _Row:
     error: str | None = None
 
 
+def _deliver_and_verify(spark, rows, exported, source_root, target_dir, folder_date,
+                        deliver_mode, workers, policy) -> None:
+    """One delivery job and one grouped verdict for all of today's exports."""
+    src = with_layout(list_folders(spark, source_root, [f"{n}/{folder_date}/" for n in exported]))
+    log = deliver(work_list(src), target_dir, mode=deliver_mode, workers=workers, policy=policy,
+                  raise_on_failure=False)
+    uris = src.select(paths.location("bucket", "key").alias("source_uri"), "export_name")
+    per_export = log.join(uris, "source_uri").groupBy("export_name").agg(
+        F.count(F.lit(1)).alias("files_tried"),
+        F.count_if(F.col("status") == "ok").alias("files_ok"),
+        F.min("error").alias("first_error"),
+    )
+    checked = verdict(src, list_flat(spark, target_dir), exports=exported).select(
+        "export_name", "in_sync", "outcome").join(per_export, "export_name", "left")
+    for r in checked.collect():  # one row per export
+        row = rows[r["export_name"]]
+        row.files_delivered = r["files_ok"] or 0
+        row.in_sync, row.outcome = bool(r["in_sync"]), r["outcome"]
+        failed = (r["files_tried"] or 0) - (r["files_ok"] or 0)
+        if failed:
+            row.outcome = "error"
+            row.error = (f"DeliveryError: Transfer failed: {failed}/{r['files_tried']} files failed "
+                         f"to upload: {r['first_error']}")
+
+
 def run_pipeline(
     spark: SparkSession,
     specs: list[ExportSpec],
@@ -187,26 +212,12 @@ def run_pipeline(
         exported.append(name)
 
     if exported:
-        src = with_layout(list_folders(spark, source_root, [f"{n}/{folder_date}/" for n in exported]))
-        log = deliver(work_list(src), target_dir, mode=deliver_mode, workers=workers, policy=policy,
-                      raise_on_failure=False)
-        uris = src.select(paths.location("bucket", "key").alias("source_uri"), "export_name")
-        per_export = log.join(uris, "source_uri").groupBy("export_name").agg(
-            F.count(F.lit(1)).alias("files_tried"),
-            F.count_if(F.col("status") == "ok").alias("files_ok"),
-            F.min("error").alias("first_error"),
-        )
-        checked = verdict(src, list_flat(spark, target_dir), exports=exported).select(
-            "export_name", "in_sync", "outcome").join(per_export, "export_name", "left")
-        for r in checked.collect():  # one row per export
-            row = rows[r["export_name"]]
-            row.files_delivered = r["files_ok"] or 0
-            row.in_sync, row.outcome = bool(r["in_sync"]), r["outcome"]
-            failed = (r["files_tried"] or 0) - (r["files_ok"] or 0)
-            if failed:
-                row.outcome = "error"
-                row.error = (f"DeliveryError: Transfer failed: {failed}/{r['files_tried']} files failed "
-                             f"to upload: {r['first_error']}")
+        try:
+            _deliver_and_verify(spark, rows, exported, source_root, target_dir, folder_date,
+                                deliver_mode, workers, policy)
+        except Exception as exc:  # noqa: BLE001 - e.g. an unwritable landing folder
+            for name in exported:
+                rows[name].outcome, rows[name].error = "error", f"{type(exc).__name__}: {exc}"
 
     df = spark.createDataFrame([tuple(vars(rows[s.name]).values()) for s in active], PIPELINE_SCHEMA)
     return df.withColumn("error", truncate("error", MESSAGE_CHARS))

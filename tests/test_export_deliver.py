@@ -265,3 +265,15 @@ def test_earlier_temps_kept_when_attempts_may_overlap(tmp_root):
         f.write(b"pay")
     _copy_file(f"{tmp_root}/src.csv", f"{tmp_root}/land", "src.csv", "job2", 0, 1, clean_earlier=False)
     assert sorted(os.listdir(f"{tmp_root}/land")) == sorted([os.path.basename(live), "src.csv"])
+
+
+def test_run_pipeline_reports_unwritable_landing_per_export(spark, tmp_root):
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").createOrReplaceTempView("orders")
+    with open(f"{tmp_root}/land", "w") as f:  # a file where the landing folder should be
+        f.write("x")
+    specs = [ExportSpec("a", "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'"),
+             ExportSpec("b", "SELECT * FROM orders WHERE o_orderpriority = '2-HIGH'")]
+    out = jobs.run_pipeline(spark, specs, Interval.ending("1998-06-08"), f"{tmp_root}/src", f"{tmp_root}/land")
+    rows = {r["export_name"]: r for r in out.collect()}
+    assert {n: r["outcome"] for n, r in rows.items()} == {"a": "error", "b": "error"}
+    assert all(r["rows_exported"] > 0 and r["error"] for r in rows.values())
