@@ -92,16 +92,27 @@ def _split_root(uri: str) -> tuple[str, str]:
     return "/", local_path(uri).lstrip("/") + ("/" if uri.endswith("/") else "")
 
 
+# D11 status contract as exit codes: ok, no files, out of sync, other error.
+EXIT_CODES = {"ok": 0, "error": 1, "no_files": 2, "out_of_sync": 3}
+
+
 def cmd_transfer(spark, args) -> int:
-    from parcel.operators.deliver import deliver_uri
+    from parcel.operators.deliver import DeliveryError, deliver_uri
 
     root, prefix = _split_root(args.uri)
-    r = deliver_uri(spark, root, prefix, args.target, args.export_name, workers=args.workers,
-                    mode=args.mode)
-    print(json.dumps({"status": "success", "export_name": r.export_name, "files_transferred": r.files_transferred,
+    try:
+        r = deliver_uri(spark, root, prefix, args.target, args.export_name, workers=args.workers,
+                        mode=args.mode)
+    except FileNotFoundError as exc:
+        print(json.dumps({"outcome": "no_files", "export_name": args.export_name, "error": str(exc)[:200]}))
+        return EXIT_CODES["no_files"]
+    except DeliveryError as exc:
+        print(json.dumps({"outcome": "error", "export_name": args.export_name, "error": str(exc)[:200]}))
+        return EXIT_CODES["error"]
+    print(json.dumps({"outcome": "ok", "export_name": r.export_name, "files_transferred": r.files_transferred,
                       "total_mb": r.total_mb, "destination": r.destination,
                       "total_time_seconds": r.seconds, "source": args.uri}))
-    return 0
+    return EXIT_CODES["ok"]
 
 
 def cmd_verify(spark, args) -> int:
@@ -110,7 +121,7 @@ def cmd_verify(spark, args) -> int:
     root, prefix = _split_root(args.uri)
     v = verify_uri(spark, root, prefix, args.target, args.export_name, include_extra=True).first()
     print(json.dumps(v.asDict(recursive=True)))
-    return 0 if v["in_sync"] else 1
+    return EXIT_CODES[v["outcome"]]
 
 
 def cmd_summary(spark, args) -> int:

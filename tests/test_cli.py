@@ -47,9 +47,11 @@ def test_transfer_and_verify_commands(spark, tmp_root, capsys):
     r = write_export(df, f"{tmp_root}/src", "E", "20250101", shards=3)
     land = f"{tmp_root}/land"
     uri = f"{tmp_root}/src/E/20250101/"
-    assert cli.main(["verify", "--uri", uri, "--target", land, "--export-name", "E"]) == 1
+    assert cli.main(["verify", "--uri", uri, "--target", land, "--export-name", "E"]) == 3
     v = json.loads(capsys.readouterr().out)
     assert v["outcome"] == "out_of_sync" and v["missing_count"] == 3
+    assert cli.main(["transfer", "--uri", f"{tmp_root}/src/E/nothing/", "--target", land, "--export-name", "E"]) == 2
+    assert json.loads(capsys.readouterr().out)["outcome"] == "no_files"
     assert cli.main(["transfer", "--uri", uri + "*.csv.gz", "--target", land, "--export-name", "E"]) == 0
     t = json.loads(capsys.readouterr().out)
     assert t["files_transferred"] == 3 and t["destination"] == land + "/"
