@@ -146,3 +146,15 @@ def test_names_target_exports_and_mb_listing(spark, tmp_root):
     assert got == [("e", "20250101")]
     mb = list_with_mb(spark, f"{tmp_root}/src", "e/2025*").collect()
     assert [(r["name"], r["size_mb"]) for r in mb] == [("e/20250101/e_20250101-000000000000.csv.gz", 1.25)]
+
+
+def test_list_folders_skips_missing_ones(spark, tmp_root):
+    from parcel.sources.inventory import list_folders
+
+    _touch(f"{tmp_root}/a/20250101/a_20250101-000000000000.csv.gz", b"1")
+    _touch(f"{tmp_root}/b/20250101/b_20250101-000000000000.csv.gz", b"22")
+    _touch(f"{tmp_root}/b/20250102/b_20250102-000000000000.csv.gz", b"333")
+    inv = list_folders(spark, tmp_root, ["a/20250101/", "b/20250101/", "c/20250101/"])
+    assert sorted((r["key"], r["size"]) for r in inv.collect()) == [
+        ("a/20250101/a_20250101-000000000000.csv.gz", 1), ("b/20250101/b_20250101-000000000000.csv.gz", 2)]
+    assert list_folders(spark, tmp_root, ["nope/"]).count() == 0

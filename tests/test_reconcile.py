@@ -148,3 +148,21 @@ def test_duplicate_basename_last_key_wins_even_if_size_unknown(spark):
     # NULL vs a target size of 5 is a mismatch, as in the reference's comparison
     tgt = _tgt(spark, [("f.csv", 5)])
     assert [r["filename"] for r in reconcile.size_mismatches(src, tgt).collect()] == ["f.csv"]
+
+
+def test_summary_json_lines(spark, tmp_root):
+    import json
+    import os
+
+    from parcel.sinks.lists import summary_json, write_summary_json
+
+    src = _src(spark, [("a/20250101/f1", 10), ("a/20250102/f2", 20)])
+    s = summary.storage_summary(src)
+    path = write_summary_json([summary_json(s, "source"), summary_json(s, "target")], f"{tmp_root}/summary")
+    lines = [json.loads(line) for f in sorted(os.listdir(path)) if f.startswith("part-")
+             for line in open(f"{path}/{f}")]
+    assert sorted(r["side"] for r in lines) == ["source", "target"]
+    stats = json.loads(lines[0]["stats"])
+    assert list(stats) == ["oldest_date", "newest_date", "num_dates", "total_files", "total_size",
+                           "avg_files_per_date", "avg_size_per_file"]
+    assert (stats["num_dates"], stats["total_files"], stats["total_size"]) == (2, 2, 30)
