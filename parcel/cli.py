@@ -1,6 +1,8 @@
 """Command line entry points (``python -m parcel.cli <command>``).
 
     run      export -> deliver -> verify for every export of a JSON config (P1)
+    backfill export every configured export for a range of run dates, one
+             Spark job per export (Q8)
     transfer deliver the files of one source URI into a landing folder (D1)
     verify   reconcile one source URI with a landing folder (A5, D11)
     summary  per-export storage summary of a source and/or target area, their
@@ -92,6 +94,21 @@ def _split_root(uri: str) -> tuple[str, str]:
     return "/", local_path(uri).lstrip("/") + ("/" if uri.endswith("/") else "")
 
 
+def cmd_backfill(spark, args) -> int:
+    from parcel.plans.jobs import active_specs, backfill
+
+    if args.tables:
+        register_tables(spark, args.tables)
+    for pair in args.view or []:
+        name, _, path = pair.partition("=")
+        register_view(spark.read.parquet(path), name)
+    for spec in active_specs(_specs(args.config), _overrides(args.override)):
+        for r in backfill(spark, spec, args.first, args.last, args.source):
+            print(json.dumps({"export_name": r.export_name, "folder_date": r.folder_date, "path": r.path,
+                              "files": len(r.files), "bytes": r.bytes}))
+    return 0
+
+
 # D11 status contract as exit codes: ok, no files, out of sync, other error.
 EXIT_CODES = {"ok": 0, "error": 1, "no_files": 2, "out_of_sync": 3}
 
@@ -205,6 +222,16 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--dry-run", action="store_true", help="print resolved queries and plans only")
     r.set_defaults(fn=cmd_run)
 
+    b = sub.add_parser("backfill", help="export a range of run dates, one job per export")
+    b.add_argument("--config", required=True)
+    b.add_argument("--first", required=True, help="first run end date (folder date)")
+    b.add_argument("--last", required=True, help="last run end date (folder date)")
+    b.add_argument("--source", required=True, help="export root")
+    b.add_argument("--tables")
+    b.add_argument("--view", action="append")
+    b.add_argument("--override", action="append")
+    b.set_defaults(fn=cmd_backfill)
+
     tr = sub.add_parser("transfer", help="deliver the files of one source URI")
     tr.add_argument("--uri", required=True, help="scheme://bucket/prefix[/glob] or a local folder")
     tr.add_argument("--target", required=True)

@@ -86,3 +86,14 @@ def test_run_dry_run_writes_nothing(spark, tmp_root, capsys):
     out = capsys.readouterr().out
     assert code == 0 and "DATE(o_orderdate) = '1998-06-07'" in out
     assert not os.path.exists(f"{tmp_root}/src") and not os.path.exists(f"{tmp_root}/land")
+
+
+def test_backfill_command(spark, tmp_root, capsys):
+    cfg = f"{tmp_root}/exports.json"
+    with open(cfg, "w") as f:
+        json.dump({"exports": {"DAILY": {"query": "SELECT * FROM orders WHERE DATE(o_orderdate) = :ds"}}}, f)
+    code = cli.main(["backfill", "--config", cfg, "--first", "1998-06-02", "--last", "1998-06-04",
+                     "--source", f"{tmp_root}/src", "--tables", SF_SMALL])
+    rows = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert code == 0 and [r["folder_date"] for r in rows] == ["19980602", "19980603", "19980604"]
+    assert sorted(os.listdir(f"{tmp_root}/src/DAILY")) == ["19980602", "19980603", "19980604"]
