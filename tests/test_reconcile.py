@@ -166,3 +166,11 @@ def test_summary_json_lines(spark, tmp_root):
     assert list(stats) == ["oldest_date", "newest_date", "num_dates", "total_files", "total_size",
                            "avg_files_per_date", "avg_size_per_file"]
     assert (stats["num_dates"], stats["total_files"], stats["total_size"]) == (2, 2, 30)
+
+
+def test_verdict_driven_by_an_export_dataframe(spark):
+    src = _src(spark, [("a/d/a1.csv", 1), ("b/d/b1.csv", 2)])
+    tgt = _tgt(spark, [("a1.csv", 1)])
+    exports = spark.createDataFrame([("a",), ("c",), ("c",)], "export_name string")
+    rows = {r["export_name"]: r["outcome"] for r in reconcile.verdict(src, tgt, exports=exports).collect()}
+    assert rows == {"a": "ok", "c": "no_files"}
