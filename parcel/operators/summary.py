@@ -1,9 +1,10 @@
 """Storage summaries and side comparison.
 
-Summaries are two-level aggregates: (export, date) first, then export. Both
-levels are hash aggregates with map-side partial aggregation, so an export
-holding most of the files costs no more than any other; there is no
-``countDistinct`` expansion.
+Summaries are two-level aggregates: (export, date) first -- a hash aggregate
+of counts and byte sums with map-side partial aggregation, so an export
+holding most of the files is pre-aggregated before any shuffle -- then export
+over those few rows (the text min/max of the date folder makes that level
+sort-based). There is no ``countDistinct`` expansion.
 """
 
 from __future__ import annotations
