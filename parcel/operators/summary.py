@@ -61,9 +61,7 @@ def storage_summary(inv: DataFrame) -> DataFrame:
 def storage_summary_with_total(inv: DataFrame) -> DataFrame:
     """A1 + A3: the per-export rows plus a ``TOTAL`` row (``rollup``) that
     carries only the file and byte totals."""
-    rolled = _stats(per_date(inv).rollup("export_name")).withColumn(
-        "_total", F.col("export_name").isNull()
-    )
+    rolled = _stats(per_date(inv).rollup("export_name"))
     # rollup's grand-total row is the one with a NULL grouping key; export
     # names are never NULL (they come from non-null key parts).
     d = _derived(rolled.withColumn("export_name", F.coalesce("export_name", F.lit(TOTAL_LABEL))))
