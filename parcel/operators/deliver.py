@@ -5,11 +5,13 @@ The work list (one row per file) is a DataFrame; executors copy the bytes in
 ``mapInPandas`` (the only Python function in the library's hot path, because
 a copy is I/O, not a relational expression). Each copy:
 
-* streams source -> ``<target>/.parcel-<task attempt>-<name>.part`` and then
-  renames onto ``<target>/<name>`` (atomic replace), so a re-run, a retried
-  task after a lost executor, or a speculative duplicate leaves either the old
-  or the new complete file, never a partial one;
-* retries I/O errors with exponential back-off (5 attempts, 1..30 s);
+* streams source -> ``<target>/.parcel-<job>-p<partition>-a<attempt>-<name>.part``
+  and then renames onto ``<target>/<name>`` (atomic replace), so a re-run, a
+  retried task after a lost executor, or a speculative duplicate leaves
+  either the old or the new complete file, never a partial one; a retried
+  task removes its predecessors' temporary files by name (no listing);
+* retries I/O errors with exponential back-off (5 attempts, 1..30 s); a
+  missing source is reported at once;
 * reports one delivery-log row: sizes on both sides, status, attempts,
   error text (first 2000 characters), seconds and MB/s.
 
