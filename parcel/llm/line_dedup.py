@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcel.llm.common import ASCII_SPACE, ascii_lower, text_key, whole_text
+from parcel.llm.common import ASCII_SPACE, ascii_lower, materialise, text_key, whole_text
 
 #: How many of the most frequent keys are decided by broadcast (48 bytes each).
 HOT_KEYS = 2000
@@ -44,7 +44,7 @@ def split_lines(text: Column) -> Column:
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id, tkey, pos, h1, h2`` of every line that is long enough."""
     lines = docs.select("doc_id", whole_text().alias("_text")).select(
-        "doc_id", text_key(F.col("_text")).alias("tkey"), F.posexplode(split_lines(F.col("_text"))).alias("pos", "_line")
+        "doc_id", text_key(F.col("_text")).alias("tkey"), F.posexplode_outer(split_lines(F.col("_text"))).alias("pos", "_line")
     )
     key = ascii_lower(F.trim(F.col("_line"), F.lit(ASCII_SPACE)))
     return (
@@ -56,7 +56,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``doc_id, tkey, pos`` of the lines that go."""
-    lines = line_hashes(docs, min_chars)
+    lines = materialise(line_hashes(docs, min_chars), "line-hashes")  # read three times below
     # bits of a hash of the ids: as many set bits, at least as many documents
     mark = F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 63) as int))")
     hot = (
