@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import line_dedup, mixing
+from parcel.llm import decontamination, line_dedup, mixing
 from parcel.llm.common import table
 
 
@@ -18,12 +18,18 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op6_decontamination": op6_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op5_source_mixing": mixing.SQL,
+    "op6_decontamination": decontamination.SQL,
 }
