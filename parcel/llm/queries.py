@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import decontamination, line_dedup, mixing
+from parcel.llm import decontamination, line_dedup, mixing, secret_scan
 from parcel.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.query(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
 }
