@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import decontamination, line_dedup, mixing, secret_scan
+from parcel.llm import chat, decontamination, line_dedup, mixing, secret_scan
 from parcel.llm.common import table
 
 
@@ -26,11 +26,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.query(spark, table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
+    "op9_chat_formatting": op9_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {
