@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import chat, decontamination, line_dedup, mixing, secret_scan
+from parcel.llm import chat, decontamination, fingerprints, line_dedup, mixing, secret_scan
 from parcel.llm.common import table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.query(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_line_dedup": op2_line_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
