@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import chat, decontamination, fingerprints, line_dedup, mixing, near_dedup, secret_scan
+from parcel.llm import chat, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, secret_scan
 from parcel.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.query(spark, table(spark, sf_dir, "conversations"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op8_near_dedup": op8_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {
