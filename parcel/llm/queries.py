@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import chat, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, secret_scan
+from parcel.llm import chat, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, quality, secret_scan
 from parcel.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.query(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_near_dedup": op8_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_lm_scoring": op10_lm_scoring,

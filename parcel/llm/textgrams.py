@@ -12,8 +12,12 @@ _POWERS = np.cumprod(np.full(1 << 16, _FACTOR, np.uint64))
 _FAR_POWERS = np.cumprod(np.full(1 << 16, _POWERS[-1], np.uint64))  # of the upper half of a place
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes between words: ASCII whitespace, or all of ASCII but letters and digits.
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+NOT_ALNUM = np.ones(256, bool)
+NOT_ALNUM[128:] = False
+NOT_ALNUM[48:58] = NOT_ALNUM[65:91] = NOT_ALNUM[97:123] = False
 #: Bytes hashed at a time.
 CHUNK = 4 << 20
 
@@ -43,17 +47,23 @@ def _chunk_words(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(sums ^ (ends - starts).astype(np.uint64))
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (runs without ASCII whitespace, A-Z lower-cased) of
-    all texts in a row, and where each text's words begin and the last end. A
-    null text has none."""
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts in a row, and where each begins and the
+    last ends."""
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
+    return data, offsets - offsets[0]
+
+
+def words_of(texts: pa.Array, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (runs without the bytes ``between``, A-Z lower-cased)
+    of all texts in a row, and where each text's words begin and the last end. A
+    null text has none."""
+    data, offsets = bytes_of(texts)
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    space = _IS_SPACE[data]
+    space = between[data]
     begins = ~space
     begins[1:] &= space[:-1]
     inner = offsets[(offsets > 0) & (offsets < len(data))]
