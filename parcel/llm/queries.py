@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import chat, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, quality, secret_scan
+from parcel.llm import chat, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, quality, secret_scan, suffix_dedup
 from parcel.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.query(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.query(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op6_decontamination": op6_decontamination,
