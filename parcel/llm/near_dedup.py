@@ -191,10 +191,11 @@ class Linker:
 
 
 def _stars(rows: DataFrame, rank) -> DataFrame:
-    """``key, node, n`` -> the pairs of each bucket's centre with the others."""
-    ranked = rows.withColumn("r", F.struct(rank.alias("rank"), "node", "n"))
+    """``key, node, n, comp`` -> the pairs of each bucket's centre with the
+    nodes of other components."""
+    ranked = rows.select("key", F.struct(rank.alias("rank"), "node", "n", "comp").alias("r"))
     centre = ranked.groupBy("key").agg(F.max("r").alias("c"))
-    return ranked.join(centre, "key").where(F.col("r.node") != F.col("c.node")).select(*_ordered("r", "c"))
+    return ranked.join(centre, "key").where(F.col("r.comp") != F.col("c.comp")).select(*_ordered("r", "c"))
 
 
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -221,9 +222,9 @@ def near_components(docs: DataFrame) -> DataFrame:
     rows = materialise(keyed.join(crowded, "key"), "near-buckets")
     meets = rows.groupBy("node").agg(F.sum(F.col("size") - 1).alias("meets"))
     rows, turn = rows.select("key", "node", "n"), 0
-    found = work.confirm(_stars(rows.join(meets, "node"), F.col("meets")))
-    labels = components(work.links)
-    while found or turn == 0:
+    work.confirm(_stars(rows.join(meets, "node").withColumn("comp", F.col("node")), F.col("meets")))
+    labels, found = components(work.links), True
+    while found:
         turn += 1
         mixed_rows = materialise(_mixed(rows, labels), "near-mixed")
         large = mixed_rows.where(F.col("size") > SMALL)
@@ -232,7 +233,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         )
         further = further.where("band != key").select(F.xxhash64("key", "band").alias("key"), "node", "n")
         split = materialise(_mixed(further, labels), "near-split")
-        still = split.where(F.col("size") > SMALL).select("key", "node", "n")
+        still = split.where(F.col("size") > SMALL)
         pairs = _across(mixed_rows).unionByName(_across(split))
         found = work.confirm(pairs.unionByName(_stars(still, F.xxhash64(F.lit(turn), "node"))))
         if found:
