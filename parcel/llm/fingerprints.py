@@ -16,12 +16,11 @@ and B, 2 <A, B> / (|A|^2 + |B|^2), estimated over all lanes and cut to 0..1, is
 1 / sqrt(LANES)).
 
 All of it is row-local: no text is regrouped for a fingerprint. Only the query's
-edited texts need a document's neighbour.
+edited texts need a document's neighbour, for which texts move once.
 
 Defined results: a null text is an empty one, an empty text has no pieces, and
 two of these have likeness 1; rows that share a doc_id are fingerprinted each,
-and as somebody's next document the one with the smallest needed prefix stands
-for them; a null doc_id comes first; an empty table gives no rows; other columns
+and follow each other by their texts; a null doc_id comes first; an empty table gives no rows; other columns
 are ignored.
 """
 
@@ -30,9 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcel.llm.common import materialise, whole_text
+from parcel.llm.common import whole_text
 
 PIECE = 120
+#: Documents in a bucket of neighbours, and how many buckets at most: their
+#: first ids are gathered (16 bytes each).
+BUCKET, MOST_BUCKETS = 1000, 65_536
 HASHES = 4
 BITS = 14  # lanes count modulo 2 ** 14
 _FIELD = BITS + 1  # with the spare bit
@@ -112,51 +114,61 @@ def to_string(print_: Column) -> Column:
     return F.concat_ws("-", F.hex(print_["n"]), F.concat_ws("", F.transform(print_["v"], lambda x: F.lpad(F.hex(x), 15, "0"))))
 
 
-def next_ids(docs: DataFrame) -> DataFrame:
-    """``doc_id, prev_id, prev_half, is_first`` per distinct doc_id: the one
-    before it in ascending order (of the first: the last) and the largest half
-    length there. Only ids are sorted, in ranges; the ranges meet through one
-    row for each of them."""
-    ids = docs.groupBy("doc_id").agg(F.max(F.floor(F.char_length(whole_text()) / 2)).alias("half"))
-    ranged = materialise(
-        ids.repartitionByRange(F.col("doc_id").asc_nulls_first()).withColumn("part", F.spark_partition_id()), "fingerprint-ids"
-    )
-    within = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first())
-    last = ranged.groupBy("part").agg(F.max_by(F.struct("doc_id", "half"), F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("tail"))
-    rows = Window.orderBy("part")
-    before = last.select(
-        F.col("part").alias("_part"),
-        F.coalesce(
-            F.lag("tail").over(rows), F.last("tail").over(rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        ).alias("tail"),
-    )
-    near = ranged.withColumn("prev", F.lag(F.struct("doc_id", "half")).over(within))
-    return near.join(before, F.col("part") == F.col("_part")).select(
-        "doc_id", F.coalesce("prev", "tail").alias("prev")
-    ).select("doc_id", F.col("prev.doc_id").alias("prev_id"), F.col("prev.half").alias("prev_half"))
+def _bucket(splitters: list[int]) -> Column:
+    """How many of the sorted splitters are at most the doc_id, found in two
+    steps of about a square root of them each; a null doc_id comes first."""
+    width = max(1, int(len(splitters) ** 0.5))
+    rows = [splitters[i : i + width] for i in range(0, len(splitters), width)]
+    if not rows:
+        return F.lit(0)
+
+    def upto(values) -> Column:
+        return F.size(F.filter(values, lambda x: x <= F.col("doc_id")))
+
+    row = upto(F.array(*[F.lit(r[0]).cast("long") for r in rows]))
+    inside = upto(F.element_at(F.array(*[F.array(*[F.lit(x).cast("long") for x in r]) for r in rows]), F.greatest(row, F.lit(1))))
+    return F.when(F.col("doc_id").isNull() | (row == 0), F.lit(0)).otherwise((row - 1) * width + inside)
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, print`` with ``edited``, the edited text, and
-    ``next_print``. Texts move once, and as much of each as its neighbour
-    takes once more."""
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    near = next_ids(docs).withColumnRenamed("doc_id", "_id")
-    joined = texts.withColumn("print", fingerprint(F.col("text"))).join(near, F.col("doc_id").eqNullSafe(F.col("_id")))
-    heads = joined.select(
-        F.col("prev_id").alias("_prev"), F.struct(F.substring("text", F.lit(1), F.col("prev_half").cast("int")).alias("head"), "print").alias("next")
-    ).groupBy("_prev").agg(F.min("next").alias("next"))
-    half = F.floor(F.char_length("text") / 2).cast("int")
-    edited = F.concat(
-        F.substring("text", F.lit(1), F.char_length("text") - half), F.substring("next.head", F.lit(1), half)
-    )
-    return joined.select("doc_id", "text", "print").join(heads, F.col("doc_id").eqNullSafe(F.col("_prev"))).select(
-        "doc_id", "text", "print", edited.alias("edited"), F.col("next.print").alias("next_print")
+    """``doc_id, text, print, next_text, next_print``: the next document is the
+    next row by doc_id and text, that of the last row the first. Texts move once:
+    rows are dealt to buckets of neighbouring ids, and the first id of a bucket
+    also goes to the bucket before, to follow its last one."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    ids = texts.select("doc_id")
+    n = min(MOST_BUCKETS, ids.count() // BUCKET + 1)
+    shares = [i / n for i in range(1, n)]
+    found = ids.agg(F.percentile_approx("doc_id", shares, 10 * n)).first()[0] if shares else []
+    bucket = _bucket(sorted({int(x) for x in found or []}))
+    # of each bucket with rows, in order: its number, its first id (null before all others)
+    least = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id"))
+    starts = [(r["bucket"], r["first"]["doc_id"]) for r in ids.groupBy(bucket.alias("bucket")).agg(least.alias("first")).orderBy("bucket").collect()]
+    before = {b: (first, starts[i - 1][0]) for i, (b, first) in enumerate(starts)}
+    known = range(max(before, default=0) + 1)
+    first_id = F.element_at(F.array(*[F.lit(before.get(b, (None, 0))[0]).cast("long") for b in known]), F.col("bucket") + 1)
+    previous = F.element_at(F.array(*[F.lit(before.get(b, (None, 0))[1]) for b in known]), F.col("bucket") + 1)
+    placed = texts.withColumn("print", fingerprint(F.col("text"))).withColumn("bucket", bucket)
+    own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest"))
+    guest = F.struct(previous.alias("bucket"), F.lit(True).alias("guest"))
+    dealt = placed.select(
+        "doc_id",
+        "text",
+        "print",
+        F.explode_outer(F.when(F.col("doc_id").eqNullSafe(first_id), F.array(own, guest)).otherwise(F.array(own))).alias("place"),
+    ).select("doc_id", "text", "print", "place.bucket", "place.guest")
+    order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
+    return (
+        dealt.withColumns({"next_text": F.lead("text").over(order), "next_print": F.lead("print").over(order)})
+        .where("not guest")
+        .drop("bucket", "guest")
     )
 
 
 def query(docs: DataFrame) -> DataFrame:
-    found = with_next(docs.select("doc_id", "text")).withColumn("edited_print", fingerprint(F.col("edited")))
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), F.substring("next_text", F.lit(1), half))
+    found = with_next(docs).withColumn("edited", edited).drop("next_text").withColumn("edited_print", fingerprint(F.col("edited")))
     return found.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
