@@ -48,11 +48,16 @@ def _gram(words: Column, start: Column, length: int) -> Column:
     return F.xxhash64(F.lit(length), *[F.get(words, start + j) for j in range(length)])
 
 
+def _grams(length: int) -> Column:
+    """Hashes of all runs of so many of the ``words``."""
+    return F.transform(_places(F.size("words") - (length - 1)), lambda i: _gram(F.col("words"), i, length))
+
+
 def _winnowed(rows: DataFrame, k: int, n: int) -> DataFrame:
     """Rows with a column ``words`` -> one row per kept k-gram, with ``at``,
     ``fp`` and ``around``: the words of all n-word windows that hold it."""
     w = n - k + 1
-    grams = rows.withColumn("_g", F.transform(_places(F.size("words") - (k - 1)), lambda i: _gram(F.col("words"), i, k)))
+    grams = rows.withColumn("_g", _grams(k))
     minima = grams.withColumn(
         "_m", F.transform(_places(F.size("_g") - (w - 1)), lambda s: F.least(*[F.get(F.col("_g"), s + j) for j in range(w)]))
     )
@@ -114,7 +119,7 @@ def hit_windows(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6)
     )
     hits = met.select("doc_id", "tkey", F.inline_outer(same)).where("window is not null")
     long_items = items.where(F.size("words") >= n).select(
-        F.explode(F.transform(_places(F.size("words") - (n - 1)), lambda i: _gram(F.col("words"), i, n))).alias("window"), "item"
+        F.explode(_grams(n)).alias("window"), "item"
     )
     windows = long_items.distinct()
     for length in [r[0] for r in items.where(F.size("words") < n).select(F.size("words")).distinct().collect()]:
@@ -123,7 +128,7 @@ def hit_windows(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6)
         runs = texts.select(
             "doc_id",
             "tkey",
-            F.posexplode_outer(F.transform(_places(F.size("words") - (length - 1)), lambda i, m=length: _gram(F.col("words"), i, m))).alias("start", "window"),
+            F.posexplode_outer(_grams(length)).alias("start", "window"),
         ).select("doc_id", "tkey", "start", F.lit(length).alias("length"), "window")
         hits = hits.unionByName(runs.join(_bounded(keys, keys.count()), "window", "left_semi"))
         windows = windows.unionByName(short)
@@ -146,13 +151,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6
     )
 
 
-def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    keyed = docs.withColumn("_tkey", text_key(whole_text()))
-    found = contamination(docs, benchmark).withColumnRenamed("doc_id", "_id")
-    on = keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_tkey"] == found["tkey"])
-    return keyed.join(found, on, "left").drop("_id", "tkey", "_tkey")
-
-
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text = docs.select("doc_id", "text")
     counted = text.select(
@@ -173,7 +171,9 @@ def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, all columns as they are."""
-    return _judged(docs, benchmark).where(F.col("n_hit").isNull()).select(*docs.columns)
+    found = contamination(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_of"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(whole_text()) == F.col("_of"))
+    return docs.join(found, on, "left_anti").select(*docs.columns)
 
 
 SQL = r"""

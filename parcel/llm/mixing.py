@@ -128,7 +128,8 @@ def mix(
 
 def repetitions(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The mixed corpus: each document once per whole repetition and its first
-    words for a part of one, with ``repetition`` (from 0) and ``words``."""
+    words for a part of one, with ``repetition`` (from 0) and ``words`` (which
+    replace columns of these names)."""
     wanted = plan.where("taken > 0").select(
         F.col("doc_id").alias("_id"),
         F.explode(
@@ -148,7 +149,7 @@ def repetitions(docs: DataFrame, plan: DataFrame) -> DataFrame:
         F.concat(part, F.array_join(F.slice(words, F.lit(1), F.col("_r.words").cast("int")), " "))
     )
     return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select(
-        *[c if c != "text" else text.alias("text") for c in docs.columns], "_r.repetition", "_r.words"
+        *[c if c != "text" else text.alias("text") for c in docs.columns if c not in ("repetition", "words")], "_r.repetition", "_r.words"
     )
 
 

@@ -1,0 +1,16 @@
+"""Shared test rows and the DuckDB side."""
+
+import duckdb
+import pyarrow as pa
+
+from conftest import ODD  # noqa: F401
+
+
+def sql_rows(docs, sql, items=()):
+    con = duckdb.connect()
+    cols = list(zip(*docs)) or [(), (), (), ()]
+    documents = pa.table({"doc_id": pa.array(cols[0], pa.int64()), "text": pa.array(cols[1], pa.string()), "source": pa.array(cols[3], pa.string())})
+    benchmark = pa.table({"item_id": pa.array([i for i, _ in items], pa.int64()), "text": pa.array([t for _, t in items], pa.string())})
+    con.register("documents", documents)
+    con.register("benchmark", benchmark)
+    return con.execute(sql).to_arrow_table().to_pylist()
