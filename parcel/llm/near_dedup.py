@@ -17,11 +17,11 @@ linked documents are the groups of near copies.
 4. Candidates that share too few bands are dropped, all others are confirmed
    on the full sets, which are made from the texts once more.
 5. What a star can miss are links between two members that are not in one
-   component after this. Buckets that still hold several components are gone
-   through again: small ones member by member, large ones are split by every
-   further band first (nodes with a similarity of 3/4 share many bands), and
-   what is then still large gets more stars, around other centres, for as long
-   as they find links.
+   component after this. Nodes of buckets that still hold several components
+   meet again by pairs of such bands: nodes with a similarity of 3/4 share many
+   bands, strangers with a common passage few. Of these buckets the small ones
+   are gone through member by member, the large ones get a star around another
+   centre, for as long as a turn finds links.
 
 Of two documents with similarity s at least one band agrees with probability
 1 - (1 - s^3)^42: 1 - 1e-10 at 3/4.
@@ -55,7 +55,10 @@ BINS = BANDS * ROWS
 #: Candidates share at least so many bands; 18 are expected at the threshold.
 LEAST_SHARED = 3
 #: A bucket of up to so many nodes is gone through member by member.
-SMALL = 24
+SMALL = 6
+#: Pairs of bands by which buckets that hold several components are split. Both
+#: bands of a pair agree with probability s^6, so that none of 100 does 3e-9.
+PAIRED_BANDS = 100
 
 SIGNED = "doc_id long, n long, node binary, bands array<long>"
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
@@ -201,7 +204,7 @@ def _stars(rows: DataFrame, rank) -> DataFrame:
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``key, node, n`` in buckets that hold several components, with ``comp``
     and ``size``, the bucket's nodes."""
-    labelled = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).select("key", "node", "n", "comp")
+    labelled = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     held = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     return labelled.join(held.where("lo != hi").select("key", "size"), "key")
 
@@ -214,28 +217,39 @@ def _across(rows: DataFrame) -> DataFrame:
     return met.select(*_ordered("x", "y"))
 
 
+def _pairs_of_bands() -> list[tuple[int, int]]:
+    every = [(i, j) for i in range(BANDS) for j in range(i)]
+    rng = np.random.default_rng(19)
+    return [every[i] for i in sorted(rng.choice(len(every), PAIRED_BANDS, replace=False))]
+
+
+def _split_by_second_band(rows: DataFrame) -> DataFrame:
+    """``band, key, node, n, comp`` in mixed buckets -> ``key, node, n, comp``
+    with a key for each of the chosen pairs of bands that are both mixed."""
+    held = rows.groupBy("node").agg(
+        F.first("n").alias("n"), F.first("comp").alias("comp"), F.map_from_entries(F.collect_list(F.struct("band", "key"))).alias("_k")
+    )
+    keys = [F.xxhash64(F.element_at("_k", F.lit(i)), F.element_at("_k", F.lit(j))) for i, j in _pairs_of_bands()]
+    both = [F.element_at("_k", F.lit(i)).isNotNull() & F.element_at("_k", F.lit(j)).isNotNull() for i, j in _pairs_of_bands()]
+    found = F.array_compact(F.array(*[F.when(there, F.xxhash64(F.lit(at), key)) for at, (there, key) in enumerate(zip(both, keys))]))
+    return held.where(F.size("_k") > 1).select(F.explode_outer(found).alias("key"), "node", "n", "comp").where("key is not null")
+
+
 def near_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, node, component_id`` for every row."""
     work = Linker(docs)
-    keyed = work.nodes.select("node", "n", F.explode("bands").alias("key"))
+    keyed = work.nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     rows = materialise(keyed.join(crowded, "key"), "near-buckets")
     meets = rows.groupBy("node").agg(F.sum(F.col("size") - 1).alias("meets"))
-    rows, turn = rows.select("key", "node", "n"), 0
+    rows, turn = rows.select("key", "band", "node", "n"), 0
     work.confirm(_stars(rows.join(meets, "node").withColumn("comp", F.col("node")), F.col("meets")))
     labels, found = components(work.links), True
     while found:
         turn += 1
-        mixed_rows = materialise(_mixed(rows, labels), "near-mixed")
-        large = mixed_rows.where(F.col("size") > SMALL)
-        further = large.join(work.nodes.select("node", F.col("bands").alias("_b")), "node").select(
-            F.explode("_b").alias("band"), "key", "node", "n"
-        )
-        further = further.where("band != key").select(F.xxhash64("key", "band").alias("key"), "node", "n")
-        split = materialise(_mixed(further, labels), "near-split")
-        still = split.where(F.col("size") > SMALL)
-        pairs = _across(mixed_rows).unionByName(_across(split))
-        found = work.confirm(pairs.unionByName(_stars(still, F.xxhash64(F.lit(turn), "node"))))
+        split = _split_by_second_band(_mixed(rows, labels))
+        left = materialise(_mixed(split.select("key", "node", "n"), labels), "near-mixed")
+        found = work.confirm(_across(left).unionByName(_stars(left.where(F.col("size") > SMALL), F.xxhash64(F.lit(turn), "node"))))
         if found:
             labels = components(work.links)
     of_node = work.nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
