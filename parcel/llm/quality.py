@@ -7,9 +7,9 @@ line lengths, how often words repeat. There are two questions, whether a documen
 is good and whether it is toxic, each with its label.
 
 Training uses a bounded sample: at most ``SAMPLE`` labelled and ``SAMPLE``
-unlabelled documents, those with the smallest hash of their doc_id. Features
-that differ between the labels beyond chance enter a logistic regression, one
-for each view. In every round a view hands its most confident answers on
+unlabelled documents, those with the smallest hash of their doc_id. Words that
+differ between the labels beyond chance, found by an aggregate, enter a logistic
+regression, one for each view. In every round a view hands its most confident answers on
 unlabelled documents to the other view as labels, both are fitted again and
 calibrated on labelled documents that neither was fitted on. At last the
 calibrated views are combined by a logistic regression on those, too.
@@ -243,6 +243,27 @@ class Classifier:
         return out
 
 
+def _telling_keys(features: DataFrame) -> list[int]:
+    """Words that differ between the labels beyond chance, at most
+    MOST_FEATURES for each question, so that only these leave the tasks. The
+    documents for calibration are left out."""
+    fit = features.where(F.pmod("place", F.lit(HELD_ONE_IN)) != 0)
+    names, out = {t: f"n_{t}" for t in TARGETS}, set()
+    sums = [x for t in TARGETS for x in (F.count(t).alias(names[t]), F.coalesce(F.sum(t), F.lit(0.0)).alias(t))]
+    totals = fit.agg(*sums).first()
+    of_key = fit.where(" or ".join(f"{t} is not null" for t in TARGETS)).select(F.explode("keys").alias("key"), *TARGETS).groupBy("key").agg(*sums)
+    for t in TARGETS:
+        n, ones = totals[names[t]], totals[t]
+        if not 0 < ones < n:
+            continue
+        mean = F.col(names[t]) / n
+        apart = F.col(t) / ones - (F.col(names[t]) - F.col(t)) / (n - ones)
+        z = F.abs(apart) / F.sqrt(F.greatest(mean * (1 - mean), F.lit(1e-12)) * (1 / ones + 1 / (n - ones)))
+        best = of_key.where(F.col(names[t]) >= 5).select("key", z.alias("z")).where(F.col("z") > LEAST_Z)
+        out.update(r["key"] for r in best.orderBy(F.desc("z"), "key").limit(MOST_FEATURES).collect())
+    return sorted(out)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """From the bounded sample; texts become features where they are read."""
     ship_package(docs.sparkSession)
@@ -258,7 +279,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     made = picked.select(
         "text", "lang", "source", F.col("good").cast("double").alias("good"), F.col("toxic").cast("double").alias("toxic"), order.alias("place")
     ).mapInArrow(_featurise, "keys array<long>, numbers array<double>, names array<long>, good double, toxic double, place long")
-    got = materialise(made, "quality-features").orderBy("place").toArrow()
+    features = materialise(made, "quality-features")
+    told_apart = F.array(*[F.lit(k).cast("long") for k in _telling_keys(features)]).cast("array<long>")
+    small = features.withColumn("keys", F.array_intersect("keys", told_apart))
+    got = small.orderBy("place").toArrow()
     keys = [np.asarray(x.values, np.int64).view(np.uint64) for x in got["keys"]]
     numbers = np.array(got["numbers"].to_pylist(), float).reshape(-1, _MEASURES)
     names = np.array(got["names"].to_pylist(), np.int64).reshape(-1, 2).view(np.uint64)
