@@ -103,7 +103,7 @@ def cmd_backfill(spark, args) -> int:
         name, _, path = pair.partition("=")
         register_view(spark.read.parquet(path), name)
     for spec in active_specs(_specs(args.config), _overrides(args.override)):
-        for r in backfill(spark, spec, args.first, args.last, args.source):
+        for r in backfill(spark, spec, args.first, args.last, args.source, date_column=args.date_column):
             print(json.dumps({"export_name": r.export_name, "folder_date": r.folder_date, "path": r.path,
                               "files": len(r.files), "bytes": r.bytes}))
     return 0
@@ -121,10 +121,10 @@ def cmd_transfer(spark, args) -> int:
         r = deliver_uri(spark, root, prefix, args.target, args.export_name, workers=args.workers,
                         mode=args.mode)
     except FileNotFoundError as exc:
-        print(json.dumps({"outcome": "no_files", "export_name": args.export_name, "error": str(exc)[:200]}))
+        print(json.dumps({"outcome": "no_files", "export_name": args.export_name, "error": str(exc)}))
         return EXIT_CODES["no_files"]
     except DeliveryError as exc:
-        print(json.dumps({"outcome": "error", "export_name": args.export_name, "error": str(exc)[:200]}))
+        print(json.dumps({"outcome": "error", "export_name": args.export_name, "error": str(exc)}))
         return EXIT_CODES["error"]
     print(json.dumps({"outcome": "ok", "export_name": r.export_name, "files_transferred": r.files_transferred,
                       "total_mb": r.total_mb, "destination": r.destination,
@@ -133,16 +133,25 @@ def cmd_transfer(spark, args) -> int:
 
 
 def cmd_verify(spark, args) -> int:
-    from parcel.plans.jobs import verify_uri
+    from parcel.plans.jobs import verify_names, verify_uri
 
     root, prefix = _split_root(args.uri)
     v = verify_uri(spark, root, prefix, args.target, args.export_name, include_extra=True).first()
     print(json.dumps(v.asDict(recursive=True)))
+    if args.names:
+        verify_names(spark, root, prefix, args.target).write.json(args.names)
     return EXIT_CODES[v["outcome"]]
 
 
+def _print_rows(df) -> None:
+    """Every row, tab-separated under the column names, streamed."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def cmd_summary(spark, args) -> int:
-    src = for_export(with_layout(list_objects(spark, args.source, distributed=args.distributed)), args.export) \
+    src = for_export(with_layout(list_objects(spark, args.source)), args.export) \
         if args.source else None
     tgt = for_export(with_shard_fields(list_flat(spark, args.target)), args.export) if args.target else None
     s, t, cmp = report(src, tgt)
@@ -153,12 +162,11 @@ def cmd_summary(spark, args) -> int:
             for r in p.orderBy("export_name").collect():  # one row per export
                 print(json.dumps(r.asDict()))
         return 0
-    if src is not None:
-        storage_summary_with_total(src).orderBy(F.col("export_name") == "TOTAL", "export_name").show(1000, False)
-    if tgt is not None:
-        storage_summary_with_total(tgt).orderBy(F.col("export_name") == "TOTAL", "export_name").show(1000, False)
+    for side in (src, tgt):
+        if side is not None:
+            _print_rows(storage_summary_with_total(side).orderBy(F.col("num_dates").isNull(), "export_name"))
     if cmp is not None:
-        cmp.orderBy("export_name").show(1000, False)
+        _print_rows(cmp.orderBy("export_name"))
     return 0
 
 
@@ -193,7 +201,7 @@ def cmd_retention(spark, args) -> int:
     from parcel.operators.inventory import retention_candidates
 
     as_of = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
-    old = retention_candidates(list_objects(spark, args.source, args.prefix or "", distributed=args.distributed),
+    old = retention_candidates(list_objects(spark, args.source, args.prefix or ""),
                                as_of, days=args.days)
     listed = old.select(location("bucket", "key").alias("uri"), "size", "age_days")
     if args.out:
@@ -230,6 +238,7 @@ def build_parser() -> argparse.ArgumentParser:
     b.add_argument("--tables")
     b.add_argument("--view", action="append")
     b.add_argument("--override", action="append")
+    b.add_argument("--date-column", help="column on which the queries select their interval: one scan for all dates")
     b.set_defaults(fn=cmd_backfill)
 
     tr = sub.add_parser("transfer", help="deliver the files of one source URI")
@@ -244,6 +253,7 @@ def build_parser() -> argparse.ArgumentParser:
     ve.add_argument("--uri", required=True)
     ve.add_argument("--target", required=True)
     ve.add_argument("--export-name", required=True)
+    ve.add_argument("--names", help="folder for the complete lists (JSON lines: every name with its state)")
     ve.set_defaults(fn=cmd_verify)
 
     s = sub.add_parser("summary", help="storage summary of a source and/or target area")
@@ -251,7 +261,6 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--target", help="flat landing folder (shard-named files)")
     s.add_argument("--export", help="only this export")
     s.add_argument("--json", action="store_true")
-    s.add_argument("--distributed", action="store_true", help="list the source on the executors")
     s.set_defaults(fn=cmd_summary)
 
     m = sub.add_parser("missing", help="list source files missing in the target folder")
@@ -276,7 +285,6 @@ def build_parser() -> argparse.ArgumentParser:
     rt.add_argument("--days", type=int, default=30)
     rt.add_argument("--as-of", help="reference time (default: now, UTC)")
     rt.add_argument("--out", help="folder for the sorted URI list")
-    rt.add_argument("--distributed", action="store_true")
     rt.set_defaults(fn=cmd_retention)
     return p
 

@@ -7,12 +7,13 @@ driver (a pattern is a parameter, not data).
 
 from __future__ import annotations
 
-import fnmatch
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed pattern: shard file names look like  name_YYYYMMDD-<digits>.<ext>
+# (spelled with character classes, so one text serves Java's and DuckDB's regexes)
 SHARD_NAME_PATTERN = r"^(.+?)_([0-9]{8})-[0-9]+[.]"
 
 _URI = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)(/(.*))?$"
@@ -83,28 +84,74 @@ def shard_fields(filename) -> Column:
     )
 
 
-def glob_to_regex(pattern: str) -> str:
-    """I4 helper: a case-sensitive shell glob (``* ? [seq] [!seq]``) as an
-    anchored Java regex for ``rlike``. ``\\Z`` becomes ``\\z`` because Java's
-    ``\\Z`` also accepts a trailing line break."""
-    return "^" + fnmatch.translate(pattern).replace("\\Z", "\\z")
+def _glob_set(body: str) -> str:
+    """The inside of ``[...]`` as a Java character class. Java gives ``[``,
+    ``&``, ``^`` and more a meaning there, so every literal is escaped."""
+    negated, body = body[:1] == "!", body[1:] if body[:1] == "!" else body
+    out, i = [], 0
+    while i < len(body):
+        if i + 2 < len(body) and body[i + 1] == "-":
+            low, high = body[i], body[i + 2]
+            if low <= high:  # an empty range matches nothing
+                out.append(f"{_literal(low)}-{_literal(high)}")
+            i += 3
+        else:
+            out.append(_literal(body[i]))
+            i += 1
+    if not out:
+        return "." if negated else "(?!)"
+    return f"[{'^' if negated else ''}{''.join(out)}]"
 
 
-def split_listing(prefix: str, pattern: str | None = None) -> tuple[str, str | None]:
-    """I4: where to list and which basename glob to apply.
+def _literal(char: str) -> str:
+    return char if char.isalnum() else f"\\x{{{ord(char):x}}}"
 
-    With a ``*`` in ``prefix``, listing stops at the last ``/`` before the
-    first ``*`` and the rest of the prefix becomes the glob (``pattern`` is
-    then ignored); a glob containing ``/`` can never match a basename.
-    Without ``*``, the prefix is a plain string prefix and ``pattern`` the glob.
-    """
-    star = prefix.find("*")
-    if star < 0:
-        return prefix, pattern
-    cut = prefix.rfind("/", 0, star)
-    if cut < 0:
-        return "", prefix
-    return prefix[: cut + 1], prefix[cut + 1:]
+
+def glob_to_regex(pattern: str) -> str:
+    """I4 helper: a case-sensitive shell glob (``* ? [seq] [!seq]``) as an
+    anchored Java regex for ``rlike``. A ``[`` that is never closed is itself."""
+    out, i = [], 0
+    while i < len(pattern):
+        char = pattern[i]
+        i += 1
+        if char == "*":
+            out.append(".*")
+        elif char == "?":
+            out.append(".")
+        elif char == "[":
+            first = i + (pattern[i : i + 1] == "!")
+            close = pattern.find("]", first + 1)  # a ']' that comes first is a member
+            if close < 0:
+                out.append(_literal(char))
+            else:
+                out.append(_glob_set(pattern[i:close]))
+                i = close + 1
+        else:
+            out.append(_literal(char))
+    return f"(?s)\\A{''.join(out)}\\z"
+
+
+@dataclass(frozen=True)
+class ListingRule:
+    """I4: where a listing starts and which objects it keeps. Only ``*`` makes
+    a glob of a prefix; ``[ { ?`` are then part of the glob, and are plain
+    characters in a prefix without one."""
+
+    prefix: str
+    glob: str | None
+
+    @classmethod
+    def parse(cls, text: str, pattern: str | None = None) -> "ListingRule":
+        literal, star, _ = text.partition("*")
+        if not star:
+            return cls(text, pattern)
+        folder = literal[: literal.rindex("/") + 1] if "/" in literal else ""
+        return cls(folder, text.removeprefix(folder))
+
+    @property
+    def folder(self) -> str:
+        """The deepest folder that the prefix names in full."""
+        return self.prefix[: self.prefix.rfind("/")] if "/" in self.prefix else ""
 
 
 def glob_match(filename, pattern: str) -> Column:
@@ -122,13 +169,6 @@ def object_uri(scheme: str, bucket, key) -> Column:
     return F.concat(F.lit(f"{scheme}://"), _c(bucket), F.lit("/"), _c(key))
 
 
-def prefixed_uri(scheme: str, bucket: str, prefix: str | None, name) -> Column:
-    """F3 as the reference assembles it: ``scheme://bucket/prefix/name``, or
-    ``scheme://bucket/name`` without a prefix."""
-    head = f"{scheme}://{bucket}/" + (f"{prefix}/" if prefix else "")
-    return F.concat(F.lit(head), _c(name))
-
-
 def target_dir(base: str, date: str | None = None, export_name: str | None = None) -> str:
     """``base[/date][/export]`` (driver-side parameter)."""
     out = base.rstrip("/") or "/"

@@ -13,7 +13,8 @@ a copy is I/O, not a relational expression). Each copy:
 * retries I/O errors with exponential back-off (5 attempts, 1..30 s); a
   missing source is reported at once;
 * reports one delivery-log row: sizes on both sides, status, attempts,
-  error text (first 2000 characters), seconds and MB/s.
+  error text, seconds and MB/s. A copy whose size differs from its source's is
+  an error that is retried, never ``ok``.
 
 The log is written once to the shared checkpoint folder and read back, so
 copies happen exactly once per successful task however often the log is
@@ -22,6 +23,7 @@ queried afterwards.
 
 from __future__ import annotations
 
+import heapq
 import time
 import uuid
 from dataclasses import dataclass
@@ -50,7 +52,6 @@ DELIVERY_LOG_SCHEMA = T.StructType([
 
 WORK_LIST_SCHEMA = "source_uri string, filename string, size bigint"
 
-ERROR_CHARS = 2000
 CHUNK = 8 << 20
 
 
@@ -122,7 +123,7 @@ def _copy_file(src_uri: str, target_dir: str, filename: str, job: str, partition
             pass
     info = sfs.get_file_info(spath)
     if info.type.name != "File":
-        raise SourceMissing(f"File not found: {src_uri}")
+        raise SourceMissing(f"no such source: {src_uri}")
     tmp = _temp_name(dpath, job, partition, attempt, filename)
     final = f"{dpath.rstrip('/')}/{filename}"
     try:
@@ -134,6 +135,9 @@ def _copy_file(src_uri: str, target_dir: str, filename: str, job: str, partition
                 if not chunk:
                     break
                 writer.write(chunk)
+        read, wrote = int(info.size or 0), int(dfs.get_file_info(tmp).size or 0)
+        if read != wrote:
+            raise OSError(f"{src_uri} has {read} bytes, its copy {wrote}")
         dfs.move(tmp, final)
     finally:
         try:
@@ -183,7 +187,7 @@ def _copier(target_dir: str, policy: RetryPolicy, stop_on_failure: bool, job: st
                 ok = error is None
                 rate = (src_size / seconds / 1048576.0) if ok and seconds > 0 else None
                 rows.append((name, uri, src_size, dst_size, "ok" if ok else "failed", attempt,
-                             None if ok else error[:ERROR_CHARS], seconds, rate))
+                             None if ok else error, seconds, rate))
                 if not ok and stop_on_failure:
                     stopped = True
             yield pd.DataFrame(rows, columns=[f.name for f in DELIVERY_LOG_SCHEMA.fields]).astype(
@@ -204,63 +208,80 @@ def deliver(
     """Copy every work-list file into ``target_dir`` and return the
     (materialised) delivery log.
 
-    ``mode="parallel"`` (D4): files are hash-spread by name over ``workers``
-    tasks (default: up to four per core, at most one per file); files with
-    the same name are copied by one task in source order (last key wins);
-    every file is tried, then the
-    driver raises if any failed (unless ``raise_on_failure=False``).
+    ``mode="parallel"`` (D4): files are spread over ``workers`` tasks (default:
+    four per core) by their sizes; every file is tried, then the driver raises
+    if any failed (unless ``raise_on_failure=False``).
 
     ``mode="ordered"`` (D3): files are range-partitioned by name over
-    ``workers`` tasks (default 1: one worker, one name-ordered pass, as in
-    the reference) and each task stops at its first failure; the rest of its
-    files are logged as ``skipped``.
+    ``workers`` tasks, which has to be given (1: one pass in name order, as one
+    stream copies). Each range stops at its first failure and logs the rest of
+    its files as ``skipped``; the other ranges go on.
+
+    Of several sources with one name the last in key order is copied, the rule
+    that reconciliation applies; the others are logged as ``superseded``.
     """
     spark = work.sparkSession
     ship_package(spark)
     files.makedirs(target_dir)  # D6/D7: one mkdirs; fails early if not writable
+    last = work.groupBy("filename").agg(F.max("source_uri").alias("last_uri"))
+    ruled = work.join(last, "filename")
+    chosen = ruled.where(F.col("source_uri") == F.col("last_uri")).drop("last_uri")
+    superseded = ruled.where(F.col("source_uri") != F.col("last_uri"))
     if mode == "parallel":
-        # Up to four tasks per core, so a core that drew a very large file
-        # does not hold back the rest (idle cores pull the remaining tasks);
-        # never more tasks than files, so a few files on a large cluster do
-        # not launch thousands of empty tasks.
-        n = workers or max(1, min(4 * spark.sparkContext.defaultParallelism, work.count()))
-        # Same-named files (from different source folders) share a task and
-        # are copied in source order, so the last key wins deterministically,
-        # the rule reconciliation applies; names are near-unique, so hashing
-        # on them spreads the work evenly.
-        shaped = work.repartition(n, "filename").sortWithinPartitions("filename", "source_uri")
+        n = workers or 4 * spark.sparkContext.defaultParallelism
+        shaped = _spread(chosen, n)
         stop = False
     elif mode == "ordered":
-        shaped = work.repartitionByRange(workers or 1, "filename").sortWithinPartitions("filename", "source_uri")
+        if not workers:
+            raise ValueError("ordered mode needs a number of workers (1 for a single stream)")
+        shaped = chosen.repartitionByRange(workers, "filename").sortWithinPartitions("filename", "source_uri")
         stop = True
     else:
         raise ValueError("mode must be 'parallel' or 'ordered'")
     log_path = scratch_dir(spark, "delivery-log")
     job = uuid.uuid4().hex[:12]
     speculative = spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true"
-    (
-        shaped.select("source_uri", "filename")
-        .mapInPandas(_copier(target_dir, policy, stop, job, not speculative), DELIVERY_LOG_SCHEMA)
-        .write.mode("errorifexists")
-        .parquet(log_path)
-    )
+    copied = shaped.select("source_uri", "filename").mapInPandas(
+        _copier(target_dir, policy, stop, job, not speculative), DELIVERY_LOG_SCHEMA)
+    passed = superseded.select("filename", "source_uri", F.lit("superseded").alias("status"), F.lit(0).alias("attempts"))
+    copied.unionByName(passed, allowMissingColumns=True).write.mode("errorifexists").parquet(log_path)
     log = spark.read.schema(DELIVERY_LOG_SCHEMA).parquet(log_path)
     if raise_on_failure:
-        bad = log.where(F.col("status") != "ok").count()
+        bad = log.where(~F.col("status").isin("ok", "superseded")).count()
         if bad:
-            total = log.count()
-            raise DeliveryError(f"Transfer failed: {bad}/{total} files failed to upload", log)
+            raise DeliveryError(f"{bad} of {log.count()} files were not delivered", log)
     return log
 
 
+#: Slices of the names that are dealt to workers, for each worker.
+SLICES = 16
+
+
+def _spread(work: DataFrame, workers: int) -> DataFrame:
+    """Partitions of about equal bytes: names fall into slices by hash, and
+    slices go, largest first, to the worker with the least so far. A file of
+    unknown size counts as one byte."""
+    slice_ = F.pmod(F.xxhash64("filename"), F.lit(SLICES * workers))
+    sums = work.groupBy(slice_.alias("slice")).agg(F.sum(F.greatest(F.coalesce("size", F.lit(1)), F.lit(1))).alias("bytes"))
+    heap = [(0, w) for w in range(workers)]
+    worker = [0] * (SLICES * workers)
+    for s, size in sorted(sums.collect(), key=lambda r: (-r["bytes"], r["slice"])):  # a row for each slice
+        held, w = heapq.heappop(heap)
+        worker[s] = w
+        heapq.heappush(heap, (held + size, w))
+    dealt = work.withColumn("_worker", F.element_at(F.array(*[F.lit(w) for w in worker]), (slice_ + 1).cast("int")))
+    return dealt.repartitionByRange(workers, "_worker").drop("_worker")
+
+
 def delivery_counts(log: DataFrame) -> DataFrame:
-    """Attempted / succeeded / failed (and skipped) file counts, plus the
+    """Attempted / succeeded / failed (skipped, superseded) file counts, plus the
     copy attempts spent."""
     return log.agg(
         F.count(F.lit(1)).alias("attempted"),
         F.count_if(F.col("status") == "ok").alias("succeeded"),
         F.count_if(F.col("status") == "failed").alias("failed"),
         F.count_if(F.col("status") == "skipped").alias("skipped"),
+        F.count_if(F.col("status") == "superseded").alias("superseded"),
         F.coalesce(F.sum("attempts"), F.lit(0)).cast("bigint").alias("attempts"),
     )
 
@@ -298,9 +319,9 @@ def deliver_uri(
     started = time.time()
     inv = list_objects(spark, root, prefix, pattern)
     if inv.isEmpty():
-        raise FileNotFoundError(f"No files found for export '{export_name}' at '{root}/{prefix}'")
+        raise FileNotFoundError(f"export {export_name}: nothing to deliver under {root}/{prefix}")
     log = deliver(work_list(inv), target_dir, mode=mode, workers=workers, policy=policy)
-    row = log.agg(
+    row = log.where("status = 'ok'").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.coalesce("source_size", F.lit(0).cast("bigint"))).alias("b"),
         F.max("filename").alias("only"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcel.functions.params import Interval, _as_datetime
+from parcel.functions.params import _as_datetime
 
 
 def _day(value) -> dt.date:
@@ -50,20 +50,6 @@ def single_day(df: DataFrame, ts_column: str, day) -> DataFrame:
     return df.where(_day_range(df, ts_column, d, d))
 
 
-def in_interval(df: DataFrame, ts_column: str, interval: Interval) -> DataFrame:
-    """Rows with ``start <= ts < end`` (a run's data interval)."""
-    c = F.col(ts_column)
-    start, end = interval.start.replace(tzinfo=None), interval.end.replace(tzinfo=None)
-    if isinstance(df.schema[ts_column].dataType, T.TimestampType):
-        return df.where((c >= F.lit(start).cast("timestamp")) & (c < F.lit(end).cast("timestamp")))
-    return df.where((c >= F.lit(start)) & (c < F.lit(end)))
-
-
-def columns(df: DataFrame, *names: str) -> DataFrame:
-    """Q3: column subset; Catalyst prunes the rest from the scan."""
-    return df.select(*names)
-
-
 def lookback_runs(df: DataFrame, date_column: str, first_end, last_end, days: int = 7) -> DataFrame:
     """Q8 for look-back exports: every row tagged with each run date whose
     window contains it, for runs ending ``first_end .. last_end``.

@@ -3,19 +3,17 @@
 
 Inputs are inventories with at least ``filename`` and ``size`` (the source
 side also ``key`` and, for per-export verdicts, ``export_name``). Names are
-compared by basename, as files land in one flat target folder.
+compared by basename, as files land in one flat target folder, and within an
+export: two exports may hold the same names.
 
 Scale notes
 -----------
-* Both sides are first reduced to one row per name (hash aggregate with
-  map-side partial aggregation), so every join below is key-unique and
-  Catalyst/AQE is free to pick broadcast or sort-merge at run time.
-* Per-export results never gather an export's file names into one task:
-  counts are partial aggregates, and name samples are ``row_number() <= n``
-  filters, which Spark plans as a partial ``WindowGroupLimit`` before the
-  shuffle, so each map task forwards at most ``n`` names per export.
-* The full name lists are the row-shaped DataFrames (``missing_on_target``
-  and friends); arrays in the verdict only carry the first ``n`` names.
+* The source is shuffled and sorted by name once. Repeated names, the join with
+  the target and the per-name state all use that order.
+* ``classify`` is the complete relation: every name with its state. ``verdict``
+  stores it once and takes counts and samples from there; neither gathers an
+  export's names into one task, as the samples are first names under a constant
+  bound (a partial ``WindowGroupLimit`` before the shuffle).
 """
 
 from __future__ import annotations
@@ -24,9 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed sample sizes for the verdict arrays: first names expected on the
-# target, present there, missing, and with a size mismatch.
-SAMPLES = {"source_files": 3, "target_files": 3, "missing_on_target": 10, "size_mismatches": 5}
+from parcel.session import stored
+
+# Sizes of the samples (O3): the first names of the source, of those present on
+# the target, missing there, and with another size there. The complete lists
+# are the rows of ``classify``.
+SAMPLES = {"source_sample": 3, "target_sample": 3, "missing_sample": 10, "mismatch_sample": 5}
 
 MISMATCH_TYPE = T.ArrayType(T.StructType([
     T.StructField("filename", T.StringType()),
@@ -35,30 +36,28 @@ MISMATCH_TYPE = T.ArrayType(T.StructType([
 ]))
 
 
+def _name_key(df: DataFrame) -> list[str]:
+    return ["filename", *(["export_name"] if "export_name" in df.columns else [])]
+
+
 def dedupe_source(src: DataFrame) -> DataFrame:
-    """U4 + duplicate basenames: one row per ``filename``; the size (and
-    export) of the object with the greatest key wins, i.e. the last one a
-    listing in key order returns."""
-    has_key = "key" in src.columns
-    order = F.col("key") if has_key else F.col("filename")
-    aggs = [F.max_by("size", order).alias("size")]
-    if "export_name" in src.columns:
-        aggs.append(F.max_by("export_name", order).alias("export_name"))
-    if has_key:
-        aggs.append(F.max("key").alias("key"))
-    return src.groupBy("filename").agg(*aggs)
+    """U4 + duplicate basenames: one row per ``filename`` (and export); the
+    object with the greatest key wins, the last one of a listing in key order."""
+    columns = [*_name_key(src), "size", *(["key"] if "key" in src.columns else [])]
+    order = [F.col(c) for c in ("key", "size") if c in columns]
+    later = F.lead(F.lit(1)).over(Window.partitionBy(*_name_key(src)).orderBy(*order))
+    return src.select(*columns, later.alias("_later")).where("_later is null").drop("_later")
 
 
 def dedupe_target(tgt: DataFrame) -> DataFrame:
     """One row per target name. Names in a flat folder are unique already;
-    should an inventory repeat one, the largest size is kept. ``max`` of a
-    number is a hash aggregate (no sort), unlike ordering by the key text."""
+    should an inventory repeat one, the largest size is kept."""
     return tgt.groupBy("filename").agg(F.max("size").alias("size"))
 
 
 def missing_on_target(src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Source names absent from the target."""
-    return dedupe_source(src).join(tgt.select("filename"), "filename", "left_anti")
+    """Source names absent from the target. Only these are deduplicated."""
+    return dedupe_source(src.join(tgt.select("filename"), "filename", "left_anti"))
 
 
 def extra_on_target(src: DataFrame, tgt: DataFrame) -> DataFrame:
@@ -104,7 +103,7 @@ def classify(src: DataFrame, tgt: DataFrame) -> DataFrame:
     state = F.when(~on, "missing").when(~match, "mismatch").otherwise("ok")
     return j.select(
         "filename",
-        *(["export_name"] if "export_name" in s.columns else []),
+        *[c for c in ("export_name", "key") if c in s.columns],
         "source_size", "target_size", on.alias("on_target"), match.alias("size_match"), state.alias("state"),
     )
 
@@ -125,7 +124,8 @@ def verdict(
     samples: dict[str, int] | None = None,
     include_extra: bool = False,
 ) -> DataFrame:
-    """A5: one row per export (or one row overall).
+    """A5: one row per export (or one row overall): counts, outcome and the
+    samples of ``SAMPLES``. The names themselves are the rows of ``classify``.
 
     ``exports`` (names or a DataFrame with ``export_name``) drives the rows,
     so an export without source files still gets a row with
@@ -147,7 +147,7 @@ def verdict(
         name = label if label is not None else ""
         src = src.withColumn("export_name", F.lit(name))
         exports = [name] if exports is None else exports
-    c = classify(src, tgt)
+    c = stored(classify(src, tgt), "classified")
 
     counts = c.groupBy("export_name").agg(
         F.count(F.lit(1)).alias("source_file_count"),
@@ -156,34 +156,24 @@ def verdict(
         F.count_if(F.col("state") == "mismatch").alias("mismatch_count"),
     )
 
-    # First-n names per (export, list): one row per list membership, ranked
-    # by name; the constant bound lets Spark cut each map task's output.
-    lists = F.array(
-        F.lit("source_files"),
-        F.when(F.col("on_target"), F.lit("target_files")),
-        F.when(F.col("state") == "missing", F.lit("missing_on_target")),
-        F.when(F.col("state") == "mismatch", F.lit("size_mismatches")),
-    )
-    member = c.select("export_name", "filename", "source_size", "target_size",
-                      F.explode(F.array_compact(lists)).alias("list"))
-    w = Window.partitionBy("export_name", "list").orderBy("filename")
-    limit = None
-    for k, n in sizes.items():
-        limit = F.when(F.col("list") == k, F.lit(n)) if limit is None else limit.when(F.col("list") == k, F.lit(n))
-    top = (
-        member.withColumn("rn", F.row_number().over(w))
-        .where(F.col("rn") <= max(sizes.values()))
-        .where(F.col("rn") <= limit)
-    )
+    by_name = Window.partitionBy("export_name").orderBy("filename")
+
+    def first(member, size: int, value, name: str) -> DataFrame:
+        ranked = c.where(member).withColumn("rn", F.row_number().over(by_name)).where(F.col("rn") <= size)
+        return ranked.groupBy("export_name").agg(F.sort_array(F.collect_list(value)).alias(name))
+
     mism = F.struct("filename", "source_size", "target_size")
-    sample = top.groupBy("export_name").agg(
-        *[F.sort_array(F.collect_list(F.when(F.col("list") == k, F.col("filename")))).alias(k)
-          for k in ("source_files", "target_files", "missing_on_target")],
-        F.sort_array(F.collect_list(F.when(F.col("list") == "size_mismatches", mism))).alias("size_mismatches"),
-    )
+    picks = [
+        first(F.lit(True), sizes["source_sample"], F.col("filename"), "source_sample"),
+        first(F.col("on_target"), sizes["target_sample"], F.col("filename"), "target_sample"),
+        first(F.col("state") == "missing", sizes["missing_sample"], F.col("filename"), "missing_sample"),
+        first(F.col("state") == "mismatch", sizes["mismatch_sample"], mism, "mismatch_sample"),
+    ]
 
     base = _export_frame(spark, exports) if exports is not None else counts.select("export_name")
-    out = base.join(counts, "export_name", "left").join(sample, "export_name", "left")
+    out = base.join(counts, "export_name", "left")
+    for pick in picks:
+        out = out.join(pick, "export_name", "left")
     extra_cols = []
     if include_extra:
         from parcel.functions.paths import shard_fields
@@ -207,10 +197,8 @@ def verdict(
         F.coalesce("target_file_count", zero).alias("target_file_count"),
         miss_n.alias("missing_count"),
         mism_n.alias("mismatch_count"),
-        F.coalesce("source_files", empty).alias("source_files"),
-        F.coalesce("target_files", empty).alias("target_files"),
-        F.coalesce("missing_on_target", empty).alias("missing_on_target"),
-        F.coalesce("size_mismatches", F.array().cast(MISMATCH_TYPE)).alias("size_mismatches"),
+        *[F.coalesce(n, empty).alias(n) for n in ("source_sample", "target_sample", "missing_sample")],
+        F.coalesce("mismatch_sample", F.array().cast(MISMATCH_TYPE)).alias("mismatch_sample"),
         (src_n == 0).alias("no_files_found"),
         F.when(src_n == 0, "no_files").when(in_sync, "ok").otherwise("out_of_sync").alias("outcome"),
         *extra_cols,

@@ -32,8 +32,9 @@ def per_date(inv: DataFrame) -> DataFrame:
     )
 
 
-def _stats(grouped) -> DataFrame:
+def _stats(grouped, *more) -> DataFrame:
     return grouped.agg(
+        *more,
         F.min("folder_date").alias("oldest_date"),
         F.max("folder_date").alias("newest_date"),
         F.count(F.lit(1)).alias("num_dates"),
@@ -42,8 +43,9 @@ def _stats(grouped) -> DataFrame:
     )
 
 
-def _derived(df: DataFrame) -> DataFrame:
+def _derived(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
+        *more,
         "export_name", "oldest_date", "newest_date", "num_dates", "total_files", "total_size",
         (F.col("total_files") / F.col("num_dates")).alias("avg_files_per_date"),
         F.when(F.col("total_files") > 0, F.col("total_size") / F.col("total_files"))
@@ -61,11 +63,11 @@ def storage_summary(inv: DataFrame) -> DataFrame:
 def storage_summary_with_total(inv: DataFrame) -> DataFrame:
     """A1 + A3: the per-export rows plus a ``TOTAL`` row (``rollup``) that
     carries only the file and byte totals."""
-    rolled = _stats(per_date(inv).rollup("export_name"))
-    # rollup's grand-total row is the one with a NULL grouping key; export
-    # names are never NULL (they come from non-null key parts).
-    d = _derived(rolled.withColumn("export_name", F.coalesce("export_name", F.lit(TOTAL_LABEL))))
-    is_total = F.col("export_name") == TOTAL_LABEL
+    rolled = _stats(per_date(inv).rollup("export_name"), F.grouping("export_name").alias("is_total"))
+    # an export may itself be called TOTAL, so the grouping tells the rows apart
+    is_total = F.col("is_total") == 1
+    rolled = rolled.withColumn("export_name", F.when(is_total, F.lit(TOTAL_LABEL)).otherwise(F.col("export_name")))
+    d = _derived(rolled, "is_total")
     keep = lambda c: F.when(~is_total, F.col(c))
     return d.select(
         "export_name",
@@ -101,16 +103,16 @@ def compare_sides(source_summary: DataFrame, target_summary: DataFrame) -> DataF
                     ss.alias("source_size"), ts.alias("target_size"), status.alias("status"))
 
 
-def transfer_totals(inv: DataFrame, destination_dir: str | None = None) -> DataFrame:
-    """A4 + D10: file count, bytes (unknown sizes count 0), MB to 2 dp, and
+def transfer_totals(inv: DataFrame, destination_dir: str | None = None, per_export: bool = False) -> DataFrame:
+    """A4 + D10, overall or ``per_export``: file count, bytes (unknown sizes count 0), MB to 2 dp, and
     the destination label (``dir/file`` for one file, ``dir/`` otherwise)."""
-    agg = inv.agg(
+    agg = (inv.groupBy("export_name") if per_export else inv.groupBy()).agg(
         F.count(F.lit(1)).alias("files_transferred"),
         F.sum(F.coalesce(F.col("size"), F.lit(0).cast("bigint"))).alias("total_bytes"),
         F.max("filename").alias("_only"),
     )
     total = F.coalesce(F.col("total_bytes"), F.lit(0).cast("bigint"))
-    cols = [F.col("files_transferred"), total.alias("total_bytes"), size_mb(total).alias("total_mb")]
+    cols = [*(["export_name"] if per_export else []), F.col("files_transferred"), total.alias("total_bytes"), size_mb(total).alias("total_mb")]
     if destination_dir is not None:
         d = destination_dir.rstrip("/")
         cols.append(

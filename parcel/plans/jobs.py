@@ -20,13 +20,13 @@ from parcel.functions.params import ExportSpec, Interval
 from parcel.functions.sizes import truncate
 from parcel.operators.deliver import RetryPolicy, deliver, delivery_counts, work_list
 from parcel.operators.extract import _day, lookback_runs
-from parcel.operators.reconcile import missing_on_target, verdict
+from parcel.operators.reconcile import classify, extra_on_target, missing_on_target, verdict
 from parcel.operators.summary import compare_sides, storage_summary
 from parcel.sinks.export import ExportResult, write_export, write_partitioned_export
 from parcel.operators.inventory import with_layout
 from parcel.sinks.lists import write_uri_list
 from parcel.sources.inventory import list_flat, list_folders, list_objects, read_uri_list
-from parcel.sources.query import run_query, run_spec
+from parcel.sources.query import run_spec
 
 PIPELINE_SCHEMA = (
     "export_name string, folder_date string, source_path string, rows_exported bigint, "
@@ -86,24 +86,34 @@ def backfill(
     last_end,
     root: str,
     shards_per_date=None,
+    date_column: str | None = None,
 ) -> list[ExportResult]:
     """Q8 for any export query: the daily runs ending ``first_end ..
-    last_end`` become one Spark job. Each day's query is bound with that day's
-    interval and tagged with its folder date; the union is written once with
-    ``partitionBy(folder_date)`` and published as plain date folders."""
+    last_end`` become one Spark job, written once with
+    ``partitionBy(folder_date)`` and published as plain date folders.
+
+    With ``date_column``, the query has to select its interval
+    (``data_interval_start`` to ``data_interval_end``) on that column; it is
+    then run once for the whole range, and each row goes to the run of its
+    day. Without, each day's query is bound on its own (a scan for each)."""
     first, last = _day(first_end), _day(last_end)
     if first > last:
         raise ValueError("backfill range is empty")
-    parts, dates = [], []
-    day = first
-    while day <= last:
-        iv = Interval.ending(day, days=1)
-        parts.append(run_spec(spark, spec, iv).withColumn("folder_date", F.lit(iv.folder_date)))
-        dates.append(iv.folder_date)
-        day += dt.timedelta(days=1)
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    runs = [Interval.ending(day, days=1) for day in days]
+    dates = [iv.folder_date for iv in runs]
+    if date_column is not None:
+        # one scan: the query over the whole range, each row tagged with the
+        # one run whose day it has
+        whole = run_spec(spark, spec, Interval(runs[0].start, runs[-1].end))
+        tagged = lookback_runs(whole, date_column, runs[0].ds, runs[-1].ds, days=0)
+        ended = F.date_format(F.date_add(F.to_date("folder_date", "yyyyMMdd"), 1), "yyyyMMdd")
+        union = tagged.withColumn("folder_date", ended)
+    else:
+        parts = [run_spec(spark, spec, iv).withColumn("folder_date", F.lit(iv.folder_date)) for iv in runs]
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
     return write_partitioned_export(union, root, spec.name, spec.format, spec.compression,
                                     shards_per_date=shards_per_date, expected_dates=dates)
 
@@ -150,7 +160,7 @@ def _deliver_and_verify(spark, rows, exported, source_root, target_dir, folder_d
                   raise_on_failure=False)
     uris = src.select(paths.location("bucket", "key").alias("source_uri"), "export_name")
     per_export = log.join(uris, "source_uri").groupBy("export_name").agg(
-        F.count(F.lit(1)).alias("files_tried"),
+        F.count_if(F.col("status") != "superseded").alias("files_tried"),
         F.count_if(F.col("status") == "ok").alias("files_ok"),
         F.min("error").alias("first_error"),
     )
@@ -163,8 +173,7 @@ def _deliver_and_verify(spark, rows, exported, source_root, target_dir, folder_d
         failed = (r["files_tried"] or 0) - (r["files_ok"] or 0)
         if failed:
             row.outcome = "error"
-            row.error = (f"DeliveryError: Transfer failed: {failed}/{r['files_tried']} files failed "
-                         f"to upload: {r['first_error']}")
+            row.error = f"{failed} of {r['files_tried']} files were not delivered; first: {r['first_error']}"
 
 
 def run_pipeline(
@@ -188,7 +197,8 @@ def run_pipeline(
     one grouped verdict, so the cluster works on all exports at once. A
     failure stays with its export: an export whose query or write fails, or
     any of whose files cannot be delivered, gets ``outcome = 'error'`` and the
-    first 200 characters of the message; the others are unaffected.
+    full text in ``error`` and its first 200 characters (F4) in ``message``;
+    the others are unaffected.
     """
     folder_date = interval.folder_date
     active = active_specs(specs, overrides)
@@ -220,7 +230,7 @@ def run_pipeline(
                 rows[name].outcome, rows[name].error = "error", f"{type(exc).__name__}: {exc}"
 
     df = spark.createDataFrame([tuple(vars(rows[s.name]).values()) for s in active], PIPELINE_SCHEMA)
-    return df.withColumn("error", truncate("error", MESSAGE_CHARS))
+    return df.withColumn("message", truncate("error", MESSAGE_CHARS))
 
 
 def verify_uri(
@@ -234,12 +244,26 @@ def verify_uri(
 ) -> DataFrame:
     """A5 for one source location: the files under ``root``/``prefix`` (the
     prefix and glob rules of S2) against the flat ``target_dir``. One row:
-    counts, sorted name samples, ``in_sync``, ``no_files_found`` and the
+    counts, sorted name samples (``verify_names`` has every name), ``in_sync``, ``no_files_found`` and the
     ``outcome`` (``ok`` / ``no_files`` / ``out_of_sync``)."""
     src = list_objects(spark, root, prefix, pattern)
     return verdict(src, list_flat(spark, target_dir), label=export_name, include_extra=include_extra)
 
 
+def verify_names(
+    spark: SparkSession, root: str, prefix: str, target_dir: str, pattern: str | None = None
+) -> DataFrame:
+    """The complete lists behind ``verify_uri``: every source name with
+    ``source_uri``, both sizes, ``on_target`` and ``state`` (``ok``, ``missing``,
+    ``mismatch``), and every other target name with the state ``extra``."""
+    src, tgt = list_objects(spark, root, prefix, pattern), list_flat(spark, target_dir)
+    named = src.select("filename", "size", paths.location("bucket", "key").alias("key"))
+    known = classify(named, tgt).withColumnRenamed("key", "source_uri")
+    extra = extra_on_target(src, tgt).select(
+        "filename", F.col("size").alias("target_size"), F.lit(True).alias("on_target"), F.lit("extra").alias("state"))
+    return known.drop("size_match").unionByName(extra, allowMissingColumns=True)
+
+
 def find_missing(src: DataFrame, target_inv: DataFrame) -> DataFrame:
     """P2 step 1 (J1 + F3): missing files with their real source URI (the
     object's own key, not prefix + basename)."""
@@ -283,12 +307,7 @@ def report(source_inv: DataFrame | None, target_inv: DataFrame | None):
     return s, t, (compare_sides(s, t) if both else None)
 
 
-def run_sql(spark: SparkSession, query: str, interval: Interval | None = None) -> DataFrame:
-    """S1 convenience re-export."""
-    return run_query(spark, query, interval)
-
-
 __all__ = [
     "active_specs", "run_exports", "backfill", "lookback_backfill", "run_pipeline", "verify_uri",
-    "find_missing", "missing_then_retry", "report", "run_sql",
+    "find_missing", "missing_then_retry", "report", "verify_names",
 ]

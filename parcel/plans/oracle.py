@@ -71,8 +71,7 @@ ORACLE_SQL: dict[str, str] = {
     "lookback_extract": "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) "
                         "BETWEEN DATE '1998-06-01' AND DATE '1998-06-08'",
     "single_day_extract": "SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-02'",
-    "column_subset_extract": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders "
-                             "WHERE CAST(o_orderdate AS DATE) = DATE '1998-06-01'",
+    "column_subset_extract": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "interval_extract": "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' "
                         "AND ts < TIMESTAMP '2024-01-03 00:00:00'",
     "full_export_roundtrip": "SELECT * FROM lineitem",
@@ -87,6 +86,8 @@ ORACLE_SQL: dict[str, str] = {
     "override_and_skip": """
       SELECT 'URGENT' AS export_name, count(*) AS rows_exported FROM orders WHERE o_orderpriority = '1-URGENT'
       UNION ALL
+      SELECT 'LOW', count(*) FROM orders WHERE o_orderpriority = '5-LOW'
+      UNION ALL
       SELECT 'HIGH', count(*) FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'""",
     "multi_export": f"SELECT {_EXPORT} AS export_name, count(*) AS rows_exported FROM orders GROUP BY 1",
     "backfill_range": """
@@ -136,6 +137,20 @@ ORACLE_SQL: dict[str, str] = {
       WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.filename = s.filename)"""),
     "extra_on_target": _with("""
       SELECT t.filename, t.size FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.filename = t.filename)"""),
+    "verify_names_full": _with("""
+      SELECT s.filename, s.export_name, s.size AS source_size, t.size AS target_size,
+             CASE WHEN t.filename IS NULL THEN 'missing' WHEN s.size IS DISTINCT FROM t.size THEN 'mismatch' ELSE 'ok' END AS state
+      FROM src_d s LEFT JOIN tgt t ON t.filename = s.filename
+      UNION ALL
+      SELECT t.filename, NULL, NULL, t.size, 'extra' FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.filename = t.filename)"""),
+    "sync_verdict_shared_names": _with(_verdict(["URGENT", "HIGH", "MEDIUM", "NOT_SPECIFIED", "LOW"], "same"), r"""
+      named AS (SELECT export_name, regexp_replace(filename, '^[A-Z_]+_([0-9]{8}-)', 'data_\1') AS filename, size,
+                       row_number() OVER (PARTITION BY export_name, regexp_replace(filename, '^[A-Z_]+_([0-9]{8}-)', 'data_\1') ORDER BY key DESC) AS rn
+                FROM src),
+      landed AS (SELECT regexp_replace(filename, '^[A-Z_]+_([0-9]{8}-)', 'data_\1') AS filename, max(size) AS size FROM tgt GROUP BY 1),
+      same AS (SELECT n.export_name, l.filename IS NOT NULL AS on_target,
+                      CASE WHEN l.filename IS NULL THEN 'missing' WHEN n.size IS DISTINCT FROM l.size THEN 'mismatch' ELSE 'ok' END AS state
+               FROM named n LEFT JOIN landed l ON l.filename = n.filename WHERE n.rn = 1)"""),
     "relevant_target": _with("""
       SELECT t.filename, t.size FROM tgt t WHERE EXISTS (SELECT 1 FROM src s WHERE s.filename = t.filename)"""),
     "size_mismatch": _with("SELECT filename, export_name, source_size, target_size FROM cls WHERE state = 'mismatch'"),
@@ -201,10 +216,10 @@ ORACLE_SQL: dict[str, str] = {
                   ELSE 'MISMATCH' END AS status
       FROM ({_summary("src")}) s FULL OUTER JOIN ({_summary("tsf")}) t ON s.export_name = t.export_name""", _TSF),
     "transfer_totals": _with("""
-      SELECT count(*) AS files_transferred, CAST(coalesce(sum(coalesce(size, 0)), 0) AS BIGINT) AS total_bytes,
+      SELECT export_name, count(*) AS files_transferred, CAST(coalesce(sum(coalesce(size, 0)), 0) AS BIGINT) AS total_bytes,
              round_even(CAST(coalesce(sum(coalesce(size, 0)), 0) AS DOUBLE) / 1048576.0, 2) AS total_mb,
-             CASE WHEN count(*) = 1 THEN '/landing/URGENT/' || max(filename) ELSE '/landing/URGENT/' END AS destination
-      FROM src WHERE export_name = 'URGENT'"""),
+             CASE WHEN count(*) = 1 THEN '/landing/' || max(filename) ELSE '/landing/' END AS destination
+      FROM src GROUP BY export_name"""),
     "summary_json": _with(f"""
       SELECT side, export_name,
              to_json(struct_pack(oldest_date := oldest_date, newest_date := newest_date, num_dates := num_dates,

@@ -21,12 +21,7 @@ from parcel.sources.inventory import filter_objects
 from parcel.sinks.lists import summary_json
 
 
-def _prep(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def _src_raw(spark, sf):
-    _prep(spark)
     return fixtures.source_inventory(spark, sf)
 
 
@@ -46,7 +41,6 @@ def inventory_layout(spark, sf) -> DataFrame:
 
 
 def shard_name_parse(spark, sf) -> DataFrame:
-    _prep(spark)
     return inv_ops.with_shard_fields(_tgt(spark, sf)).select("filename", "export_name", "folder_date")
 
 
@@ -57,7 +51,6 @@ def prefix_and_glob_filter(spark, sf) -> DataFrame:
 
 
 def uri_split(spark, sf) -> DataFrame:
-    _prep(spark)
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     p = pages.select("page_id", paths.split_uri("url").alias("u"))
     return p.select(
@@ -154,22 +147,39 @@ def sync_verdict_global(spark, sf) -> DataFrame:
 def sync_verdict_large(spark, sf) -> DataFrame:
     """A5 over one object per lineitem row, a third of them in one export:
     counts and the first missing names per export under a hot key."""
-    _prep(spark)
     src, tgt = fixtures.large_inventories(spark, sf)
     v = reconcile.verdict(inv_ops.with_layout(src), tgt)
-    return v.select(*VERDICT_COLUMNS, F.array_join("missing_on_target", "|").alias("missing_sample"))
+    return v.select(*VERDICT_COLUMNS, F.array_join("missing_sample", "|").alias("missing_sample"))
+
+
+def _shared_names(df: DataFrame) -> DataFrame:
+    """The same file names in every export: the export's part of a name goes."""
+    return df.withColumn("filename", F.regexp_replace("filename", "^[A-Z_]+_([0-9]{8}-)", "data_$1"))
+
+
+def sync_verdict_shared_names(spark, sf) -> DataFrame:
+    """A5 where all exports hold the same file names."""
+    return reconcile.verdict(_shared_names(_src(spark, sf)), _shared_names(_tgt(spark, sf))).select(*VERDICT_COLUMNS)
+
+
+def verify_names_full(spark, sf) -> DataFrame:
+    """A5 / O1: every name of both sides with its state."""
+    s, t = _src(spark, sf), _tgt(spark, sf)
+    known = reconcile.classify(s, t).select("filename", "export_name", "source_size", "target_size", "state")
+    extra = reconcile.extra_on_target(s, t).select("filename", F.col("size").alias("target_size"), F.lit("extra").alias("state"))
+    return known.unionByName(extra, allowMissingColumns=True)
 
 
 def sync_samples(spark, sf) -> DataFrame:
     v = reconcile.verdict(_src(spark, sf), _tgt(spark, sf))
-    mism = F.transform("size_mismatches", lambda x: F.concat_ws(
+    mism = F.transform("mismatch_sample", lambda x: F.concat_ws(
         ":", x["filename"], F.coalesce(x["source_size"].cast("string"), F.lit("null")),
         F.coalesce(x["target_size"].cast("string"), F.lit("null"))))
     return v.select(
         "export_name",
-        F.array_join("source_files", "|").alias("source_sample"),
-        F.array_join("target_files", "|").alias("target_sample"),
-        F.array_join("missing_on_target", "|").alias("missing_sample"),
+        F.array_join("source_sample", "|").alias("source_sample"),
+        F.array_join("target_sample", "|").alias("target_sample"),
+        F.array_join("missing_sample", "|").alias("missing_sample"),
         F.array_join(mism, "|").alias("mismatch_sample"),
     )
 
@@ -185,7 +195,6 @@ def storage_summary_total(spark, sf) -> DataFrame:
 
 
 def target_summary(spark, sf) -> DataFrame:
-    _prep(spark)
     return summary.storage_summary(inv_ops.with_shard_fields(_tgt(spark, sf)))
 
 
@@ -196,8 +205,7 @@ def side_comparison(spark, sf) -> DataFrame:
 
 
 def transfer_totals(spark, sf) -> DataFrame:
-    urgent = inv_ops.for_export(_src(spark, sf), "URGENT")
-    return summary.transfer_totals(urgent, "/landing/URGENT")
+    return summary.transfer_totals(_src(spark, sf), "/landing", per_export=True)
 
 
 def summary_json_rows(spark, sf) -> DataFrame:
@@ -241,6 +249,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sync_verdict_global": sync_verdict_global,
     "sync_samples": sync_samples,
     "sync_verdict_large": sync_verdict_large,
+    "sync_verdict_shared_names": sync_verdict_shared_names,
+    "verify_names_full": verify_names_full,
     # summaries
     "storage_summary": storage_summary,
     "storage_summary_total": storage_summary_total,

@@ -2,9 +2,12 @@
 
 Everything that must outlive a task (staged export shards, delivery logs,
 missing-file lists) goes under the folder the cluster names in
-``spark.checkpoint.dir``. That folder is shared by every executor; a
-machine-local temp folder is only used when the setting is absent, which is
-the case in unit tests.
+``spark.checkpoint.dir``, which every executor shares. Where the setting is
+absent, a local master gets a folder of its own; on a cluster that is an
+error, because executors would write to disks that nobody else reads.
+
+The library computes in wall-clock UTC. ``get_session`` sets that zone on the
+sessions it builds; on a session of the caller's it is required, not set.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ import tempfile
 import threading
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,29 +40,26 @@ def get_session(master: str | None = None, app_name: str = "parcel", **conf: str
         for key, value in {**_DEFAULTS, **conf}.items():
             if key.startswith("spark.sql.") and active.conf.get(key, None) is None:
                 active.conf.set(key, value)
-        active.conf.set("spark.sql.session.timeZone", "UTC")
         return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    # The whole library compares and formats wall-clock times in UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one under /tmp only if none is configured."""
+    """The shared checkpoint folder of this application."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         # SparkContext appends a per-application uuid; its parent is the shared root.
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    root = configured or tempfile.mkdtemp(prefix="parcel-ckpt-")
-    sc.setCheckpointDir(root)
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="parcel-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -68,6 +68,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/parcel/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once,
+    whatever reads it, and safe against the loss of an executor."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 _SHIPPED: set[str] = set()
 _SHIP_LOCK = threading.Lock()

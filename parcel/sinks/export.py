@@ -3,12 +3,12 @@
 Layout: ``<root>/<export>/<yyyymmdd>/<export>_<yyyymmdd>-<shard:012d>.<ext>``.
 
 Spark's writer runs the whole job (scan, filter, encode, compress) in
-parallel tasks into a hidden staging folder beside the target. Publishing is
-metadata work: the old date folder is removed (a re-run with fewer shards
-never leaves stale ones behind) and each ``part-*`` file is moved straight to
-its final shard name (shard = position in name order, i.e. the writing task's
-partition order) -- on driver threads for a few shards, as a Spark job over
-the executors for many.
+parallel tasks into a staging folder beside the target. Publishing is metadata
+work and safe to fail: the earlier shards move aside into the staging folder,
+the new ones move in (shard = position in name order, i.e. the writing task's
+partition order), and only then do the earlier ones go. If a move fails, the
+earlier shards move back. Moves run as a Spark job for any number of shards, and
+each can be repeated.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ JSON_OPTIONS = {
 
 def write_options(fmt: str, compression: str | None) -> dict[str, str]:
     kind = writer_format(fmt)
-    opts = {"compression": writer_codec(compression)}
+    opts = {"compression": writer_codec(fmt, compression)}
     if kind == "csv":
         opts.update(CSV_OPTIONS)
     elif kind == "json":
@@ -119,30 +119,27 @@ def _staged_parts(stage: str) -> list[tuple[str, int]]:
     return sorted(parts)
 
 
-# Above this many shards the moves run as a Spark job on the executors (on
-# object stores a move is a server-side copy per object).
-DISTRIBUTED_MOVE_THRESHOLD = 256
+def _move_one(src: str, dst: str) -> None:
+    """Repeatable: a source that is gone is fine if its target is there."""
+    fs, sp = files.resolve(src)
+    _, dp = files.resolve(dst)
+    if fs.get_file_info(sp).type.name == "File":
+        fs.move(sp, dp)
+    elif fs.get_file_info(dp).type.name != "File":
+        raise FileNotFoundError(f"neither {src} nor {dst} exists")
 
 
 def _move_partition(batches):
     import pandas as pd
 
     for pdf in batches:
-        done = []
         for src, dst in zip(pdf["src"], pdf["dst"]):
-            sfs, sp = files.resolve(src)
-            _, dp = files.resolve(dst)
-            if sfs.get_file_info(sp).type.name == "File":
-                sfs.move(sp, dp)
-            elif sfs.get_file_info(dp).type.name != "File":  # a retried task finds it already moved
-                raise FileNotFoundError(f"staged shard vanished: {src}")
-            done.append(dst)
-        yield pd.DataFrame({"dst": done})
+            _move_one(src, dst)
+        yield pd.DataFrame({"dst": pdf["dst"]})
 
 
 def _move(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
-    if len(pairs) <= DISTRIBUTED_MOVE_THRESHOLD:
-        files.move_many(pairs)
+    if not pairs:
         return
     ship_package(spark)
     n = min(len(pairs), spark.sparkContext.defaultParallelism * 2)
@@ -152,22 +149,29 @@ def _move(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
 
 def _publish(spark: SparkSession, stage: str, target: str, export_name: str, folder_date: str,
              ext: str) -> tuple[list[str], int]:
-    """Move each staged ``part-*`` file straight to its final shard name in
-    ``target`` (the old folder is removed first, so no stale shard survives a
-    smaller re-run). One move per shard, no folder rename: on object stores
-    that is one server-side copy per shard."""
+    """Move the staged ``part-*`` files to their final shard names in
+    ``target``, in place of all files there. After a failure the target holds
+    its earlier files."""
     parts = _staged_parts(stage)
-    pairs, names, total = [], [], 0
-    for i, (base, size) in enumerate(parts):
-        final = shard_name(export_name, folder_date, i, ext)
-        pairs.append((files.join(stage, base), files.join(target, final)))
-        names.append(final)
-        total += size
-    files.delete_dir(target)
+    names = [shard_name(export_name, folder_date, i, ext) for i in range(len(parts))]
+    new = [(files.join(stage, base), files.join(target, name)) for (base, _), name in zip(parts, names)]
+    aside = files.join(stage, "earlier")
+    old = [(files.join(target, e.base_name), files.join(aside, e.base_name))
+           for e in files.list_dir(target) if e.type.name == "File"]
     files.makedirs(target)
-    _move(spark, pairs)
+    files.makedirs(aside)
+    try:
+        _move(spark, old)
+        _move(spark, new)
+    except Exception:
+        back = {kept for _, kept in old}
+        for _, final in new:  # those that came; the earlier ones have the same names
+            if files.join(aside, final.rsplit("/", 1)[-1]) not in back or files.exists(files.join(aside, final.rsplit("/", 1)[-1])):
+                files.delete_file(final)
+        _move(spark, [(kept, place) for place, kept in old])
+        raise
     files.delete_dir(stage)
-    return names, total
+    return names, sum(size for _, size in parts)
 
 
 def write_export(
@@ -179,10 +183,12 @@ def write_export(
     compression: str = "GZIP",
     shards=None,
     max_records_per_file: int | None = None,
+    overwrite: bool = True,
 ) -> ExportResult:
     """K1: write ``df`` as the ``folder_date`` export of ``export_name``.
 
-    Overwrites that date folder as a whole. Returns the shard names, their
+    Replaces that date folder as a whole, or, with ``overwrite=False``, raises
+    ``FileExistsError`` if it holds files. Returns the shard names, their
     total size and the row count (taken with an ``Observation`` during the
     write, so no second pass over the data).
     """
@@ -190,6 +196,8 @@ def write_export(
     ext = file_extension(fmt, compression)
     target = files.join(root, export_name, folder_date)
     stage = files.join(root, export_name, f"_stage-{folder_date}-{uuid.uuid4().hex[:12]}")
+    if not overwrite and any(e.type.name == "File" for e in files.list_dir(target)):
+        raise FileExistsError(f"{target} already holds an export")
 
     obs = Observation(f"export_{export_name}_{uuid.uuid4().hex[:8]}")
     observed = _shape(df, shards).observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -200,7 +208,7 @@ def write_export(
         writer.save(stage)
         names, total = _publish(df.sparkSession, stage, target, export_name, folder_date, ext)
     except Exception:
-        files.delete_dir(stage)  # the published folder is untouched
+        files.delete_dir(stage)  # the published folder holds what it held
         raise
     return ExportResult(export_name, folder_date, target, names, int(obs.get["rows"]), total, fmt, compression)
 
@@ -236,24 +244,27 @@ def write_partitioned_export(
         n = int(shards_per_date)
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n))
         shaped = df.repartition(F.col(date_column), bucket)
-    (
-        shaped.write.mode("overwrite")
-        .format(writer_format(fmt))
-        .options(**write_options(fmt, compression))
-        .partitionBy(date_column)
-        .save(stage)
-    )
+    rows = {str(r[0]): r[1] for r in df.groupBy(date_column).count().collect()}  # a row for each date
     results = []
-    for info in files.list_dir(stage):
-        prefix = f"{date_column}="
-        if info.type.name != "Directory" or not info.base_name.startswith(prefix):
-            continue
-        day = info.base_name[len(prefix):]
-        sub = files.join(stage, info.base_name)
-        target = files.join(root, export_name, day)
-        names, total = _publish(df.sparkSession, sub, target, export_name, day, ext)
-        results.append(ExportResult(export_name, day, target, names, None, total, fmt, compression))
-    files.delete_dir(stage)
+    try:
+        (
+            shaped.write.mode("overwrite")
+            .format(writer_format(fmt))
+            .options(**write_options(fmt, compression))
+            .partitionBy(date_column)
+            .save(stage)
+        )
+        for info in files.list_dir(stage):
+            prefix = f"{date_column}="
+            if info.type.name != "Directory" or not info.base_name.startswith(prefix):
+                continue
+            day = info.base_name[len(prefix):]
+            sub = files.join(stage, info.base_name)
+            target = files.join(root, export_name, day)
+            names, total = _publish(df.sparkSession, sub, target, export_name, day, ext)
+            results.append(ExportResult(export_name, day, target, names, rows.get(day, 0), total, fmt, compression))
+    finally:
+        files.delete_dir(stage)  # a failed date holds what it held
     written = {r.folder_date for r in results}
     empty = df.drop(date_column).limit(0)
     for day in sorted(set(expected_dates or ()) - written):

@@ -34,10 +34,13 @@ def summary_json(summary: DataFrame, side: str) -> DataFrame:
     )
 
 
-def write_summary_json(parts: list[DataFrame], path: str) -> str:
-    """Write ``summary_json`` rows of several sides as JSON lines."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out.write.mode("overwrite").json(path)
+def write_summary_json(sides: dict[str, DataFrame], path: str) -> str:
+    """K6 as files: JSON lines ``{"side": ..., "export_name": ..., "stats":
+    {...}}`` for ``{"source": summary, "target": summary}``."""
+    out = None
+    for side, summary in sides.items():
+        fields = F.struct(*[c for c in SUMMARY_COLUMNS if c != "export_name"])
+        rows = summary.select(F.lit(side).alias("side"), "export_name", fields.alias("stats"))
+        out = rows if out is None else out.unionByName(rows)
+    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path

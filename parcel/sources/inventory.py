@@ -1,27 +1,29 @@
 """File inventories as DataFrames.
 
-Listings go through Spark's ``binaryFile`` source with only the metadata
-columns selected, so file contents are never read (``ReadSchema`` is
-``path, length, modificationTime``) and the listing itself is parallelised
-by Spark's file index on large trees.
+One listing for every caller: executors list the folders of a level, the rows
+are written to the shared folder, and the sub-folders among them are the next
+level's work, as data. Neither file names nor folder names pass through the
+driver, so a level can hold any number of folders. A single folder is one
+task's work; its entries leave the task in chunks.
+
+Folder names are literal: ``[``, ``{`` or ``?`` in them mean nothing. All names
+are listed, also those that start with ``_`` or ``.``, except this library's own
+temporary ones (``_stage-...`` folders and ``.parcel-...part`` files).
 
 Inventory schema: ``bucket string, key string, filename string,
 size bigint, mtime timestamp_ntz`` (UTC wall clock). ``bucket`` is the
 listing root, ``key`` the path below it.
-
-Spark listings skip names starting with ``_`` or ``.``; export names are
-validated against that (see ``ExportSpec``), and staging folders use it.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcel import files
 from parcel.functions import paths
+from parcel.session import ship_package, stored
 
 INVENTORY_SCHEMA = T.StructType([
     T.StructField("bucket", T.StringType()),
@@ -36,18 +38,9 @@ def empty_inventory(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], INVENTORY_SCHEMA)
 
 
-def _scan(spark: SparkSession, location: str) -> DataFrame | None:
-    try:
-        return (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(location)
-            .select("path", "length", "modificationTime")
-        )
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return None
-        raise
+LISTED_SCHEMA = T.StructType([*INVENTORY_SCHEMA.fields, T.StructField("folder", T.StringType())])
+#: Entries that leave a listing task at a time.
+CHUNK = 10_000
 
 
 def list_objects(
@@ -55,8 +48,6 @@ def list_objects(
     root: str,
     prefix: str = "",
     pattern: str | None = None,
-    distributed: bool = False,
-    fanout_depth: int = 2,
 ) -> DataFrame:
     """Every file under ``root`` whose key starts with ``prefix``.
 
@@ -65,40 +56,19 @@ def list_objects(
     the optional basename glob. Listing starts at the deepest literal folder
     of the prefix, the rest is a filter. A missing location gives an empty
     inventory.
-
-    ``distributed=True`` is for trees with millions of objects: Spark's file
-    index would hold every file status on the driver, so instead the driver
-    lists only ``fanout_depth`` folder levels and executors list each folder
-    found there (see ``_list_distributed``). Both modes skip names starting
-    with ``_`` or ``.``, as Spark does.
     """
-    list_prefix, glob = paths.split_listing(prefix, pattern)
+    rule = paths.ListingRule.parse(prefix, pattern)
     root_q = files.qualify(root)
-    folder = list_prefix.rsplit("/", 1)[0] if "/" in list_prefix else ""
-    start = files.join(root_q, folder) if folder else root_q
-    if distributed:
-        return filter_objects(_list_distributed(spark, root_q, start, fanout_depth), list_prefix, glob)
-    scanned = _scan(spark, start)
-    if scanned is None:
-        return empty_inventory(spark)
-    return filter_objects(_as_inventory(scanned, root_q), list_prefix, glob)
-
+    start = files.join(root_q, rule.folder) if rule.folder else root_q
+    return filter_objects(_walk(spark, root_q, [start]), rule.prefix, rule.glob)
 
-def _hidden(name: str) -> bool:
-    return name.startswith("_") or name.startswith(".")
 
-
-def _entry_row(root_path: str, root_q: str, info) -> tuple:
-    key = info.path[len(root_path):].lstrip("/")
-    mtime = None
-    if info.mtime is not None:  # pyarrow gives UTC; keep Hadoop's millisecond precision
-        mtime = info.mtime.replace(tzinfo=None)
-        mtime = mtime.replace(microsecond=mtime.microsecond // 1000 * 1000)
-    return root_q, key, key.rsplit("/", 1)[-1], int(info.size) if info.size is not None else None, mtime
+def _own_temporary(name: str) -> bool:
+    return name.startswith("_stage-") or (name.startswith(".parcel-") and name.endswith(".part"))
 
 
-def _folder_lister(root_q: str):
-    """mapInPandas body: list every folder of the batch recursively."""
+def _lister(root_q: str):
+    """mapInPandas body: the entries of each folder of the batch."""
 
     def run(batches):
         import pandas as pd
@@ -107,82 +77,50 @@ def _folder_lister(root_q: str):
         _, root_path = files.resolve(root_q)
         root_path = root_path.rstrip("/")
         for pdf in batches:
-            out = []
             for folder in pdf["folder"]:
-                fs, fpath = files.resolve(folder)
-                base = fpath.rstrip("/")
-                for info in fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True)):
-                    if info.type != pafs.FileType.File:
-                        continue
-                    rel = info.path[len(base):].strip("/").split("/")
-                    if any(_hidden(part) for part in rel):
-                        continue
-                    out.append(_entry_row(root_path, root_q, info))
-            yield pd.DataFrame(out, columns=INVENTORY_SCHEMA.fieldNames())
+                fs, path = files.resolve(folder)
+                entries = [fs.get_file_info(path.rstrip("/") or "/")]
+                if entries[0].type == pafs.FileType.Directory:
+                    entries = fs.get_file_info(pafs.FileSelector(path.rstrip("/") or "/", allow_not_found=True))
+                for at in range(0, len(entries), CHUNK):
+                    rows = [_entry(root_path, root_q, e) for e in entries[at : at + CHUNK]
+                            if e.type != pafs.FileType.NotFound and not _own_temporary(e.base_name)]
+                    yield pd.DataFrame(rows, columns=LISTED_SCHEMA.fieldNames()).astype({"size": "Int64"})
 
     return run
 
 
-def _list_distributed(spark: SparkSession, root_q: str, start: str, fanout_depth: int) -> DataFrame:
-    """Driver lists ``fanout_depth`` levels below ``start`` (folders only
-    travel to the executors); files met on the way are kept as rows."""
-    _, root_path = files.resolve(root_q)
-    root_path = root_path.rstrip("/")
-    frontier, shallow = [start], []
-    if not files.exists(start):
-        return empty_inventory(spark)
-    for _ in range(max(fanout_depth, 0)):
-        nxt = []
-        for d in frontier:
-            for info in files.list_dir(d):
-                if _hidden(info.base_name):
-                    continue
-                if info.type.name == "Directory":
-                    nxt.append(files.join(d, info.base_name))
-                elif info.type.name == "File":
-                    shallow.append(_entry_row(root_path, root_q, info))
-        frontier = nxt
-    from parcel.session import ship_package
+def _entry(root_path: str, root_q: str, info) -> tuple:
+    key = info.path[len(root_path):].lstrip("/")
+    if info.type.name == "Directory":
+        return root_q, None, None, None, None, files.join(root_q, key)
+    mtime = None
+    if info.mtime is not None:  # pyarrow gives UTC; keep Hadoop's millisecond precision
+        mtime = info.mtime.replace(tzinfo=None)
+        mtime = mtime.replace(microsecond=mtime.microsecond // 1000 * 1000)
+    return root_q, key, key.rsplit("/", 1)[-1], int(info.size) if info.size is not None else None, mtime, None
+
 
+def _walk(spark: SparkSession, root_q: str, starts: list[str], recursive: bool = True) -> DataFrame:
+    """Files under the folders ``starts``, level by level."""
     ship_package(spark)
-    folders = spark.range(1).select(
-        F.explode(F.array(*[F.lit(f) for f in frontier]) if frontier else F.array().cast("array<string>"))
-        .alias("folder"))
-    n = max(1, min(len(frontier), spark.sparkContext.defaultParallelism * 4))
-    deep = folders.repartition(n).mapInPandas(_folder_lister(root_q), INVENTORY_SCHEMA)
-    if shallow:
-        top = spark.createDataFrame([tuple(r) for r in shallow], INVENTORY_SCHEMA)
-        deep = deep.unionByName(top)
-    return deep
-
-
-def _as_inventory(scanned: DataFrame, root_q: str) -> DataFrame:
-    # keys start after the root and its separator ("file:/" already ends in one)
-    key = F.substring(F.col("path"), len(root_q) + (1 if root_q.endswith("/") else 2), 1 << 30)
-    return scanned.select(
-        F.lit(root_q).alias("bucket"),
-        key.alias("key"),
-        paths.basename(key).alias("filename"),
-        F.col("length").cast("bigint").alias("size"),
-        # session-zone wall clock -> UTC wall clock, whatever the session zone
-        F.convert_timezone(None, F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz")).alias("mtime"),
-    )
+    most = spark.sparkContext.defaultParallelism * 4
+    level, n, found = spark.createDataFrame([(s,) for s in starts], "folder string"), len(starts), None
+    while n:
+        listed = stored(level.repartition(min(n, most)).mapInPandas(_lister(root_q), LISTED_SCHEMA), "listing")
+        rows = listed.where("folder is null").drop("folder")
+        found = rows if found is None else found.unionByName(rows)
+        level = listed.where("folder is not null").select("folder")
+        n = level.count() if recursive else 0
+    return found if found is not None else empty_inventory(spark)
 
 
 def list_folders(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
-    """S2 over several folders of one root as a single relation (one Spark
-    listing over many paths, e.g. today's folder of every export). Folders
-    that do not exist are skipped; none existing gives an empty inventory."""
+    """S2 over several folders of one root as a single relation (e.g.
+    today's folder of every export). Folders that do not exist are skipped;
+    none existing gives an empty inventory."""
     root_q = files.qualify(root)
-    locations = [files.join(root_q, f) for f in folders]
-    present = [loc for loc in locations if files.exists(loc)]
-    if not present:
-        return empty_inventory(spark)
-    scanned = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .load(present).select("path", "length", "modificationTime")
-    )
-    return filter_objects(_as_inventory(scanned, root_q))
+    return filter_objects(_walk(spark, root_q, [files.join(root_q, f) for f in folders]))
 
 
 def filter_objects(inv: DataFrame, prefix: str = "", glob: str | None = None) -> DataFrame:
@@ -200,8 +138,8 @@ def filter_objects(inv: DataFrame, prefix: str = "", glob: str | None = None) ->
 def list_flat(spark: SparkSession, directory: str) -> DataFrame:
     """S3: files directly inside ``directory`` (no sub-folders); a missing
     directory is an empty inventory, other errors propagate (S3c)."""
-    inv = list_objects(spark, directory)
-    return inv.where(~F.col("key").contains("/"))
+    root_q = files.qualify(directory)
+    return filter_objects(_walk(spark, root_q, [root_q], recursive=False))
 
 
 def list_names(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:

@@ -57,7 +57,7 @@ def test_transfer_and_verify_commands(spark, tmp_root, capsys):
     assert t["files_transferred"] == 3 and t["destination"] == land + "/"
     assert cli.main(["verify", "--uri", uri, "--target", land, "--export-name", "E"]) == 0
     v = json.loads(capsys.readouterr().out)
-    assert v["in_sync"] and v["source_files"] == r.files[:3] and v["extra_count"] == 0
+    assert v["in_sync"] and v["source_sample"] == r.files[:3] and v["extra_count"] == 0
 
 
 def test_retention_command(spark, tmp_root, capsys):

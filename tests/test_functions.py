@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from parcel.functions import paths, sizes
+from parcel.functions import params, paths, sizes
 from parcel.functions.params import (
     ExportSpec,
     Interval,
@@ -120,7 +120,8 @@ def test_basename_and_layout(spark):
     ("a/f_?.csv", None, ("a/f_?.csv", None)),  # '?' alone does not switch globbing on
 ])
 def test_split_listing(prefix, pattern, expected):
-    assert paths.split_listing(prefix, pattern) == expected
+    rule = paths.ListingRule.parse(prefix, pattern)
+    assert (rule.prefix, rule.glob) == expected
 
 
 NAMES = ["f_1.csv", "f_0.csv", "F_1.csv", "f_10.csv", "x.csv.gz", "y.CSV.GZ", "f_$.csv",
@@ -237,3 +238,19 @@ def test_three_part_names_run_unchanged(spark):
     q = ("SELECT count(*) AS n FROM `proj.sales.orders` WHERE CAST(o_orderdate AS DATE) "
          "BETWEEN date_sub(DATE('{data_interval_end}'), 7) AND DATE('{data_interval_end}')")
     assert run_query(spark, q, Interval.ending("1998-06-08")).first()["n"] == 8
+
+
+@pytest.mark.parametrize("pattern", ["x[a[]y", "x[]]y", "x[!]a]y", "x[^a]y", "x[a&&b]y", "x[a-c-]y", "x[c-a]y", "x[a", "a.c", "[\\\\]", "*[é]*", "[!c-a]"])
+def test_globs_with_odd_sets(spark, pattern):
+    import fnmatch
+
+    names = ["xay", "x[y", "x]y", "x&y", "x-y", "xby", "x^y", "xcy", "x[a", "abc", "a.c", "\\", "é", "xy", "x!y", "x\ny", "a"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r.n for r in df.where(paths.glob_match("n", pattern)).collect()}
+    assert got == {n for n in names if fnmatch.fnmatchcase(n, pattern)}
+
+
+@pytest.mark.parametrize("fmt, compression", [("CSV", "LZ4"), ("PARQUET", "DEFLATE"), ("JSON", "zip")])
+def test_codecs_are_checked(fmt, compression):
+    with pytest.raises(ValueError, match="compression"):
+        params.file_extension(fmt, compression)

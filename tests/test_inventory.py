@@ -85,12 +85,6 @@ def test_live_listing(spark, tmp_root):
     assert list_objects(spark, tmp_root, "exp/*/x.csv").count() == 0
 
 
-def test_listing_reads_no_content(spark, tmp_root):
-    _touch(f"{tmp_root}/a/b/c.bin", b"x" * 10)
-    plan = list_objects(spark, tmp_root)._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
-
-
 def test_flat_listing_and_missing_dir(spark, tmp_root):
     _touch(f"{tmp_root}/land/a.csv", b"12")
     _touch(f"{tmp_root}/land/sub/b.csv", b"1")
@@ -116,22 +110,27 @@ def test_mtime_is_utc_wall_clock(spark, tmp_root):
     assert got == dt.datetime(1970, 1, 2, 1, 0)
 
 
-def test_distributed_listing_equals_spark_listing(spark, tmp_root):
-    for i in range(3):
-        for d in ("20250101", "20250102"):
-            _touch(f"{tmp_root}/exp{i}/{d}/exp{i}_{d}-{i:012d}.csv.gz", b"x" * (i + 1))
-            _touch(f"{tmp_root}/exp{i}/{d}/deeper/more/f{i}.csv", b"yy")
-    _touch(f"{tmp_root}/top.txt", b"t")
-    _touch(f"{tmp_root}/exp0/shallow.txt", b"s")
-    _touch(f"{tmp_root}/exp0/_stage-1/part-0", b"hidden")
-    _touch(f"{tmp_root}/exp1/20250101/.hidden.part", b"hidden")
-    cols = ["bucket", "key", "filename", "size", "mtime"]
-    for prefix in ("", "exp1", "exp0/20250102/"):
-        a = list_objects(spark, tmp_root, prefix).select(cols)
-        b = list_objects(spark, tmp_root, prefix, distributed=True).select(cols)
-        assert sorted(a.collect()) == sorted(b.collect()), prefix
-        assert b.count() > 0
-    assert list_objects(spark, f"{tmp_root}/nope", distributed=True).count() == 0
+def test_listing_equals_a_walk(spark, tmp_root):
+    odd = ["top.txt", "exp0/shallow.txt", "exp1/20250101/.dot.csv", "exp1/20250101/_under.csv", "exp[1]/a b/{x}/f?.csv", "d/e/f/g/h/i.csv"]
+    for i, name in enumerate(odd):
+        _touch(f"{tmp_root}/{name}", b"x" * (i + 1))
+    _touch(f"{tmp_root}/exp0/_stage-1/part-0")
+    _touch(f"{tmp_root}/exp0/.parcel-job-p0-a0-f.csv.part")
+    got = {r["key"]: r["size"] for r in list_objects(spark, tmp_root).collect()}
+    assert got == {name: i + 1 for i, name in enumerate(odd)}
+    assert [r["key"] for r in list_objects(spark, tmp_root, "exp[1]/").collect()] == ["exp[1]/a b/{x}/f?.csv"]
+    assert list_objects(spark, tmp_root, "exp1/").count() == 2
+    assert list_objects(spark, f"{tmp_root}/nope").count() == 0
+    assert [r["key"] for r in list_flat(spark, tmp_root).collect()] == ["top.txt"]
+
+
+def test_all_names_are_delivered(spark, tmp_root):
+    from parcel.operators.deliver import deliver_uri
+
+    for name in ("a.csv", "_hid.csv", ".dot.csv"):
+        _touch(f"{tmp_root}/src/E/{name}")
+    r = deliver_uri(spark, f"{tmp_root}/src", "E/", f"{tmp_root}/land", "E")
+    assert r.files_transferred == 3 and sorted(os.listdir(f"{tmp_root}/land")) == [".dot.csv", "_hid.csv", "a.csv"]
 
 
 def test_names_target_exports_and_mb_listing(spark, tmp_root):

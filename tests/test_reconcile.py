@@ -55,7 +55,7 @@ def test_verdict_empty_source(spark):
     assert len(rows) == 1
     v = rows[0]
     assert v["in_sync"] is False and v["no_files_found"] is True and v["outcome"] == "no_files"
-    assert v["source_files"] == [] and v["size_mismatches"] == []
+    assert v["source_sample"] == [] and v["mismatch_sample"] == []
 
 
 def test_verdict_per_export_with_configured_list(spark):
@@ -63,17 +63,17 @@ def test_verdict_per_export_with_configured_list(spark):
     tgt = _tgt(spark, [("a1.csv", 1), ("a2.csv", 99), ("b1.csv", 3)])
     rows = {r["export_name"]: r for r in reconcile.verdict(src, tgt, exports=["a", "b", "c"]).collect()}
     assert rows["a"]["outcome"] == "out_of_sync" and rows["a"]["mismatch_count"] == 1
-    assert rows["a"]["size_mismatches"][0].asDict() == {"filename": "a2.csv", "source_size": 2, "target_size": 99}
+    assert rows["a"]["mismatch_sample"][0].asDict() == {"filename": "a2.csv", "source_size": 2, "target_size": 99}
     assert rows["b"]["in_sync"] and rows["c"]["no_files_found"]
 
 
 def test_verdict_samples_are_bounded_and_sorted(spark):
     src = _src(spark, [(f"a/d/f{i:03d}.csv", i) for i in range(50)])
     tgt = _tgt(spark, [])
-    v = reconcile.verdict(src, tgt, label="a", samples={"missing_on_target": 4}).first()
+    v = reconcile.verdict(src, tgt, label="a", samples={"missing_sample": 4}).first()
     assert v["missing_count"] == 50
-    assert v["missing_on_target"] == ["f000.csv", "f001.csv", "f002.csv", "f003.csv"]
-    assert v["source_files"] == ["f000.csv", "f001.csv", "f002.csv"]
+    assert v["missing_sample"] == ["f000.csv", "f001.csv", "f002.csv", "f003.csv"]
+    assert v["source_sample"] == ["f000.csv", "f001.csv", "f002.csv"]
 
 
 def test_verdict_sample_uses_partial_group_limit(spark):
@@ -101,6 +101,8 @@ def test_storage_summary_total_row(spark):
     rows = {r["export_name"]: r for r in summary.storage_summary_with_total(src).collect()}
     t = rows["TOTAL"]
     assert (t["total_files"], t["total_size"], t["num_dates"], t["oldest_date"]) == (3, 13, None, None)
+    named = summary.storage_summary_with_total(_src(spark, [("TOTAL/20250101/f1", 10)])).collect()
+    assert sorted((r["num_dates"] or 0, r["oldest_date"]) for r in named) == [(0, None), (1, "20250101")]
 
 
 def test_compare_ladder(spark):
@@ -154,15 +156,15 @@ def test_summary_json_lines(spark, tmp_root):
     import json
     import os
 
-    from parcel.sinks.lists import summary_json, write_summary_json
+    from parcel.sinks.lists import write_summary_json
 
     src = _src(spark, [("a/20250101/f1", 10), ("a/20250102/f2", 20)])
     s = summary.storage_summary(src)
-    path = write_summary_json([summary_json(s, "source"), summary_json(s, "target")], f"{tmp_root}/summary")
+    path = write_summary_json({"source": s, "target": s}, f"{tmp_root}/summary")
     lines = [json.loads(line) for f in sorted(os.listdir(path)) if f.startswith("part-")
              for line in open(f"{path}/{f}")]
     assert sorted(r["side"] for r in lines) == ["source", "target"]
-    stats = json.loads(lines[0]["stats"])
+    stats = lines[0]["stats"]
     assert list(stats) == ["oldest_date", "newest_date", "num_dates", "total_files", "total_size",
                            "avg_files_per_date", "avg_size_per_file"]
     assert (stats["num_dates"], stats["total_files"], stats["total_size"]) == (2, 2, 30)

@@ -19,26 +19,26 @@ tgt_rows = st.lists(st.tuples(st.sampled_from(NAMES + ["x.csv"]), sizes), max_si
 
 
 def _model(src, tgt):
-    """Rules: one size per name (the object with the greatest key wins), a
-    flat target keyed by name, missing = source names not on target,
+    """Rules: one size per export and name (the object with the greatest key
+    wins), a flat target keyed by name, missing = source names not on target,
     mismatch = names on both with unequal sizes (None equals only None)."""
     by_name = {}
     for export, folder, name, size in sorted(src, key=lambda r: f"{r[0]}/{r[1]}/{r[2]}"):
-        by_name[name] = (size, export)  # later (greater) keys overwrite earlier ones
+        by_name[export, name] = size  # later (greater) keys overwrite earlier ones
     target = {}
     for name, size in tgt:
         target[name] = size if name not in target else max(
             [s for s in (target[name], size) if s is not None], default=None)
-    missing = {n for n in by_name if n not in target}
-    mismatch = {n for n in by_name if n in target and by_name[n][0] != target[n]}
+    missing = {k for k in by_name if k[1] not in target}
+    mismatch = {k for k in by_name if k[1] in target and by_name[k] != target[k[1]]}
     per_export = {}
-    for n, (size, export) in by_name.items():
-        c = per_export.setdefault(export, [0, 0, 0, 0])
+    for k in by_name:
+        c = per_export.setdefault(k[0], [0, 0, 0, 0])
         c[0] += 1
-        c[1] += n in target
-        c[2] += n in missing
-        c[3] += n in mismatch
-    return missing, mismatch, per_export
+        c[1] += k[1] in target
+        c[2] += k in missing
+        c[3] += k in mismatch
+    return {n for _, n in missing}, {n for _, n in mismatch}, per_export
 
 
 @settings(max_examples=10, deadline=None)
