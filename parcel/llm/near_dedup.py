@@ -249,7 +249,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         turn += 1
         split = _split_by_second_band(_mixed(rows, labels))
         left = materialise(_mixed(split.select("key", "node", "n"), labels), "near-mixed")
-        found = work.confirm(_across(left).unionByName(_stars(left.where(F.col("size") > SMALL), F.xxhash64(F.lit(turn), "node"))))
+        found = work.confirm(_across(left).unionByName(_stars(left.where(F.col("size") > SMALL), F.xxhash64(F.lit(turn), "key", "node"))))
         if found:
             labels = components(work.links)
     of_node = work.nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
