@@ -7,7 +7,7 @@ the oracle compares the *delivered* data with the tables).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcel import files
@@ -111,13 +111,22 @@ def export_shard_names(spark, sf) -> DataFrame:
     )
 
 
+def _content() -> Column:
+    """One number over all columns of all orders rows: a sum of hashes, so a
+    corrupted or shifted value shows."""
+    row = F.concat_ws(
+        "|", "o_orderkey", "o_custkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint"),
+        F.date_format("o_orderdate", "yyyyMMddHHmmss"), "o_orderpriority")
+    return F.sum(F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint")).alias("content")
+
+
 def _read_back(spark, results, schema, fmt="CSV") -> DataFrame:
-    frames = [read_export(spark, r.path, schema, fmt).select(F.lit(r.export_name).alias("export_name"))
+    frames = [read_export(spark, r.path, schema, fmt).withColumn("export_name", F.lit(r.export_name))
               for r in results]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.groupBy("export_name").agg(F.count(F.lit(1)).alias("rows_exported"))
+    return out.groupBy("export_name").agg(F.count(F.lit(1)).alias("rows_exported"), _content())
 
 
 def override_and_skip(spark, sf) -> DataFrame:
@@ -146,11 +155,11 @@ def backfill_range(spark, sf) -> DataFrame:
     res = jobs.lookback_backfill(t["orders"], "o_orderdate", "1998-06-01", "1998-06-05",
                                  scratch_dir(spark, "backfill"), "ORDERS", days=7)
     schema = t["orders"].schema
-    frames = [read_export(spark, r.path, schema).select(F.lit(r.folder_date).alias("folder_date")) for r in res]
+    frames = [read_export(spark, r.path, schema).withColumn("folder_date", F.lit(r.folder_date)) for r in res]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.groupBy("folder_date").agg(F.count(F.lit(1)).alias("rows_exported"))
+    return out.groupBy("folder_date").agg(F.count(F.lit(1)).alias("rows_exported"), _content())
 
 
 def backfill_queries(spark, sf) -> DataFrame:
@@ -158,12 +167,12 @@ def backfill_queries(spark, sf) -> DataFrame:
     t = _prep(spark, sf, ("orders",))
     spec = ExportSpec("DAILY", "SELECT * FROM orders WHERE o_orderdate >= :data_interval_start AND o_orderdate < :data_interval_end")
     res = jobs.backfill(spark, spec, "1998-06-02", "1998-06-06", scratch_dir(spark, "backfill-q"), date_column="o_orderdate")
-    frames = [read_export(spark, r.path, t["orders"].schema).select(F.lit(r.folder_date).alias("folder_date"))
+    frames = [read_export(spark, r.path, t["orders"].schema).withColumn("folder_date", F.lit(r.folder_date))
               for r in res]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.groupBy("folder_date").agg(F.count(F.lit(1)).alias("rows_exported"))
+    return out.groupBy("folder_date").agg(F.count(F.lit(1)).alias("rows_exported"), _content())
 
 
 # ----------------------------------------------------------------- delivery --
@@ -174,12 +183,12 @@ def _read_landing(spark, target: str, schema) -> DataFrame:
     df = (spark.read.format("csv").options(**read_options("CSV")).schema(schema)
           .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv.gz").load(target))
     sf = paths.shard_fields(F.col("_metadata.file_name"))
-    return df.select(sf["export_name"].alias("export_name"))
+    return df.withColumn("export_name", sf["export_name"])
 
 
 def _delivered_rows(spark, target, schema) -> DataFrame:
     return _read_landing(spark, target, schema).groupBy("export_name").agg(
-        F.count(F.lit(1)).alias("rows_delivered"))
+        F.count(F.lit(1)).alias("rows_delivered"), _content())
 
 
 def _deliver_and_verify(spark, sf, mode: str, workers) -> DataFrame:
@@ -191,7 +200,7 @@ def _deliver_and_verify(spark, sf, mode: str, workers) -> DataFrame:
     rows = _delivered_rows(spark, target, t["orders"].schema)
     return runs.join(rows, "export_name", "left").select(
         "export_name", F.coalesce("rows_delivered", F.lit(0).cast("bigint")).alias("rows_delivered"),
-        "in_sync", "outcome")
+        "content", "in_sync", "outcome")
 
 
 def deliver_and_verify(spark, sf) -> DataFrame:
@@ -234,7 +243,7 @@ def deliver_partial_failure(spark, sf) -> DataFrame:
     )
     rows = _delivered_rows(spark, target, t["orders"].schema)
     return per_export.join(rows, "export_name", "left").select(
-        "export_name", "files_ok", "files_failed", "attempts",
+        "export_name", "files_ok", "files_failed", "attempts", "content",
         F.coalesce("rows_delivered", F.lit(0).cast("bigint")).alias("rows_delivered"))
 
 
@@ -264,7 +273,7 @@ def missing_then_retry(spark, sf) -> DataFrame:
                     F.coalesce("missing_before", zero).alias("missing_before"),
                     F.coalesce("retried_ok", zero).alias("retried_ok"),
                     F.coalesce("rows_delivered", zero).alias("rows_delivered"),
-                    "in_sync"))
+                    "content", "in_sync"))
 
 
 def export_area_summary(spark, sf) -> DataFrame:
@@ -297,4 +306,5 @@ def deliver_uri_glob(spark, sf) -> DataFrame:
         F.lit(res.destination.endswith("/")).alias("destination_is_dir"),
         F.lit(listed).cast("bigint").alias("listed_files"),
         F.col("rows_delivered"),
+        "content",
     )

@@ -64,7 +64,9 @@ def _human(v: str, compact: bool) -> str:
     return "CASE " + " ".join(parts) + f" ELSE {last} END"
 
 
-_PRIORITY_COUNTS = f"SELECT {_EXPORT} AS export_name, count(*) AS n FROM orders GROUP BY 1"
+_CONTENT = """CAST(sum(CAST('0x' || substr(md5(concat_ws('|', o_orderkey, o_custkey, o_orderstatus,
+  CAST(round(o_totalprice * 100) AS BIGINT), strftime(o_orderdate, '%Y%m%d%H%M%S'), o_orderpriority)), 1, 8) AS BIGINT)) AS BIGINT) AS content"""
+_PRIORITY_COUNTS = f"SELECT {_EXPORT} AS export_name, count(*) AS n, {_CONTENT} FROM orders GROUP BY 1"
 
 ORACLE_SQL: dict[str, str] = {
     # ----------------------------------------------------------- extract --
@@ -83,20 +85,20 @@ ORACLE_SQL: dict[str, str] = {
              'ORDERS' AS export_name, '19980608' AS folder_date, CAST(i AS BIGINT) AS shard,
              (SELECT count(*) FROM orders) AS rows_exported
       FROM range(4) t(i)""",
-    "override_and_skip": """
-      SELECT 'URGENT' AS export_name, count(*) AS rows_exported FROM orders WHERE o_orderpriority = '1-URGENT'
+    "override_and_skip": f"""
+      SELECT 'URGENT' AS export_name, count(*) AS rows_exported, {_CONTENT} FROM orders WHERE o_orderpriority = '1-URGENT'
       UNION ALL
-      SELECT 'LOW', count(*) FROM orders WHERE o_orderpriority = '5-LOW'
+      SELECT 'LOW', count(*), {_CONTENT} FROM orders WHERE o_orderpriority = '5-LOW'
       UNION ALL
-      SELECT 'HIGH', count(*) FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'""",
-    "multi_export": f"SELECT {_EXPORT} AS export_name, count(*) AS rows_exported FROM orders GROUP BY 1",
-    "backfill_range": """
-      SELECT strftime(d, '%Y%m%d') AS folder_date, count(*) AS rows_exported
+      SELECT 'HIGH', count(*), {_CONTENT} FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'F'""",
+    "multi_export": f"SELECT {_EXPORT} AS export_name, count(*) AS rows_exported, {_CONTENT} FROM orders GROUP BY 1",
+    "backfill_range": f"""
+      SELECT strftime(d, '%Y%m%d') AS folder_date, count(*) AS rows_exported, {_CONTENT}
       FROM (SELECT CAST(r AS DATE) AS d FROM range(TIMESTAMP '1998-06-01', TIMESTAMP '1998-06-06', INTERVAL 1 DAY) t(r)) days
       JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN d - 7 AND d
       GROUP BY 1""",
-    "backfill_queries": """
-      SELECT strftime(CAST(o_orderdate AS DATE) + 1, '%Y%m%d') AS folder_date, count(*) AS rows_exported
+    "backfill_queries": f"""
+      SELECT strftime(CAST(o_orderdate AS DATE) + 1, '%Y%m%d') AS folder_date, count(*) AS rows_exported, {_CONTENT}
       FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-05'
       GROUP BY 1""",
     # --------------------------------------------------------- inventory --
@@ -230,28 +232,29 @@ ORACLE_SQL: dict[str, str] = {
             UNION ALL SELECT 'target' AS side, * FROM ({_summary("tsf")}) b) u""", _TSF),
     # ---------------------------------------------------------- delivery --
     "deliver_and_verify": f"""
-      SELECT export_name, n AS rows_delivered, true AS in_sync, 'ok' AS outcome FROM ({_PRIORITY_COUNTS}) c""",
+      SELECT export_name, n AS rows_delivered, content, true AS in_sync, 'ok' AS outcome FROM ({_PRIORITY_COUNTS}) c""",
     "deliver_ordered": f"""
-      SELECT export_name, n AS rows_delivered, true AS in_sync, 'ok' AS outcome FROM ({_PRIORITY_COUNTS}) c""",
+      SELECT export_name, n AS rows_delivered, content, true AS in_sync, 'ok' AS outcome FROM ({_PRIORITY_COUNTS}) c""",
     "deliver_partial_failure": f"""
       SELECT export_name,
              CAST(CASE WHEN export_name = 'LOW' THEN 0 ELSE 2 END AS BIGINT) AS files_ok,
              CAST(CASE WHEN export_name = 'LOW' THEN 2 ELSE 0 END AS BIGINT) AS files_failed,
              CAST(CASE WHEN export_name = 'LOW' THEN 6 ELSE 2 END AS BIGINT) AS attempts,
-             CASE WHEN export_name = 'LOW' THEN CAST(0 AS BIGINT) ELSE n END AS rows_delivered
+             CASE WHEN export_name = 'LOW' THEN CAST(0 AS BIGINT) ELSE n END AS rows_delivered,
+             CASE WHEN export_name <> 'LOW' THEN content END AS content
       FROM ({_PRIORITY_COUNTS}) c""",
     "missing_then_retry": f"""
       SELECT export_name,
              CAST(CASE WHEN export_name IN ('URGENT', 'HIGH') THEN 1 ELSE 0 END AS BIGINT) AS missing_before,
              CAST(CASE WHEN export_name IN ('URGENT', 'HIGH') THEN 1 ELSE 0 END AS BIGINT) AS retried_ok,
-             n AS rows_delivered, true AS in_sync
+             n AS rows_delivered, content, true AS in_sync
       FROM ({_PRIORITY_COUNTS}) c""",
     "export_area_summary": f"""
       SELECT export_name, '19980608' AS oldest_date, '19980608' AS newest_date, CAST(1 AS BIGINT) AS num_dates,
              CAST(2 AS BIGINT) AS total_files
       FROM ({_PRIORITY_COUNTS}) c""",
-    "deliver_uri_glob": """
+    "deliver_uri_glob": f"""
       SELECT CAST(3 AS BIGINT) AS files_transferred, true AS destination_is_dir, CAST(3 AS BIGINT) AS listed_files,
-             count(*) AS rows_delivered
+             count(*) AS rows_delivered, {_CONTENT}
       FROM orders""",
 }
