@@ -36,9 +36,22 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+#: Lets the shuffle files of a query go as soon as it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: it cuts the
-    lineage, is computed once and survives the loss of an executor."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, is computed once and survives the loss of an executor. The shuffle
+    files that made it are not needed after that and go at once."""
+    spark = df.sparkSession
+    path, before = scratch_dir(spark, label), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
