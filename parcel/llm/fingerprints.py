@@ -3,11 +3,13 @@ r"""Document fingerprints: a homomorphic multiset hash over paragraphs.
 A paragraph is a line, a long one the pieces that it has between sentence ends
 (at most ``PIECE`` characters each). Every piece is hashed to a wide vector of
 0 and 1 (``LANES`` lanes from ``HASHES`` 64-bit hashes) and the vectors are
-added lane by lane modulo 2 ** ``BITS``. The sum doesn't depend on the order of
+added lane by lane modulo 2 ** ``BITS``, more than any text has pieces: one of
+2 ** 29 pieces has a gigabyte. The sum doesn't depend on the order of
 the pieces; adding a piece's vector inserts it, subtracting it deletes it, and
-the sums of two documents add up to that of both together. Four lanes share a
+the sums of two documents add up to that of both together. Two lanes share a
 long integer, each with a spare bit above it, so one addition and one mask add
-four lanes.
+two lanes. Up to ``SLICE`` pieces are first added in narrow lanes, four to a
+long, which they can't fill.
 
 Likeness. With the piece count n, lane j gives the sign sum 2 * lane - n, whose
 square has the piece counts' squared norm as its mean. For two fingerprints A
@@ -36,15 +38,19 @@ PIECE = 120
 #: first ids are gathered (16 bytes each).
 BUCKET, MOST_BUCKETS = 1000, 65_536
 HASHES = 4
-BITS = 14  # lanes count modulo 2 ** 14
+BITS = 30  # lanes count modulo 2 ** 30
 _FIELD = BITS + 1  # with the spare bit
-_PER_LONG = 4
-LONGS = HASHES * _FIELD
-LANES = LONGS * _PER_LONG
-#: One bit, and all value bits, of every lane in a long.
-_ONES = sum(1 << (_FIELD * i) for i in range(_PER_LONG))
-_VALUES = _ONES * ((1 << BITS) - 1)
-_SPARE = _ONES << BITS
+_PER_LONG = 2
+#: Lanes of 15 bits hold the sums of so many pieces.
+_NARROW, _PER_NARROW = 15, 4
+SLICE = (1 << _NARROW) - 1
+_NARROWS = HASHES * _NARROW
+LANES = _NARROWS * _PER_NARROW
+LONGS = LANES // _PER_LONG
+#: One bit of every narrow lane in a long; all value bits, and the spare ones, of every lane in one.
+_ONES = sum(1 << (_NARROW * i) for i in range(_PER_NARROW))
+_VALUES = sum(((1 << BITS) - 1) << (_FIELD * i) for i in range(_PER_LONG))
+_SPARE = sum(1 << (_FIELD * i + BITS) for i in range(_PER_LONG))
 
 
 def pieces(text: Column) -> Column:
@@ -56,19 +62,36 @@ def _hashed(text: Column) -> Column:
 
 
 def _bits(hashes: Column, j: int) -> Column:
-    """Long j of a piece's vector: four of the 60 bits used of one hash."""
-    return F.shiftrightunsigned(F.get(hashes, F.lit(j // _FIELD)), j % _FIELD).bitwiseAND(F.lit(_ONES))
+    """Narrow long j of a piece's vector: four of the 60 bits used of one hash."""
+    return F.shiftrightunsigned(F.get(hashes, F.lit(j // _NARROW)), j % _NARROW).bitwiseAND(F.lit(_ONES))
+
+
+def _wide(narrow: Column) -> Column:
+    """Two longs with two lanes each: the lanes of a narrow long."""
+    lane = [F.shiftrightunsigned(narrow, _NARROW * i).bitwiseAND(F.lit(SLICE)) for i in range(_PER_NARROW)]
+    return F.array(*[lane[i] + F.shiftleft(lane[i + 1], _FIELD) for i in range(0, _PER_NARROW, _PER_LONG)])
 
 
 def fingerprint(text: Column) -> Column:
     """struct<n: number of pieces, v: LONGS packed lane sums>."""
-    zero = F.array_repeat(F.lit(0).cast("long"), LONGS)
+
+    def zero(n: int) -> Column:
+        return F.array_repeat(F.lit(0).cast("long"), n)
 
     def add(total, hashes):
-        return F.array(*[(F.get(total, F.lit(j)) + _bits(hashes, j)).bitwiseAND(F.lit(_VALUES)) for j in range(LONGS)])
+        return F.array(*[F.get(total, F.lit(j)) + _bits(hashes, j) for j in range(_NARROWS)])
+
+    def add_slice(total, narrow):
+        return F.zip_with(total, F.flatten(F.transform(narrow, _wide)), lambda x, y: (x + y).bitwiseAND(F.lit(_VALUES)))
+
+    def of(hashed):
+        n = F.size(hashed)
+        starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(SLICE))
+        narrow = F.transform(starts, lambda at: F.aggregate(F.slice(hashed, at, F.lit(SLICE)), zero(_NARROWS), add))
+        return F.struct(n.cast("long").alias("n"), F.aggregate(narrow, zero(LONGS), add_slice).alias("v"))
 
-    hashed = _hashed(text)
-    return F.struct(F.size(hashed).cast("long").alias("n"), F.aggregate(hashed, zero, add).alias("v"))
+    # an array of one, so that the pieces are hashed once
+    return F.get(F.transform(F.array(_hashed(text)), of), F.lit(0))
 
 
 def inserted(a: Column, b: Column) -> Column:
@@ -95,12 +118,12 @@ def _squares(v: Column, n: Column) -> Column:
     def of_long(total, x):
         for i in range(_PER_LONG):
             lane = F.shiftright(x, _FIELD * i).bitwiseAND(F.lit(whole - 1))
-            # sign sums are small against 2 ** BITS: back from the modulus
-            sign = F.pmod(lane * 2 - n + half, F.lit(whole)) - half
+            # sign sums are at most the pieces, fewer than half of 2 ** BITS: back from the modulus
+            sign = (F.pmod(lane * 2 - n + half, F.lit(whole)) - half).cast("double")
             total = total + sign * sign
         return total
 
-    return F.aggregate(v, F.lit(0).cast("long"), of_long) / F.lit(float(LANES))
+    return F.aggregate(v, F.lit(0.0), of_long) / F.lit(float(LANES))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -111,7 +134,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def to_string(print_: Column) -> Column:
-    return F.concat_ws("-", F.hex(print_["n"]), F.concat_ws("", F.transform(print_["v"], lambda x: F.lpad(F.hex(x), 15, "0"))))
+    return F.concat_ws("-", F.hex(print_["n"]), F.concat_ws("", F.transform(print_["v"], lambda x: F.lpad(F.hex(x), 16, "0"))))
 
 
 def _bucket(splitters: list[int]) -> Column:

@@ -56,6 +56,21 @@ def test_fingerprint_is_homomorphic_and_order_free(spark):
     assert (r.order, r.insert, r.delete, r.other, r.same) == (True, True, True, False, 1.0)
 
 
+def test_fingerprint_of_very_long_repetitions(spark):
+    lines = lambda n, word="row": f"{word} of a table\n" * n
+    rows = [
+        (lines(20_000), lines(10_000) + "".join(f"line {i}\n" for i in range(300))),
+        (lines(9_000), lines(4_500)),
+        ("a\n" * 16_384, "b\n" * 16_384),
+    ]
+    df = spark.createDataFrame([(t,) for row in rows for t in row], "x string")
+    made = df.select(fingerprints.fingerprint(F.col("x")).alias("p")).collect()
+    pairs = spark.createDataFrame([(a.p, b.p) for a, b in zip(made[::2], made[1::2])], "x struct<n: long, v: array<long>>, y struct<n: long, v: array<long>>")
+    got = [r.near for r in pairs.select(fingerprints.likeness(F.col("x"), F.col("y")).alias("near")).collect()]
+    assert [m.p.n for m in made] == [20_000, 10_300, 9_000, 4_500, 16_384, 16_384] and made[4].p.v != made[5].p.v
+    assert abs(got[0] - 0.8) < 0.02 and abs(got[1] - 0.8) < 0.02 and got[2] < 0.3
+
+
 # --------------------------------------------------------------- line dedup --
 
 def lines_by_force(rows):
