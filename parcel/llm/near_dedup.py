@@ -56,9 +56,12 @@ BINS = BANDS * ROWS
 LEAST_SHARED = 3
 #: A bucket of up to so many nodes is gone through member by member.
 SMALL = 6
-#: Pairs of bands by which buckets that hold several components are split. Both
-#: bands of a pair agree with probability s^6, so that none of 100 does 3e-9.
+#: Pairs of bands by which buckets that hold several components are split, to
+#: find most links cheaply. What they miss is left to the exact join.
 PAIRED_BANDS = 100
+#: Shingles are ranked by how often their slot is met: a slot for each shingle,
+#: within these bounds. Only slots met far more often than the mean are gathered.
+LEAST_SLOT_BITS, MOST_SLOT_BITS = 18, 22
 
 SIGNED = "doc_id long, n long, node binary, bands array<long>"
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
@@ -158,19 +161,20 @@ class Linker:
         self.sets: DataFrame | None = None
         self.links: DataFrame | None = None
 
-    def confirm(self, pairs: DataFrame) -> bool:
+    def confirm(self, pairs: DataFrame, least_shared: int = LEAST_SHARED) -> bool:
         """Add the linked ones of the pairs ``a, b, n_a, n_b`` (a < b) that
-        weren't looked at; were there any?"""
+        weren't looked at and share so many bands; were there any?"""
         near = pairs.where(F.least("n_a", "n_b") * WHOLE >= F.greatest("n_a", "n_b") * PART).select("a", "b").distinct()
         if self.seen is not None:
-            near = near.join(self.seen, ["a", "b"], "left_anti")
+            looked_at = self.seen.where(F.col("shared") >= LEAST_SHARED) if least_shared < LEAST_SHARED else self.seen
+            near = near.join(looked_at.select("a", "b"), ["a", "b"], "left_anti")
         bands = self.nodes.select("node", "bands")
         shared = F.size(F.array_intersect("bands_a", "bands_b"))
         near = near.join(bands.toDF("a", "bands_a"), "a").join(bands.toDF("b", "bands_b"), "b").select("a", "b", shared.alias("shared"))
         near = materialise(near, "near-candidates")
-        self.seen = near.select("a", "b") if self.seen is None else self.seen.unionByName(near.select("a", "b"))
-        near = near.where(F.col("shared") >= LEAST_SHARED).select("a", "b")
-        self._make_sets(near)
+        self.seen = near if self.seen is None else self.seen.unionByName(near)
+        near = near.where(F.col("shared") >= least_shared).select("a", "b")
+        self.make_sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         sets = self.sets
         both = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -179,8 +183,8 @@ class Linker:
         self.links = new if self.links is None else self.links.unionByName(new)
         return not new.isEmpty()
 
-    def _make_sets(self, near: DataFrame) -> None:
-        wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def make_sets(self, wanted: DataFrame) -> None:
+        """See that ``sets`` has the distinct nodes of ``wanted``."""
         if self.sets is not None:
             wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
         wanted = materialise(wanted, "near-wanted")
@@ -235,6 +239,51 @@ def _split_by_second_band(rows: DataFrame) -> DataFrame:
     return held.where(F.size("_k") > 1).select(F.explode_outer(found).alias("key"), "node", "n", "comp").where("key is not null")
 
 
+def _prefixes(shared, bits: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                firsts = []
+                for found in batch.column(3):
+                    s = np.asarray(found.values, np.int64).view(np.uint64)
+                    often = met[(s >> np.uint64(64 - bits)).astype(np.int64)]
+                    length = len(s) + (-len(s) * PART) // WHOLE + 1
+                    firsts.append(s[np.lexsort((s, often))[:length]].view(np.int64))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(firsts, pa.list_(pa.int64()))], ["node", "n", "comp", "first"])
+
+    return cut
+
+
+def _prefix_pairs(work: Linker, rows: DataFrame) -> DataFrame:
+    """All pairs of different components among the nodes of ``node, n, comp``
+    that can be linked: they share a shingle of their prefixes."""
+    spark = rows.sparkSession
+    members = materialise(rows.select("node", "n", "comp").dropDuplicates(["node"]), "near-members")
+    work.make_sets(members.select("node"))
+    held = members.agg(F.sum("n")).first()[0] or 0
+    bits = min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, int(held).bit_length()))
+    # any order that is the same for all sets will do, so counts of slots serve
+    slots = work.sets.select(F.explode("shingles").alias("s")).groupBy(F.shiftrightunsigned("s", 64 - bits).cast("int").alias("slot"))
+    got = slots.agg(F.count(F.lit(1)).cast("int").alias("c")).where(F.col("c") > 2 + 4 * (held >> bits)).toArrow()
+    met = np.zeros(1 << bits, np.int32)
+    met[got["slot"].to_numpy()] = got["c"].to_numpy()
+    sets = work.sets.join(members, "node").select("node", "n", "comp", "shingles")
+    made = sets.mapInArrow(_prefixes(spark.sparkContext.broadcast(met), bits), "node binary, n long, comp binary, first array<long>")
+    first = materialise(made, "near-prefixes").select("node", "n", "comp", F.posexplode("first").alias("at", "key"))
+    mixed_keys = first.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    first = materialise(first.join(mixed_keys, "key"), "near-prefix-rows")
+    # x is the smaller set; its prefix against sets of its size or more is shorter
+    x = first.where(F.col("at") + F.ceil(F.col("n") * (2 * PART) / (PART + WHOLE)) <= F.col("n"))
+    x = x.select("key", F.struct("n", "node").alias("x"), F.col("at").alias("at_x"), F.col("comp").alias("comp_x"))
+    y = first.select("key", F.struct("n", "node").alias("y"), F.col("at").alias("at_y"), F.col("comp").alias("comp_y"))
+    need = F.ceil((F.col("x.n") + F.col("y.n")) * PART / (PART + WHOLE))
+    fits = (F.col("x") < F.col("y")) & (F.col("x.n") * WHOLE >= F.col("y.n") * PART) & (F.col("comp_x") != F.col("comp_y"))
+    met_at = x.join(y, "key").where(fits & (F.col("at_x") + need <= F.col("x.n")) & (F.col("at_y") + need <= F.col("y.n")))
+    return met_at.select(*_ordered("x", "y"))
+
+
 def near_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, node, component_id`` for every row."""
     work = Linker(docs)
@@ -252,6 +301,9 @@ def near_components(docs: DataFrame) -> DataFrame:
         found = work.confirm(_across(left).unionByName(_stars(left.where(F.col("size") > SMALL), F.xxhash64(F.lit(turn), "key", "node"))))
         if found:
             labels = components(work.links)
+    left = _mixed(rows.select("key", "node", "n"), labels)
+    if work.confirm(_prefix_pairs(work, left), least_shared=0):
+        labels = components(work.links)
     of_node = work.nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_root = of_node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     ids = of_node.join(of_root, "root").select("node", "component_id")

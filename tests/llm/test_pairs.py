@@ -122,6 +122,23 @@ def test_near_duplicates(make_docs):
     assert Counter((g.doc_id, g.n_shingles, g.component_id) for g in got) == groups_by_force(rows)
 
 
+def test_near_duplicates_in_one_template(make_docs):
+    """Holders of a passage of 340 shingles, not linked by it; every fourth pair
+    shares three more shingles and is linked."""
+    rnd = random.Random(12)
+    own = lambda n: [f"u{rnd.randrange(10**9)}" for _ in range(n)]
+    passage = [f"p{i}" for i in range(344)]
+    texts = []
+    for i in range(80):
+        border = own(3)
+        texts += [" ".join(passage + border + own(57)), " ".join(passage + (border if i % 4 == 0 else own(3)) + own(57))]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    got = near_dedup.near_components(make_docs(rows)).collect()
+    want = groups_by_force(rows)
+    assert len({c for _, _, c in want}) == 140
+    assert Counter((g.doc_id, g.n_shingles, g.component_id) for g in got) == want
+
+
 def test_kept_documents(make_docs):
     docs = make_docs([(5, "a b c d e f", "en", "a"), (2, "A b  c d e f", "en", "a"), (3, None, "en", "a"), (4, "", "en", "a")])
     kept = near_dedup.kept_documents(docs)
