@@ -28,6 +28,7 @@ scored each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,8 +95,8 @@ def _text_keys(loose: np.ndarray, strict: np.ndarray) -> np.ndarray:
 
 
 def _name_key(kind: int, value: str | None) -> int:
-    low = 0 if value is None else int.from_bytes(value.encode("utf-8", "surrogatepass")[-24:] + bytes([len(value) % 255 + 1]), "little")
-    return int(mixed(np.array([low & ((1 << 64) - 1), low >> 64 & ((1 << 64) - 1), low >> 128 & ((1 << 64) - 1)], np.uint64), kind).sum(dtype=np.uint64))
+    data = b"" if value is None else b"=" + value.encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8, salt=bytes([kind])).digest(), "little")
 
 
 def _views(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:

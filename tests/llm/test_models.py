@@ -128,6 +128,12 @@ def test_classifier_held_out(spark, make_docs):
     assert right / len(rest) > 0.97
 
 
+def test_names_with_the_same_end_are_told_apart():
+    end = "/the/same/long/path/of/a/source"
+    names = [None, "", "a", "a\0", "https://a.org" + end, "https://b.org" + end]
+    assert len({quality._name_key(kind, x) for kind in (8, 9) for x in names}) == 2 * len(names)
+
+
 def test_classifier_odd_input(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = quality.query(make_docs(ODD), none).collect()
