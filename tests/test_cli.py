@@ -4,7 +4,7 @@ import os
 from parcel import cli
 from parcel.functions.params import shard_name
 
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 
 def test_run_summary_missing_retry(spark, tmp_root, capsys):

@@ -21,7 +21,7 @@ from parcel.sinks.export import read_export, write_export, write_partitioned_exp
 from parcel.sinks.lists import write_uri_list
 from parcel.sources.inventory import list_flat, list_objects
 
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 NO_WAIT = RetryPolicy(attempts=3, wait_min=0.0, wait_max=0.0)
 
