@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcel.llm import chat, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, quality, secret_scan, suffix_dedup
+from parcel.llm import (
+    chat,
+    decontamination,
+    fill_in_middle,
+    fingerprints,
+    language_model,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality,
+    secret_scan,
+    suffix_dedup,
+    url_filter,
+    whitening,
+)
 from parcel.llm.common import table
 
 
@@ -50,6 +64,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.query(table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.query(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_line_dedup": op2_line_dedup,
@@ -61,10 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_url_filter": op11_url_filter,
+    "op12_whitening": op12_whitening,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op5_source_mixing": mixing.SQL,
     "op6_decontamination": decontamination.SQL,
+    "op13_fill_in_middle": fill_in_middle.SQL,
 }
