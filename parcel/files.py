@@ -10,7 +10,6 @@ and copies bytes in Python workers.
 from __future__ import annotations
 
 import os
-from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow.fs as pafs
 
@@ -113,16 +112,19 @@ def list_dir(uri: str) -> list[pafs.FileInfo]:
     return fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
 
 
-def move_many(pairs: list[tuple[str, str]], threads: int = 16) -> None:
-    """Rename many files; metadata calls run on a small driver thread pool."""
-    if not pairs:
-        return
+def write_whole(uri: str, data: bytes) -> None:
+    """A small file that is there as a whole or not at all."""
+    fs, path = resolve(uri)
+    temporary = f"{path}.new"
+    with fs.open_output_stream(temporary, compression=None) as out:
+        out.write(data)
+    fs.move(temporary, path)
 
-    def _one(pair: tuple[str, str]) -> None:
-        src, dst = pair
-        fs, sp = resolve(src)
-        _, dp = resolve(dst)
-        fs.move(sp, dp)
 
-    with ThreadPoolExecutor(max_workers=min(threads, len(pairs))) as pool:
-        list(pool.map(_one, pairs))
+def read_whole(uri: str) -> bytes | None:
+    """A small file's bytes; ``None`` if it isn't there."""
+    fs, path = resolve(uri)
+    if fs.get_file_info(path).type != pafs.FileType.File:
+        return None
+    with fs.open_input_stream(path, compression=None) as data:
+        return data.read()

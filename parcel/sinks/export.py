@@ -4,16 +4,16 @@ Layout: ``<root>/<export>/<yyyymmdd>/<export>_<yyyymmdd>-<shard:012d>.<ext>``.
 
 Spark's writer runs the whole job (scan, filter, encode, compress) in
 parallel tasks into a staging folder beside the target. Publishing is metadata
-work and safe to fail: the earlier shards move aside into the staging folder,
-the new ones move in (shard = position in name order, i.e. the writing task's
-partition order), and only then do the earlier ones go. If a move fails, the
-earlier shards move back. Moves run as a Spark job for any number of shards, and
-each can be repeated.
+work (shard = position in name order, i.e. the writing task's partition order)
+by a journal that the next run can carry on, see ``parcel.sinks.publish``: after
+any failure the target holds all earlier shards or all new ones, or a run of
+``recover`` brings it there.
 """
 
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcel import files
-from parcel.session import ship_package
 from parcel.functions.params import (
     ExportSpec,
     file_extension,
@@ -29,6 +28,7 @@ from parcel.functions.params import (
     writer_codec,
     writer_format,
 )
+from parcel.sinks.publish import publish, recover
 
 # CSV dialect of the exported files: header on, '|' delimiter, quotes doubled
 # inside quoted values, surrounding spaces kept, timestamps with microseconds.
@@ -119,58 +119,13 @@ def _staged_parts(stage: str) -> list[tuple[str, int]]:
     return sorted(parts)
 
 
-def _move_one(src: str, dst: str) -> None:
-    """Repeatable: a source that is gone is fine if its target is there."""
-    fs, sp = files.resolve(src)
-    _, dp = files.resolve(dst)
-    if fs.get_file_info(sp).type.name == "File":
-        fs.move(sp, dp)
-    elif fs.get_file_info(dp).type.name != "File":
-        raise FileNotFoundError(f"neither {src} nor {dst} exists")
-
-
-def _move_partition(batches):
-    import pandas as pd
-
-    for pdf in batches:
-        for src, dst in zip(pdf["src"], pdf["dst"]):
-            _move_one(src, dst)
-        yield pd.DataFrame({"dst": pdf["dst"]})
-
-
-def _move(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
-    if not pairs:
-        return
-    ship_package(spark)
-    n = min(len(pairs), spark.sparkContext.defaultParallelism * 2)
-    moves = spark.createDataFrame(pairs, "src string, dst string").repartition(n)
-    moves.mapInPandas(_move_partition, "dst string").write.format("noop").mode("overwrite").save()
-
-
 def _publish(spark: SparkSession, stage: str, target: str, export_name: str, folder_date: str,
              ext: str) -> tuple[list[str], int]:
     """Move the staged ``part-*`` files to their final shard names in
-    ``target``, in place of all files there. After a failure the target holds
-    its earlier files."""
+    ``target``, in place of all files there."""
     parts = _staged_parts(stage)
     names = [shard_name(export_name, folder_date, i, ext) for i in range(len(parts))]
-    new = [(files.join(stage, base), files.join(target, name)) for (base, _), name in zip(parts, names)]
-    aside = files.join(stage, "earlier")
-    old = [(files.join(target, e.base_name), files.join(aside, e.base_name))
-           for e in files.list_dir(target) if e.type.name == "File"]
-    files.makedirs(target)
-    files.makedirs(aside)
-    try:
-        _move(spark, old)
-        _move(spark, new)
-    except Exception:
-        back = {kept for _, kept in old}
-        for _, final in new:  # those that came; the earlier ones have the same names
-            if files.join(aside, final.rsplit("/", 1)[-1]) not in back or files.exists(files.join(aside, final.rsplit("/", 1)[-1])):
-                files.delete_file(final)
-        _move(spark, [(kept, place) for place, kept in old])
-        raise
-    files.delete_dir(stage)
+    publish(spark, stage, target, [(base, name) for (base, _), name in zip(parts, names)])
     return names, sum(size for _, size in parts)
 
 
@@ -196,6 +151,7 @@ def write_export(
     ext = file_extension(fmt, compression)
     target = files.join(root, export_name, folder_date)
     stage = files.join(root, export_name, f"_stage-{folder_date}-{uuid.uuid4().hex[:12]}")
+    recover(df.sparkSession, root, export_name, [folder_date])  # what a lost run has left of this date
     if not overwrite and any(e.type.name == "File" for e in files.list_dir(target)):
         raise FileExistsError(f"{target} already holds an export")
 
@@ -206,13 +162,17 @@ def write_export(
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     try:
         writer.save(stage)
-        names, total = _publish(df.sparkSession, stage, target, export_name, folder_date, ext)
     except Exception:
-        files.delete_dir(stage)  # the published folder holds what it held
+        files.delete_dir(stage)  # nothing has been moved
         raise
+    names, total = _publish(df.sparkSession, stage, target, export_name, folder_date, ext)
     return ExportResult(export_name, folder_date, target, names, int(obs.get["rows"]), total, fmt, compression)
 
 
+#: Up to so many expected dates are counted while they are written.
+OBSERVED_DATES = 400
+
+
 def write_partitioned_export(
     df: DataFrame,
     root: str,
@@ -244,8 +204,12 @@ def write_partitioned_export(
         n = int(shards_per_date)
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n))
         shaped = df.repartition(F.col(date_column), bucket)
-    rows = {str(r[0]): r[1] for r in df.groupBy(date_column).count().collect()}  # a row for each date
-    results = []
+    dates = sorted(set(expected_dates or ()))
+    counted = len(dates) <= OBSERVED_DATES and bool(dates)
+    obs = Observation(f"export_{export_name}_{uuid.uuid4().hex[:8]}")
+    if counted:  # while it is written, so the query runs once
+        by_date = [F.count_if(F.col(date_column) == day).alias(f"d{i}") for i, day in enumerate(dates)]
+        shaped = shaped.observe(obs, F.count(F.lit(1)).alias("rows"), *by_date)
     try:
         (
             shaped.write.mode("overwrite")
@@ -254,17 +218,33 @@ def write_partitioned_export(
             .partitionBy(date_column)
             .save(stage)
         )
-        for info in files.list_dir(stage):
-            prefix = f"{date_column}="
-            if info.type.name != "Directory" or not info.base_name.startswith(prefix):
-                continue
-            day = info.base_name[len(prefix):]
-            sub = files.join(stage, info.base_name)
-            target = files.join(root, export_name, day)
-            names, total = _publish(df.sparkSession, sub, target, export_name, day, ext)
-            results.append(ExportResult(export_name, day, target, names, rows.get(day, 0), total, fmt, compression))
-    finally:
-        files.delete_dir(stage)  # a failed date holds what it held
+    except Exception:
+        files.delete_dir(stage)  # nothing has been moved
+        raise
+    rows = {day: obs.get[f"d{i}"] for i, day in enumerate(dates)} if counted else {}
+    if not counted or sum(rows.values()) < obs.get["rows"]:
+        rows = {str(r[0]): r[1] for r in df.groupBy(date_column).count().collect()}  # a row for each date
+    prefix = f"{date_column}="
+    days = [e.base_name[len(prefix):] for e in files.list_dir(stage)
+            if e.type.name == "Directory" and e.base_name.startswith(prefix)]
+    recover(df.sparkSession, root, export_name, days)
+
+    def publish_day(day: str) -> ExportResult:
+        sub, target = files.join(stage, f"{prefix}{day}"), files.join(root, export_name, day)
+        names, total = _publish(df.sparkSession, sub, target, export_name, day, ext)
+        return ExportResult(export_name, day, target, names, rows.get(day, 0), total, fmt, compression)
+
+    failed, results = None, []
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for run in [pool.submit(publish_day, day) for day in days]:
+            try:
+                results.append(run.result())
+            except Exception as exc:  # noqa: BLE001 - the other dates go on
+                failed = failed or exc
+    if not any(e.type.name == "Directory" for e in files.list_dir(stage)):
+        files.delete_dir(stage)  # each date has gone or been undone; one that is stuck is kept for recovery
+    if failed is not None:
+        raise failed
     written = {r.folder_date for r in results}
     empty = df.drop(date_column).limit(0)
     for day in sorted(set(expected_dates or ()) - written):

@@ -239,7 +239,7 @@ def test_shard_names_follow_the_writing_order(spark, tmp_root):
 @pytest.mark.parametrize("partitioned", [False, True])
 @pytest.mark.parametrize("failing", [1, 2])
 def test_failed_move_leaves_the_earlier_export(spark, tmp_root, monkeypatch, partitioned, failing):
-    import parcel.sinks.export as X
+    import parcel.sinks.publish as X
 
     df = spark.range(10).selectExpr("id AS x")
     first = write_export(df, tmp_root, "E", "20250101", shards=3)
