@@ -9,7 +9,9 @@ and copies bytes in Python workers.
 
 from __future__ import annotations
 
+import datetime
 import os
+from collections.abc import Callable, Iterator
 
 import pyarrow.fs as pafs
 
@@ -112,6 +114,32 @@ def list_dir(uri: str) -> list[pafs.FileInfo]:
     return fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
 
 
+def scan(uri: str) -> Iterator[tuple[str, str, Callable[[], tuple[int | None, datetime.datetime | None]]]]:
+    """Entries directly under ``uri``, one at a time: name, ``File`` or
+    ``Directory``, and a function for size and time of change (UTC). A mounted
+    folder is read as a stream, and only entries that are asked get a look of
+    their own; an object store tells all that in its listing."""
+    local = local_path(uri)
+    if local is None:
+        for info in list_dir(uri):
+            yield info.base_name, info.type.name, lambda i=info: (i.size, i.mtime)
+        return
+    try:
+        entries = os.scandir(local)
+    except FileNotFoundError:
+        return
+    except NotADirectoryError:
+        return
+    with entries:
+        for entry in entries:
+            def look(e=entry):
+                found = e.stat()
+                changed = datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=found.st_mtime_ns // 1000)
+                return found.st_size, changed
+
+            yield entry.name, "Directory" if entry.is_dir() else "File", look
+
+
 def write_whole(uri: str, data: bytes) -> None:
     """A small file that is there as a whole or not at all."""
     fs, path = resolve(uri)

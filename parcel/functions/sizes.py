@@ -26,7 +26,8 @@ def _one_decimal(x: Column) -> Column:
 
 
 def human_size(n) -> Column:
-    """``'%.1f <unit>'`` with a space; the unit is chosen on ``abs(n)``."""
+    """``'%.1f <unit>'`` with a space; the unit is chosen on ``abs(n)``.
+    An unknown size has no text."""
     v = _c(n).cast("double")
     a = F.abs(v)
     expr = None
@@ -35,7 +36,8 @@ def human_size(n) -> Column:
         cond = a < float(1024 ** (k + 1))
         text = F.concat(_one_decimal(scaled), F.lit(f" {unit}"))
         expr = F.when(cond, text) if expr is None else expr.when(cond, text)
-    return expr.otherwise(F.concat(_one_decimal(v / float(1024 ** 5)), F.lit(" PB")))
+    text = expr.otherwise(F.concat(_one_decimal(v / float(1024 ** 5)), F.lit(" PB")))
+    return F.when(v.isNotNull(), text)
 
 
 def human_size_compact(n) -> Column:
@@ -46,7 +48,8 @@ def human_size_compact(n) -> Column:
     expr = F.when(v < 1024.0, F.concat(raw.cast("bigint").cast("string"), F.lit("B")))
     for k, unit in enumerate(UNITS[1:-1], start=1):
         expr = expr.when(v < float(1024 ** (k + 1)), F.concat(_one_decimal(v / float(1024 ** k)), F.lit(unit)))
-    return expr.otherwise(F.concat(_one_decimal(v / float(1024 ** 5)), F.lit("PB")))
+    text = expr.otherwise(F.concat(_one_decimal(v / float(1024 ** 5)), F.lit("PB")))
+    return F.when(v.isNotNull(), text)
 
 
 def size_mb(n, digits: int = 2) -> Column:

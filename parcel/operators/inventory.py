@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcel.functions import paths
+from parcel.session import stored
 
 
 def with_layout(inv: DataFrame) -> DataFrame:
@@ -64,6 +65,27 @@ def listing_order(inv: DataFrame, directory: str = "") -> DataFrame:
     return directory_entries(inv, directory).orderBy("sort_key", "name")
 
 
+def listing_positions(inv: DataFrame, directory: str = "") -> DataFrame:
+    """O2 with its order as data: the entries with ``ordinal``, 1 for the first
+    of the listing. Entries are range-partitioned and sorted once; each
+    partition counts its own, and the counts of the partitions before it are
+    added, so no task holds more than its range."""
+    entries = directory_entries(inv, directory)
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = entries.repartitionByRange(n, "sort_key", "name").sortWithinPartitions("sort_key", "name").withColumns({
+        "_part": F.spark_partition_id(),
+        "_row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    placed = stored(placed, "listing-order")
+    before, total = [], 0
+    held = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}  # a row for each partition
+    for part in range(n):
+        before.append(F.lit(total).cast("bigint"))
+        total += held.get(part, 0)
+    ordinal = F.element_at(F.array(*before), F.col("_part") + 1) + F.col("_row") + 1
+    return placed.withColumn("ordinal", ordinal).drop("_part", "_row")
+
+
 def retention_candidates(inv: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Objects last modified more than ``days`` days before ``as_of``.
 

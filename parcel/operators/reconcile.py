@@ -12,13 +12,14 @@ Scale notes
   the target and the per-name state all use that order.
 * ``classify`` is the complete relation: every name with its state. ``verdict``
   stores it once and takes counts and samples from there; neither gathers an
-  export's names into one task, as the samples are first names under a constant
-  bound (a partial ``WindowGroupLimit`` before the shuffle).
+  export's names into one task. All samples come from one window: the first
+  names of each state, under a constant bound (a partial ``WindowGroupLimit``
+  before the shuffle), hold the first names of any set of states.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,17 +79,34 @@ def size_mismatches(src: DataFrame, tgt: DataFrame) -> DataFrame:
     return s.join(t, "filename").where(~F.col("source_size").eqNullSafe(F.col("target_size")))
 
 
-# U1-U3 on plain name sets (EXCEPT / INTERSECT / UNION DISTINCT).
+# Sides that hold a name, as bits.
+SOURCE, TARGET = 1, 2
+
+
+def name_sides(src: DataFrame, tgt: DataFrame) -> DataFrame:
+    """U1-U4 in one pass: every distinct ``filename`` with ``sides``, the bits of
+    the sides that hold it. Each side is read once and reduced before the
+    shuffle."""
+    marked = src.select("filename", F.lit(SOURCE).alias("side")).unionByName(tgt.select("filename", F.lit(TARGET).alias("side")))
+    return marked.groupBy("filename").agg(F.bit_or("side").alias("sides"))
+
+
+def name_set(sides: Column, set_op: str) -> Column:
+    """Is a name with these ``sides`` in the set ``missing``, ``extra``,
+    ``common`` or ``all``?"""
+    return {"missing": sides == SOURCE, "extra": sides == TARGET, "common": sides == SOURCE | TARGET, "all": sides > 0}[set_op]
+
+
 def names_missing(src_names: DataFrame, tgt_names: DataFrame) -> DataFrame:
-    return src_names.select("filename").subtract(tgt_names.select("filename"))
+    return name_sides(src_names, tgt_names).where(name_set(F.col("sides"), "missing")).select("filename")
 
 
 def names_common(src_names: DataFrame, tgt_names: DataFrame) -> DataFrame:
-    return src_names.select("filename").intersect(tgt_names.select("filename"))
+    return name_sides(src_names, tgt_names).where(name_set(F.col("sides"), "common")).select("filename")
 
 
 def names_all(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.select("filename").union(b.select("filename")).distinct()
+    return name_sides(a, b).select("filename")
 
 
 def classify(src: DataFrame, tgt: DataFrame) -> DataFrame:
@@ -138,7 +156,9 @@ def verdict(
 
     ``include_extra`` adds ``extra_count``: target names absent from the
     source (J2), attributed to an export by their shard name (I7), or all of
-    them for a ``label`` verdict.
+    them for a ``label`` verdict. Without ``exports``, an export that has only
+    extra files gets a row, and names that are no shard's have one with a null
+    ``export_name``.
     """
     spark = src.sparkSession
     sizes = {**SAMPLES, **(samples or {})}
@@ -156,34 +176,43 @@ def verdict(
         F.count_if(F.col("state") == "mismatch").alias("mismatch_count"),
     )
 
-    by_name = Window.partitionBy("export_name").orderBy("filename")
-
-    def first(member, size: int, value, name: str) -> DataFrame:
-        ranked = c.where(member).withColumn("rn", F.row_number().over(by_name)).where(F.col("rn") <= size)
-        return ranked.groupBy("export_name").agg(F.sort_array(F.collect_list(value)).alias(name))
-
-    mism = F.struct("filename", "source_size", "target_size")
-    picks = [
-        first(F.lit(True), sizes["source_sample"], F.col("filename"), "source_sample"),
-        first(F.col("on_target"), sizes["target_sample"], F.col("filename"), "target_sample"),
-        first(F.col("state") == "missing", sizes["missing_sample"], F.col("filename"), "missing_sample"),
-        first(F.col("state") == "mismatch", sizes["mismatch_sample"], mism, "mismatch_sample"),
-    ]
-
-    base = _export_frame(spark, exports) if exports is not None else counts.select("export_name")
-    out = base.join(counts, "export_name", "left")
-    for pick in picks:
-        out = out.join(pick, "export_name", "left")
-    extra_cols = []
+    # the first names of each state hold the first names of any set of states
+    most = max(sizes.values())
+    in_state = Window.partitionBy("export_name", "state").orderBy("filename")
+    first = c.withColumn("_rn", F.row_number().over(in_state)).where(F.col("_rn") <= most)
+    entry = F.struct("filename", "source_size", "target_size", "state")
+    held = first.groupBy("export_name").agg(F.sort_array(F.collect_list(entry)).alias("_held"))
+
+    extras, extra_cols = None, []
     if include_extra:
         from parcel.functions.paths import shard_fields
 
         extra = extra_on_target(src, tgt)
         owner = F.lit(label if label is not None else "") if single else shard_fields("filename")["export_name"]
-        extras = extra.select(owner.alias("export_name")).groupBy("export_name").agg(
-            F.count(F.lit(1)).alias("extra_count"))
-        out = out.join(extras, "export_name", "left")
+        extras = extra.select(owner.alias("owner")).groupBy("owner").agg(F.count(F.lit(1)).alias("extra_count"))
         extra_cols = [F.coalesce("extra_count", F.lit(0).cast("bigint")).alias("extra_count")]
+    if exports is not None:
+        base = _export_frame(spark, exports)
+    else:
+        base = counts.select("export_name")
+        if extras is not None:  # an export may have extra files only
+            base = base.unionByName(extras.select(F.col("owner").alias("export_name"))).distinct()
+    out = base.join(counts, "export_name", "left").join(held, "export_name", "left")
+    if extras is not None:
+        out = out.join(extras, F.col("export_name").eqNullSafe(F.col("owner")), "left")
+
+    def sample(name: str, member, value) -> Column:
+        names = F.transform(F.filter("_held", member), value)
+        return F.slice(names, 1, sizes[name])
+
+    filename = lambda x: x["filename"]
+    picks = {
+        "source_sample": sample("source_sample", lambda x: F.lit(True), filename),
+        "target_sample": sample("target_sample", lambda x: x["state"] != "missing", filename),
+        "missing_sample": sample("missing_sample", lambda x: x["state"] == "missing", filename),
+        "mismatch_sample": sample("mismatch_sample", lambda x: x["state"] == "mismatch", lambda x: F.struct(
+            x["filename"].alias("filename"), x["source_size"].alias("source_size"), x["target_size"].alias("target_size"))),
+    }
     zero = F.lit(0).cast("bigint")
     src_n = F.coalesce("source_file_count", zero)
     miss_n = F.coalesce("missing_count", zero)
@@ -197,8 +226,8 @@ def verdict(
         F.coalesce("target_file_count", zero).alias("target_file_count"),
         miss_n.alias("missing_count"),
         mism_n.alias("mismatch_count"),
-        *[F.coalesce(n, empty).alias(n) for n in ("source_sample", "target_sample", "missing_sample")],
-        F.coalesce("mismatch_sample", F.array().cast(MISMATCH_TYPE)).alias("mismatch_sample"),
+        *[F.coalesce(picks[n], empty).alias(n) for n in ("source_sample", "target_sample", "missing_sample")],
+        F.coalesce(picks["mismatch_sample"], F.array().cast(MISMATCH_TYPE)).alias("mismatch_sample"),
         (src_n == 0).alias("no_files_found"),
         F.when(src_n == 0, "no_files").when(in_sync, "ok").otherwise("out_of_sync").alias("outcome"),
         *extra_cols,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from parcel.sinks.export import ExportResult, write_export, write_partitioned_ex
 from parcel.operators.inventory import with_layout
 from parcel.sinks.lists import write_uri_list
 from parcel.sources.inventory import list_flat, list_folders, list_objects, read_uri_list
+from parcel.sources.intervals import NotCorrelated, run_over
 from parcel.sources.query import run_spec
 
 PIPELINE_SCHEMA = (
@@ -79,6 +81,16 @@ def run_exports(
     return _in_pool(spark, one, active_specs(specs, overrides), threads)
 
 
+def _of_all_runs(spark: SparkSession, spec: ExportSpec, runs: list[Interval]) -> DataFrame | None:
+    """The spec's rows of all runs in one scan, if its query allows it."""
+    if spec.skipped:
+        raise ValueError(f"export {spec.name!r} has no query (skipped)")
+    try:
+        return run_over(spark, spec.query, runs)
+    except NotCorrelated:
+        return None
+
+
 def backfill(
     spark: SparkSession,
     spec: ExportSpec,
@@ -87,6 +99,7 @@ def backfill(
     root: str,
     shards_per_date=None,
     date_column: str | None = None,
+    one_scan: bool = True,
 ) -> list[ExportResult]:
     """Q8 for any export query: the daily runs ending ``first_end ..
     last_end`` become one Spark job, written once with
@@ -95,7 +108,11 @@ def backfill(
     With ``date_column``, the query has to select its interval
     (``data_interval_start`` to ``data_interval_end``) on that column; it is
     then run once for the whole range, and each row goes to the run of its
-    day. Without, each day's query is bound on its own (a scan for each)."""
+    day; the range reaches the scan. Without, the run dates are joined to the
+    query's rows by its own conditions (``sources.intervals``): one scan of its
+    tables, whole. With ``one_scan=False``, and for a query that can't be joined
+    so, each day's query is bound on its own, which is better for few days of
+    tables that are partitioned by date."""
     first, last = _day(first_end), _day(last_end)
     if first > last:
         raise ValueError("backfill range is empty")
@@ -110,10 +127,10 @@ def backfill(
         ended = F.date_format(F.date_add(F.to_date("folder_date", "yyyyMMdd"), 1), "yyyyMMdd")
         union = tagged.withColumn("folder_date", ended)
     else:
-        parts = [run_spec(spark, spec, iv).withColumn("folder_date", F.lit(iv.folder_date)) for iv in runs]
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
+        union = _of_all_runs(spark, spec, runs) if one_scan and len(runs) > 1 else None
+        if union is None:
+            union = reduce(DataFrame.unionByName, [
+                run_spec(spark, spec, iv).withColumn("folder_date", F.lit(iv.folder_date)) for iv in runs])
     return write_partitioned_export(union, root, spec.name, spec.format, spec.compression,
                                     shards_per_date=shards_per_date, expected_dates=dates)
 

@@ -7,6 +7,8 @@ the oracle compares the *delivered* data with the tables).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from parcel.operators.reconcile import verdict
 from parcel.plans import jobs
 from parcel.session import scratch_dir
 from parcel.sinks.export import read_export, read_options, write_export
+from parcel.sinks.publish import Publication, _move, recover
 from parcel.sources.inventory import list_flat, list_objects
 from parcel.sources.query import register_tables, run_query, run_spec
 
@@ -175,6 +178,56 @@ def backfill_queries(spark, sf) -> DataFrame:
     return out.groupBy("folder_date").agg(F.count(F.lit(1)).alias("rows_exported"), _content())
 
 
+def backfill_any_query(spark, sf) -> DataFrame:
+    """Q8 for a query that doesn't name its date column: sixty look-back runs
+    in one scan, joined with the run dates by the query's own range."""
+    t = _prep(spark, sf, ("orders",))
+    spec = ExportSpec("LOOKBACK", LOOKBACK_SQL)
+    res = jobs.backfill(spark, spec, "1998-05-01", "1998-06-29", scratch_dir(spark, "backfill-any"))
+    sums = {r.folder_date: r.rows for r in res}
+    back = spark.read.schema(t["orders"].schema).options(**read_options("CSV")).csv([r.path for r in res])
+    day = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    out = back.groupBy(day.alias("folder_date")).agg(F.count(F.lit(1)).alias("rows_exported"), _content())
+    counted = F.create_map(*[F.lit(x) for pair in sums.items() for x in pair])
+    return out.withColumn("rows_counted", F.try_element_at(counted, F.col("folder_date")).cast("bigint"))
+
+
+def export_failed_republish(spark, sf) -> DataFrame:
+    """K1 + K3: what an export's folder holds after republishing it went wrong.
+    ``blocked``: a move fails and is undone, so the earlier export stays.
+    ``lost``: the driver is lost after the earlier shards went aside, and
+    recovery brings the new ones in. ``lost_undoing``: it is lost while undoing,
+    and recovery ends that."""
+    orders = _prep(spark, sf, ("orders",))["orders"]
+    root, again = scratch_dir(spark, "republish"), orders.where("o_orderstatus = 'F'")
+    frames = []
+    for name in ("BLOCKED", "LOST", "LOST_UNDOING"):
+        first = write_export(orders, root, name, RUN.folder_date, shards=2)
+        if name == "BLOCKED":
+            _block(first.path, [shard_name(name, RUN.folder_date, 2, "csv.gz")])
+            try:
+                write_export(again, root, name, RUN.folder_date, shards=3)
+            except OSError:
+                pass
+        else:
+            staged = write_export(again, f"{root}-staged", name, RUN.folder_date, shards=3)
+            stage = files.join(root, name, f"_stage-{RUN.folder_date}-{'0' * 12}")
+            files.makedirs(stage)
+            _move(spark, [(files.join(staged.path, n), files.join(stage, n)) for n in staged.files])
+            lost = Publication.planned(stage, first.path, [(n, n) for n in staged.files])
+            lost.set_aside(spark)
+            if name == "LOST_UNDOING":
+                lost.move_in(spark)
+                lost.withdraw(spark)
+            recover(spark, root, name)
+        found = list_objects(spark, root, f"{name}/").where(~F.col("key").endswith(".keep")).count()
+        back = read_export(spark, files.join(first.path, "*.gz"), orders.schema) if name != "BLOCKED" else read_export(
+            spark, files.join(first.path, "BLOCKED_*00[01].csv.gz"), orders.schema)
+        frames.append(back.withColumns({"export_name": F.lit(name), "shards": F.lit(found).cast("bigint")}))
+    rows = reduce(DataFrame.unionByName, frames)
+    return rows.groupBy("export_name", "shards").agg(F.count(F.lit(1)).alias("rows_held"), _content())
+
+
 # ----------------------------------------------------------------- delivery --
 
 def _read_landing(spark, target: str, schema) -> DataFrame:

@@ -101,6 +101,17 @@ ORACLE_SQL: dict[str, str] = {
       SELECT strftime(CAST(o_orderdate AS DATE) + 1, '%Y%m%d') AS folder_date, count(*) AS rows_exported, {_CONTENT}
       FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-06-01' AND DATE '1998-06-05'
       GROUP BY 1""",
+    "backfill_any_query": f"""
+      SELECT strftime(d, '%Y%m%d') AS folder_date, count(*) AS rows_exported, {_CONTENT}, count(*) AS rows_counted
+      FROM (SELECT CAST(r AS DATE) AS d FROM range(TIMESTAMP '1998-05-01', TIMESTAMP '1998-06-30', INTERVAL 1 DAY) t(r)) days
+      JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN d - 7 AND d
+      GROUP BY 1""",
+    "export_failed_republish": f"""
+      SELECT 'BLOCKED' AS export_name, CAST(2 AS BIGINT) AS shards, count(*) AS rows_held, {_CONTENT} FROM orders
+      UNION ALL
+      SELECT 'LOST', CAST(3 AS BIGINT), count(*), {_CONTENT} FROM orders WHERE o_orderstatus = 'F'
+      UNION ALL
+      SELECT 'LOST_UNDOING', CAST(2 AS BIGINT), count(*), {_CONTENT} FROM orders""",
     # --------------------------------------------------------- inventory --
     "inventory_layout": _with("SELECT key, export_name, folder_date, filename, size FROM src"),
     "shard_name_parse": _with(f"""

@@ -229,6 +229,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "multi_export": live.multi_export,
     "backfill_range": live.backfill_range,
     "backfill_queries": live.backfill_queries,
+    "backfill_any_query": live.backfill_any_query,
+    "export_failed_republish": live.export_failed_republish,
     # inventory
     "inventory_layout": inventory_layout,
     "shard_name_parse": shard_name_parse,

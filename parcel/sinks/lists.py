@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcel.operators.summary import SUMMARY_COLUMNS
@@ -44,3 +46,33 @@ def write_summary_json(sides: dict[str, DataFrame], path: str) -> str:
         out = rows if out is None else out.unionByName(rows)
     out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
+
+
+def summary_document(sides: dict[str, DataFrame]) -> DataFrame:
+    """K6 as one document: a row with ``document``, the JSON object
+    ``{side: {export: stats}}``. A side without exports is an empty object. It
+    has a few numbers for each export, not for each file."""
+    rows = None
+    for side, summary in sides.items():
+        stats = F.struct(*[c for c in SUMMARY_COLUMNS if c != "export_name"])
+        of_side = summary.select(F.lit(side).alias("side"), F.struct("export_name", stats.alias("stats")).alias("entry"))
+        none = summary.sparkSession.range(1).select(F.lit(side).alias("side"), F.lit(None).cast(of_side.schema["entry"].dataType).alias("entry"))
+        rows = reduce(DataFrame.unionByName, [x for x in (rows, of_side, none) if x is not None])
+    of_sides = rows.groupBy("side").agg(F.map_from_entries(F.sort_array(F.collect_list("entry"))).alias("exports"))
+    whole = of_sides.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("side", F.to_json("exports", {"ignoreNullFields": "false"}).alias("json"))))).alias("sides"))
+    pairs = F.transform(F.map_entries("sides"), lambda e: F.concat(F.lit('"'), e["key"], F.lit('": '), e["value"]))
+    return whole.select(F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}")).alias("document"))
+
+
+def write_summary_document(sides: dict[str, DataFrame], path: str) -> str:
+    """K6 as one text file with the document."""
+    summary_document(sides).coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def read_summary_document(spark: SparkSession, path: str) -> DataFrame:
+    """The document's rows: ``side, export_name`` and the statistics."""
+    stats = "oldest_date string, newest_date string, num_dates bigint, total_files bigint, total_size bigint, avg_files_per_date double, avg_size_per_file double"
+    text = spark.read.option("wholetext", "true").text(path)
+    sides = text.select(F.explode(F.from_json("value", f"map<string, map<string, struct<{stats}>>>")).alias("side", "exports"))
+    return sides.select("side", F.explode("exports").alias("export_name", "stats")).select("side", "export_name", "stats.*")

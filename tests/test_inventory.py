@@ -74,7 +74,7 @@ def test_live_listing(spark, tmp_root):
     _touch(f"{tmp_root}/exp/20250101/exp_20250101-000000000000.csv.gz", b"abc")
     _touch(f"{tmp_root}/exp/20250101/exp_20250101-000000000001.csv.gz", b"abcd")
     _touch(f"{tmp_root}/exp_old/20250101/f.csv", b"a")
-    _touch(f"{tmp_root}/exp/_stage-x/part-0", b"hidden")
+    _touch(f"{tmp_root}/exp/_stage-20250101-0123456789ab/part-0", b"hidden")
     inv = list_objects(spark, tmp_root, "exp")
     got = sorted((r["key"], r["size"]) for r in inv.collect())
     assert got == [("exp/20250101/exp_20250101-000000000000.csv.gz", 3),
@@ -111,17 +111,18 @@ def test_mtime_is_utc_wall_clock(spark, tmp_root):
 
 
 def test_listing_equals_a_walk(spark, tmp_root):
-    odd = ["top.txt", "exp0/shallow.txt", "exp1/20250101/.dot.csv", "exp1/20250101/_under.csv", "exp[1]/a b/{x}/f?.csv", "d/e/f/g/h/i.csv"]
+    odd = ["top.txt", "exp0/shallow.txt", "exp1/20250101/.dot.csv", "exp1/20250101/_under.csv", "exp[1]/a b/{x}/f?.csv", "d/e/f/g/h/i.csv",
+           "_stage-report.csv", "_stage-data/x.csv", "exp0/.parcel-mine.part", "exp0/_stage-20250101-0123456789ab.csv"]
     for i, name in enumerate(odd):
         _touch(f"{tmp_root}/{name}", b"x" * (i + 1))
-    _touch(f"{tmp_root}/exp0/_stage-1/part-0")
-    _touch(f"{tmp_root}/exp0/.parcel-job-p0-a0-f.csv.part")
+    _touch(f"{tmp_root}/exp0/_stage-backfill-0123456789ab/part-0")
+    _touch(f"{tmp_root}/exp0/.parcel-0123456789ab-p0-a0-f.csv.part")
     got = {r["key"]: r["size"] for r in list_objects(spark, tmp_root).collect()}
     assert got == {name: i + 1 for i, name in enumerate(odd)}
     assert [r["key"] for r in list_objects(spark, tmp_root, "exp[1]/").collect()] == ["exp[1]/a b/{x}/f?.csv"]
     assert list_objects(spark, tmp_root, "exp1/").count() == 2
     assert list_objects(spark, f"{tmp_root}/nope").count() == 0
-    assert [r["key"] for r in list_flat(spark, tmp_root).collect()] == ["top.txt"]
+    assert sorted(r["key"] for r in list_flat(spark, tmp_root).collect()) == ["_stage-report.csv", "top.txt"]
 
 
 def test_all_names_are_delivered(spark, tmp_root):
@@ -157,3 +158,34 @@ def test_list_folders_skips_missing_ones(spark, tmp_root):
     assert sorted((r["key"], r["size"]) for r in inv.collect()) == [
         ("a/20250101/a_20250101-000000000000.csv.gz", 1), ("b/20250101/b_20250101-000000000000.csv.gz", 2)]
     assert list_folders(spark, tmp_root, ["nope/"]).count() == 0
+
+
+def test_a_large_folder_is_listed_in_ranges(spark, tmp_root):
+    names = {f"big/n{i * 7919 % 5000:04d}.csv": i % 3 for i in range(5000)} | {"big/sub/x.csv": 1, "small/y.csv": 2}
+    for name, size in names.items():
+        _touch(f"{tmp_root}/{name}", b"x" * size)
+    got = list_objects(spark, tmp_root, split=300)
+    assert {r["key"]: r["size"] for r in got.collect()} == names and got.count() == len(names)
+    flat = list_flat(spark, f"{tmp_root}/big", split=300)
+    assert flat.count() == 5000 and flat.agg(F.sum("size")).first()[0] == sum(names.values()) - 3
+
+
+def test_ranges_cover_a_folder(tmp_root):
+    from parcel.sources.inventory import MOST_RANGES, _ranges
+
+    for i in range(1000):
+        _touch(f"{tmp_root}/f/{i}")
+    assert _ranges(f"{tmp_root}/f", 1000) is None and _ranges(f"{tmp_root}/nope", 1) is None
+    ranges = _ranges(f"{tmp_root}/f", 100)
+    assert len(ranges) == 10 and ranges[0][0] is None and ranges[-1][1] is None
+    assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    held = [sum((lo is None or str(i) >= lo) and (hi is None or str(i) < hi) for i in range(1000)) for lo, hi in ranges]
+    assert sum(held) == 1000 and max(held) < 200
+    assert len(_ranges(f"{tmp_root}/f", 1)) <= MOST_RANGES
+
+
+def test_positions_equal_the_sorted_listing(spark):
+    rows = [("gs://b", f"d/{n}", n, i, None) for i, n in enumerate(["b.csv", "A.csv", "a.csv", "c.csv"])] + [("gs://b", f"d/{s}/x.csv", "x.csv", 1, None) for s in ("Z", "y")]
+    got = inv_ops.listing_positions(spark.createDataFrame(rows, INVENTORY_SCHEMA), "d").orderBy("ordinal").collect()
+    assert [r["name"] for r in got] == ["y", "Z", "A.csv", "a.csv", "b.csv", "c.csv"]
+    assert [r["ordinal"] for r in got] == list(range(1, 7))

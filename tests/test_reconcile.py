@@ -176,3 +176,21 @@ def test_verdict_driven_by_an_export_dataframe(spark):
     exports = spark.createDataFrame([("a",), ("c",), ("c",)], "export_name string")
     rows = {r["export_name"]: r["outcome"] for r in reconcile.verdict(src, tgt, exports=exports).collect()}
     assert rows == {"a": "ok", "c": "no_files"}
+
+
+def test_extras_of_an_export_without_source_rows(spark):
+    src = spark.createDataFrame([("A_20250101-0.csv", 1, "A")], "filename string, size bigint, export_name string")
+    tgt = spark.createDataFrame([("A_20250101-0.csv", 1), ("B_20250101-0.csv", 5), ("notes.txt", 1)], "filename string, size bigint")
+    got = {r["export_name"]: r for r in reconcile.verdict(src, tgt, include_extra=True).collect()}
+    assert {k: r["extra_count"] for k, r in got.items()} == {"A": 0, "B": 1, None: 1}
+    assert got["A"]["outcome"] == "ok" and got["B"]["outcome"] == got[None]["outcome"] == "no_files"
+
+
+def test_name_sides_reads_each_side_once(spark):
+    a = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "filename string")
+    b = spark.createDataFrame([("y",), ("z",), (None,)], "filename string")
+    got = {r["filename"]: r["sides"] for r in reconcile.name_sides(a, b).collect()}
+    assert got == {"x": 1, "y": 3, "z": 2, None: 3}
+    assert [r[0] for r in reconcile.names_missing(a, b).collect()] == ["x"]
+    assert sorted(str(r[0]) for r in reconcile.names_common(a, b).collect()) == ["None", "y"]
+    assert reconcile.names_all(a, b).count() == 4
