@@ -77,6 +77,11 @@ def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
     return client, path
 
 
+def same_store(a: pafs.FileSystem, b: pafs.FileSystem) -> bool:
+    """Can the store copy from one to the other by itself?"""
+    return isinstance(a, pafs.FileSystem) and isinstance(b, pafs.FileSystem) and a.equals(b)
+
+
 def join(base: str, *parts: str) -> str:
     out = base.rstrip("/")
     for p in parts:
@@ -149,6 +154,12 @@ def write_whole(uri: str, data: bytes) -> None:
     fs.move(temporary, path)
 
 
+def touch(uri: str) -> None:
+    """An empty file, whoever else makes it at the same time."""
+    fs, path = resolve(uri)
+    fs.open_output_stream(path, compression=None).close()
+
+
 def read_whole(uri: str) -> bytes | None:
     """A small file's bytes; ``None`` if it isn't there."""
     fs, path = resolve(uri)

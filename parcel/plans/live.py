@@ -16,7 +16,7 @@ from parcel import files
 from parcel.functions import paths
 from parcel.functions.params import ExportSpec, Interval, shard_name
 from parcel.operators import inventory as inv_ops
-from parcel.operators.deliver import RetryPolicy, deliver, work_list
+from parcel.operators.deliver import RetryPolicy, deliver, delivery_counts, work_list
 from parcel.operators.reconcile import verdict
 from parcel.plans import jobs
 from parcel.session import scratch_dir
@@ -300,6 +300,59 @@ def deliver_partial_failure(spark, sf) -> DataFrame:
         F.coalesce("rows_delivered", F.lit(0).cast("bigint")).alias("rows_delivered"))
 
 
+def deliver_ordered_failure(spark, sf) -> DataFrame:
+    """D3 + A6: name-ordered delivery of all exports; the second shard of one
+    can't be written, so everything after it in name order is skipped."""
+    _prep(spark, sf, ("orders",))
+    base = scratch_dir(spark, "ordered-failure")
+    source, target = files.join(base, "source"), files.join(base, "landing")
+    jobs.run_exports(spark, PRIORITY_SPECS, RUN, source, shards=2)
+    _block(target, [shard_name("MEDIUM", RUN.folder_date, 1, "csv.gz")])
+    log = deliver(work_list(list_objects(spark, source)), target, mode="ordered", workers=1, policy=NO_WAIT, raise_on_failure=False)
+    counts = delivery_counts(log).first()  # one row
+    state = log.select(paths.shard_fields("filename")["export_name"].alias("export_name"), "status").groupBy("export_name").agg(
+        F.array_join(F.sort_array(F.collect_list("status")), ",").alias("statuses"))
+    return state.select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.asDict().items()], *state.columns)
+
+
+def deliver_resumed(spark, sf) -> DataFrame:
+    """D4 + D5 + D8: deliveries with a ledger, large files in byte ranges. The
+    first run fails for one export, the second copies only that, the third
+    nothing. Counts are of distinct files, though the list has each twice."""
+    t = _prep(spark, sf, ("orders",))
+    base = scratch_dir(spark, "resumed")
+    source, target, ledger = (files.join(base, x) for x in ("source", "landing", "ledger"))
+    jobs.run_exports(spark, PRIORITY_SPECS, RUN, source, shards=2)
+    work = work_list(list_objects(spark, source))
+    blocked = [shard_name("LOW", RUN.folder_date, i, "csv.gz") for i in range(2)]
+    _block(target, blocked)
+    frames = []
+    for run in (1, 2, 3):
+        log = deliver(work.unionByName(work), target, policy=NO_WAIT, raise_on_failure=False, part_bytes=10_000, ledger=ledger)
+        frames.append(delivery_counts(log).select(F.lit(run).alias("run"), "attempted", "succeeded", "failed", "unchanged"))
+        for name in blocked if run == 1 else ():
+            files.delete_dir(files.join(target, name))
+    rows = _delivered_rows(spark, target, t["orders"].schema).agg(F.sum("rows_delivered").alias("rows_delivered"), F.sum("content").alias("content")).first()
+    return reduce(DataFrame.unionByName, frames).withColumns({c: F.lit(n).cast("bigint") for c, n in rows.asDict().items()})
+
+
+def listed_names(spark, sf) -> DataFrame:
+    """S2c + S3b + F5: the names of an export area under a prefix, and the target's shards
+    with their export and date, delivered into a folder for date and export."""
+    from parcel.operators.deliver import deliver_uri
+    from parcel.sources.inventory import list_names, list_target_exports
+
+    _prep(spark, sf, ("orders",))
+    base = scratch_dir(spark, "names")
+    source = files.join(base, "source")
+    jobs.run_exports(spark, PRIORITY_SPECS, RUN, source, shards=2)
+    target = paths.target_dir(files.join(base, "landing"), RUN.folder_date, "HIGH")
+    deliver_uri(spark, source, f"HIGH/{RUN.folder_date}/", target, "HIGH")
+    landed = list_target_exports(spark, f"{base}/landing/{RUN.folder_date}/HIGH").select(F.lit("target").alias("side"), "filename", "export_name", "folder_date")
+    names = list_names(spark, source, "").select(F.lit("source").alias("side"), "filename")
+    return names.unionByName(landed, allowMissingColumns=True)
+
+
 def missing_then_retry(spark, sf) -> DataFrame:
     """P2 + J1 + K5 + S4 + D8: two delivered shards disappear, are found
     missing, listed, re-delivered, and the exports verify again."""
@@ -331,14 +384,19 @@ def missing_then_retry(spark, sf) -> DataFrame:
 
 def export_area_summary(spark, sf) -> DataFrame:
     """S2 + I6 + A1 over real files: five exports with
-    two shards each, summarised from a listing run inside executors."""
+    two shards each, summarised from a listing run inside executors. Compressed
+    sizes aren't in the tables, so the byte totals are held against what the
+    export wrote."""
     _prep(spark, sf, ("orders",))
     from parcel.operators.summary import storage_summary
 
     root = scratch_dir(spark, "area")
-    jobs.run_exports(spark, PRIORITY_SPECS, RUN, root, shards=2)
+    done = jobs.run_exports(spark, PRIORITY_SPECS, RUN, root, shards=2)
     inv = inv_ops.with_layout(list_objects(spark, root))
-    return storage_summary(inv).select("export_name", "oldest_date", "newest_date", "num_dates", "total_files")
+    written = F.create_map(*[F.lit(x) for r in done for x in (r.export_name, r.bytes)])
+    return storage_summary(inv).select(
+        "export_name", "oldest_date", "newest_date", "num_dates", "total_files",
+        (F.col("total_size") == F.try_element_at(written, F.col("export_name"))).alias("bytes_agree"))
 
 
 def deliver_uri_glob(spark, sf) -> DataFrame:
@@ -352,7 +410,8 @@ def deliver_uri_glob(spark, sf) -> DataFrame:
     source, target = files.join(base, "source"), files.join(base, "landing")
     write_export(t["orders"], source, "ORDERS", RUN.folder_date, shards=3)
     res = deliver_uri(spark, source, f"ORDERS/{RUN.folder_date}/ORDERS_*.csv.gz", target, "ORDERS")
-    listed = list_with_mb(spark, source, f"ORDERS/{RUN.folder_date}/*").where(F.col("size_mb") >= 0).count()
+    sizes = list_objects(spark, source).select(F.col("key").alias("name"), F.bround(F.col("size") / F.lit(1048576.0), 2).alias("mb"))
+    listed = list_with_mb(spark, source, f"ORDERS/{RUN.folder_date}/*").join(sizes, "name").where("size_mb = mb AND updated IS NOT NULL").count()
     rows = _delivered_rows(spark, target, t["orders"].schema)
     return rows.select(
         F.lit(res.files_transferred).cast("bigint").alias("files_transferred"),

@@ -132,15 +132,16 @@ ORACLE_SQL: dict[str, str] = {
              regexp_extract(key, '([^/]*)$', 1) AS filename
       FROM src"""),
     "listing_order": _with("""
+      SELECT *, row_number() OVER (ORDER BY sort_key, name) AS ordinal FROM (
       SELECT name, is_dir, size, (CASE WHEN is_dir THEN '0' ELSE '1' END) || lower(name) AS sort_key
       FROM (SELECT rel AS name, false AS is_dir, size FROM scoped WHERE NOT contains(rel, '/') AND rel <> ''
             UNION ALL
-            SELECT DISTINCT split_part(rel, '/', 1), true, CAST(NULL AS BIGINT) FROM scoped WHERE contains(rel, '/')) e""",
+            SELECT DISTINCT split_part(rel, '/', 1), true, CAST(NULL AS BIGINT) FROM scoped WHERE contains(rel, '/')) e) named""",
         "scoped AS (SELECT substr(key, 6) AS rel, size FROM src_files WHERE starts_with(key, 'HIGH/'))"),
     "human_size": _with(f"""
       SELECT size_bytes, {_human('size_bytes', False)} AS human, {_human('size_bytes', True)} AS compact
       FROM (SELECT unnest([size, size * 1024, size * 1048576, size * 1073741824]) AS size_bytes
-            FROM src WHERE size IS NOT NULL) s"""),
+            FROM src) s"""),
     "retention_candidates": _with("""
       SELECT key, CAST(date_diff('day', CAST(mtime AS DATE), DATE '1999-01-01') AS INTEGER) AS age_days
       FROM src_files WHERE mtime < TIMESTAMP '1998-12-02 00:00:00'"""),
@@ -241,7 +242,36 @@ ORACLE_SQL: dict[str, str] = {
                AS stats
       FROM (SELECT 'source' AS side, * FROM ({_summary("src")}) a
             UNION ALL SELECT 'target' AS side, * FROM ({_summary("tsf")}) b) u""", _TSF),
+    "summary_document": _with(f"""
+      SELECT 'source' AS side, * FROM ({_summary("src")}) a UNION ALL SELECT 'target' AS side, * FROM ({_summary("tsf")}) b""", _TSF),
+    "report_sides": _with(f"""
+      SELECT coalesce(s.export_name, t.export_name) AS export_name,
+             coalesce(s.total_files, 0) AS source_files, coalesce(t.total_files, 0) AS target_files,
+             coalesce(s.total_size, 0) AS source_size, coalesce(t.total_size, 0) AS target_size,
+             CASE WHEN coalesce(s.total_files, 0) = coalesce(t.total_files, 0)
+                       AND coalesce(s.total_size, 0) = coalesce(t.total_size, 0) THEN 'OK'
+                  WHEN coalesce(s.total_files, 0) = 0 THEN 'source empty'
+                  WHEN coalesce(t.total_files, 0) = 0 THEN 'target empty'
+                  ELSE 'MISMATCH' END AS status,
+             s.num_dates AS source_dates, t.num_dates AS target_dates, false AS compared_alone
+      FROM ({_summary("src")}) s FULL OUTER JOIN ({_summary("tsf")}) t ON s.export_name = t.export_name""", _TSF),
+    "message_truncation": "SELECT doc_id, substr(text, 1, 200) AS message, CAST(length(substr(text, 1, 200)) AS BIGINT) AS chars FROM documents",
     # ---------------------------------------------------------- delivery --
+    "deliver_ordered_failure": f"""
+      SELECT CAST(10 AS BIGINT) AS attempted, CAST(5 AS BIGINT) AS succeeded, CAST(1 AS BIGINT) AS failed, CAST(4 AS BIGINT) AS skipped,
+             CAST(0 AS BIGINT) AS superseded, CAST(0 AS BIGINT) AS unchanged, CAST(8 AS BIGINT) AS attempts, export_name,
+             CASE WHEN export_name IN ('HIGH', 'LOW') THEN 'ok,ok' WHEN export_name = 'MEDIUM' THEN 'failed,ok' ELSE 'skipped,skipped' END AS statuses
+      FROM ({_PRIORITY_COUNTS}) c""",
+    "deliver_resumed": f"""
+      SELECT run, CAST(10 AS BIGINT) AS attempted, CAST(CASE run WHEN 1 THEN 8 WHEN 2 THEN 2 ELSE 0 END AS BIGINT) AS succeeded,
+             CAST(CASE run WHEN 1 THEN 2 ELSE 0 END AS BIGINT) AS failed, CAST(CASE run WHEN 1 THEN 0 WHEN 2 THEN 8 ELSE 10 END AS BIGINT) AS unchanged,
+             CAST(n AS BIGINT) AS rows_delivered, content
+      FROM (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS run) r, (SELECT sum(n) AS n, CAST(sum(content) AS BIGINT) AS content FROM ({_PRIORITY_COUNTS}) c) t""",
+    "listed_names": f"""
+      SELECT side, export_name || '_19980608-' || lpad(CAST(i AS VARCHAR), 12, '0') || '.csv.gz' AS filename,
+             CASE WHEN side = 'target' THEN export_name END AS export_name, CASE WHEN side = 'target' THEN '19980608' END AS folder_date
+      FROM ({_PRIORITY_COUNTS}) c, range(2) t(i), (SELECT unnest(['source', 'target']) AS side) s
+      WHERE side = 'source' OR export_name = 'HIGH'""",
     "deliver_and_verify": f"""
       SELECT export_name, n AS rows_delivered, content, true AS in_sync, 'ok' AS outcome FROM ({_PRIORITY_COUNTS}) c""",
     "deliver_ordered": f"""
@@ -262,7 +292,7 @@ ORACLE_SQL: dict[str, str] = {
       FROM ({_PRIORITY_COUNTS}) c""",
     "export_area_summary": f"""
       SELECT export_name, '19980608' AS oldest_date, '19980608' AS newest_date, CAST(1 AS BIGINT) AS num_dates,
-             CAST(2 AS BIGINT) AS total_files
+             CAST(2 AS BIGINT) AS total_files, true AS bytes_agree
       FROM ({_PRIORITY_COUNTS}) c""",
     "deliver_uri_glob": f"""
       SELECT CAST(3 AS BIGINT) AS files_transferred, true AS destination_is_dir, CAST(3 AS BIGINT) AS listed_files,

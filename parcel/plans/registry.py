@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from parcel.functions import paths, sizes
 from parcel.operators import inventory as inv_ops
 from parcel.operators import reconcile, summary
-from parcel.plans import fixtures, live
+from parcel.plans import fixtures, jobs, live
+from parcel.session import scratch_dir
 from parcel.sources.inventory import filter_objects
-from parcel.sinks.lists import summary_json
+from parcel.sinks.lists import read_summary_document, summary_json, write_summary_document
 
 
 def _src_raw(spark, sf):
@@ -71,11 +72,11 @@ def uri_split_strict(spark, sf) -> DataFrame:
 
 
 def listing_order(spark, sf) -> DataFrame:
-    return inv_ops.directory_entries(filter_objects(_src_raw(spark, sf)), "HIGH")
+    return inv_ops.listing_positions(filter_objects(_src_raw(spark, sf)), "HIGH")
 
 
 def human_size(spark, sf) -> DataFrame:
-    src = _src(spark, sf).where(F.col("size").isNotNull())
+    src = _src(spark, sf)
     scaled = src.select(F.explode(F.array(
         F.col("size"), F.col("size") * 1024, F.col("size") * 1048576, F.col("size") * 1073741824,
     )).alias("size_bytes"))
@@ -108,19 +109,11 @@ def size_mismatch(spark, sf) -> DataFrame:
 
 
 def name_set_ops(spark, sf) -> DataFrame:
-    s, t = _src(spark, sf), _tgt(spark, sf)
-    tagged = [
-        reconcile.names_missing(s, t).withColumn("set_op", F.lit("missing")),
-        reconcile.names_missing(t, s).withColumn("set_op", F.lit("extra")),
-        reconcile.names_common(s, t).withColumn("set_op", F.lit("common")),
-        reconcile.names_all(s, t).withColumn("set_op", F.lit("all")),
-    ]
-    out = tagged[0]
-    for d in tagged[1:]:
-        out = out.unionByName(d)
-    return out.groupBy("set_op").agg(F.count(F.lit(1)).alias("names"),
-                                     F.min("filename").alias("first_name"),
-                                     F.max("filename").alias("last_name"))
+    """All four sets from one pass over the names of both sides."""
+    sides = reconcile.name_sides(_src(spark, sf), _tgt(spark, sf))
+    sets = F.array_compact(F.array(*[F.when(reconcile.name_set(F.col("sides"), op), F.lit(op)) for op in ("missing", "extra", "common", "all")]))
+    return sides.select("filename", F.explode(sets).alias("set_op")).groupBy("set_op").agg(
+        F.count(F.lit(1)).alias("names"), F.min("filename").alias("first_name"), F.max("filename").alias("last_name"))
 
 
 VERDICT_COLUMNS = ("export_name", "in_sync", "source_file_count", "target_file_count",
@@ -214,6 +207,29 @@ def summary_json_rows(spark, sf) -> DataFrame:
     return summary_json(s, "source").unionByName(summary_json(t, "target"))
 
 
+def summary_document(spark, sf) -> DataFrame:
+    """K6: both sides' summary as one JSON file, written and read back."""
+    s = summary.storage_summary(_src(spark, sf))
+    t = summary.storage_summary(inv_ops.with_shard_fields(_tgt(spark, sf)))
+    return read_summary_document(spark, write_summary_document({"source": s, "target": t, "archive": s.limit(0)}, scratch_dir(spark, "summary-document")))
+
+
+def report_sides(spark, sf) -> DataFrame:
+    """Both summaries and their comparison, as the report job gives them."""
+    s, t, both = jobs.report(_src(spark, sf), inv_ops.with_shard_fields(_tgt(spark, sf)))
+    lone = jobs.report(_src(spark, sf), None)
+    shown = lambda df, side: df.select("export_name", F.col("num_dates").alias(f"{side}_dates"))
+    out = both.join(shown(s, "source"), "export_name", "left").join(shown(t, "target"), "export_name", "left")
+    return out.withColumn("compared_alone", F.lit(lone[2] is not None))
+
+
+def message_truncation(spark, sf) -> DataFrame:
+    """the first 200 characters of every document's text as a message."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    message = sizes.truncate("text", jobs.MESSAGE_CHARS)
+    return docs.select("doc_id", message.alias("message"), F.char_length(message).cast("bigint").alias("chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # export and extract (live files)
     "lookback_extract": live.lookback_extract,
@@ -260,10 +276,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "side_comparison": side_comparison,
     "transfer_totals": transfer_totals,
     "summary_json": summary_json_rows,
+    "summary_document": summary_document,
+    "report_sides": report_sides,
+    "message_truncation": message_truncation,
     # delivery
     "deliver_and_verify": live.deliver_and_verify,
     "deliver_ordered": live.deliver_ordered,
     "deliver_partial_failure": live.deliver_partial_failure,
+    "deliver_ordered_failure": live.deliver_ordered_failure,
+    "deliver_resumed": live.deliver_resumed,
+    "listed_names": live.listed_names,
     "missing_then_retry": live.missing_then_retry,
     "export_area_summary": live.export_area_summary,
     "deliver_uri_glob": live.deliver_uri_glob,
