@@ -10,7 +10,11 @@ therefore keeps a k-gram at the same place in both, so joining the kept
 k-grams finds every shared window. A hit is extended by comparing all
 n-word windows around the k-gram; the words needed for that travel with the
 fingerprint, so no text is shuffled. Items below ``n`` words are looked up by
-all word runs of their length, if there are any such items.
+all word runs of their lengths, if there are any such items: at most n - 1 lengths.
+
+The texts are read once: their words are hashed, and the kept k-grams, the short
+runs and one row with the number of words leave together. What matches the
+benchmark is stored, with a row for each document, and all else starts there.
 
 The benchmark's fingerprints are broadcast if they are counted to be at most
 ``BROADCAST_ROWS``; a larger benchmark is joined by a shuffle.
@@ -29,14 +33,15 @@ from pyspark.sql import functions as F
 
 from parcel.llm.common import ascii_lower, materialise, text_key, whole_text
 
-# Fixed value: a word, before lower-casing.
-ITEM_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Fixed value: what lies between words. To split there is several times faster
+# than to extract the words.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Fingerprints (under 150 bytes each) that may be broadcast.
 BROADCAST_ROWS = 100_000
 
 
 def word_hashes(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(ITEM_WORD), F.lit(0)), lambda w: F.xxhash64(ascii_lower(w)))
+    return F.transform(F.array_remove(F.split(ascii_lower(text), BETWEEN), ""), lambda w: F.xxhash64(w))
 
 
 def _places(count: Column) -> Column:
@@ -53,9 +58,20 @@ def _grams(length: int) -> Column:
     return F.transform(_places(F.size("words") - (length - 1)), lambda i: _gram(F.col("words"), i, length))
 
 
-def _winnowed(rows: DataFrame, k: int, n: int) -> DataFrame:
-    """Rows with a column ``words`` -> one row per kept k-gram, with ``at``,
-    ``fp`` and ``around``: the words of all n-word windows that hold it."""
+def _entry(at: Column, length: int, fp: Column, around: Column | None = None) -> Column:
+    none = F.lit(None).cast("array<bigint>")
+    return F.struct(at.cast("int").alias("at"), F.lit(length).alias("length"), fp.alias("fp"), (none if around is None else around).alias("around"))
+
+
+def _runs(length: int) -> Column:
+    """An entry for each run of so many of the ``words``."""
+    return F.transform(_places(F.size("words") - (length - 1)), lambda i: _entry(i, length, _gram(F.col("words"), i, length)))
+
+
+def _prints(rows: DataFrame, k: int, n: int, short: list[int]) -> DataFrame:
+    """Rows with a column ``words`` -> one row per kept k-gram (``length`` n),
+    with ``at``, ``fp`` and ``around``: the words of all n-word windows that hold
+    it; and one row per run of each length in ``short``."""
     w = n - k + 1
     grams = rows.withColumn("_g", _grams(k))
     minima = grams.withColumn(
@@ -66,19 +82,10 @@ def _winnowed(rows: DataFrame, k: int, n: int) -> DataFrame:
         _places(F.size("_g")),
         lambda p: F.get(F.col("_g"), p) == F.greatest(*[F.get(F.col("_m"), p - j) for j in range(w)]),
     )
-    found = minima.withColumn(
-        "_f",
-        F.transform(
-            kept,
-            lambda p: F.struct(
-                p.alias("at"),
-                F.get(F.col("_g"), p).alias("fp"),
-                F.transform(F.sequence(p - (n - k), p + (n - 1)), lambda j: F.get(F.col("words"), j)).alias("around"),
-            ),
-        ),
-    ).drop("words", "_g", "_m")
-    # outer: else the optimizer adds a filter that computes all this once more
-    return found.select(*[c for c in found.columns if c != "_f"], F.inline_outer("_f")).where("fp is not null")
+    around = lambda p: F.transform(F.sequence(p - (n - k), p + (n - 1)), lambda j: F.get(F.col("words"), j))
+    found = [F.transform(kept, lambda p: _entry(p, n, F.get(F.col("_g"), p), around(p)))]
+    found += [_runs(length) for length in short]
+    return minima.withColumn("_f", F.concat(*found)).drop("words", "_g", "_m")
 
 
 def _windows_around(around: Column, k: int, n: int) -> Column:
@@ -96,51 +103,56 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def hit_windows(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id, tkey, start, length, window`` of each occurrence,
-    ``window, item``)."""
+def _short_window(lengths: list[int]) -> Column:
+    """The one window of an item of fewer words."""
+    return F.coalesce(F.lit(None).cast("bigint"), *[F.when(F.size("words") == m, _gram(F.col("words"), F.lit(0), m)) for m in lengths])
+
+
+def searched(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id, tkey, n_words, hits`` with a row for each document, whose
+    ``hits`` is null, and one for each fingerprint met: an array of ``start,
+    length, window``; ``window, item``)."""
     items = materialise(
         benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), word_hashes(whole_text()).alias("words")),
         "benchmark-words",
     ).where(F.size("words") > 0)
-    texts = docs.select("doc_id", whole_text().alias("_text")).select(
-        "doc_id", text_key(F.col("_text")).alias("tkey"), word_hashes(F.col("_text")).alias("words")
+    short = sorted(r[0] for r in items.where(F.size("words") < n).select(F.size("words")).distinct().collect())  # below n values
+    none = F.lit(None).cast("array<bigint>")
+    of_grams = _prints(items, k, n, []).select(F.inline_outer("_f")).where("fp is not null").select(
+        "fp", "length", _windows_around(F.col("around"), k, n).alias("theirs")
     )
-    marks = materialise(
-        _winnowed(items, k, n).select("fp", _windows_around(F.col("around"), k, n).alias("theirs")).distinct(), "benchmark-prints"
-    )
-    met = _winnowed(texts, k, n).join(_bounded(marks, marks.count()), "fp")
+    of_short = items.where(F.size("words") < n).select(_short_window(short).alias("fp"), F.size("words").alias("length"), none.alias("theirs"))
+    marks = materialise(of_grams.unionByName(of_short).distinct(), "benchmark-prints")
+
+    text = docs.select("doc_id", whole_text().alias("_text"))
+    texts = text.select("doc_id", text_key(F.col("_text")).alias("tkey"), word_hashes(F.col("_text")).alias("words"))
+    made = _prints(texts.withColumn("n_words", F.size("words").cast("long")), k, n, short)
+    # one row for the document itself: length 0 is no fingerprint's
+    own = F.array(_entry(F.lit(-1), 0, F.xxhash64("doc_id", "tkey")))
+    # outer: else the optimizer adds a filter that computes all this once more
+    rows = made.select("doc_id", "tkey", "n_words", F.inline_outer(F.concat(own, "_f")))
+    met = rows.join(_bounded(marks.withColumn("_met", F.lit(True)), marks.count()), ["fp", "length"], "left").where("length = 0 or _met")
     pairs = F.arrays_zip(_windows_around(F.col("around"), k, n).alias("ours"), F.col("theirs").alias("theirs"))
-    same = F.filter(
-        F.transform(
-            pairs, lambda x, d: F.struct((F.col("at") - d).alias("start"), F.lit(n).alias("length"), F.when(x["ours"] == x["theirs"], x["ours"]).alias("window"))
-        ),
+    hit = lambda start, length, window: F.struct(start.alias("start"), length.alias("length"), window.alias("window"))
+    extended = F.filter(
+        F.transform(pairs, lambda x, d: hit(F.col("at") - d, F.lit(n), F.when(x["ours"] == x["theirs"], x["ours"]))),
         lambda x: x["window"].isNotNull(),
     )
-    hits = met.select("doc_id", "tkey", F.inline_outer(same)).where("window is not null")
-    long_items = items.where(F.size("words") >= n).select(
-        F.explode(_grams(n)).alias("window"), "item"
+    whole = F.array(hit(F.col("at"), F.col("length"), F.col("fp")))
+    hits = F.when(F.col("length") > 0, F.when(F.col("theirs").isNull(), whole).otherwise(extended))
+    found = materialise(met.select("doc_id", "tkey", "n_words", hits.alias("hits")), "benchmark-hits")
+    windows = items.where(F.size("words") >= n).select(F.explode(_grams(n)).alias("window"), "item").unionByName(
+        items.where(F.size("words") < n).select(_short_window(short).alias("window"), "item")
     )
-    windows = long_items.distinct()
-    for length in [r[0] for r in items.where(F.size("words") < n).select(F.size("words")).distinct().collect()]:
-        short = items.where(F.size("words") == length).select(_gram(F.col("words"), F.lit(0), length).alias("window"), "item").distinct()
-        keys = short.select("window").distinct()
-        runs = texts.select(
-            "doc_id",
-            "tkey",
-            F.posexplode_outer(_grams(length)).alias("start", "window"),
-        ).select("doc_id", "tkey", "start", F.lit(length).alias("length"), "window")
-        hits = hits.unionByName(runs.join(_bounded(keys, keys.count()), "window", "left_semi"))
-        windows = windows.unionByName(short)
-    return hits, windows
+    return found, windows.distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6) -> DataFrame:
+def _contaminated(found: DataFrame, windows: DataFrame) -> DataFrame:
     """``doc_id, tkey, n_hit, items`` of the documents with hits."""
-    hits, windows = hit_windows(docs, benchmark, n, k)
-    found = hits.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("start", "length", "window")).alias("_w"))
+    hits = found.where("size(hits) > 0").select("doc_id", "tkey", F.explode("hits").alias("w"))
+    of_doc = hits.groupBy("doc_id", "tkey").agg(F.collect_set("w").alias("_w"))
     covered = F.flatten(F.transform("_w", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1)))
-    counted = found.select(
+    counted = of_doc.select(
         "doc_id", "tkey", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), F.array_distinct(F.col("_w.window")).alias("_w")
     )
     return (
@@ -151,12 +163,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6
     )
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 6) -> DataFrame:
+    """``doc_id, tkey, n_hit, items`` of the documents with hits."""
+    return _contaminated(*searched(docs, benchmark, n, k))
+
+
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    text = docs.select("doc_id", "text")
-    counted = text.select(
-        "doc_id", F.regexp_count(whole_text(), F.lit(ITEM_WORD)).cast("long").alias("n_words"), text_key(whole_text()).alias("_tkey")
-    )
-    found = contamination(text, benchmark).withColumnRenamed("doc_id", "_id")
+    met, windows = searched(docs.select("doc_id", "text"), benchmark)
+    counted = met.where("hits is null").select("doc_id", "n_words", F.col("tkey").alias("_tkey"))
+    found = _contaminated(met, windows).withColumnRenamed("doc_id", "_id")
     on = counted["doc_id"].eqNullSafe(found["_id"]) & (counted["_tkey"] == found["tkey"])
     items = F.coalesce("items", F.array().cast("array<string>"))
     return counted.join(found, on, "left").select(
@@ -171,9 +186,10 @@ def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, all columns as they are."""
-    found = contamination(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_of"))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(whole_text()) == F.col("_of"))
-    return docs.join(found, on, "left_anti").select(*docs.columns)
+    found = contamination(docs, benchmark).select(F.struct("doc_id", "tkey").alias("found"))
+    held = docs.select(F.struct(*docs.columns).alias("doc"), F.struct(F.col("doc_id"), text_key(whole_text()).alias("tkey")).alias("of"))
+    same = F.col("of.doc_id").eqNullSafe(F.col("found.doc_id")) & (F.col("of.tkey") == F.col("found.tkey"))
+    return held.join(found, same, "left_anti").select("doc.*")
 
 
 SQL = r"""
