@@ -15,16 +15,16 @@ linked documents are the groups of near copies.
    of the bucket. In a group of copies of one original that is the original,
    though its copies may be too far from each other.
 4. Candidates that share too few bands are dropped, all others are confirmed
-   on the full sets, which are made from the texts once more.
+   on the full sets, which are made from the texts of all nodes with company.
 5. What a star can miss are links between two members that are not in one
-   component after this. Nodes of buckets that still hold several components
-   meet again by pairs of such bands: nodes with a similarity of 3/4 share many
-   bands, strangers with a common passage few. Of these buckets the small ones
-   are gone through member by member, the large ones get a star around another
-   centre, for as long as a turn finds links.
+   component after this. The nodes of buckets that still hold several components
+   are joined exactly: similar sets share a shingle among the rarest of each
+   (a prefix of a quarter of the set), and a shingle that a whole group holds is
+   met only by nodes outside of the group.
 
 Of two documents with similarity s at least one band agrees with probability
-1 - (1 - s^3)^42: 1 - 1e-10 at 3/4.
+1 - (1 - s^3)^42: 1 - 1e-10 at 3/4. All pairs that share a band and aren't in one
+component by their stars are found by step 5.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set and are linked with nothing; fewer words than five make one shingle of all
@@ -54,11 +54,6 @@ BANDS, ROWS = 42, 3
 BINS = BANDS * ROWS
 #: Candidates share at least so many bands; 18 are expected at the threshold.
 LEAST_SHARED = 3
-#: A bucket of up to so many nodes is gone through member by member.
-SMALL = 6
-#: Pairs of bands by which buckets that hold several components are split, to
-#: find most links cheaply. What they miss is left to the exact join.
-PAIRED_BANDS = 100
 #: Shingles are ranked by how often their slot is met: a slot for each shingle,
 #: within these bounds. Only slots met far more often than the mean are gathered.
 LEAST_SLOT_BITS, MOST_SLOT_BITS = 18, 22
@@ -147,8 +142,8 @@ def _ordered(a: str, b: str) -> list:
 
 
 class Linker:
-    """The nodes of a corpus and their confirmed links. No pair is looked at
-    twice, and no node's set is made twice."""
+    """The nodes of a corpus, and the sets of those that may be linked. Each is
+    one table: the texts are shuffled once, to make the sets."""
 
     def __init__(self, docs: DataFrame):
         ship_package(docs.sparkSession)
@@ -157,86 +152,51 @@ class Linker:
         per_node = self.signed.where("n > 0").groupBy("node")
         found = per_node.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         self.nodes = materialise(found, "near-nodes")
-        self.seen: DataFrame | None = None
-        self.sets: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def confirm(self, pairs: DataFrame, least_shared: int = LEAST_SHARED) -> bool:
-        """Add the linked ones of the pairs ``a, b, n_a, n_b`` (a < b) that
-        weren't looked at and share so many bands; were there any?"""
-        near = pairs.where(F.least("n_a", "n_b") * WHOLE >= F.greatest("n_a", "n_b") * PART).select("a", "b").distinct()
-        if self.seen is not None:
-            looked_at = self.seen.where(F.col("shared") >= LEAST_SHARED) if least_shared < LEAST_SHARED else self.seen
-            near = near.join(looked_at.select("a", "b"), ["a", "b"], "left_anti")
-        bands = self.nodes.select("node", "bands")
-        shared = F.size(F.array_intersect("bands_a", "bands_b"))
-        near = near.join(bands.toDF("a", "bands_a"), "a").join(bands.toDF("b", "bands_b"), "b").select("a", "b", shared.alias("shared"))
-        near = materialise(near, "near-candidates")
-        self.seen = near if self.seen is None else self.seen.unionByName(near)
-        near = near.where(F.col("shared") >= least_shared).select("a", "b")
-        self.make_sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        sets = self.sets
-        both = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        linked = common * WHOLE >= (F.size("set_a") + F.size("set_b") - common) * PART
-        new = materialise(both.where(linked).select("a", "b"), "near-links")
-        self.links = new if self.links is None else self.links.unionByName(new)
-        return not new.isEmpty()
-
-    def make_sets(self, wanted: DataFrame) -> None:
-        """See that ``sets`` has the distinct nodes of ``wanted``."""
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
-        wanted = materialise(wanted, "near-wanted")
-        if self.sets is not None and wanted.isEmpty():
-            return
-        chosen = self.nodes.join(wanted, "node").select(F.col("doc_id").alias("_id"), "node")
+        keyed = self.nodes.select("node", "n", F.explode("bands").alias("key"))
+        crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        #: ``key, size, node, n``: the buckets of several nodes.
+        self.buckets = materialise(keyed.join(crowded, "key"), "near-buckets")
+        chosen = self.nodes.join(self.buckets.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_id"), "node")
         texts = self.texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
         made = texts.mapInArrow(_sets_of_nodes, "node binary, shingles array<long>")
-        made = materialise(made.dropDuplicates(["node"]), "near-sets")
-        self.sets = made if self.sets is None else self.sets.unionByName(made)
-
-
-def _stars(rows: DataFrame, rank) -> DataFrame:
-    """``key, node, n, comp`` -> the pairs of each bucket's centre with the
-    nodes of other components."""
-    ranked = rows.select("key", F.struct(rank.alias("rank"), "node", "n", "comp").alias("r"))
-    centre = ranked.groupBy("key").agg(F.max("r").alias("c"))
-    return ranked.join(centre, "key").where(F.col("r.comp") != F.col("c.comp")).select(*_ordered("r", "c"))
+        self.sets = materialise(made.dropDuplicates(["node"]), "near-sets")
 
+    def sharing(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` (a < b) that share so many bands that they are
+        worth a look at their sets."""
+        bands = self.nodes.select("node", "bands")
+        shared = F.size(F.array_intersect("bands_a", "bands_b"))
+        both = pairs.join(bands.toDF("a", "bands_a"), "a").join(bands.toDF("b", "bands_b"), "b")
+        return both.where(shared >= LEAST_SHARED).select("a", "b")
 
-def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key, node, n`` in buckets that hold several components, with ``comp``
-    and ``size``, the bucket's nodes."""
-    labelled = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-    held = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    return labelled.join(held.where("lo != hi").select("key", "size"), "key")
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` whose full sets are similar."""
+        both = pairs.join(self.sets.toDF("a", "set_a"), "a").join(self.sets.toDF("b", "set_b"), "b")
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        alike = common * WHOLE >= (F.size("set_a") + F.size("set_b") - common) * PART
+        return materialise(both.where(alike).select("a", "b"), "near-links")
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """All pairs of different components in buckets of at most SMALL nodes."""
-    few = rows.where(F.col("size") <= SMALL)
-    x, y = (few.select("key", "comp", F.struct("node", "n").alias(side)).withColumnRenamed("comp", f"comp_{side}") for side in "xy")
-    met = x.join(y, "key").where((F.col("comp_x") != F.col("comp_y")) & (F.col("x.node") < F.col("y.node")))
-    return met.select(*_ordered("x", "y"))
+def _fitting(pairs: DataFrame) -> DataFrame:
+    """``a, b, n_a, n_b`` -> distinct ``a, b`` whose sizes allow a link."""
+    return pairs.where(F.least("n_a", "n_b") * WHOLE >= F.greatest("n_a", "n_b") * PART).select("a", "b").distinct()
 
 
-def _pairs_of_bands() -> list[tuple[int, int]]:
-    every = [(i, j) for i in range(BANDS) for j in range(i)]
-    rng = np.random.default_rng(19)
-    return [every[i] for i in sorted(rng.choice(len(every), PAIRED_BANDS, replace=False))]
+def _stars(buckets: DataFrame) -> DataFrame:
+    """The pairs of each bucket's centre, the node that meets most others over
+    all its buckets, with the bucket's other nodes."""
+    meets = buckets.groupBy("node").agg(F.sum(F.col("size") - 1).alias("meets"))
+    ranked = buckets.join(meets, "node").select("key", F.struct("meets", "node", "n").alias("r"))
+    centre = ranked.groupBy("key").agg(F.max("r").alias("c"))
+    return ranked.join(centre, "key").where(F.col("r.node") != F.col("c.node")).select(*_ordered("r", "c"))
 
 
-def _split_by_second_band(rows: DataFrame) -> DataFrame:
-    """``band, key, node, n, comp`` in mixed buckets -> ``key, node, n, comp``
-    with a key for each of the chosen pairs of bands that are both mixed."""
-    held = rows.groupBy("node").agg(
-        F.first("n").alias("n"), F.first("comp").alias("comp"), F.map_from_entries(F.collect_list(F.struct("band", "key"))).alias("_k")
-    )
-    keys = [F.xxhash64(F.element_at("_k", F.lit(i)), F.element_at("_k", F.lit(j))) for i, j in _pairs_of_bands()]
-    both = [F.element_at("_k", F.lit(i)).isNotNull() & F.element_at("_k", F.lit(j)).isNotNull() for i, j in _pairs_of_bands()]
-    found = F.array_compact(F.array(*[F.when(there, F.xxhash64(F.lit(at), key)) for at, (there, key) in enumerate(zip(both, keys))]))
-    return held.where(F.size("_k") > 1).select(F.explode_outer(found).alias("key"), "node", "n", "comp").where("key is not null")
+def _in_mixed_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """``node, n, comp`` of the nodes that share a bucket with a node of
+    another component."""
+    labelled = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    held = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    return labelled.join(held, "key", "left_semi").select("node", "n", "comp").distinct()
 
 
 def _prefixes(shared, bits: int):
@@ -256,12 +216,13 @@ def _prefixes(shared, bits: int):
     return cut
 
 
-def _prefix_pairs(work: Linker, rows: DataFrame) -> DataFrame:
+def _prefix_pairs(work: Linker, members: DataFrame) -> DataFrame:
     """All pairs of different components among the nodes of ``node, n, comp``
-    that can be linked: they share a shingle of their prefixes."""
-    spark = rows.sparkSession
-    members = materialise(rows.select("node", "n", "comp").dropDuplicates(["node"]), "near-members")
-    work.make_sets(members.select("node"))
+    that can be linked: they share a shingle of their prefixes. For each
+    shingle the component that holds it most often isn't paired with itself, so
+    a group of copies meets the few others that share it, not its own members."""
+    spark = members.sparkSession
+    members = materialise(members, "near-members")
     held = members.agg(F.sum("n")).first()[0] or 0
     bits = min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, int(held).bit_length()))
     # any order that is the same for all sets will do, so counts of slots serve
@@ -272,38 +233,30 @@ def _prefix_pairs(work: Linker, rows: DataFrame) -> DataFrame:
     sets = work.sets.join(members, "node").select("node", "n", "comp", "shingles")
     made = sets.mapInArrow(_prefixes(spark.sparkContext.broadcast(met), bits), "node binary, n long, comp binary, first array<long>")
     first = materialise(made, "near-prefixes").select("node", "n", "comp", F.posexplode("first").alias("at", "key"))
-    mixed_keys = first.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    first = materialise(first.join(mixed_keys, "key"), "near-prefix-rows")
-    # x is the smaller set; its prefix against sets of its size or more is shorter
-    x = first.where(F.col("at") + F.ceil(F.col("n") * (2 * PART) / (PART + WHOLE)) <= F.col("n"))
-    x = x.select("key", F.struct("n", "node").alias("x"), F.col("at").alias("at_x"), F.col("comp").alias("comp_x"))
-    y = first.select("key", F.struct("n", "node").alias("y"), F.col("at").alias("at_y"), F.col("comp").alias("comp_y"))
+    of_comp = first.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    most = of_comp.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    rows = materialise(
+        first.join(most.select("key", F.col("m.comp").alias("main")), "key").withColumn("other", F.col("comp") != F.col("main")).drop("main"),
+        "near-prefix-rows",
+    )
+    side = lambda c: [F.struct("node", "n", "comp", "at", "other").alias(c), "key"]
+    x, y = rows.where("other").select(*side("x")), rows.select(*side("y"))
     need = F.ceil((F.col("x.n") + F.col("y.n")) * PART / (PART + WHOLE))
-    fits = (F.col("x") < F.col("y")) & (F.col("x.n") * WHOLE >= F.col("y.n") * PART) & (F.col("comp_x") != F.col("comp_y"))
-    met_at = x.join(y, "key").where(fits & (F.col("at_x") + need <= F.col("x.n")) & (F.col("at_y") + need <= F.col("y.n")))
-    return met_at.select(*_ordered("x", "y"))
+    fits = (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.other") | (F.col("x.node") < F.col("y.node")))
+    near = (F.least("x.n", "y.n") * WHOLE >= F.greatest("x.n", "y.n") * PART) & (F.col("x.at") + need <= F.col("x.n")) & (F.col("y.at") + need <= F.col("y.n"))
+    return x.join(y, "key").where(fits & near).select(*_ordered("x", "y"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, node, component_id`` for every row."""
     work = Linker(docs)
-    keyed = work.nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = materialise(keyed.join(crowded, "key"), "near-buckets")
-    meets = rows.groupBy("node").agg(F.sum(F.col("size") - 1).alias("meets"))
-    rows, turn = rows.select("key", "band", "node", "n"), 0
-    work.confirm(_stars(rows.join(meets, "node").withColumn("comp", F.col("node")), F.col("meets")))
-    labels, found = components(work.links), True
-    while found:
-        turn += 1
-        split = _split_by_second_band(_mixed(rows, labels))
-        left = materialise(_mixed(split.select("key", "node", "n"), labels), "near-mixed")
-        found = work.confirm(_across(left).unionByName(_stars(left.where(F.col("size") > SMALL), F.xxhash64(F.lit(turn), "key", "node"))))
-        if found:
-            labels = components(work.links)
-    left = _mixed(rows.select("key", "node", "n"), labels)
-    if work.confirm(_prefix_pairs(work, left), least_shared=0):
-        labels = components(work.links)
+    seen = materialise(work.sharing(_fitting(_stars(work.buckets))), "near-candidates")
+    links = work.linked(seen)
+    labels = components(links)
+    left = _fitting(_prefix_pairs(work, _in_mixed_buckets(work.buckets, labels)))
+    more = work.linked(materialise(left.join(seen, ["a", "b"], "left_anti"), "near-candidates"))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     of_node = work.nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_root = of_node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     ids = of_node.join(of_root, "root").select("node", "component_id")
@@ -321,5 +274,6 @@ def query(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """One document of each group, the smallest doc_id, with all its columns.
     Rows that share a doc_id stay or go together."""
-    kept = query(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+    kept = query(docs).where("kept").select(F.struct("doc_id").alias("kept")).distinct()
+    held = docs.select(F.struct(*docs.columns).alias("doc"))
+    return held.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("kept.doc_id")), "left_semi").select("doc.*")
