@@ -97,19 +97,26 @@ def _json_paths(value, at: str = "") -> list[str]:
     return [at]
 
 
+def _layout_of(record: str | None) -> str | None:
+    try:
+        value = json.loads(record) if record is not None else None
+    except ValueError:
+        return None
+    return fingerprint(_json_paths(value)) if isinstance(value, dict) else None
+
+
 @F.pandas_udf(T.StringType())
 def _json_fingerprint(records: pd.Series) -> pd.Series:
-    return records.map(lambda r: fingerprint(_json_paths(json.loads(r))))
+    return records.map(_layout_of)
 
 
-def turns_of_json(records: DataFrame) -> DataFrame:
-    """A column ``record`` of JSON objects in mixed layouts -> canonical
-    turns. Every record takes the mapping of its own fingerprint."""
+def turns_of_json(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A column ``record`` of JSON objects in mixed layouts -> (canonical turns,
+    the rejected records with their ``layout``). Every record takes the mapping
+    of its own fingerprint; null and broken ones (no layout) and those whose
+    layout has no mapping, lists without an entry among them, are rejected."""
     ship_package(records.sparkSession)
     marked = materialise(records.select("record", _json_fingerprint("record").alias("layout")), "chat-records")
-    unknown = marked.where(~F.col("layout").isin(*MAPPINGS)).select("record").take(3)
-    if unknown:
-        raise ValueError(f"no mapping for the layout of records such as {[r[0] for r in unknown]}")
     parts = [
         canonical_turns(marked.where(F.col("layout") == mark).select(F.from_json("record", ddl).alias("r")).select("r.*"))
         for mark, (ddl, _) in MAPPINGS.items()
@@ -117,7 +124,7 @@ def turns_of_json(records: DataFrame) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out, marked.where(F.col("layout").isNull() | ~F.col("layout").isin(*MAPPINGS))
 
 
 def _escaped(text: Column) -> Column:

@@ -115,33 +115,34 @@ def kept_text(text: Column, bitmap: Column) -> Column:
 
 
 def with_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """All columns of ``docs`` with ``_text`` (null: empty), ``_n_dropped`` and
-    ``_bitmap`` (null: nothing is dropped). Only here do texts move, once."""
-    keyed = docs.withColumns({"_text": whole_text(), "_tkey": text_key(whole_text())})
-    maps = keep_bitmaps(docs, min_chars, min_docs).toDF("_id", "_of", "_n_dropped", "_bitmap")
-    on = keyed["doc_id"].eqNullSafe(maps["_id"]) & (keyed["_tkey"] == maps["_of"])
-    return keyed.join(maps, on, "left").drop("_id", "_of", "_tkey")
+    """``doc`` (a struct of all columns of ``docs``), ``n_dropped`` and ``bitmap``
+    (null: nothing is dropped). Only here do texts move, once."""
+    held = docs.select(F.struct(*docs.columns).alias("doc"), F.struct(F.col("doc_id"), text_key(whole_text()).alias("tkey")).alias("of"))
+    maps = keep_bitmaps(docs, min_chars, min_docs).select(F.struct("doc_id", "tkey").alias("found"), "n_dropped", "bitmap")
+    same = F.col("of.doc_id").eqNullSafe(F.col("found.doc_id")) & (F.col("of.tkey") == F.col("found.tkey"))
+    return held.join(maps, same, "left").select("doc", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "bitmap")
 
 
 def query(docs: DataFrame) -> DataFrame:
     marked = with_bitmaps(docs.select("doc_id", "text"))
-    kept = kept_text(F.col("_text"), F.col("_bitmap"))
+    text = F.coalesce("doc.text", F.lit(""))
     return marked.select(
-        "doc_id",
-        F.size(split_lines(F.col("_text"))).cast("long").alias("n_lines"),
-        F.coalesce("_n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-        F.sha2(kept, 256).alias("kept_sha256"),
+        "doc.doc_id",
+        F.size(split_lines(text)).cast("long").alias("n_lines"),
+        "n_dropped",
+        F.sha2(kept_text(text, F.col("bitmap")), 256).alias("kept_sha256"),
     )
 
 
 def deduped(docs: DataFrame) -> DataFrame:
     """The documents with the lines that stay; a document that loses all its
     lines goes. ``n_chars`` follows the text; the other columns stay."""
-    marked = with_bitmaps(docs)
-    lines_left = F.size(split_lines(F.col("_text"))) - F.coalesce("_n_dropped", F.lit(0))
-    text = F.when(F.col("_bitmap").isNull(), F.col("text")).otherwise(kept_text(F.col("_text"), F.col("_bitmap")))
-    out = {"text": text.alias("text"), "n_chars": F.when(F.col("_bitmap").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("long")).alias("n_chars")}
-    return marked.where(lines_left > 0).select(*[out.get(c, F.col(c)) for c in docs.columns])
+    whole = F.coalesce("doc.text", F.lit(""))
+    lines_left = F.size(split_lines(whole)) - F.col("n_dropped")
+    untouched = F.col("bitmap").isNull()
+    text = F.when(untouched, F.col("doc.text")).otherwise(kept_text(whole, F.col("bitmap")))
+    out = {"text": text, "n_chars": F.when(untouched, F.col("doc")["n_chars"]).otherwise(F.char_length(text).cast("long")) if "n_chars" in docs.columns else None}
+    return with_bitmaps(docs).where(lines_left > 0).select(*[out.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 SQL = """

@@ -76,13 +76,20 @@ def mix(
     budget_share: float = 1.5,
     max_epochs: float = 2.0,
     seed: str = SEED,
+    keep: bool = False,
 ) -> DataFrame:
     """``doc_id, text, source`` -> ``doc_id, source, size, source_size,
-    target, taken``, one row per input row."""
+    target, taken``, one row per input row; with ``keep`` also ``doc``, a struct
+    of all columns of the row."""
+    kept = ["doc"] if keep else []
     key = _order_key(seed)
     sized = materialise(
         docs.select(
-            "doc_id", "source", F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size"), key.alias("key")
+            "doc_id",
+            "source",
+            F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size"),
+            key.alias("key"),
+            *([F.struct(*docs.columns).alias("doc")] if keep else []),
         ).withColumn("slice", F.substring("key", 1, SLICE_DIGITS)),
         "mix-sizes",
     )
@@ -122,35 +129,29 @@ def mix(
         ),
     )
     return clear.unionByName(cut).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken")
+        "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"), *kept
     )
 
 
-def repetitions(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The mixed corpus: each document once per whole repetition and its first
-    words for a part of one, with ``repetition`` (from 0) and ``words`` (which
-    replace columns of these names)."""
-    wanted = plan.where("taken > 0").select(
-        F.col("doc_id").alias("_id"),
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1),
-                lambda i: F.struct(
-                    i.alias("repetition"), F.least(F.col("size"), F.col("taken") - i * F.col("size")).alias("words")
-                ),
-            )
-        ).alias("_r"),
-        F.col("size").alias("_size"),
+def repetitions(docs: DataFrame, **mixing) -> DataFrame:
+    """The mixed corpus: each row of ``docs`` once per whole repetition and its
+    first words for a part of one, with ``repetition`` (from 0) and ``words``
+    (which replace columns of these names). The mix is planned on the rows
+    themselves, so rows that share a doc_id are repeated each by its own share."""
+    plan = mix(docs, keep=True, **mixing).where("taken > 0")
+    part_of = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1),
+        lambda i: F.struct(i.alias("repetition"), F.least(F.col("size"), F.col("taken") - i * F.col("size")).alias("words")),
     )
-    part = F.regexp_extract(F.col("text"), r"\A[\x20\x09-\x0D]*", 0)
-    whole = F.col("_r.words") == F.col("_size")
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
-    text = F.when(whole, F.col("text")).otherwise(
-        F.concat(part, F.array_join(F.slice(words, F.lit(1), F.col("_r.words").cast("int")), " "))
-    )
-    return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select(
-        *[c if c != "text" else text.alias("text") for c in docs.columns if c not in ("repetition", "words")], "_r.repetition", "_r.words"
+    wanted = plan.select("doc", "size", F.explode(part_of).alias("r"))
+    own = F.col("doc.text")
+    part = F.regexp_extract(own, r"\A[\x20\x09-\x0D]*", 0)
+    words = F.regexp_extract_all(own, F.lit(WORD), F.lit(0))
+    text = F.when(F.col("r.words") == F.col("size"), own).otherwise(
+        F.concat(part, F.array_join(F.slice(words, F.lit(1), F.col("r.words").cast("int")), " "))
     )
+    kept = [c for c in docs.columns if c not in ("repetition", "words")]
+    return wanted.select(*[(text if c == "text" else F.col("doc")[c]).alias(c) for c in kept], "r.repetition", "r.words")
 
 
 def query(docs: DataFrame) -> DataFrame:

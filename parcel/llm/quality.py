@@ -292,7 +292,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
 
 
 def scored(docs: DataFrame, model: Classifier) -> DataFrame:
-    """All columns of ``docs`` with ``_quality``: struct<good, toxic, kept>."""
+    """``doc`` (a struct of all columns of ``docs``) and ``quality``:
+    struct<good, toxic, kept>."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("good double, toxic double, kept boolean")
@@ -305,15 +306,16 @@ def scored(docs: DataFrame, model: Classifier) -> DataFrame:
         both["kept"] = (both["good"] >= 0.5) & (both["toxic"] < 0.5)
         return both
 
-    return docs.withColumn("_quality", judge(whole_text(), F.col("lang").cast("string"), F.col("source").cast("string")))
+    answer = judge(whole_text(), F.col("lang").cast("string"), F.col("source").cast("string"))
+    return docs.select(F.struct(*docs.columns).alias("doc"), answer.alias("quality"))
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored(docs.select("doc_id", "text", "lang", "source"), train(docs, labels)).select(
-        "doc_id", F.col("_quality.good").alias("good_score"), F.col("_quality.toxic").alias("toxic_score"), F.col("_quality.kept").alias("kept")
+        "doc.doc_id", F.col("quality.good").alias("good_score"), F.col("quality.toxic").alias("toxic_score"), F.col("quality.kept").alias("kept")
     )
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier accepts, all columns as they are."""
-    return scored(docs, train(docs, labels)).where("_quality.kept").select(*docs.columns)
+    return scored(docs, train(docs, labels)).where("quality.kept").select("doc.*")

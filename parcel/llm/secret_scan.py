@@ -22,9 +22,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcel import files
 from parcel.llm.common import materialise, whole_text
 from parcel.session import ship_package
 
@@ -52,7 +53,8 @@ RULES = BASE_RULES + MORE_RULES
 #: Names this set of rules in the ledger: another set is another version.
 RULE_VERSION = hashlib.sha256(repr(RULES).encode()).hexdigest()[:16]
 
-FINDINGS = "blob string, n_assign long, n_access long, n_hex long, base string, spans string"
+LEDGER = "blob string, rules string"
+FINDINGS = "blob string, rules string, n_assign long, n_access long, n_hex long, base string, spans string"
 
 
 def spans_of(text: str, compiled: list[tuple]) -> list[tuple[int, int, int]]:
@@ -76,8 +78,8 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if found:
                 said = [(number, f"{name[number]}:{start}:{end}") for start, number, end in found]
                 counts = [sum(n == k for n, _ in said) for k in range(base)]
-                rows.append((blob, *counts, ",".join(s for n, s in said if n < base), ",".join(s for _, s in said)))
-        yield pd.DataFrame(rows, columns=["blob", "n_assign", "n_access", "n_hex", "base", "spans"])
+                rows.append((blob, RULE_VERSION, *counts, ",".join(s for n, s in said if n < base), ",".join(s for _, s in said)))
+        yield pd.DataFrame(rows, columns=["blob", "rules", "n_assign", "n_access", "n_hex", "base", "spans"])
 
 
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: str = RULE_VERSION) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -98,9 +100,33 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: str
     return paths, first.select(F.col("_blob").alias("blob"), F.lit(rules).alias("rules")), found
 
 
-def findings_by_path(paths: DataFrame, findings: DataFrame) -> DataFrame:
-    """All paths with the findings of their blobs, old and new ones alike."""
-    return paths.join(findings, "blob", "left").na.fill(0, ["n_assign", "n_access", "n_hex"]).na.fill("", ["base", "spans"])
+def findings_by_path(paths: DataFrame, findings: DataFrame, rules: str = RULE_VERSION) -> DataFrame:
+    """All paths with the findings of their blobs under one version of the
+    rules, old and new ones alike."""
+    mine = findings.where(F.col("rules") == rules).drop("rules").dropDuplicates(["blob"])
+    return paths.join(mine, "blob", "left").na.fill(0, ["n_assign", "n_access", "n_hex"]).na.fill("", ["base", "spans"])
+
+
+def scan_and_remember(versions: DataFrame, store: str) -> DataFrame:
+    """``findings_by_path`` of all rows, with a ledger and findings kept in the
+    folder ``store``: what earlier calls have scanned under these rules isn't
+    scanned again. Findings are written before the ledger, so a lost run's blobs
+    are scanned once more, not missed."""
+    spark = versions.sparkSession
+    kept = [f"{store}/{name}" for name in ("ledger", "findings")]
+    ledger, old = (stored_rows(spark, path, schema) for path, schema in zip(kept, (LEDGER, FINDINGS)))
+    paths, new, found = scan_unseen(versions, ledger)
+    new = materialise(new, "new-blobs")
+    found.write.mode("append").parquet(kept[1])
+    new.write.mode("append").parquet(kept[0])
+    return findings_by_path(paths, found if old is None else old.unionByName(found))
+
+
+def stored_rows(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The rows kept so far, fixed as they are now; ``None`` if there are none."""
+    if not files.exists(path):
+        return None
+    return materialise(spark.read.schema(schema).parquet(path), "kept-rows")
 
 
 def query(docs: DataFrame) -> DataFrame:

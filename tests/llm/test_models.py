@@ -90,14 +90,15 @@ def test_layouts(spark):
         '{"conv_id":3,"instruction":"do","input":"this","output":"b"}',
         '{"conv_id":4,"turn":0,"role":"tool","text":"z"}',
     ]
-    df = spark.createDataFrame([(r,) for r in records], "record string")
-    got = sorted(tuple(r) for r in chat.turns_of_json(df).collect())
+    odd = ['{"what":1}', None, "{", "[1]", '{"conv_id":5,"messages":[]}']
+    df = spark.createDataFrame([(r,) for r in records + odd], "record string")
+    turns, rejected = chat.turns_of_json(df)
+    got = sorted(tuple(r) for r in turns.collect())
+    assert Counter(r.record for r in rejected.collect()) == Counter(odd)
     assert got == [
         (1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "x"), (2, 1, "assistant", ""),
         (3, 0, "user", "do\n\nthis"), (3, 1, "assistant", "b"), (4, 0, "tool", "z"),
     ]
-    with pytest.raises(ValueError, match="no mapping"):
-        chat.turns_of_json(spark.createDataFrame([('{"what":1}',)], "record string"))
     with pytest.raises(ValueError, match="no mapping"):
         chat.canonical_turns(spark.range(1))
 

@@ -121,9 +121,8 @@ def test_mix(make_docs, rows):
 
 def test_repetitions_hold_what_the_mix_takes(make_docs):
     docs = make_docs([(i, " ".join(f"w{j}" for j in range(i % 9)), "en", "abc"[i % 3]) for i in range(90)])
-    plan = mixing.mix(docs)
-    out = mixing.repetitions(docs, plan)
-    taken = {r.doc_id: r.taken for r in plan.collect() if r.taken}
+    out = mixing.repetitions(docs)
+    taken = {r.doc_id: r.taken for r in mixing.mix(docs).collect() if r.taken}
     words = Counter()
     for r in out.collect():
         assert len(r.text.split()) == r["words"]
