@@ -11,6 +11,12 @@ executor costs at most a part of one stage.
 4. benchmark: documents that hold a span of a benchmark item go.
 5. mix: sources are mixed to target weights; one row for each repetition.
 
+Defined results: a null text is an empty one, which no stage but the classifier
+drops and the mix leaves out (it has no words to repeat); rows that share a
+doc_id are judged each by its own text, except that near duplicates keep or drop
+them together; an empty table gives no rows; extra columns pass through whatever
+their names, but for ``repetition`` and ``words``, which the mix sets.
+
 Classifier and near-duplicate groups can't be written in SQL, so there is no
 ``ORACLE_SQL``; tests hold every stage against a brute-force version.
 """
@@ -44,7 +50,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' columns with ``repetition`` and ``words``, the words of
     this repetition."""
-    return mixing.repetitions(docs, mixing.mix(docs))
+    return mixing.repetitions(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
