@@ -10,7 +10,8 @@ Training uses a bounded sample: at most ``SAMPLE`` labelled and ``SAMPLE``
 unlabelled documents, those with the smallest hash of their doc_id. Words that
 differ between the labels beyond chance, found by an aggregate, enter a logistic
 regression, one for each view. In every round a view hands its most confident answers on
-unlabelled documents to the other view as labels, both are fitted again and
+unlabelled documents to the other view as labels, the words are chosen anew over
+labelled and pseudo-labelled documents, and both views are fitted again and
 calibrated on labelled documents that neither was fitted on. At last the
 calibrated views are combined by a logistic regression on those, too.
 
@@ -29,7 +30,7 @@ scored each; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -191,13 +192,69 @@ class View:
         return np.clip(self.raw(rows) * self.scale[0] + self.scale[1], -12, 12)
 
 
+class _Rounds:
+    """Co-training of one question's two views on the sample's rows."""
+
+    def __init__(self, label: np.ndarray, places: np.ndarray):
+        known = np.flatnonzero(~np.isnan(label))
+        self.label, self.held = label, known[places[known] % HELD_ONE_IN == 0]
+        fit, self.pool = np.setdiff1d(known, self.held), np.flatnonzero(np.isnan(label))
+        self.own = [{int(i): float(label[i]) for i in fit} for _ in range(2)]
+        self.trained: list[View] = []
+        #: The answer for all, where there is nothing to learn from.
+        self.answer = None
+        if min(len(np.unique(label[part])) if len(part) else 0 for part in (fit, self.held)) < 2:
+            self.answer = (float(np.mean(label[known])) if len(known) else None,)
+
+    def pseudo(self, view: int) -> dict[int, float]:
+        """Labels that the other view has handed to this one, by row."""
+        return {i: y for i, y in self.own[view].items() if np.isnan(self.label[i])}
+
+    def fit(self, views: list[list[np.ndarray]]) -> None:
+        self.trained = []
+        for rows, marks in zip(views, self.own):
+            at = np.array(sorted(marks))
+            view = View([rows[i] for i in at], np.array([marks[i] for i in at]), np.where(np.isnan(self.label[at]), 0.5, 1.0))
+            view.calibrate([rows[i] for i in self.held], self.label[self.held])
+            self.trained.append(view)
+
+    def exchange(self, views: list[list[np.ndarray]]) -> None:
+        """Each view's surest answers become labels of the other view."""
+        for k, view in enumerate(self.trained if len(self.pool) else ()):
+            sure = _sigmoid(view.logit([views[k][i] for i in self.pool]))
+            for value, score in ((1.0, sure), (0.0, 1 - sure)):
+                best = np.argsort(-score, kind="stable")[:HANDED]
+                self.own[1 - k].update({int(self.pool[i]): value for i in best if score[i] >= SURE})
+
+    def combined(self, views: list[list[np.ndarray]]) -> tuple[list[View], np.ndarray]:
+        logits = np.column_stack([v.logit([rows[i] for i in self.held]) for v, rows in zip(self.trained, views)])
+        return self.trained, _fit(logits.astype(np.float32), self.label[self.held], np.ones(len(self.held)), 1e-3)
+
+
 class Classifier:
-    """Both questions over both views; small enough to go to every task."""
+    """Both questions over both views; small enough to go to every task.
+
+    ``gather`` gives the text view's rows for the pseudo-labels of a round: words
+    are chosen anew each time, over labelled and pseudo-labelled documents."""
 
-    def __init__(self, keys, numbers, names, labels: dict[str, np.ndarray], places: np.ndarray):
+    def __init__(self, gather: Callable[[dict[str, dict[int, float]]], list[np.ndarray]], numbers, names, labels: dict[str, np.ndarray], places: np.ndarray):
         self.edges = [np.unique(np.quantile(numbers[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(_MEASURES)] if len(numbers) else []
-        views = [keys, self.page_keys(numbers, names)]
-        self.parts = {target: self._co_train(views, labels[target], places) for target in TARGETS}
+        pages = self.page_keys(numbers, names)
+        self.parts, parts = {}, {}
+        for target in TARGETS:
+            part = _Rounds(labels[target], places)
+            if part.answer is None:
+                parts[target] = part
+            else:
+                self.parts[target] = part.answer[0]
+        for turn in range(ROUNDS if parts else 0):
+            views = [gather({t: part.pseudo(0) for t, part in parts.items()}), pages]
+            for part in parts.values():
+                part.fit(views)
+                if turn + 1 < ROUNDS:
+                    part.exchange(views)
+        for target, part in parts.items():
+            self.parts[target] = part.combined(views)
 
     def page_keys(self, numbers: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
         """Language, source and the bin of every measure as keys."""
@@ -205,32 +262,6 @@ class Classifier:
         binned = [mixed(np.uint64(1000 * (j + 1)) + b.astype(np.uint64), 3) for j, b in enumerate(bins)]
         return list(np.unique(row) for row in np.column_stack([names, *binned])) if len(numbers) else []
 
-    @staticmethod
-    def _co_train(views: list[list[np.ndarray]], label: np.ndarray, places: np.ndarray):
-        known = np.flatnonzero(~np.isnan(label))
-        held = known[places[known] % HELD_ONE_IN == 0]
-        fit, pool = np.setdiff1d(known, held), np.flatnonzero(np.isnan(label))
-        if min(len(np.unique(label[part])) if len(part) else 0 for part in (fit, held)) < 2:
-            return float(np.mean(label[known])) if len(known) else None
-        own = [{int(i): float(label[i]) for i in fit} for _ in views]
-        trained: list[View] = []
-        for turn in range(ROUNDS):
-            trained = []
-            for rows, marks in zip(views, own):
-                at = np.array(sorted(marks))
-                y = np.array([marks[i] for i in at])
-                view = View([rows[i] for i in at], y, np.where(np.isnan(label[at]), 0.5, 1.0))
-                view.calibrate([rows[i] for i in held], label[held])
-                trained.append(view)
-            if turn + 1 < ROUNDS and len(pool):
-                for k, view in enumerate(trained):
-                    sure = _sigmoid(view.logit([views[k][i] for i in pool]))
-                    for value, score in ((1.0, sure), (0.0, 1 - sure)):
-                        best = np.argsort(-score, kind="stable")[:HANDED]
-                        own[1 - k].update({int(pool[i]): value for i in best if score[i] >= SURE})
-        logits = np.column_stack([v.logit([rows[i] for i in held]) for v, rows in zip(trained, views)])
-        return trained, _fit(logits.astype(np.float32), label[held], np.ones(len(held)), 1e-3)
-
     def scores(self, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         keys, numbers, names = _views(batch)
         views = [keys, self.page_keys(numbers, names) if self.edges else []]
@@ -244,11 +275,17 @@ class Classifier:
         return out
 
 
-def _telling_keys(features: DataFrame) -> list[int]:
+def _telling_keys(features: DataFrame, pseudo: dict[str, dict[int, float]]) -> list[int]:
     """Words that differ between the labels beyond chance, at most
     MOST_FEATURES for each question, so that only these leave the tasks. The
-    documents for calibration are left out."""
-    fit = features.where(F.pmod("place", F.lit(HELD_ONE_IN)) != 0)
+    labels are those of the sample, without the documents for calibration, and
+    the pseudo-labels by place."""
+    fit = features.withColumns({t: F.when(F.pmod("place", F.lit(HELD_ONE_IN)) != 0, F.col(t)) for t in TARGETS})
+    handed = sorted({place for marks in pseudo.values() for place in marks})  # at most 2 x HANDED x ROUNDS a question
+    if handed:
+        rows = [(place, *(pseudo.get(t, {}).get(place) for t in TARGETS)) for place in handed]
+        more = fit.sparkSession.createDataFrame(rows, "place long, " + ", ".join(f"more_{t} double" for t in TARGETS))
+        fit = fit.join(F.broadcast(more), "place", "left").withColumns({t: F.coalesce(t, f"more_{t}") for t in TARGETS})
     names, out = {t: f"n_{t}" for t in TARGETS}, set()
     sums = [x for t in TARGETS for x in (F.count(t).alias(names[t]), F.coalesce(F.sum(t), F.lit(0.0)).alias(t))]
     totals = fit.agg(*sums).first()
@@ -281,14 +318,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         "text", "lang", "source", F.col("good").cast("double").alias("good"), F.col("toxic").cast("double").alias("toxic"), order.alias("place")
     ).mapInArrow(_featurise, "keys array<long>, numbers array<double>, names array<long>, good double, toxic double, place long")
     features = materialise(made, "quality-features")
-    told_apart = F.array(*[F.lit(k).cast("long") for k in _telling_keys(features)]).cast("array<long>")
-    small = features.withColumn("keys", F.array_intersect("keys", told_apart))
-    got = small.orderBy("place").toArrow()
-    keys = [np.asarray(x.values, np.int64).view(np.uint64) for x in got["keys"]]
+    got = features.select("place", "numbers", "names", *TARGETS).orderBy("place", F.xxhash64("keys")).toArrow()
     numbers = np.array(got["numbers"].to_pylist(), float).reshape(-1, _MEASURES)
     names = np.array(got["names"].to_pylist(), np.int64).reshape(-1, 2).view(np.uint64)
     known = {t: got[t].to_pandas().to_numpy(float, na_value=np.nan) for t in TARGETS}
-    return Classifier(keys, numbers, names, known, got["place"].to_numpy())
+    places = got["place"].to_numpy()
+
+    def gather(pseudo: dict[str, dict[int, float]]) -> list[np.ndarray]:
+        by_place = {t: {int(places[i]): y for i, y in marks.items()} for t, marks in pseudo.items()}
+        telling = F.array(*[F.lit(k).cast("long") for k in _telling_keys(features, by_place)]).cast("array<long>")
+        rows = features.select("place", F.xxhash64("keys").alias("of"), F.array_intersect("keys", telling).alias("keys"))
+        return [np.asarray(x.values, np.int64).view(np.uint64) for x in rows.orderBy("place", "of").toArrow()["keys"]]
+
+    return Classifier(gather, numbers, names, known, places)
 
 
 def scored(docs: DataFrame, model: Classifier) -> DataFrame:

@@ -1,5 +1,6 @@
 """Odd tables: clashing column names, shared ids, empty tables, rule versions."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -101,3 +102,39 @@ def test_a_stored_ledger_scans_what_is_new(spark, make_docs, tmp_path, monkeypat
     assert {r.path: r.base for r in again} == {1: "assign:0:17", 2: "", 3: "", 4: "assign:0:16", 5: "assign:0:17"}
     ledger = spark.read.parquet(f"{store}/ledger")
     assert ledger.count() == ledger.distinct().count() == 4
+
+
+def test_a_word_that_only_pseudo_labelled_documents_hold(spark, make_docs):
+    """The labelled documents never hold `zorch`; all unlabelled documents
+    of the bad source do, among clean words, and the page view hands them over."""
+    rnd = random.Random(2)
+    words = lambda n: " ".join(rnd.choice("one two three four five six seven eight".split()) for _ in range(n))
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 3 == 0
+        text = words(30) if i < 300 or not bad else words(29) + " zorch"
+        rows.append((i, text, "en", "spam" if bad else "good"))
+        if i < 300:
+            labels.append((i, int(not bad), 0))
+    docs = make_docs(rows)
+    model = quality.train(docs, spark.createDataFrame(labels, LABELS))
+    trained, _ = model.parts["good"]
+    held = [(1000, words(29) + " zorch", "xx", "unknown"), (1001, words(30), "xx", "unknown")]
+    texts, pages = trained
+    assert len(texts.names) > 0  # `zorch` and no labelled word
+    got = {r.doc.doc_id: r.quality.good for r in quality.scored(make_docs(held), model).collect()}
+    assert got[1000] < got[1001]
+
+
+def test_classifier_on_labels_it_has_not_seen(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    seen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0)
+    unseen = {r.doc_id: r.quality == 1 and r.toxic == 0 for r in labels.join(seen, "doc_id", "left_anti").collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = quality.scored(docs.select("doc_id", "text", "lang", "source"), quality.train(docs, seen)).select("doc.doc_id", "quality.kept").collect()
+    kept = {r.doc_id: r.kept for r in got if r.doc_id in unseen}
+    clean = [kept[i] for i, good in unseen.items() if good]
+    bad = [not kept[i] for i, good in unseen.items() if not good]
+    print(f"unseen labels: {len(clean)} clean, {sum(clean) / len(clean):.4f} kept; {len(bad)} bad, {sum(bad) / len(bad):.4f} gone")
+    assert sum(clean) / len(clean) > 0.97 and sum(bad) / len(bad) > 0.9
