@@ -1,8 +1,11 @@
 r"""Document fingerprints: a homomorphic multiset hash over paragraphs.
 
-A paragraph is a line, a long one the pieces that it has between sentence ends
-(at most ``PIECE`` characters each). Every piece is hashed to a wide vector of
-0 and 1 (``LANES`` lanes from ``HASHES`` 64-bit hashes) and the vectors are
+A paragraph is a line without the white space around it. One of more than
+``LONG`` characters is cut where its content says so: after every unit (a run of
+letters with case, or any other one character) whose hash with the next unit's is
+a multiple of ``CUT_ONE_IN``. So an edit changes the pieces around it and no others,
+wherever it shifts the rest to; a run of letters is never cut. Every piece is hashed
+to a wide vector of 0 and 1 (``LANES`` lanes from ``HASHES`` 64-bit hashes) and the vectors are
 added lane by lane modulo 2 ** ``BITS``, more than any text has pieces: one of
 2 ** 29 pieces has a gigabyte. The sum doesn't depend on the order of
 the pieces; adding a piece's vector inserts it, subtracting it deletes it, and
@@ -20,7 +23,7 @@ and B, 2 <A, B> / (|A|^2 + |B|^2), estimated over all lanes and cut to 0..1, is
 All of it is row-local: no text is regrouped for a fingerprint. Only the query's
 edited texts need a document's neighbour, for which texts move once.
 
-Defined results: a null text is an empty one, an empty text has no pieces, and
+Defined results: a null text is an empty one, a text of white space alone has no pieces, and
 two of these have likeness 1; rows that share a doc_id are fingerprinted each,
 and follow each other by their texts; a null doc_id comes first; an empty table gives no rows; other columns
 are ignored.
@@ -31,9 +34,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcel.llm.common import whole_text
+from parcel.llm.common import ASCII_SPACE, whole_text
 
-PIECE = 120
+#: Longer paragraphs are cut, into pieces of so many units on average.
+LONG, CUT_ONE_IN = 400, 24
+UNIT = r"(?s)[\x20\x09-\x0D]*(?:[\p{L}&&[^\p{Lo}]]+|.)"
 #: Documents in a bucket of neighbours, and how many buckets at most: their
 #: first ids are gathered (16 bytes each).
 BUCKET, MOST_BUCKETS = 1000, 65_536
@@ -53,12 +58,29 @@ _VALUES = sum(((1 << BITS) - 1) << (_FIELD * i) for i in range(_PER_LONG))
 _SPARE = sum(1 << (_FIELD * i + BITS) for i in range(_PER_LONG))
 
 
+def _cut(line: Column) -> Column:
+    """The line with a line feed at every cut."""
+
+    def of(units):
+        def marked(unit, i):
+            cut = F.pmod(F.xxhash64(unit, F.get(units, i + 1)), F.lit(CUT_ONE_IN)) == 0
+            return F.when(cut, F.concat(unit, F.lit("\n"))).otherwise(unit)
+
+        return F.array_join(F.transform(units, marked), "")
+
+    # an array of one, so that the line is split once
+    return F.get(F.transform(F.array(F.regexp_extract_all(line, F.lit(UNIT), F.lit(0))), of), F.lit(0))
+
+
 def pieces(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"[^\n.!?;]{1,%d}[.!?;]*|[.!?;]+" % PIECE), F.lit(0))
+    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(x, F.lit(ASCII_SPACE)))
+    cut = F.transform(lines, lambda x: F.when(F.char_length(x) > LONG, _cut(x)).otherwise(x))
+    found = F.transform(F.split(F.array_join(cut, "\n"), "\n"), lambda x: F.trim(x, F.lit(ASCII_SPACE)))
+    return F.filter(found, lambda x: x != "")
 
 
 def _hashed(text: Column) -> Column:
-    return F.transform(pieces(text), lambda p: F.array(*[F.xxhash64(F.lit(i), F.trim(p)) for i in range(HASHES)]))
+    return F.transform(pieces(text), lambda p: F.array(*[F.xxhash64(F.lit(i), p) for i in range(HASHES)]))
 
 
 def _bits(hashes: Column, j: int) -> Column:

@@ -1,6 +1,7 @@
 """Fingerprints, line dedup, mixing and decontamination."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -71,6 +72,43 @@ def test_fingerprint_of_very_long_repetitions(spark):
     assert abs(got[0] - 0.8) < 0.02 and abs(got[1] - 0.8) < 0.02 and got[2] < 0.3
 
 
+def test_fingerprint_is_of_paragraphs(spark):
+    rnd = random.Random(2)
+    words = [rnd.choice(["the", f"word{chr(97 + rnd.randrange(26))}{chr(97 + rnd.randrange(26))}"]) for _ in range(2000)]
+    plain, dense = " ".join(words), "".join(chr(0x4E00 + rnd.randrange(9000)) for _ in range(3000))
+    pairs = [
+        ("a b. c d.\ne f.", "e f. a b.\nc d."),  # no paragraph in common
+        (plain, "x " + plain),
+        (plain, plain.replace(" ", "  ", 1)),
+        (dense, "\u4e00\u4e01" + dense),
+        (plain, " ".join(reversed(words))),
+        ("  a b\r\n\n c d", "c d\na b"),  # white space around paragraphs
+        ("\t\n \n", ""),
+    ]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    made = df.select(*[fingerprints.fingerprint(F.col(c)).alias(c) for c in "xy"])
+    got = [r.near for r in made.select(fingerprints.likeness(F.col("x"), F.col("y")).alias("near")).collect()]
+    assert got[0] < 0.5 and min(got[1:4]) > 0.9 and got[4] < 0.2 and got[5:] == [1.0, 1.0]
+
+
+def pieces_by_force(text):
+    return Counter(x for x in (line.strip(" \t\n\x0b\x0c\r") for line in text.split("\n")) if x)
+
+
+def test_likeness_against_exact_multisets(spark):
+    rnd = random.Random(5)
+    line = lambda: f"paragraph {rnd.randrange(60)} of them"
+    pairs = [("\n".join(line() for _ in range(rnd.randrange(1, 80))), "\n".join(line() for _ in range(rnd.randrange(1, 80)))) for _ in range(30)]
+    df = spark.createDataFrame([(i, *pair) for i, pair in enumerate(pairs)], "i int, x string, y string")
+    made = df.select("i", *[fingerprints.fingerprint(F.col(c)).alias(c) for c in "xy"])
+    got = [r.near for r in made.orderBy("i").select(fingerprints.likeness(F.col("x"), F.col("y")).alias("near")).collect()]
+    for near, pair in zip(got, pairs):
+        a, b = (pieces_by_force(t) for t in pair)
+        dot = sum(n * b[k] for k, n in a.items())
+        exact = 2 * dot / (sum(n * n for n in a.values()) + sum(n * n for n in b.values()))
+        assert abs(near - exact) < 0.35
+
+
 # --------------------------------------------------------------- line dedup --
 
 def lines_by_force(rows):
