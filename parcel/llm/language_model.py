@@ -5,7 +5,7 @@
 2. At most ``HEAD`` of the most frequent words (up to ``HEAD_BYTES`` long, so their
    table has a bound) are the model's ranking. They go to the tasks by broadcast; all
    other words are the tail, of any number, and are never broadcast.
-3. Training: a share of the training documents, so more of them for a larger
+3. Training: one in ``TRAIN_ONE_IN`` training documents, so more of them for a larger
    corpus, is dealt to independent learners that start from the same weights
    (truncated backpropagation, see ``recurrent``). The mean of their weights, by
    words seen, is taken with a Spark aggregate after each round.
@@ -42,9 +42,9 @@ END = b"\n"
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 300_000
 #: One in so many training documents trains the weights, in so many rounds.
-TRAIN_ONE_IN, ROUNDS = 10, 2
+TRAIN_ONE_IN, ROUNDS = 2, 2
 #: Words that one learner should see in a round.
-LEARNER_WORDS = 250_000
+LEARNER_WORDS = 1_250_000
 #: Texts are scored so many code points at a time.
 SCORE_CHARS = 24 << 20
 

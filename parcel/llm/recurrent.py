@@ -20,8 +20,10 @@ CLASSES = 64
 OWN = 4096
 WINDOW = 24  # steps of truncated backpropagation
 SCORE_WINDOW = 32
-TRAIN_LANES, SCORE_LANES = 96, 256
-#: Training takes long documents in segments, so that all lanes end together.
+TRAIN_LANES, SCORE_LANES = 512, 256
+#: Words in a window that make a whole step; fewer make a smaller one.
+FULL_STEP = 2304
+#: Training cuts documents longer than this and than an even lane, so that all lanes end together.
 SEGMENT = 512
 
 
@@ -150,46 +152,52 @@ class Model:
     def _log_probs(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
         """Natural logs; with grads: adds gradients of the mean loss there and
         returns that of the states too."""
-        p, ranking = self.p, self.ranking
+        p, ranking, n = self.p, self.ranking, len(targets)
         cls = ranking.of_rank[targets]
-        logits = states @ p["oc"] + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        expd = np.exp(logits)
-        total = expd.sum(axis=1, keepdims=True)
-        at = np.arange(len(targets))
-        out = logits[at, cls] - np.log(total[:, 0])
+        # in the order of the classes, so that each is a slice
+        order = np.argsort(cls.astype(np.int8), kind="stable")
+        states, targets, cls = states[order], targets[order], cls[order]
+        out = ranking.word_log[targets]
         back = None
+
+        def softmax(at: slice, weights, bias, hit):
+            """Adds the logs of the hits; with grads: the states' gradient and that of the logits."""
+            logits = states[at] @ weights
+            logits += bias
+            logits -= logits.max(axis=1, keepdims=True)
+            each = np.arange(len(logits))
+            chosen = logits[each, hit]
+            np.exp(logits, out=logits)
+            total = logits.sum(axis=1, keepdims=True)
+            logs = chosen - np.log(total[:, 0])
+            if grads is None:
+                return logs, None
+            total *= n
+            logits /= total
+            logits[each, hit] -= 1 / n
+            return logs, logits
+
+        logs, d = softmax(slice(0, n), p["oc"], p["bc"], cls)
         if grads is not None:
-            d = expd / total
-            d[at, cls] -= 1
-            d /= len(targets)
             grads["oc"] += states.T @ d
             grads["bc"] += d.sum(axis=0)
             back = d @ p["oc"].T
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(ranking.own_classes + 1))
+        ends = np.searchsorted(cls, np.arange(ranking.own_classes + 1))
+        out[: ends[-1]] = 0
+        out += logs
         for c in range(ranking.own_classes):
-            sel = order[ends[c] : ends[c + 1]]
-            lo, hi = ranking.edges[c], ranking.edges[c + 1]
-            if not len(sel) or hi - lo < 2:
+            at, lo, hi = slice(ends[c], ends[c + 1]), ranking.edges[c], ranking.edges[c + 1]
+            if at.start == at.stop or hi - lo < 2:
                 continue
-            s = states[sel]
-            logits = s @ p["ow"][:, lo:hi] + p["bw"][lo:hi]
-            logits -= logits.max(axis=1, keepdims=True)
-            expd = np.exp(logits)
-            total = expd.sum(axis=1, keepdims=True)
-            at = np.arange(len(sel))
-            out[sel] += logits[at, targets[sel] - lo] - np.log(total[:, 0])
+            logs, d = softmax(at, p["ow"][:, lo:hi], p["bw"][lo:hi], targets[at] - lo)
+            out[at] += logs
             if grads is not None:
-                d = expd / total
-                d[at, targets[sel] - lo] -= 1
-                d /= len(targets)
-                grads["ow"][:, lo:hi] += s.T @ d
+                grads["ow"][:, lo:hi] += states[at].T @ d
                 grads["bw"][lo:hi] += d.sum(axis=0)
-                back[sel] += d @ p["ow"][:, lo:hi].T
-        rest = order[ends[-1] :]
-        out[rest] += ranking.word_log[targets[rest]]
-        return out, back
+                back[at] += d @ p["ow"][:, lo:hi].T
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        return out[place], None if back is None else back[place]
 
     def score(self, docs: list[np.ndarray], start: int) -> np.ndarray:
         """log10 probability of each document (an array of ranks). The state is
@@ -209,7 +217,8 @@ class Model:
     def train(self, docs: list[np.ndarray], start: int, rate: float = 1e-2) -> int:
         """One pass of truncated backpropagation with Adam; the words seen. A
         window with few words left makes a small step."""
-        docs = [d[i : i + SEGMENT] for d in docs for i in range(0, len(d), SEGMENT)]
+        longest = max(SEGMENT, sum(map(len, docs)) // TRAIN_LANES)
+        docs = [d[i : i + longest] for d in docs for i in range(0, len(d), longest)]
         m, v = np.zeros_like(self.flat), np.zeros_like(self.flat)
         p, seen, step, h = self.p, 0, 0, None
         for inputs, targets, _, keep in lanes_of(docs, TRAIN_LANES, start, WINDOW):
@@ -235,17 +244,21 @@ class Model:
                 dg = np.concatenate([dr, dz, dn * r], axis=1)
                 grads["wh"] += before.T @ dg
                 dh = (dh * z + dg @ p["wh"].T) * keep[t][:, None]
+            # the inputs' gradients, summed by input row first
             flat_rows, flat_in = rows.ravel(), d_in.reshape(-1, 3 * HIDDEN)
-            grads["b"] += flat_in.sum(axis=0)
-            grads["wx"] += p["e"][flat_rows].T @ flat_in
-            np.add.at(grads["e"], flat_rows, flat_in @ p["wx"].T)
+            order = np.argsort(flat_rows, kind="stable")
+            met, first = np.unique(flat_rows[order], return_index=True)
+            by_row = np.add.reduceat(flat_in[order], first, axis=0)
+            grads["b"] += by_row.sum(axis=0)
+            grads["wx"] += p["e"][met].T @ by_row
+            grads["e"][met] += by_row @ p["wx"].T
             norm = np.sqrt((flat * flat).sum())
             if norm > 1:
                 flat /= norm
             step += 1
             m += 0.1 * (flat - m)
             v += 0.01 * (flat * flat - v)
-            share = real.sum() / (TRAIN_LANES * WINDOW)
+            share = min(1.0, real.sum() / FULL_STEP)
             self.flat -= rate * share * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
             h = last
             seen += int(real.sum())

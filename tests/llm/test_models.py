@@ -204,6 +204,35 @@ def test_gradient(monkeypatch):
     assert loss(model.flat) < 0.7 * before
 
 
+def test_score_against_a_plain_model():
+    """One word after another, without lanes, windows or slices of classes."""
+    model, words = some_model()
+    p, r = {k: v.astype(float) for k, v in model.p.items()}, model.ranking
+    h, sigmoid = recurrent.HIDDEN, lambda x: 1 / (1 + np.exp(-x))
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+
+    def plain(doc, start=0):
+        state, before, total = np.zeros(h), start, 0.0
+        for word in doc:
+            row = before if before < r.own else r.own + r.of_rank[before]
+            x, g = p["e"][row] @ p["wx"] + p["b"], state @ p["wh"]
+            reset, keep = sigmoid(x[:h] + g[:h]), sigmoid(x[h : 2 * h] + g[h : 2 * h])
+            state = keep * state + (1 - keep) * np.tanh(x[2 * h :] + reset * g[2 * h :])
+            c = r.of_rank[word]
+            total += np.log10(softmax(state @ p["oc"] + p["bc"])[c])
+            if c < r.own_classes:
+                a, b = r.edges[c], r.edges[c + 1]
+                total += np.log10(softmax(state @ p["ow"][:, a:b] + p["bw"][a:b])[word - a])
+            else:
+                total += r.word_log[word] / np.log(10)
+            before = word
+        return total
+
+    rnd = np.random.default_rng(4)
+    docs = [rnd.integers(0, words + 1, n).astype(np.int32) for n in (1, 2, 90, 33)]
+    assert np.allclose(model.score(docs, 0), [plain(d) for d in docs], atol=1e-3)
+
+
 # ----------------------------------------------------------------- pipeline --
 
 def test_pipeline(spark, tmp_path):
