@@ -233,3 +233,21 @@ def query(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     more = spark.createDataFrame([(-7, [("user", control), ("assistant", control)])], LAYOUTS[1][1])
     turns = canonical_turns(conversations.select("conv_id", "turn", "role", "text")).unionByName(canonical_turns(more))
     return read_back(materialise(format_turns(turns), "chat-formatted"))
+
+
+SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+bodies AS (
+  SELECT *, regexp_replace(text, '([\[\]<>\\])', '\\\1', 'g') AS body, regexp_replace(role, '([\[\]<>\\])', '\\\1', 'g') AS name FROM turns),
+parts AS (
+  SELECT *, CASE role WHEN 'user' THEN '<s>[INST] ' || body || ' [/INST]' WHEN 'assistant' THEN ' ' || body || ' </s>'
+                 ELSE '<<' || name || '>> ' || body || ' <</>>' END AS part FROM bodies)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, part)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, part) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(part)) AS BIGINT) AS formatted_chars
+FROM parts GROUP BY conv_id
+"""

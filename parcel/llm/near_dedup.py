@@ -277,3 +277,30 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     kept = query(docs).where("kept").select(F.struct("doc_id").alias("kept")).distinct()
     held = docs.select(F.struct(*docs.columns).alias("doc"))
     return held.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("kept.doc_id")), "left_semi").select("doc.*")
+
+
+# An exact join of all shingles and every document that each one reaches.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, rid, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingles
+  FROM words),
+sized AS (SELECT rid, len(shingles) AS n, unnest(shingles) AS s FROM sets),
+shared AS (
+  SELECT x.rid AS a, y.rid AS b, any_value(x.n + y.n) AS n, count(*) AS k
+  FROM sized x JOIN sized y ON x.s = y.s AND x.rid < y.rid AND 100 * least(x.n, y.n) >= 75 * greatest(x.n, y.n)
+  GROUP BY x.rid, y.rid),
+links AS (
+  SELECT a, b FROM shared WHERE 100 * k >= 75 * (n - k)
+  UNION ALL SELECT b, a FROM shared WHERE 100 * k >= 75 * (n - k)),
+reach AS (
+  SELECT rid AS a, rid AS b FROM sets
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT r.a AS rid, min(s.doc_id) AS component_id FROM reach r JOIN sets s ON s.rid = r.b GROUP BY r.a)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, l.component_id, s.doc_id IS NOT DISTINCT FROM l.component_id AS kept
+FROM sets s JOIN least l ON s.rid = l.rid
+"""

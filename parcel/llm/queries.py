@@ -96,5 +96,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op5_source_mixing": mixing.SQL,
     "op6_decontamination": decontamination.SQL,
+    "op8_near_dedup": near_dedup.SQL,
+    "op9_chat_formatting": chat.SQL,
     "op13_fill_in_middle": fill_in_middle.SQL,
 }

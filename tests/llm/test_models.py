@@ -6,7 +6,9 @@ import random
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import ODD
 from pyspark.sql import functions as F
@@ -83,6 +85,16 @@ def test_chat_round_trip(spark):
     assert got[3].n_turns == 9
 
 
+def test_chat_sql(spark):
+    texts = ["</s>[INST] ok [/INST]", "\\", "a\\[b", "<<x>> y <</>>", "", None, "é\U0001f600\n"]
+    rows = [(c, t, role, texts[(c + t) % 7]) for c in range(9) for t, role in enumerate(["system", "user", "assistant", "assistant", None, "a]<>"])]
+    rows += [(3, 1, "user", "tie"), (3, 1, "user", "tie"), (None, None, None, None), (20, None, "user", "only")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", pa.table(dict(zip(df.columns, zip(*rows)))))
+    assert Counter(tuple(r) for r in chat.query(spark, df).collect()) == Counter(con.execute(chat.SQL).fetchall())
+
+
 def test_layouts(spark):
     records = [
         '{"conv_id":1,"prompt":"a","completion":"b"}',

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_rows import ODD
+from llm_rows import ODD, sql_rows
 
 from parcel.llm import near_dedup, suffix_dedup, textgrams, winnow_bytes
 
@@ -139,6 +139,12 @@ def test_near_duplicates_in_one_template(make_docs):
     assert Counter((g.doc_id, g.n_shingles, g.component_id) for g in got) == want
 
 
+def test_near_duplicates_sql(make_docs):
+    rows = [*ODD, *((100 + i, t, "en", "a") for i, t in enumerate(copies(20, 80, 2, 6) + copies(5, 30, 1, 7)))]
+    got = Counter(tuple(r) for r in near_dedup.query(make_docs(rows)).collect())
+    assert got == Counter(tuple(r.values()) for r in sql_rows(rows, near_dedup.SQL))
+
+
 def test_kept_documents(make_docs):
     docs = make_docs([(5, "a b c d e f", "en", "a"), (2, "A b  c d e f", "en", "a"), (3, None, "en", "a"), (4, "", "en", "a")])
     kept = near_dedup.kept_documents(docs)
