@@ -125,6 +125,86 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+class _Steps:
+    """The states of fixed weights, without a trace: steps in place, the gates
+    of the input rows and their negative (for 1 / (1 + exp(-x))) made once."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        gates = p["e"] @ p["wx"] + p["b"]
+        self.gates_in, self.new_in = -gates[:, : 2 * HIDDEN], gates[:, 2 * HIDDEN :].copy()
+        self.gates_h, self.new_h = -p["wh"][:, : 2 * HIDDEN], p["wh"][:, 2 * HIDDEN :].copy()
+
+    def __call__(self, rows: np.ndarray, keep: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """States after each step, with a last column of ones."""
+        steps, lanes = rows.shape
+        out = np.ones((steps, lanes, HIDDEN + 1), np.float32)
+        gate, add = (np.empty((lanes, 2 * HIDDEN), np.float32) for _ in range(2))
+        new, add_new, kept = (np.empty((lanes, HIDDEN), np.float32) for _ in range(3))
+        for t in range(steps):
+            np.multiply(h, keep[t][:, None], out=kept)
+            self.gates_in.take(rows[t], 0, gate, "clip")
+            np.dot(kept, self.gates_h, out=add)
+            gate += add
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            np.dot(kept, self.new_h, out=new)
+            new *= gate[:, :HIDDEN]
+            self.new_in.take(rows[t], 0, add_new, "clip")
+            new += add_new
+            np.tanh(new, out=new)
+            kept -= new
+            kept *= gate[:, HIDDEN:]
+            h = np.add(kept, new, out=out[t, :, :HIDDEN])
+        return out
+
+
+class _Softmax:
+    """Logs of some columns' softmax. No state is above 1, so a bound on all
+    logits stands in for each row's largest, unless that could lose digits."""
+
+    def __init__(self, weights: np.ndarray, bias: np.ndarray):
+        reach = np.abs(weights).sum(axis=0)
+        top = (bias + reach).max()
+        self.bounded = top - (bias - reach).max() < 60
+        self.weights = np.vstack([weights, bias - top if self.bounded else bias]).astype(np.float32)
+        self.ones = np.ones(weights.shape[1], np.float32)
+
+    def __call__(self, states: np.ndarray, hit: np.ndarray) -> np.ndarray:
+        logits = states @ self.weights
+        if not self.bounded:
+            logits -= logits.max(axis=1, keepdims=True)
+        chosen = logits[np.arange(len(logits)), hit]
+        np.exp(logits, out=logits)
+        return chosen - np.log(logits @ self.ones)
+
+
+class _Logs:
+    """Natural logs of words after states (with a column of ones), for fixed weights."""
+
+    def __init__(self, p: dict[str, np.ndarray], ranking: Ranking):
+        self.ranking, self.classes = ranking, _Softmax(p["oc"], p["bc"])
+        edges = ranking.edges
+        spans = {c: slice(edges[c], edges[c + 1]) for c in range(ranking.own_classes) if edges[c + 1] - edges[c] > 1}
+        self.words = {c: _Softmax(p["ow"][:, at], p["bw"][at]) for c, at in spans.items()}
+
+    def __call__(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        ranking = self.ranking
+        cls = ranking.of_rank[targets]
+        order = np.argsort(cls.astype(np.int8), kind="stable")
+        states, targets, sorted_cls = states[order], targets[order], cls[order]
+        logs = self.classes(states, sorted_cls)
+        ends = np.searchsorted(sorted_cls, np.arange(ranking.own_classes + 1))
+        logs[ends[-1] :] += ranking.word_log[targets[ends[-1] :]]
+        for c, softmax in self.words.items():
+            a, b = ends[c], ends[c + 1]
+            if a < b:
+                logs[a:b] += softmax(states[a:b], targets[a:b] - ranking.edges[c])
+        out = np.empty(len(logs))
+        out[order] = logs
+        return out
+
+
 class Model:
     def __init__(self, ranking: Ranking, flat: np.ndarray):
         self.ranking, self.flat = ranking, flat
@@ -203,14 +283,15 @@ class Model:
         """log10 probability of each document (an array of ranks). The state is
         carried through all windows of a document."""
         sums = np.zeros(len(docs))
-        gates_in = self.p["e"] @ self.p["wx"] + self.p["b"]
+        states_of, logs_of = _Steps(self.p), _Logs(self.p, self.ranking)
         h = None
         for inputs, targets, numbers, keep in lanes_of(docs, SCORE_LANES, start, SCORE_WINDOW):
             active = inputs.shape[1]
             h = np.zeros((active, HIDDEN), np.float32) if h is None else h[:active]
-            states, h = self._states(gates_in, self._row(inputs), keep, h)
+            states = states_of(self._row(inputs), keep, h)
+            h = states[-1, :, :HIDDEN].copy()
             real = targets >= 0
-            logs, _ = self._log_probs(states[real], targets[real])
+            logs = logs_of(states[real], targets[real])
             sums += np.bincount(numbers[real], logs, len(docs))
         return sums / np.log(10)
 
