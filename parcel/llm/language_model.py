@@ -23,11 +23,11 @@ classes; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,40 +39,58 @@ HEAD = 131_072
 HEAD_BYTES = 64
 #: No word holds white space, so this is none.
 END = b"\n"
-#: Distinct words that a task counts before it hands them on.
-HELD_WORDS = 300_000
+#: Bytes of texts that a task counts, learns from or scores at a time.
+GROUP_BYTES = 24 << 20
 #: One in so many training documents trains the weights, in so many rounds.
 TRAIN_ONE_IN, ROUNDS = 2, 2
 #: Words that one learner should see in a round.
 LEARNER_WORDS = 1_250_000
-#: Texts are scored so many code points at a time.
-SCORE_CHARS = 24 << 20
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words with A-Z lower-cased (bytes methods know ASCII only), then END."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    found.append(END)
-    return found
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts (the first column) make up about GROUP_BYTES."""
+    held, size = [], 0
 
+    def joined():
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(0)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            upto = min(int(np.searchsorted(ends, before + GROUP_BYTES - size)) + 1, batch.num_rows)
+            held.append(batch.slice(at, upto - at))
+            size += int(ends[upto - 1]) - before
+            at = upto
+            if size >= GROUP_BYTES:
+                yield joined()
+                held, size = [], 0
+    if held:
+        yield joined()
+
+
+def words_of_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words, A-Z lower-cased (the kernels know ASCII only), text after
+    text, and where each text's words end."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = split.flatten().cast(pa.binary())
+    ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    if not real.all():  # white space at the ends of a text leaves empty ones
+        words, ends = words.filter(pa.array(real)), np.append(0, np.cumsum(real))[ends]
+    return words, ends
 
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "c"])
 
-    for batch in batches:
-        for text in batch.column(0):
-            held.update(tokens(text.as_py()))
-            if len(held) > HELD_WORDS:
-                yield out()
-                held.clear()
-    yield out()
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in _groups(batches):
+        found = pc.value_counts(words_of_texts(group.column(0))[0])
+        yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([group.num_rows], pa.int64())], ["word", "c"])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -96,25 +114,29 @@ class Vocabulary:
         head = short.where(F.col("step") >= F.lit(least)).select("word", "c").collect() if least is not None else []
         head = sorted(head, key=lambda r: (-r[1], bytes(r[0])))
         self.total, self.distinct = (x or 0 for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-        self.rank = {bytes(word): i for i, (word, _) in enumerate(head)}
+        self.words = pa.array([bytes(word) for word, _ in head], pa.binary())
         self.counts = np.array([c for _, c in head], np.int64)
         self.tail_total = self.total - int(self.counts.sum())
         self.tail_distinct = self.distinct - len(head)
         self.other = len(head)
-        self.start = self.rank.get(END, self.other)
+        self.start = next((i for i, (word, _) in enumerate(head) if bytes(word) == END), self.other)
 
     def ranking(self) -> Ranking:
         return Ranking.of(self.counts, self.tail_total)
 
-    def ranks(self, words: list[bytes]) -> np.ndarray:
-        rank, other = self.rank, self.other
-        return np.array([rank.get(w, other) for w in words], np.int32)
+    def ranks(self, words: pa.Array, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of all tokens, an end after each text's words, and the places of the ends."""
+        ranks = pc.index_in(words, value_set=self.words).fill_null(self.other).to_numpy(zero_copy_only=False)
+        return np.insert(ranks, ends, self.start), ends + np.arange(len(ends))
 
 
 def _learner(shared, flat):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
-        docs = [words.ranks(tokens(t.as_py())) for batch in batches for t in batch.column(0)]
+        docs = []
+        for group in _groups(batches):
+            ranks, ends = words.ranks(*words_of_texts(group.column(0)))
+            docs += np.split(ranks, ends[:-1] + 1)
         if docs:
             model = Model(words.ranking(), flat.value.copy())
             seen = model.train(docs, words.start)
@@ -142,43 +164,30 @@ def train(texts: DataFrame, shared, words: Vocabulary, train_words: float) -> np
     return flat
 
 
-_SCORED = "row long, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>"
+_SCORED = "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>"
 
 
 def _scorer(shared, flat):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        model = Model(words.ranking(), flat.value)
-        log_count = np.append(np.log10(words.counts + 0.5), 0.0)
-
-        def scored(rows, texts):
-            docs, tails = [], []
-            for text in texts:
-                found = tokens(text)
-                ranks = words.ranks(found)
-                docs.append(ranks)
-                tails.append([found[i] for i in np.flatnonzero(ranks == words.other)])
-            base = [log_count[d].sum() for d in docs]
-            known = [len(d) - len(t) for d, t in zip(docs, tails)]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows, pa.int64()), pa.array([len(d) for d in docs], pa.int64()), pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()), pa.array(model.score(docs, words.start), pa.float64()), pa.array(tails, pa.list_(pa.binary())),
-                ],
-                ["row", "n_tokens", "head_known", "head_base", "head_score", "tail"],
-            )
-
-        rows, texts, chars = [], [], 0
-        for batch in batches:
-            for row, text in zip(batch.column(0), batch.column(1)):
-                rows.append(row.as_py())
-                texts.append(text.as_py() or "")
-                chars += len(texts[-1])
-                if chars > SCORE_CHARS:
-                    yield scored(rows, texts)
-                    rows, texts, chars = [], [], 0
-        if rows:
-            yield scored(rows, texts)
+        vocabulary = shared.value
+        model = Model(vocabulary.ranking(), flat.value)
+        log_count = np.append(np.log10(vocabulary.counts + 0.5), 0.0)
+        for group in _groups(batches):
+            words, ends = words_of_texts(group.column(0))
+            ranks, places = vocabulary.ranks(words, ends)
+            begins = np.append(0, places[:-1] + 1)
+            # the words that are in no broadcast; the end can be one
+            at = np.flatnonzero(ranks == vocabulary.other)
+            owner = np.searchsorted(places, at)
+            source = np.where(places[owner] == at, len(words), at - owner)
+            tail = pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(source))
+            n_tokens, tails = places - begins + 1, np.bincount(owner, minlength=len(places))
+            columns = [
+                *group.columns[1:], pa.array(n_tokens), pa.array(n_tokens - tails),
+                pa.array(np.add.reduceat(log_count[ranks], begins)), pa.array(model.score(np.split(ranks, begins[1:]), vocabulary.start)),
+                pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(tails)), pa.int32()), tail),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score", "tail"])
 
     return score
 
@@ -197,9 +206,9 @@ def score(docs: DataFrame) -> DataFrame:
 
     # the row numbers are written before anything is matched by them
     rows = materialise(
-        texts.withColumn("row", F.monotonically_increasing_id()).select("row", "text", "doc_id", "held_out").mapInArrow(
-            _with_ids(_scorer(shared, flat)), _SCORED + ", doc_id long, held_out boolean"
-        ),
+        texts.withColumn("row", F.monotonically_increasing_id())
+        .select("text", "row", F.col("doc_id").cast("long"), "held_out")
+        .mapInArrow(_scorer(shared, flat), _SCORED),
         "lm-scored",
     )
     tail = rows.select("row", F.explode("tail").alias("word"))
@@ -220,23 +229,3 @@ def score(docs: DataFrame) -> DataFrame:
         (F.col("head_base") + tail_log - F.col("n_tokens") * F.log10(F.lit(n + 0.5 * (v + 1)))).alias("base_score"),
         (F.col("head_score") + tail_log - tail_n * F.log10(F.lit(n_tail + 0.5 * (v_tail + 1)))).alias("score"),
     )
-
-
-def _with_ids(score):
-    """Let ``score`` see row and text only, and put the other columns back."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, tuple] = {}
-
-        def passing():
-            for batch in batches:
-                for row, doc_id, out in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                    kept[row] = (doc_id, out)
-                yield batch
-
-        for made in score(passing()):
-            ids = [kept.pop(row) for row in made.column(0).to_pylist()]
-            extra = [pa.array([x for x, _ in ids], pa.int64()), pa.array([x for _, x in ids], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*made.columns, *extra], [*made.schema.names, "doc_id", "held_out"])
-
-    return run

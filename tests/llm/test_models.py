@@ -162,6 +162,22 @@ def tokens(text):
     return (text or "").encode().lower().split() + [b"\n"]
 
 
+def test_words_of_texts():
+    texts = [r[1] for r in ODD] + ["\t a  b\x0b\x0c\r\n", "a\x00b \x1c c\x85\xa0d", "É A\u2003B", " "]
+    words, ends = language_model.words_of_texts(pa.array(texts, pa.string()))
+    assert [w for t in texts for w in tokens(t)[:-1]] == words.to_pylist()
+    assert np.diff(ends, prepend=0).tolist() == [len(tokens(t)) - 1 for t in texts]
+
+
+def test_texts_in_groups(monkeypatch):
+    monkeypatch.setattr(language_model, "GROUP_BYTES", 10)
+    texts = ["abc", None, "x" * 25, "", "ab", "cd", "ef", "gh", "ij", "kl"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["text"]) for part in (texts[:4], [], texts[4:])]
+    groups = [g.column(0).to_pylist() for g in language_model._groups(iter(batches))]
+    assert [t for g in groups for t in g] == texts and len(groups) == 3
+    assert list(language_model._groups(iter(batches[1:2]))) == []
+
+
 def test_base_scores(make_docs, monkeypatch):
     monkeypatch.setattr(language_model, "HEAD", 8)  # most words are in the tail
     rows = ODD + [(i, f"some words here and there w{i % 13} w{i}", "en", "a") for i in range(40, 90)]
