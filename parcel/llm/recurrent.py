@@ -21,6 +21,8 @@ OWN = 4096
 WINDOW = 24  # steps of truncated backpropagation
 SCORE_WINDOW = 32
 TRAIN_LANES, SCORE_LANES = 512, 256
+#: Rows whose logits are made at a time, so that they stay in the cache.
+ROWS = 1024
 #: Words in a window that make a whole step; fewer make a smaller one.
 FULL_STEP = 2304
 #: Training cuts documents longer than this and than an even lane, so that all lanes end together.
@@ -96,51 +98,58 @@ def lanes_of(docs: list[np.ndarray], width: int, start: int, window: int):
         held.append(i)
         heapq.heappush(heap, (length + len(docs[i]), lane, held))
     lanes = sorted(((n, held) for n, _, held in heap), key=lambda x: -x[0])
-    targets = [np.concatenate([docs[i] for i in held]) for _, held in lanes]
-    numbers = [np.repeat(np.array(held, np.int32), [len(docs[i]) for i in held]) for _, held in lanes]
-    inputs, keep = [], []
-    for t, (_, held) in zip(targets, lanes):
-        first = np.cumsum([0] + [len(docs[i]) for i in held[:-1]])
-        x = np.roll(t, 1)
-        x[first] = start
-        k = np.ones(len(t), np.float32)
-        k[first] = 0
-        inputs.append(x)
-        keep.append(k)
-    longest = lanes[0][0] if lanes else 0
+    rows = []  # for each lane: input, target, document, keep
+    for n, held in lanes:
+        sizes = [len(docs[i]) for i in held]
+        first = np.cumsum([0] + sizes[:-1])
+        row = np.ones((4, n), np.int32)
+        np.concatenate([docs[i] for i in held], out=row[1])
+        row[0, 1:] = row[1, :-1]
+        row[0, first] = start
+        row[2] = np.repeat(np.array(held, np.int32), sizes)
+        row[3, first] = 0
+        rows.append(row)
+    lengths = np.array([n for n, _ in lanes])
+    longest = int(lengths[0]) if lanes else 0
     for at in range(0, longest, window):
-        active = sum(n > at for n, _ in lanes)
+        active = int((lengths > at).sum())
         steps = min(window, longest - at)
-        out = []
-        for parts, blank, kind in ((inputs, 0, np.int32), (targets, -1, np.int32), (numbers, 0, np.int32), (keep, 1, np.float32)):
-            grid = np.full((steps, active), blank, kind)
-            for j in range(active):
-                piece = parts[j][at : at + steps]
-                grid[: len(piece), j] = piece
-            out.append(grid)
-        yield out
+        grid = np.empty((active, 4, steps), np.int32)
+        grid[:] = np.array([0, -1, 0, 1], np.int32)[:, None]
+        for j in range(active):
+            piece = rows[j][:, at : at + steps]
+            grid[j, :, : piece.shape[1]] = piece
+        inputs, targets, numbers, keep = grid.transpose(1, 2, 0)
+        yield tuple(np.ascontiguousarray(x) for x in (inputs, targets, numbers)) + (keep.astype(np.float32, order="C"),)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+class _Trace:
+    """What backpropagation needs of each step: the kept state before it, the
+    gates r and z, the new state and its part from the state."""
+
+    def __init__(self, steps: int, lanes: int):
+        self.before, self.new, self.from_state = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(3))
+        self.gate = np.empty((steps, lanes, 2 * HIDDEN), np.float32)
 
 
 class _Steps:
-    """The states of fixed weights, without a trace: steps in place, the gates
-    of the input rows and their negative (for 1 / (1 + exp(-x))) made once."""
+    """The states of fixed weights: steps in place, the gates of the input rows
+    (negative, for 1 / (1 + exp(-x))) made once."""
 
     def __init__(self, p: dict[str, np.ndarray]):
         gates = p["e"] @ p["wx"] + p["b"]
         self.gates_in, self.new_in = -gates[:, : 2 * HIDDEN], gates[:, 2 * HIDDEN :].copy()
         self.gates_h, self.new_h = -p["wh"][:, : 2 * HIDDEN], p["wh"][:, 2 * HIDDEN :].copy()
 
-    def __call__(self, rows: np.ndarray, keep: np.ndarray, h: np.ndarray) -> np.ndarray:
+    def __call__(self, rows: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: _Trace | None = None) -> np.ndarray:
         """States after each step, with a last column of ones."""
         steps, lanes = rows.shape
         out = np.ones((steps, lanes, HIDDEN + 1), np.float32)
         gate, add = (np.empty((lanes, 2 * HIDDEN), np.float32) for _ in range(2))
         new, add_new, kept = (np.empty((lanes, HIDDEN), np.float32) for _ in range(3))
         for t in range(steps):
+            if trace is not None:
+                gate, new = trace.gate[t], trace.new[t]
             np.multiply(h, keep[t][:, None], out=kept)
             self.gates_in.take(rows[t], 0, gate, "clip")
             np.dot(kept, self.gates_h, out=add)
@@ -149,6 +158,8 @@ class _Steps:
             gate += 1
             np.reciprocal(gate, out=gate)
             np.dot(kept, self.new_h, out=new)
+            if trace is not None:
+                trace.before[t], trace.from_state[t] = kept, new
             new *= gate[:, :HIDDEN]
             self.new_in.take(rows[t], 0, add_new, "clip")
             new += add_new
@@ -170,13 +181,31 @@ class _Softmax:
         self.weights = np.vstack([weights, bias - top if self.bounded else bias]).astype(np.float32)
         self.ones = np.ones(weights.shape[1], np.float32)
 
-    def __call__(self, states: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    def __call__(self, states: np.ndarray, hit: np.ndarray, share: float | None = None):
+        """The logs of the hits; with a share of the loss: the states' gradient
+        and that of weights and bias too."""
+        if len(states) <= ROWS:
+            return self._piece(states, hit, share)
+        parts = [self._piece(states[i : i + ROWS], hit[i : i + ROWS], share) for i in range(0, len(states), ROWS)]
+        if share is None:
+            return np.concatenate(parts)
+        logs, back, grads = zip(*parts)
+        return np.concatenate(logs), np.concatenate(back), sum(grads)
+
+    def _piece(self, states: np.ndarray, hit: np.ndarray, share: float | None):
         logits = states @ self.weights
         if not self.bounded:
             logits -= logits.max(axis=1, keepdims=True)
-        chosen = logits[np.arange(len(logits)), hit]
+        each = np.arange(len(logits))
+        chosen = logits[each, hit]
         np.exp(logits, out=logits)
-        return chosen - np.log(logits @ self.ones)
+        total = logits @ self.ones
+        logs = chosen - np.log(total)
+        if share is None:
+            return logs
+        logits *= (np.float32(share) / total)[:, None]
+        logits[each, hit] -= np.float32(share)
+        return logs, logits @ self.weights[:-1].T, states.T @ logits
 
 
 class _Logs:
@@ -186,23 +215,40 @@ class _Logs:
         self.ranking, self.classes = ranking, _Softmax(p["oc"], p["bc"])
         edges = ranking.edges
         spans = {c: slice(edges[c], edges[c + 1]) for c in range(ranking.own_classes) if edges[c + 1] - edges[c] > 1}
-        self.words = {c: _Softmax(p["ow"][:, at], p["bw"][at]) for c, at in spans.items()}
+        self.words = {c: (at, _Softmax(p["ow"][:, at], p["bw"][at])) for c, at in spans.items()}
 
-    def __call__(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    def __call__(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
+        """The logs; with grads: sets the gradients of the mean loss there and
+        returns that of the states too."""
         ranking = self.ranking
         cls = ranking.of_rank[targets]
+        # in the order of the classes, so that each is a slice
         order = np.argsort(cls.astype(np.int8), kind="stable")
-        states, targets, sorted_cls = states[order], targets[order], cls[order]
-        logs = self.classes(states, sorted_cls)
-        ends = np.searchsorted(sorted_cls, np.arange(ranking.own_classes + 1))
+        states, targets, cls = states[order], targets[order], cls[order]
+        ends = np.searchsorted(cls, np.arange(ranking.own_classes + 1))
+        share, back = None if grads is None else 1 / len(targets), None
+        logs = self.classes(states, cls, share)
+        if grads is not None:
+            logs, back, d = logs
+            grads["oc"][:], grads["bc"][:] = d[:-1], d[-1]
         logs[ends[-1] :] += ranking.word_log[targets[ends[-1] :]]
-        for c, softmax in self.words.items():
-            a, b = ends[c], ends[c + 1]
-            if a < b:
-                logs[a:b] += softmax(states[a:b], targets[a:b] - ranking.edges[c])
+        for c, (columns, softmax) in self.words.items():
+            at = slice(ends[c], ends[c + 1])
+            if at.start == at.stop:
+                continue
+            found = softmax(states[at], targets[at] - columns.start, share)
+            if grads is not None:
+                found, d_states, d = found
+                back[at] += d_states
+                grads["ow"][:, columns], grads["bw"][columns] = d[:-1], d[-1]
+            logs[at] += found
         out = np.empty(len(logs))
         out[order] = logs
-        return out
+        if grads is None:
+            return out
+        d_states = np.empty_like(back)
+        d_states[order] = back
+        return out, d_states
 
 
 class Model:
@@ -214,71 +260,6 @@ class Model:
         """Input row of a word: its own or that of its class."""
         return np.where(ranks < self.ranking.own, ranks, self.ranking.own + self.ranking.of_rank[ranks])
 
-    def _states(self, gates_in: np.ndarray, rows: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: list | None = None):
-        out = np.empty((*rows.shape, HIDDEN), np.float32)
-        wh = self.p["wh"]
-        for t in range(len(rows)):
-            h = h * keep[t][:, None]
-            x, g = gates_in[rows[t]], h @ wh
-            rz = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-            r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-            n = np.tanh(x[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
-            if trace is not None:
-                trace.append((h, rz, n, g[:, 2 * HIDDEN :]))
-            h = n + z * (h - n)
-            out[t] = h
-        return out, h
-
-    def _log_probs(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
-        """Natural logs; with grads: adds gradients of the mean loss there and
-        returns that of the states too."""
-        p, ranking, n = self.p, self.ranking, len(targets)
-        cls = ranking.of_rank[targets]
-        # in the order of the classes, so that each is a slice
-        order = np.argsort(cls.astype(np.int8), kind="stable")
-        states, targets, cls = states[order], targets[order], cls[order]
-        out = ranking.word_log[targets]
-        back = None
-
-        def softmax(at: slice, weights, bias, hit):
-            """Adds the logs of the hits; with grads: the states' gradient and that of the logits."""
-            logits = states[at] @ weights
-            logits += bias
-            logits -= logits.max(axis=1, keepdims=True)
-            each = np.arange(len(logits))
-            chosen = logits[each, hit]
-            np.exp(logits, out=logits)
-            total = logits.sum(axis=1, keepdims=True)
-            logs = chosen - np.log(total[:, 0])
-            if grads is None:
-                return logs, None
-            total *= n
-            logits /= total
-            logits[each, hit] -= 1 / n
-            return logs, logits
-
-        logs, d = softmax(slice(0, n), p["oc"], p["bc"], cls)
-        if grads is not None:
-            grads["oc"] += states.T @ d
-            grads["bc"] += d.sum(axis=0)
-            back = d @ p["oc"].T
-        ends = np.searchsorted(cls, np.arange(ranking.own_classes + 1))
-        out[: ends[-1]] = 0
-        out += logs
-        for c in range(ranking.own_classes):
-            at, lo, hi = slice(ends[c], ends[c + 1]), ranking.edges[c], ranking.edges[c + 1]
-            if at.start == at.stop or hi - lo < 2:
-                continue
-            logs, d = softmax(at, p["ow"][:, lo:hi], p["bw"][lo:hi], targets[at] - lo)
-            out[at] += logs
-            if grads is not None:
-                grads["ow"][:, lo:hi] += states[at].T @ d
-                grads["bw"][lo:hi] += d.sum(axis=0)
-                back[at] += d @ p["ow"][:, lo:hi].T
-        place = np.empty(n, np.int64)
-        place[order] = np.arange(n)
-        return out[place], None if back is None else back[place]
-
     def score(self, docs: list[np.ndarray], start: int) -> np.ndarray:
         """log10 probability of each document (an array of ranks). The state is
         carried through all windows of a document."""
@@ -295,6 +276,38 @@ class Model:
             sums += np.bincount(numbers[real], logs, len(docs))
         return sums / np.log(10)
 
+    def _steps_back(self, trace: _Trace, d_states: np.ndarray, keep: np.ndarray, grads: dict) -> np.ndarray:
+        """Sets the gradient of wh and returns those of the steps' inputs."""
+        wh_back, dh = self.p["wh"].T.copy(), np.zeros_like(d_states[0])
+        d_in, d_g = (np.empty((*keep.shape, 3 * HIDDEN), np.float32) for _ in range(2))
+        one_less, dn, part = (np.empty((*dh.shape[:1], n), np.float32) for n in (2 * HIDDEN, HIDDEN, HIDDEN))
+        for t in range(len(keep) - 1, -1, -1):
+            gate, new, out = trace.gate[t], trace.new[t], d_in[t]
+            r, z = gate[:, :HIDDEN], gate[:, HIDDEN:]
+            np.subtract(1, gate, out=one_less)
+            dh += d_states[t]
+            # new state
+            np.multiply(new, new, out=dn)
+            np.subtract(1, dn, out=dn)
+            dn *= dh
+            dn *= one_less[:, HIDDEN:]
+            out[:, 2 * HIDDEN :] = dn
+            # gates; r (1 - r) and z (1 - z)
+            one_less *= gate
+            np.multiply(dn, trace.from_state[t], out=part)
+            np.multiply(part, one_less[:, :HIDDEN], out=out[:, :HIDDEN])
+            np.subtract(trace.before[t], new, out=part)
+            part *= dh
+            np.multiply(part, one_less[:, HIDDEN:], out=out[:, HIDDEN : 2 * HIDDEN])
+            d_g[t, :, : 2 * HIDDEN] = out[:, : 2 * HIDDEN]
+            np.multiply(dn, r, out=d_g[t, :, 2 * HIDDEN :])
+            dh *= z
+            np.dot(d_g[t], wh_back, out=part)
+            dh += part
+            dh *= keep[t][:, None]
+        grads["wh"][:] = trace.before.reshape(-1, HIDDEN).T @ d_g.reshape(-1, 3 * HIDDEN)
+        return d_in
+
     def train(self, docs: list[np.ndarray], start: int, rate: float = 1e-2) -> int:
         """One pass of truncated backpropagation with Adam; the words seen. A
         window with few words left makes a small step."""
@@ -303,28 +316,18 @@ class Model:
         m, v = np.zeros_like(self.flat), np.zeros_like(self.flat)
         p, seen, step, h = self.p, 0, 0, None
         for inputs, targets, _, keep in lanes_of(docs, TRAIN_LANES, start, WINDOW):
-            active, rows, trace = inputs.shape[1], self._row(inputs), []
+            active, rows = inputs.shape[1], self._row(inputs)
             h = np.zeros((active, HIDDEN), np.float32) if h is None else h[:active]
-            states, last = self._states(p["e"] @ p["wx"] + p["b"], rows, keep, h, trace)
+            trace = _Trace(len(rows), active)
+            states = _Steps(p)(rows, keep, h, trace)
+            h = states[-1, :, :HIDDEN].copy()
             flat = np.zeros_like(self.flat)
             grads = unpack(flat, self.ranking.own)
             real = targets >= 0
-            _, back = self._log_probs(states[real], targets[real], grads)
-            d_states = np.zeros_like(states)
+            _, back = _Logs(p, self.ranking)(states[real], targets[real], grads)
+            d_states = np.zeros((*rows.shape, HIDDEN), np.float32)
             d_states[real] = back
-            d_in = np.empty((*rows.shape, 3 * HIDDEN), np.float32)
-            dh = np.zeros_like(h)
-            for t in range(len(rows) - 1, -1, -1):
-                before, rz, n, gn = trace[t]
-                r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-                dh = dh + d_states[t]
-                dn = dh * (1 - z) * (1 - n * n)
-                dz = dh * (before - n) * z * (1 - z)
-                dr = dn * gn * r * (1 - r)
-                d_in[t] = np.concatenate([dr, dz, dn], axis=1)
-                dg = np.concatenate([dr, dz, dn * r], axis=1)
-                grads["wh"] += before.T @ dg
-                dh = (dh * z + dg @ p["wh"].T) * keep[t][:, None]
+            d_in = self._steps_back(trace, d_states, keep, grads)
             # the inputs' gradients, summed by input row first
             flat_rows, flat_in = rows.ravel(), d_in.reshape(-1, 3 * HIDDEN)
             order = np.argsort(flat_rows, kind="stable")
@@ -341,6 +344,5 @@ class Model:
             v += 0.01 * (flat * flat - v)
             share = min(1.0, real.sum() / FULL_STEP)
             self.flat -= rate * share * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-            h = last
             seen += int(real.sum())
         return seen
