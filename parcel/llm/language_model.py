@@ -5,10 +5,10 @@
 2. At most ``HEAD`` of the most frequent words (up to ``HEAD_BYTES`` long, so their
    table has a bound) are the model's ranking. They go to the tasks by broadcast; all
    other words are the tail, of any number, and are never broadcast.
-3. Training: one in ``TRAIN_ONE_IN`` training documents, so more of them for a larger
-   corpus, is dealt to independent learners that start from the same weights
-   (truncated backpropagation, see ``recurrent``). The mean of their weights, by
-   words seen, is taken with a Spark aggregate after each round.
+3. Training: every training document is dealt to one of the rounds, and in it to one
+   of many independent learners (more of them for a larger corpus) that start from the
+   same weights (truncated backpropagation, see ``recurrent``). The mean of their
+   weights, by words seen, is taken with a Spark aggregate after each round.
 4. Scoring: whole documents, the state carried from window to window. The tail
    words of the documents are then joined with the counts, for what their
    class leaves open: (c + 0.5) / (N + 0.5 * (V + 1)) over the tail.
@@ -41,8 +41,8 @@ HEAD_BYTES = 64
 END = b"\n"
 #: Bytes of texts that a task counts, learns from or scores at a time.
 GROUP_BYTES = 24 << 20
-#: One in so many training documents trains the weights, in so many rounds.
-TRAIN_ONE_IN, ROUNDS = 2, 2
+#: Each training document is in one of so many rounds.
+ROUNDS = 2
 #: Words that one learner should see in a round.
 LEARNER_WORDS = 1_250_000
 
@@ -150,8 +150,8 @@ def train(texts: DataFrame, shared, words: Vocabulary, train_words: float) -> np
     spark = texts.sparkSession
     flat = fresh(words.ranking())
     for turn in range(ROUNDS):
-        mine = texts.where(F.pmod("key", F.lit(TRAIN_ONE_IN * ROUNDS)) == turn)
-        learners = max(1, round(train_words / (TRAIN_ONE_IN * ROUNDS) / LEARNER_WORDS))
+        mine = texts.where(F.pmod("key", F.lit(ROUNDS)) == turn)
+        learners = max(1, round(train_words / ROUNDS / LEARNER_WORDS))
         dealt = mine.repartition(learners).sortWithinPartitions("key").select("text")  # evenly
         learned = dealt.mapInArrow(_learner(shared, spark.sparkContext.broadcast(flat)), "seen double, weights array<float>")
         mean = learned.select("seen", F.posexplode("weights").alias("i", "w")).groupBy("i").agg(
