@@ -52,6 +52,8 @@ BINS = 12
 #: Of the labelled sample, one in so many is for calibration.
 HELD_ONE_IN = 4
 TARGETS = ("good", "toxic")
+#: Rows of a view's matrix scored at a time.
+PIECE = 1024
 
 _MEASURES = 12
 
@@ -134,8 +136,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, decay: float = 1e-4, steps: int = 250) -> np.ndarray:
-    """Logistic regression by Adam on all rows; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    """Logistic regression by Adam on all rows. The last column is all ones, and
+    its weight the bias."""
     theta, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
     share = np.clip(np.average(y, weights=w), 1e-3, 1 - 1e-3)
     theta[-1] = np.log(share / (1 - share))
@@ -165,8 +167,14 @@ def _chosen(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.sort(names[best[z[best] > LEAST_Z]])
 
 
-def _matrix(rows: list[np.ndarray], names: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(rows), len(names)), np.float32)
+def _with_ones(x: np.ndarray) -> np.ndarray:
+    return np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
+
+
+def _matrix(rows: list[np.ndarray], names: np.ndarray, ones: int = 0) -> np.ndarray:
+    """Which row holds which name, and so many columns of ones."""
+    out = np.zeros((len(rows), len(names) + ones), np.float32)
+    out[:, len(names) :] = 1
     if len(names):
         for i, r in enumerate(rows):
             at = np.minimum(np.searchsorted(names, r), len(names) - 1)
@@ -179,14 +187,17 @@ class View:
 
     def __init__(self, rows: list[np.ndarray], y: np.ndarray, w: np.ndarray):
         self.names = _chosen(rows, y)
-        self.theta = _fit(_matrix(rows, self.names), y, w)
+        self.theta = _fit(_matrix(rows, self.names, 1), y, w)
         self.scale = np.array([1.0, 0.0])
 
     def raw(self, rows: list[np.ndarray]) -> np.ndarray:
-        return _matrix(rows, self.names) @ self.theta[:-1] + self.theta[-1]
+        out = np.empty(len(rows), np.float32)
+        for at in range(0, len(rows), PIECE):
+            out[at : at + PIECE] = _matrix(rows[at : at + PIECE], self.names) @ self.theta[:-1] + self.theta[-1]
+        return out
 
     def calibrate(self, rows: list[np.ndarray], y: np.ndarray) -> None:
-        self.scale = _fit(self.raw(rows)[:, None].astype(np.float32), y, np.ones(len(y)), 0.0)
+        self.scale = _fit(_with_ones(self.raw(rows)[:, None]), y, np.ones(len(y)), 0.0)
 
     def logit(self, rows: list[np.ndarray]) -> np.ndarray:
         return np.clip(self.raw(rows) * self.scale[0] + self.scale[1], -12, 12)
@@ -228,7 +239,7 @@ class _Rounds:
 
     def combined(self, views: list[list[np.ndarray]]) -> tuple[list[View], np.ndarray]:
         logits = np.column_stack([v.logit([rows[i] for i in self.held]) for v, rows in zip(self.trained, views)])
-        return self.trained, _fit(logits.astype(np.float32), self.label[self.held], np.ones(len(self.held)), 1e-3)
+        return self.trained, _fit(_with_ones(logits), self.label[self.held], np.ones(len(self.held)), 1e-3)
 
 
 class Classifier:
@@ -302,6 +313,33 @@ def _telling_keys(features: DataFrame, pseudo: dict[str, dict[int, float]]) -> l
     return sorted(out)
 
 
+def _telling_rows(features: DataFrame, telling: np.ndarray) -> list[np.ndarray]:
+    """Of every row's keys those in ``telling`` (sorted), in the order of ``_in_order``.
+    The words go to the tasks with the function and come back as places in
+    ``telling``: written into the plan, they would fill the driver's memory."""
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(2)
+            flat = keys.flatten().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(keys.value_lengths().to_numpy())])
+            at = np.searchsorted(telling, flat)
+            found = telling[np.minimum(at, len(telling) - 1)] == flat if len(telling) else np.zeros(len(flat), bool)
+            kept = np.concatenate([[0], np.cumsum(found)])[ends].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(kept), pa.array(at[found].astype(np.int32)))], ["place", "of", "at"]
+            )
+
+    got = _in_order(features.select("place", F.xxhash64("keys").alias("of"), "keys").mapInArrow(held, "place long, of long, at array<int>"))
+    return [telling[row.values.to_numpy()].view(np.uint64) for row in got["at"]]
+
+
+def _in_order(rows: DataFrame) -> pa.Table:
+    """On the driver, by ``place`` and ``of``, a hash of the row's keys."""
+    got = rows.toArrow()
+    return got.take(np.lexsort([got["of"].to_numpy(), got["place"].to_numpy()]))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """From the bounded sample; texts become features where they are read."""
     ship_package(docs.sparkSession)
@@ -318,7 +356,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         "text", "lang", "source", F.col("good").cast("double").alias("good"), F.col("toxic").cast("double").alias("toxic"), order.alias("place")
     ).mapInArrow(_featurise, "keys array<long>, numbers array<double>, names array<long>, good double, toxic double, place long")
     features = materialise(made, "quality-features")
-    got = features.select("place", "numbers", "names", *TARGETS).orderBy("place", F.xxhash64("keys")).toArrow()
+    got = _in_order(features.select("place", F.xxhash64("keys").alias("of"), "numbers", "names", *TARGETS))
     numbers = np.array(got["numbers"].to_pylist(), float).reshape(-1, _MEASURES)
     names = np.array(got["names"].to_pylist(), np.int64).reshape(-1, 2).view(np.uint64)
     known = {t: got[t].to_pandas().to_numpy(float, na_value=np.nan) for t in TARGETS}
@@ -326,9 +364,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
 
     def gather(pseudo: dict[str, dict[int, float]]) -> list[np.ndarray]:
         by_place = {t: {int(places[i]): y for i, y in marks.items()} for t, marks in pseudo.items()}
-        telling = F.array(*[F.lit(k).cast("long") for k in _telling_keys(features, by_place)]).cast("array<long>")
-        rows = features.select("place", F.xxhash64("keys").alias("of"), F.array_intersect("keys", telling).alias("keys"))
-        return [np.asarray(x.values, np.int64).view(np.uint64) for x in rows.orderBy("place", "of").toArrow()["keys"]]
+        return _telling_rows(features, np.array(_telling_keys(features, by_place), np.int64))
 
     return Classifier(gather, numbers, names, known, places)
 

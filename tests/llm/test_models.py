@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -156,6 +157,43 @@ def test_classifier_odd_input(spark, make_docs):
     assert quality.query(make_docs([]), one).count() == 0
 
 
+def test_training_names_no_words_in_its_plans(spark, make_docs, monkeypatch):
+    """The words that training picks would fill the driver's memory there."""
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{j}" for j in range(150)), "en", "s") for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(160)], "doc_id long, quality int, toxic int")
+    plans, kind = [], type(labels)
+    plain = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda df: plans.append(df._jdf.queryExecution().toString()) or plain(df))
+    (texts, _), _ = quality.train(make_docs(rows), labels).parts["good"]
+    assert len(texts.names) == 600  # as they are and without punctuation
+    numbers = {str(x) for x in texts.names.view(np.int64)}
+    assert plans and not any(x in plan for plan in plans for x in numbers)
+
+
+def test_telling_rows(spark):
+    rows = [(3, [5, -7, 9]), (1, []), (2, [-7, 4]), (-1, [9]), (2, [-7, 4])]
+    features = spark.createDataFrame([(p, k) for p, k in rows], "place long, keys array<long>")
+    for telling in ([-7, 5, 9], [9], [-8, 100], []):
+        got = quality._telling_rows(features, np.array(telling, np.int64))
+        assert [x.view(np.int64).tolist() for x in got] == [[k for k in keys if k in telling] for _, keys in sorted(rows, key=lambda x: x[0])]
+
+
+def test_a_view_holds_its_matrix_once():
+    rnd = np.random.default_rng(4)
+    y = np.arange(4000) % 2.0
+    rows = [np.sort(rnd.choice(400, 20, replace=False) + 400 * int(v)).astype(np.uint64) for v in y]
+    tracemalloc.start()
+    view = quality.View(rows, y, np.ones(len(y)))
+    matrix = 4 * len(rows) * (len(view.names) + 1)
+    fitted = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    raw = view.raw(rows)
+    scored = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(view.names) == 800 and fitted < 1.5 * matrix and scored < 0.5 * matrix
+    assert np.allclose(raw, [view.theta[r.astype(int)].sum() + view.theta[-1] for r in rows], atol=1e-3)
+
+
 # ----------------------------------------------------------- language model --
 
 def tokens(text):
