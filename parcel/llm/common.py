@@ -38,20 +38,29 @@ def text_key(text: Column) -> Column:
 
 #: Lets the shuffle files of a query go as soon as it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows sent to a Python worker at a time where they hold whole texts.
+TEXT_ROWS = 1024
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: it cuts the
     lineage, is computed once and survives the loss of an executor. The shuffle
-    files that made it are not needed after that and go at once."""
+    files that made it are not needed after that and go at once. ``batch``: the
+    most rows that its Arrow tasks get at a time."""
     spark = df.sparkSession
-    path, before = scratch_dir(spark, label), spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    path, wanted = scratch_dir(spark, label), {_CLEANUP: "true"}
+    if batch and not 0 < int(spark.conf.get(_BATCH)) < batch:
+        wanted[_BATCH] = str(batch)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)

@@ -17,7 +17,9 @@ ignored.
 At scale the texts are read once, for their sizes. The seeded order of a source
 is never sorted as a whole: sums over ``SLICES`` slices of the hash space find
 the one slice where the fraction ends, and only its documents are ordered.
-The list of sources itself (one row each) is ordered in one task.
+The list of sources itself (one row each) is ordered in one task. It is written
+before the documents are joined with it: so Spark knows its size, sends a
+short list to them and shuffles no text but those of the ordered slices.
 """
 
 from __future__ import annotations
@@ -103,7 +105,7 @@ def mix(
     )
     # the slice in which each source's fractional repetition ends, and the words before it
     running = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = (
+    ends = materialise(
         slices.withColumn("upto", F.sum("words").over(running))
         .join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
         .groupBy("source")
@@ -114,7 +116,8 @@ def mix(
             F.first("rest").alias("rest"),
             F.min(F.when(F.col("upto") >= F.col("rest"), F.struct("slice", (F.col("upto") - F.col("words")).alias("before")))).alias("end"),
         )
-        .withColumnRenamed("source", "_source")
+        .withColumnRenamed("source", "_source"),
+        "mix-ends",
     )
     planned = sized.join(ends, F.col("source").eqNullSafe(F.col("_source")))
     clear = planned.where(F.col("slice") != F.col("end.slice")).withColumn(

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel.llm.common import materialise, whole_text
+from parcel.llm.common import TEXT_ROWS, materialise, whole_text
 from parcel.llm.components import components
 from parcel.llm.textgrams import mixed, word_runs, words_of
 from parcel.session import ship_package
@@ -148,7 +148,7 @@ class Linker:
     def __init__(self, docs: DataFrame):
         ship_package(docs.sparkSession)
         self.texts = docs.select("doc_id", whole_text().alias("text"))
-        self.signed = materialise(self.texts.mapInArrow(_sign, SIGNED), "near-signed")
+        self.signed = materialise(self.texts.mapInArrow(_sign, SIGNED), "near-signed", TEXT_ROWS)
         per_node = self.signed.where("n > 0").groupBy("node")
         found = per_node.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         self.nodes = materialise(found, "near-nodes")
@@ -159,7 +159,7 @@ class Linker:
         chosen = self.nodes.join(self.buckets.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_id"), "node")
         texts = self.texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
         made = texts.mapInArrow(_sets_of_nodes, "node binary, shingles array<long>")
-        self.sets = materialise(made.dropDuplicates(["node"]), "near-sets")
+        self.sets = materialise(made.dropDuplicates(["node"]), "near-sets", TEXT_ROWS)
 
     def sharing(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` (a < b) that share so many bands that they are
@@ -232,7 +232,7 @@ def _prefix_pairs(work: Linker, members: DataFrame) -> DataFrame:
     met[got["slot"].to_numpy()] = got["c"].to_numpy()
     sets = work.sets.join(members, "node").select("node", "n", "comp", "shingles")
     made = sets.mapInArrow(_prefixes(spark.sparkContext.broadcast(met), bits), "node binary, n long, comp binary, first array<long>")
-    first = materialise(made, "near-prefixes").select("node", "n", "comp", F.posexplode("first").alias("at", "key"))
+    first = materialise(made, "near-prefixes", TEXT_ROWS).select("node", "n", "comp", F.posexplode("first").alias("at", "key"))
     of_comp = first.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     most = of_comp.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     rows = materialise(

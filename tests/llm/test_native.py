@@ -168,6 +168,18 @@ def test_repetitions_hold_what_the_mix_takes(make_docs):
     assert words == taken
 
 
+def test_the_mix_shuffles_no_texts_to_a_short_list_of_sources(spark, make_docs):
+    rng = random.Random(3)
+    docs = make_docs([(i, " ".join(rng.randbytes(8).hex() for _ in range(60)), "en", "abc"[i % 3]) for i in range(600)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")  # less than the texts, more than the sources
+    try:
+        plan = mixing.repetitions(docs)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+
+
 # ---------------------------------------------------------- decontamination --
 
 ITEMS = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "short item"), (3, None), (3, ""), (None, "another benchmark item of exactly ten words is this one"), (1, "extra text for item one")]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ import pytest
 from llm_rows import ODD, sql_rows
 
 from parcel.llm import near_dedup, suffix_dedup, textgrams, winnow_bytes
+from parcel.llm.common import materialise
 
 
 def long_rows():
@@ -160,3 +162,34 @@ def test_densified_bins_agree_for_equal_rows():
     filled = values > 0
     out = near_dedup.densified(values, filled)
     assert (out[0] == out[1]).all() and set(out[0].tolist()) <= {5, 9}
+
+
+def test_words_are_hashed_a_bounded_piece_at_a_time(monkeypatch):
+    texts = pa.array(["Some words of a long text, " * 1000] * 150)  # 4 MB
+    tracemalloc.start()
+    words, ends = textgrams.words_of(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    monkeypatch.setattr(textgrams, "CHUNK", 8 << 20)
+    whole, whole_ends = textgrams.words_of(texts)
+    assert (words == whole).all() and (ends == whole_ends).all()
+
+
+def test_texts_reach_python_a_bounded_batch_at_a_time(spark, make_docs, monkeypatch):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    counted = spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long")
+    assert max(r.n for r in materialise(counted, "test-sizes", 1024).collect()) <= 1024
+    spark.conf.set(key, "100")
+    try:
+        assert max(r.n for r in materialise(counted, "test-sizes", 1024).collect()) <= 100  # a smaller one of the user stays
+    finally:
+        spark.conf.set(key, before)
+    monkeypatch.setattr(near_dedup, "materialise", lambda df, label, batch=None: seen.append((label, batch)) or materialise(df, label, batch))
+    near_dedup.query(make_docs([(i, f"some words of text number {i // 2} here", "en", "a") for i in range(8)])).collect()
+    assert {x for x, batch in seen if batch} == {"near-signed", "near-sets", "near-prefixes"} and spark.conf.get(key) == before
