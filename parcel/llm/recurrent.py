@@ -21,8 +21,8 @@ OWN = 4096
 WINDOW = 24  # steps of truncated backpropagation
 SCORE_WINDOW = 32
 TRAIN_LANES, SCORE_LANES = 512, 256
-#: Rows whose logits are made at a time, so that they stay in the cache.
-ROWS = 1024
+#: Logits made at a time, so that they stay in the cache.
+PIECE = 32_768
 #: Words in a window that make a whole step; fewer make a smaller one.
 FULL_STEP = 2304
 #: Training cuts documents longer than this and than an even lane, so that all lanes end together.
@@ -86,11 +86,12 @@ def fresh(ranking: Ranking, seed: int = 11) -> np.ndarray:
     return flat
 
 
-def lanes_of(docs: list[np.ndarray], width: int, start: int, window: int):
+def lanes_of(docs: list[np.ndarray], width: int, start: int, window: int, widen: bool = False):
     """Deal whole documents to lanes and yield windows: inputs, targets,
     document numbers and 0/1 where a document begins (0: forget the state).
     All have the shape (steps, active lanes); lanes end at different times, the
-    longest comes first, and a target of -1 is none."""
+    longest comes first, and a target of -1 is none. Widened windows take more
+    steps where few lanes are left."""
     order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
     heap = [(0, lane, []) for lane in range(min(width, len(docs)))]
     for i in order:
@@ -98,29 +99,28 @@ def lanes_of(docs: list[np.ndarray], width: int, start: int, window: int):
         held.append(i)
         heapq.heappush(heap, (length + len(docs[i]), lane, held))
     lanes = sorted(((n, held) for n, _, held in heap), key=lambda x: -x[0])
-    rows = []  # for each lane: input, target, document, keep
-    for n, held in lanes:
-        sizes = [len(docs[i]) for i in held]
-        first = np.cumsum([0] + sizes[:-1])
-        row = np.ones((4, n), np.int32)
-        np.concatenate([docs[i] for i in held], out=row[1])
-        row[0, 1:] = row[1, :-1]
-        row[0, first] = start
-        row[2] = np.repeat(np.array(held, np.int32), sizes)
-        row[3, first] = 0
-        rows.append(row)
-    lengths = np.array([n for n, _ in lanes])
-    longest = int(lengths[0]) if lanes else 0
-    for at in range(0, longest, window):
+    lengths = np.array([n for n, _ in lanes], np.int64)
+    offsets, total, longest = np.cumsum(lengths) - lengths, int(lengths.sum()), int(lengths.max(initial=0))
+    # lane after lane, and at last the place of no word
+    order = [i for _, held in lanes for i in held]
+    sizes = np.array([len(docs[i]) for i in order], np.int64)
+    first = np.cumsum(sizes) - sizes
+    targets, inputs, numbers = (np.full(total + 1, x, np.int32) for x in (-1, 0, 0))
+    keep = np.ones(total + 1, np.float32)
+    if order:
+        np.concatenate([docs[i] for i in order], out=targets[:-1])
+        inputs[1:-1] = targets[:-2]
+        inputs[first], keep[first] = start, 0
+        numbers[:-1] = np.repeat(np.array(order, np.int32), sizes)
+    at, steps = 0, 0
+    while (at := at + steps) < longest:
         active = int((lengths > at).sum())
-        steps = min(window, longest - at)
-        grid = np.empty((active, 4, steps), np.int32)
-        grid[:] = np.array([0, -1, 0, 1], np.int32)[:, None]
-        for j in range(active):
-            piece = rows[j][:, at : at + steps]
-            grid[j, :, : piece.shape[1]] = piece
-        inputs, targets, numbers, keep = grid.transpose(1, 2, 0)
-        yield tuple(np.ascontiguousarray(x) for x in (inputs, targets, numbers)) + (keep.astype(np.float32, order="C"),)
+        steps = min(window * (width // active) if widen else window, longest - at)
+        step = np.arange(at, at + steps)[:, None]
+        places = step + offsets[:active]
+        if at + steps > lengths[active - 1]:  # some lanes end
+            places[step >= lengths[:active]] = total
+        yield inputs.take(places), targets.take(places), numbers.take(places), keep.take(places)
 
 
 class _Trace:
@@ -146,47 +146,59 @@ class _Steps:
         steps, lanes = rows.shape
         out = np.ones((steps, lanes, HIDDEN + 1), np.float32)
         gate, add = (np.empty((lanes, 2 * HIDDEN), np.float32) for _ in range(2))
-        new, add_new, kept = (np.empty((lanes, HIDDEN), np.float32) for _ in range(3))
+        kept, new, from_state, add_new = (np.empty((lanes, HIDDEN), np.float32) for _ in range(4))
+        begun = keep == 0
+        begins = begun.any(axis=1).tolist()
         for t in range(steps):
             if trace is not None:
-                gate, new = trace.gate[t], trace.new[t]
-            np.multiply(h, keep[t][:, None], out=kept)
+                kept, gate, new, from_state = trace.before[t], trace.gate[t], trace.new[t], trace.from_state[t]
+            kept[:] = h
+            if begins[t]:
+                kept[begun[t]] = 0
             self.gates_in.take(rows[t], 0, gate, "clip")
             np.dot(kept, self.gates_h, out=add)
             gate += add
             np.exp(gate, out=gate)
             gate += 1
             np.reciprocal(gate, out=gate)
-            np.dot(kept, self.new_h, out=new)
-            if trace is not None:
-                trace.before[t], trace.from_state[t] = kept, new
-            new *= gate[:, :HIDDEN]
+            np.dot(kept, self.new_h, out=from_state)
+            np.multiply(from_state, gate[:, :HIDDEN], out=new)
             self.new_in.take(rows[t], 0, add_new, "clip")
             new += add_new
             np.tanh(new, out=new)
-            kept -= new
-            kept *= gate[:, HIDDEN:]
-            h = np.add(kept, new, out=out[t, :, :HIDDEN])
+            np.subtract(kept, new, out=add_new)
+            add_new *= gate[:, HIDDEN:]
+            h = np.add(add_new, new, out=out[t, :, :HIDDEN])
         return out
 
 
 class _Softmax:
-    """Logs of some columns' softmax. No state is above 1, so a bound on all
-    logits stands in for each row's largest, unless that could lose digits."""
+    """Logs of some columns' softmax, the last row of their weights being the
+    bias: less a bound on all logits if ``bounded``."""
 
-    def __init__(self, weights: np.ndarray, bias: np.ndarray):
-        reach = np.abs(weights).sum(axis=0)
-        top = (bias + reach).max()
-        self.bounded = top - (bias - reach).max() < 60
-        self.weights = np.vstack([weights, bias - top if self.bounded else bias]).astype(np.float32)
+    def __init__(self, weights: np.ndarray, bounded: bool):
+        self.weights, self.bounded = weights, bounded
         self.ones = np.ones(weights.shape[1], np.float32)
 
+    @staticmethod
+    def of(weights: np.ndarray, bias: np.ndarray, starts: np.ndarray) -> list[_Softmax]:
+        """One for each slice of the columns. No state is above 1, so a bound on
+        all logits stands in for each row's largest, unless that could lose digits."""
+        reach = np.abs(weights).sum(axis=0)
+        top = np.maximum.reduceat(bias + reach, starts)
+        bounded = top - np.maximum.reduceat(bias - reach, starts) < 60
+        ends = np.append(starts[1:], len(bias))
+        less = np.repeat(np.where(bounded, top, np.float32(0)), ends - starts)
+        both = np.vstack([weights, bias - less])
+        return [_Softmax(both[:, a:b], k) for a, b, k in zip(starts.tolist(), ends.tolist(), bounded.tolist())]
+
     def __call__(self, states: np.ndarray, hit: np.ndarray, share: float | None = None):
         """The logs of the hits; with a share of the loss: the states' gradient
         and that of weights and bias too."""
-        if len(states) <= ROWS:
+        n = max(PIECE // len(self.ones), 128)
+        if len(states) <= n:
             return self._piece(states, hit, share)
-        parts = [self._piece(states[i : i + ROWS], hit[i : i + ROWS], share) for i in range(0, len(states), ROWS)]
+        parts = [self._piece(states[i : i + n], hit[i : i + n], share) for i in range(0, len(states), n)]
         if share is None:
             return np.concatenate(parts)
         logs, back, grads = zip(*parts)
@@ -196,35 +208,41 @@ class _Softmax:
         logits = states @ self.weights
         if not self.bounded:
             logits -= logits.max(axis=1, keepdims=True)
-        each = np.arange(len(logits))
-        chosen = logits[each, hit]
+        flat, columns = logits.reshape(-1), logits.shape[1]
+        at = np.arange(0, len(flat), columns)
+        at += hit
+        chosen = flat.take(at)
         np.exp(logits, out=logits)
         total = logits @ self.ones
         logs = chosen - np.log(total)
         if share is None:
             return logs
         logits *= (np.float32(share) / total)[:, None]
-        logits[each, hit] -= np.float32(share)
+        flat[at] -= np.float32(share)
         return logs, logits @ self.weights[:-1].T, states.T @ logits
 
 
 class _Logs:
-    """Natural logs of words after states (with a column of ones), for fixed weights."""
+    """Natural logs of words after states, for fixed weights."""
 
     def __init__(self, p: dict[str, np.ndarray], ranking: Ranking):
-        self.ranking, self.classes = ranking, _Softmax(p["oc"], p["bc"])
-        edges = ranking.edges
-        spans = {c: slice(edges[c], edges[c + 1]) for c in range(ranking.own_classes) if edges[c + 1] - edges[c] > 1}
-        self.words = {c: (at, _Softmax(p["ow"][:, at], p["bw"][at])) for c, at in spans.items()}
+        self.ranking, edges = ranking, ranking.edges
+        (self.classes,) = _Softmax.of(p["oc"], p["bc"], np.zeros(1, np.int64))
+        filled = [c for c in range(ranking.own_classes) if edges[c + 1] > edges[c]]
+        softmaxes = _Softmax.of(p["ow"], p["bw"], edges[filled]) if filled else []
+        self.words = {c: (slice(edges[c], edges[c + 1]), x) for c, x in zip(filled, softmaxes) if edges[c + 1] - edges[c] > 1}
 
     def __call__(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
-        """The logs; with grads: sets the gradients of the mean loss there and
-        returns that of the states too."""
-        ranking = self.ranking
-        cls = ranking.of_rank[targets]
+        """Places of the words (those of no target -1) and their logs; states
+        have a column of ones. With grads: sets the gradients of the mean loss
+        there and returns that of the states too."""
+        ranking, targets = self.ranking, targets.ravel()
+        at = np.flatnonzero(targets >= 0)
+        cls = ranking.of_rank[targets[at]].astype(np.int8)
         # in the order of the classes, so that each is a slice
-        order = np.argsort(cls.astype(np.int8), kind="stable")
-        states, targets, cls = states[order], targets[order], cls[order]
+        order = np.argsort(cls, kind="stable")
+        at, cls = at[order], cls[order].astype(np.int64)
+        targets, states, places = targets[at], states.reshape(-1, HIDDEN + 1).take(at, 0), len(targets)
         ends = np.searchsorted(cls, np.arange(ranking.own_classes + 1))
         share, back = None if grads is None else 1 / len(targets), None
         logs = self.classes(states, cls, share)
@@ -233,32 +251,28 @@ class _Logs:
             grads["oc"][:], grads["bc"][:] = d[:-1], d[-1]
         logs[ends[-1] :] += ranking.word_log[targets[ends[-1] :]]
         for c, (columns, softmax) in self.words.items():
-            at = slice(ends[c], ends[c + 1])
-            if at.start == at.stop:
+            mine = slice(ends[c], ends[c + 1])
+            if mine.start == mine.stop:
                 continue
-            found = softmax(states[at], targets[at] - columns.start, share)
+            found = softmax(states[mine], targets[mine] - columns.start, share)
             if grads is not None:
                 found, d_states, d = found
-                back[at] += d_states
+                back[mine] += d_states
                 grads["ow"][:, columns], grads["bw"][columns] = d[:-1], d[-1]
-            logs[at] += found
-        out = np.empty(len(logs))
-        out[order] = logs
+            logs[mine] += found
         if grads is None:
-            return out
-        d_states = np.empty_like(back)
-        d_states[order] = back
-        return out, d_states
+            return at, logs
+        from_place = np.full(places, len(at))  # places of no word get the row of zeros
+        from_place[at] = np.arange(len(at))
+        return at, logs, np.vstack([back, np.zeros((1, HIDDEN), np.float32)]).take(from_place, 0)
 
 
 class Model:
     def __init__(self, ranking: Ranking, flat: np.ndarray):
         self.ranking, self.flat = ranking, flat
         self.p = unpack(flat, ranking.own)
-
-    def _row(self, ranks: np.ndarray) -> np.ndarray:
-        """Input row of a word: its own or that of its class."""
-        return np.where(ranks < self.ranking.own, ranks, self.ranking.own + self.ranking.of_rank[ranks])
+        # input row of a word: its own or that of its class
+        self.row_of = np.append(np.arange(ranking.own), ranking.own + ranking.of_rank[ranking.own :])
 
     def score(self, docs: list[np.ndarray], start: int) -> np.ndarray:
         """log10 probability of each document (an array of ranks). The state is
@@ -266,24 +280,29 @@ class Model:
         sums = np.zeros(len(docs))
         states_of, logs_of = _Steps(self.p), _Logs(self.p, self.ranking)
         h = None
-        for inputs, targets, numbers, keep in lanes_of(docs, SCORE_LANES, start, SCORE_WINDOW):
+        for inputs, targets, numbers, keep in lanes_of(docs, SCORE_LANES, start, SCORE_WINDOW, widen=True):
             active = inputs.shape[1]
             h = np.zeros((active, HIDDEN), np.float32) if h is None else h[:active]
-            states = states_of(self._row(inputs), keep, h)
+            states = states_of(self.row_of.take(inputs), keep, h)
             h = states[-1, :, :HIDDEN].copy()
-            real = targets >= 0
-            logs = logs_of(states[real], targets[real])
-            sums += np.bincount(numbers[real], logs, len(docs))
+            at, logs = logs_of(states, targets)
+            sums += np.bincount(numbers.ravel()[at], logs, len(docs))
         return sums / np.log(10)
 
-    def _steps_back(self, trace: _Trace, d_states: np.ndarray, keep: np.ndarray, grads: dict) -> np.ndarray:
-        """Sets the gradient of wh and returns those of the steps' inputs."""
-        wh_back, dh = self.p["wh"].T.copy(), np.zeros_like(d_states[0])
-        d_in, d_g = (np.empty((*keep.shape, 3 * HIDDEN), np.float32) for _ in range(2))
-        one_less, dn, part = (np.empty((*dh.shape[:1], n), np.float32) for n in (2 * HIDDEN, HIDDEN, HIDDEN))
-        for t in range(len(keep) - 1, -1, -1):
-            gate, new, out = trace.gate[t], trace.new[t], d_in[t]
-            r, z = gate[:, :HIDDEN], gate[:, HIDDEN:]
+    def _steps_back(self, trace: _Trace, rows: np.ndarray, d_states: np.ndarray, keep: np.ndarray, grads: dict) -> None:
+        """Sets the gradients of wh, b, wx and e; the products are made step by step, while its arrays are in the cache."""
+        steps, lanes = rows.shape
+        d = np.empty((lanes, 4 * HIDDEN), np.float32)  # of the new state, r, z and the new state's part from the state
+        d_in, d_h = d[:, : 3 * HIDDEN], d[:, HIDDEN:]
+        wx_back, wh_back = np.roll(self.p["wx"], HIDDEN, axis=1).T.copy(), self.p["wh"].T.copy()
+        d_wx, d_wh, of_step = (np.zeros((HIDDEN, 3 * HIDDEN), np.float32) for _ in range(3))
+        d_b, ones = np.zeros(3 * HIDDEN, np.float32), np.ones(lanes, np.float32)
+        d_inputs, dh = np.empty((steps, lanes, HIDDEN), np.float32), np.zeros((lanes, HIDDEN), np.float32)
+        one_less, dn, part, other = (np.empty((lanes, n), np.float32) for n in (2 * HIDDEN, HIDDEN, HIDDEN, HIDDEN))
+        begun = keep == 0
+        begins = begun.any(axis=1).tolist()
+        for t in range(steps - 1, -1, -1):
+            before, gate, new = trace.before[t], trace.gate[t], trace.new[t]
             np.subtract(1, gate, out=one_less)
             dh += d_states[t]
             # new state
@@ -291,58 +310,62 @@ class Model:
             np.subtract(1, dn, out=dn)
             dn *= dh
             dn *= one_less[:, HIDDEN:]
-            out[:, 2 * HIDDEN :] = dn
+            d[:, :HIDDEN] = dn
             # gates; r (1 - r) and z (1 - z)
-            one_less *= gate
             np.multiply(dn, trace.from_state[t], out=part)
-            np.multiply(part, one_less[:, :HIDDEN], out=out[:, :HIDDEN])
-            np.subtract(trace.before[t], new, out=part)
-            part *= dh
-            np.multiply(part, one_less[:, HIDDEN:], out=out[:, HIDDEN : 2 * HIDDEN])
-            d_g[t, :, : 2 * HIDDEN] = out[:, : 2 * HIDDEN]
-            np.multiply(dn, r, out=d_g[t, :, 2 * HIDDEN :])
-            dh *= z
-            np.dot(d_g[t], wh_back, out=part)
+            np.subtract(before, new, out=other)
+            other *= dh
+            one_less *= gate
+            np.multiply(part, one_less[:, :HIDDEN], out=d[:, HIDDEN : 2 * HIDDEN])
+            np.multiply(other, one_less[:, HIDDEN:], out=d[:, 2 * HIDDEN : 3 * HIDDEN])
+            np.multiply(dn, gate[:, :HIDDEN], out=d[:, 3 * HIDDEN :])
+            dh *= gate[:, HIDDEN:]
+            np.matmul(d_h, wh_back, out=part)
             dh += part
-            dh *= keep[t][:, None]
-        grads["wh"][:] = trace.before.reshape(-1, HIDDEN).T @ d_g.reshape(-1, 3 * HIDDEN)
-        return d_in
+            if begins[t]:
+                dh[begun[t]] = 0
+            d_wh += np.matmul(before.T, d_h, out=of_step)
+            self.p["e"].take(rows[t], 0, other, "clip")
+            d_wx += np.matmul(other.T, d_in, out=of_step)
+            d_b += ones @ d_in
+            np.matmul(d_in, wx_back, out=d_inputs[t])
+        grads["wh"][:], grads["b"][:], grads["wx"][:] = d_wh, np.roll(d_b, -HIDDEN), np.roll(d_wx, -HIDDEN, axis=1)
+        places = rows.reshape(-1, 1) * HIDDEN + np.arange(HIDDEN)
+        grads["e"][:] = np.bincount(places.ravel(), d_inputs.ravel(), grads["e"].size).reshape(-1, HIDDEN)
 
     def train(self, docs: list[np.ndarray], start: int, rate: float = 1e-2) -> int:
         """One pass of truncated backpropagation with Adam; the words seen. A
         window with few words left makes a small step."""
         longest = max(SEGMENT, sum(map(len, docs)) // TRAIN_LANES)
         docs = [d[i : i + longest] for d in docs for i in range(0, len(d), longest)]
-        m, v = np.zeros_like(self.flat), np.zeros_like(self.flat)
+        m, v, flat, change = (np.zeros_like(self.flat) for _ in range(4))
+        grads = unpack(flat, self.ranking.own)
         p, seen, step, h = self.p, 0, 0, None
         for inputs, targets, _, keep in lanes_of(docs, TRAIN_LANES, start, WINDOW):
-            active, rows = inputs.shape[1], self._row(inputs)
+            active, rows = inputs.shape[1], self.row_of.take(inputs)
             h = np.zeros((active, HIDDEN), np.float32) if h is None else h[:active]
             trace = _Trace(len(rows), active)
             states = _Steps(p)(rows, keep, h, trace)
             h = states[-1, :, :HIDDEN].copy()
-            flat = np.zeros_like(self.flat)
-            grads = unpack(flat, self.ranking.own)
-            real = targets >= 0
-            _, back = _Logs(p, self.ranking)(states[real], targets[real], grads)
-            d_states = np.zeros((*rows.shape, HIDDEN), np.float32)
-            d_states[real] = back
-            d_in = self._steps_back(trace, d_states, keep, grads)
-            # the inputs' gradients, summed by input row first
-            flat_rows, flat_in = rows.ravel(), d_in.reshape(-1, 3 * HIDDEN)
-            order = np.argsort(flat_rows, kind="stable")
-            met, first = np.unique(flat_rows[order], return_index=True)
-            by_row = np.add.reduceat(flat_in[order], first, axis=0)
-            grads["b"] += by_row.sum(axis=0)
-            grads["wx"] += p["e"][met].T @ by_row
-            grads["e"][met] += by_row @ p["wx"].T
-            norm = np.sqrt((flat * flat).sum())
+            flat[:] = 0
+            at, _, d_states = _Logs(p, self.ranking)(states, targets, grads)
+            self._steps_back(trace, rows, d_states.reshape(*rows.shape, HIDDEN), keep, grads)
+            norm = np.sqrt(np.multiply(flat, flat, out=change).sum())
             if norm > 1:
                 flat /= norm
             step += 1
-            m += 0.1 * (flat - m)
-            v += 0.01 * (flat * flat - v)
-            share = min(1.0, real.sum() / FULL_STEP)
-            self.flat -= rate * share * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-            seen += int(real.sum())
+            # Adam in place: m += 0.1 (g - m), v += 0.01 (g g - v)
+            m *= 0.9
+            m += np.multiply(flat, np.float32(0.1), out=change)
+            v *= 0.99
+            np.multiply(flat, flat, out=change)
+            change *= 0.01
+            v += change
+            np.multiply(v, 1 / (1 - 0.99**step), out=change)
+            np.sqrt(change, out=change)
+            change += 1e-6
+            np.divide(m, change, out=change)
+            change *= rate * min(1.0, len(at) / FULL_STEP) / (1 - 0.9**step)
+            self.flat -= change
+            seen += len(at)
         return seen

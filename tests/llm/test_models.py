@@ -270,6 +270,46 @@ def test_gradient(monkeypatch):
     assert loss(model.flat) < 0.7 * before
 
 
+def test_gradient_against_differences():
+    """Each kind of weight, along a random direction; documents end in the middle of lanes."""
+    model, words = some_model(20)
+    rnd = np.random.default_rng(5)
+    docs = [rnd.integers(0, words + 1, n).astype(np.int32) for n in (9, 4, 6, 1, 12)]
+    ((inputs, targets, _, keep),) = recurrent.lanes_of(docs, 2, 0, 64)
+    rows, trace = model.row_of.take(inputs), recurrent._Trace(*inputs.shape)
+    states = recurrent._Steps(model.p)(rows, keep, np.zeros((2, recurrent.HIDDEN), np.float32), trace)
+    flat = np.zeros_like(model.flat)
+    grads = recurrent.unpack(flat, model.ranking.own)
+    _, logs, d_states = recurrent._Logs(model.p, model.ranking)(states, targets, grads)
+    model._steps_back(trace, rows, d_states.reshape(*rows.shape, -1), keep, grads)
+    loss = lambda flat: -recurrent.Model(model.ranking, flat).score(docs, 0).sum() * np.log(10) / len(logs)
+    assert abs(loss(model.flat) + logs.mean()) < 1e-5
+    for name in grads:
+        way = np.zeros_like(flat)
+        part = recurrent.unpack(way, model.ranking.own)[name]
+        part[:] = rnd.normal(0, 1, part.shape) + np.sign(grads[name])
+        slope = (loss(model.flat + 1e-3 * way) - loss(model.flat - 1e-3 * way)) / 2e-3
+        assert abs(slope - way @ flat) < 0.01 * abs(slope) + 1e-3, name
+
+
+def test_few_lanes_take_long_windows(monkeypatch):
+    """A long document's last words, alone in their lane, aren't scored a few at a time."""
+    model, words = some_model()
+    rnd = np.random.default_rng(2)
+    docs = [rnd.integers(0, words + 1, n).astype(np.int32) for n in (1600, 40, 40, 40)]
+    monkeypatch.setattr(recurrent, "SCORE_LANES", 4)
+    whole, calls, steps = model.score(docs, 0), [], recurrent._Steps.__call__
+
+    def counted(self, rows, *rest):
+        calls.append(rows.shape)
+        return steps(self, rows, *rest)
+
+    monkeypatch.setattr(recurrent._Steps, "__call__", counted)
+    assert np.allclose(whole, model.score(docs, 0))
+    assert sum(t for t, _ in calls) == 1600 and len(calls) < 20
+    assert max(t * lanes for t, lanes in calls) <= 4 * recurrent.SCORE_WINDOW
+
+
 def test_score_against_a_plain_model():
     """One word after another, without lanes, windows or slices of classes."""
     model, words = some_model()
